@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The KPI pipeline is a full-refresh batch: raw tables are replaced on every run
+and every KPI is recomputed from them. There are no event-time windows,
+watermarks or per-key state to maintain, so nothing here is built on
+Structured Streaming.
+"""
