@@ -15,7 +15,8 @@ _CASED = r"[\p{Lu}\p{Ll}\p{Lt}]"
 def python_title(x) -> Column:
     """Python ``str.title()``: a cased letter is upper-cased when the character
     before it is not a cased letter, and lower-cased otherwise ("2nd" -> "2Nd",
-    unlike Spark's initcap)."""
+    unlike Spark's initcap). The four Unicode title-case digraphs (U+01C4..)
+    come out upper-cased where Python title-cases them."""
     chars = F.split(_c(x), "")
     out = F.transform(
         chars,

@@ -56,63 +56,63 @@ def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weig
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be in [0, 1]")
-    h = hist.select(*keys, F.col(value).cast("double").alias("_v"),
-                    F.col(weight).cast("long").alias("_w"))
+    h = hist.select(*keys, F.col(value).cast("double").alias("__pv"),
+                    F.col(weight).cast("long").alias("__pw"))
     ks = list(keys)
-    tot = h.groupBy(*ks).agg(F.sum("_w").alias("_n"), F.min("_v").alias("_lo"),
-                             F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_d"))
-    pos = F.lit(float(p)) * (F.col("_n") - 1).cast("double")
-    tot = tot.select(*ks, "_lo", "_hi", "_d",
-                     F.floor(pos).cast("long").alias("_r0"),
-                     F.ceil(pos).cast("long").alias("_r1"),
-                     (pos - F.floor(pos)).alias("_frac"))
+    tot = h.groupBy(*ks).agg(F.sum("__pw").alias("__pn"), F.min("__pv").alias("__plo"),
+                             F.max("__pv").alias("__phi"), F.count(F.lit(1)).alias("__pd"))
+    pos = F.lit(float(p)) * (F.col("__pn") - 1).cast("double")
+    tot = tot.select(*ks, "__plo", "__phi", "__pd",
+                     F.floor(pos).cast("long").alias("__pr0"),
+                     F.ceil(pos).cast("long").alias("__pr1"),
+                     (pos - F.floor(pos)).alias("__pfrac"))
     targets = cut_lineage(tot.select(
-        *ks, "_frac",
+        *ks, "__pfrac",
         F.explode(F.array(
-            F.struct(F.lit(0).alias("side"), F.col("_r0").alias("r")),
-            F.struct(F.lit(1).alias("side"), F.col("_r1").alias("r")))).alias("_t"),
-        F.col("_lo").alias("L"), F.col("_hi").alias("U"), F.col("_d").alias("d"))
-        .select(*ks, "_frac", "_t.side", "_t.r", "L", "U", "d"))
+            F.struct(F.lit(0).alias("__pside"), F.col("__pr0").alias("__pr")),
+            F.struct(F.lit(1).alias("__pside"), F.col("__pr1").alias("__pr")))).alias("__pt"),
+        F.col("__plo").alias("__pL"), F.col("__phi").alias("__pU"), F.col("__pd").alias("__pd"))
+        .select(*ks, "__pfrac", "__pt.__pside", "__pt.__pr", "__pL", "__pU", "__pd"))
 
-    tk = ks + ["side"]
+    tk = ks + ["__pside"]
     for _ in range(max_passes):
-        open_ = targets.where((F.col("L") < F.col("U")) & (F.col("d") > finish_rows))
+        open_ = targets.where((F.col("__pL") < F.col("__pU")) & (F.col("__pd") > finish_rows))
         if open_.isEmpty():
             break
-        cand = (_ns_join(h, open_.select(*tk, "r", "L", "U"), ks)
-                .where(F.col("_v").between(F.col("L"), F.col("U"))))
-        b = F.least(F.floor((F.col("_v") - F.col("L")) / (F.col("U") - F.col("L")) * buckets),
+        cand = (_ns_join(h, open_.select(*tk, "__pr", "__pL", "__pU"), ks)
+                .where(F.col("__pv").between(F.col("__pL"), F.col("__pU"))))
+        b = F.least(F.floor((F.col("__pv") - F.col("__pL")) / (F.col("__pU") - F.col("__pL")) * buckets),
                     F.lit(buckets - 1)).cast("int")
-        hb = (cand.groupBy(*tk, "r", b.alias("b"))
-              .agg(F.sum("_w").alias("cnt"), F.count(F.lit(1)).alias("d"),
-                   F.min("_v").alias("bl"), F.max("_v").alias("bu")))
-        w = Window.partitionBy(*tk).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-        hb = hb.withColumn("before", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
-        chosen = (hb.where((F.col("before") <= F.col("r")) & (F.col("r") < F.col("before") + F.col("cnt")))
-                  .select(*tk, (F.col("r") - F.col("before")).alias("r"),
-                          F.col("bl").alias("L"), F.col("bu").alias("U"), "d"))
-        chosen = _ns_join(chosen, targets.select(*tk, "_frac"), tk)
+        hb = (cand.groupBy(*tk, "__pr", b.alias("__pb"))
+              .agg(F.sum("__pw").alias("__pcnt"), F.count(F.lit(1)).alias("__pd"),
+                   F.min("__pv").alias("__pbl"), F.max("__pv").alias("__pbu")))
+        w = Window.partitionBy(*tk).orderBy("__pb").rowsBetween(Window.unboundedPreceding, -1)
+        hb = hb.withColumn("__pbefore", F.coalesce(F.sum("__pcnt").over(w), F.lit(0)))
+        chosen = (hb.where((F.col("__pbefore") <= F.col("__pr")) & (F.col("__pr") < F.col("__pbefore") + F.col("__pcnt")))
+                  .select(*tk, (F.col("__pr") - F.col("__pbefore")).alias("__pr"),
+                          F.col("__pbl").alias("__pL"), F.col("__pbu").alias("__pU"), "__pd"))
+        chosen = _ns_join(chosen, targets.select(*tk, "__pfrac"), tk)
         kept = _ns_join(targets, open_.select(*tk), tk, "left_anti")
         targets = cut_lineage(kept.unionByName(chosen.select(*targets.columns)))
     else:
         raise RuntimeError("percentile refinement did not converge")
 
-    solved = targets.where(F.col("L") == F.col("U")).select(*tk, "_frac", F.col("L").alias("_val"))
-    rest = targets.where(F.col("L") < F.col("U"))
-    slice_ = (_ns_join(h, rest.select(*tk, "r", "L", "U"), ks)
-              .where(F.col("_v").between(F.col("L"), F.col("U"))))
-    w = (Window.partitionBy(*tk).orderBy("_v")
+    solved = targets.where(F.col("__pL") == F.col("__pU")).select(*tk, "__pfrac", F.col("__pL").alias("__pval"))
+    rest = targets.where(F.col("__pL") < F.col("__pU"))
+    slice_ = (_ns_join(h, rest.select(*tk, "__pr", "__pL", "__pU"), ks)
+              .where(F.col("__pv").between(F.col("__pL"), F.col("__pU"))))
+    w = (Window.partitionBy(*tk).orderBy("__pv")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    picked = (slice_.withColumn("_cum", F.sum("_w").over(w))
-              .where((F.col("_cum") - F.col("_w") <= F.col("r")) & (F.col("r") < F.col("_cum")))
-              .select(*tk, F.col("_v").alias("_val")))
-    picked = _ns_join(picked, rest.select(*tk, "_frac"), tk)
+    picked = (slice_.withColumn("__pcum", F.sum("__pw").over(w))
+              .where((F.col("__pcum") - F.col("__pw") <= F.col("__pr")) & (F.col("__pr") < F.col("__pcum")))
+              .select(*tk, F.col("__pv").alias("__pval")))
+    picked = _ns_join(picked, rest.select(*tk, "__pfrac"), tk)
     sides = solved.unionByName(picked.select(*solved.columns))
     res = sides.groupBy(*ks).agg(
-        F.max(F.when(F.col("side") == 0, F.col("_val"))).alias("_a"),
-        F.max(F.when(F.col("side") == 1, F.col("_val"))).alias("_b"),
-        F.max("_frac").alias("_frac"))
-    return res.select(*ks, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_frac")).alias(out))
+        F.max(F.when(F.col("__pside") == 0, F.col("__pval"))).alias("__pa"),
+        F.max(F.when(F.col("__pside") == 1, F.col("__pval"))).alias("__pb"),
+        F.max("__pfrac").alias("__pfrac"))
+    return res.select(*ks, (F.col("__pa") + (F.col("__pb") - F.col("__pa")) * F.col("__pfrac")).alias(out))
 
 
 def percentile_cont(df: DataFrame, keys: list[str], value, p: float, out: str,
@@ -120,7 +120,7 @@ def percentile_cont(df: DataFrame, keys: list[str], value, p: float, out: str,
     """Exact PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value) per ``keys``,
     nulls ignored. Builds and checkpoints the value histogram first."""
     v = F.col(value) if isinstance(value, str) else value
-    hist = (df.select(*keys, v.cast("double").alias("_pv")).where(F.col("_pv").isNotNull())
-            .groupBy(*keys, "_pv").agg(F.count(F.lit(1)).alias("_pw")))
+    hist = (df.select(*keys, v.cast("double").alias("__hv")).where(F.col("__hv").isNotNull())
+            .groupBy(*keys, "__hv").agg(F.count(F.lit(1)).alias("__hw")))
     hist = cut_lineage(hist)
-    return percentile_from_histogram(hist, list(keys), "_pv", "_pw", p, out, **kwargs)
+    return percentile_from_histogram(hist, list(keys), "__hv", "__hw", p, out, **kwargs)

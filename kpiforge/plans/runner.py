@@ -35,7 +35,7 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
     recorded and the others still run."""
     registry = registry or default_registry()
     report = report or RunReport()
-    ensure_databases(spark, out_db)
+    ensure_databases(spark, raw_db, out_db)
     if tables is None:
         tables = raw_tables(spark, raw_db)
     for job in registry.jobs():

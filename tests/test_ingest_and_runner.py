@@ -1,0 +1,162 @@
+"""CSV ingestion, catalog sinks, registry, isolation and reruns."""
+
+import os
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from kpiforge.plans.registry import DEFAULT_KPIS, Registry, default_registry
+from kpiforge.plans.runner import run_all, run_kpis
+from kpiforge.sources.catalog import load_table, raw_tables, try_load
+from kpiforge.sources.csv_ingest import list_csv_files, read_csv, table_name_for
+
+
+@pytest.mark.parametrize("filename,expected", [
+    ("olist_orders_dataset.csv", "orders"),
+    ("olist_order_items_dataset.csv", "order_items"),
+    ("olist_order_payments_dataset.csv", "order_payments"),
+    ("olist_order_reviews_dataset.csv", "order_reviews"),
+    ("olist_customers_dataset.csv", "customers"),
+    ("olist_products_dataset.csv", "products"),
+    ("olist_sellers_dataset.csv", "sellers"),
+    ("olist_geolocation_dataset.csv", "geolocation"),
+    ("product_category_name_translation.csv", "product_category_name_translation"),
+])
+def test_table_name(filename, expected):
+    assert table_name_for(filename) == expected
+
+
+def test_table_name_passthrough():
+    assert table_name_for("custom_file.csv") == "custom_file"
+
+
+def test_registry_has_the_eight_kpis():
+    assert default_registry().names() == [
+        "otd", "lead_time", "perfect_order", "freight_cost", "delay_vs_satisfaction",
+        "volume_temporal", "categorias", "pagamentos"]
+    assert len(DEFAULT_KPIS) == 8
+
+
+def test_register_sql_requires_select():
+    with pytest.raises(ValueError):
+        Registry().register_sql("x", "DROP TABLE raw.orders")
+
+
+def _write(d, name, text, bom=False, crlf=False):
+    data = text.replace("\n", "\r\n") if crlf else text
+    with open(os.path.join(d, name), "wb") as f:
+        f.write((b"\xef\xbb\xbf" if bom else b"") + data.encode("utf-8"))
+
+
+ORDERS = """order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,order_delivered_carrier_date,order_delivered_customer_date,order_estimated_delivery_date
+o1,c1,delivered,2018-01-01 00:00:00,2018-01-01 01:00:00,2018-01-02 00:00:00,2018-01-05 00:00:00,2018-01-10 00:00:00
+o2,c2,delivered,2018-01-01 00:00:00,2018-01-01 02:00:00,2018-01-03 00:00:00,2018-01-12 00:00:00,2018-01-10 00:00:00
+o3,c1,shipped,2018-02-01 00:00:00,,NA,,2018-02-10 00:00:00
+"""
+CUSTOMERS = """customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state
+c1,u1,01409,sao paulo,SP
+c2,u2,20000,rio,RJ
+"""
+ITEMS = """order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value
+o1,1,p1,s1,2018-01-02 00:00:00,10.00,1.50
+o2,1,p2,s1,2018-01-02 00:00:00,20.00,4.00
+o3,1,p1,s1,2018-02-02 00:00:00,30.00,NA
+"""
+REVIEWS = '''review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,review_answer_timestamp
+r1,o1,5,,"line one
+line two, with ""quotes""",2018-01-06 00:00:00,2018-01-07 00:00:00
+r2,o2,2,NA,null,2018-01-13 00:00:00,2018-01-14 00:00:00
+'''
+PAYMENTS = """order_id,payment_sequential,payment_type,payment_installments,payment_value
+o1,1,credit_card,3,11.50
+o2,1,boleto,1,24.00
+o3,1,not_defined,1,30.00
+"""
+PRODUCTS = """product_id,product_category_name,product_name_lenght,product_description_lenght,product_photos_qty,product_weight_g,product_length_cm,product_height_cm,product_width_cm
+p1,beleza_saude,10,100,1,500,10,10,10
+p2,,10,100,1,500,10,10,10
+"""
+TRANSLATION = """product_category_name,product_category_name_english
+beleza_saude,health_beauty
+"""
+
+
+@pytest.fixture(scope="module")
+def data_dir():
+    d = tempfile.mkdtemp(prefix="kpiforge-csv-")
+    _write(d, "olist_orders_dataset.csv", ORDERS)
+    _write(d, "olist_customers_dataset.csv", CUSTOMERS)
+    _write(d, "olist_order_items_dataset.csv", ITEMS)
+    _write(d, "olist_order_reviews_dataset.csv", REVIEWS, crlf=True)
+    _write(d, "olist_order_payments_dataset.csv", PAYMENTS)
+    _write(d, "olist_products_dataset.csv", PRODUCTS)
+    _write(d, "product_category_name_translation.csv", TRANSLATION, bom=True, crlf=True)
+    _write(d, "custom_file.csv", "code,value\n007,NA\n")
+    _write(d, "notes.txt", "not a csv")
+    return d
+
+
+def test_listing_sorted_csv_only(spark, data_dir):
+    names = [p.rsplit("/", 1)[-1] for p in list_csv_files(spark, data_dir)]
+    assert names == sorted(names) and len(names) == 8 and "notes.txt" not in names
+
+
+def test_read_csv_fidelity(spark, data_dir):
+    tr = read_csv(spark, os.path.join(data_dir, "product_category_name_translation.csv"),
+                  "product_category_name_translation")
+    assert tr.columns == ["product_category_name", "product_category_name_english"]
+    assert tr.collect()[0]["product_category_name_english"] == "health_beauty"
+    rv = read_csv(spark, os.path.join(data_dir, "olist_order_reviews_dataset.csv"), "order_reviews")
+    rows = {r["review_id"]: r for r in rv.collect()}
+    assert len(rows) == 2
+    # the quoted line break survives (the CSV parser normalises CRLF inside quotes to LF)
+    assert rows["r1"]["review_comment_message"] == 'line one\nline two, with "quotes"'
+    assert rows["r1"]["review_comment_title"] is None
+    assert rows["r2"]["review_comment_title"] is None and rows["r2"]["review_comment_message"] is None
+    assert rows["r2"]["review_score"] == 2
+    cu = read_csv(spark, os.path.join(data_dir, "olist_customers_dataset.csv"), "customers")
+    assert cu.where(F.col("customer_id") == "c1").first()["customer_zip_code_prefix"] == "01409"
+    un = read_csv(spark, os.path.join(data_dir, "custom_file.csv"), "custom_file").first()
+    assert (un["code"], un["value"]) == ("007", None)
+
+
+def test_bad_value_strict_and_tolerant(spark):
+    d = tempfile.mkdtemp(prefix="kpiforge-bad-")
+    _write(d, "olist_order_items_dataset.csv", ITEMS.replace("20.00", "twenty"))
+    path = os.path.join(d, "olist_order_items_dataset.csv")
+    with pytest.raises(Exception):
+        read_csv(spark, path, "order_items").collect()
+    assert read_csv(spark, path, "order_items", strict=False).where(F.col("price").isNull()).count() == 1
+
+
+def test_empty_folder(spark):
+    rep = run_all(spark, tempfile.mkdtemp(prefix="kpiforge-empty-"), raw_db="raw_empty",
+                  out_db="an_empty")
+    assert rep.ingested == {} and rep.written == {}
+    assert set(rep.failed) == set(default_registry().names())
+
+
+def test_pipeline_end_to_end_and_rerun(spark, data_dir):
+    rep = run_all(spark, data_dir, raw_db="raw_t", out_db="analytics_t")
+    assert rep.ok, rep.failed
+    assert rep.ingested["orders"] == 3 and rep.ingested["custom_file"] == 1
+    assert set(rep.written) == set(default_registry().names())
+    otd = {r["estado"]: r for r in load_table(spark, "otd", "analytics_t").collect()}
+    assert otd["SP"]["otd_pct"] == 100.0 and otd["RJ"]["pedidos_atrasados"] == 1
+    first = sorted(map(tuple, load_table(spark, "pagamentos", "analytics_t").collect()))
+    rep2 = run_all(spark, data_dir, raw_db="raw_t", out_db="analytics_t")
+    assert rep2.written == rep.written
+    assert sorted(map(tuple, load_table(spark, "pagamentos", "analytics_t").collect())) == first
+    assert try_load(spark, "does_not_exist", "analytics_t") is None
+
+
+def test_failing_kpi_is_isolated(spark, data_dir):
+    run_all(spark, data_dir, raw_db="raw_iso", out_db="analytics_iso", registry=Registry())
+    reg = (Registry().register_sql("broken", "SELECT CAST('x' AS INT) AS v FROM raw_iso.orders")
+           .register("otd", default_registry()["otd"].builder)
+           .register_sql("orders_per_status",
+                         "SELECT order_status, COUNT(*) AS n FROM raw_iso.orders GROUP BY order_status"))
+    rep = run_kpis(spark, reg, tables=raw_tables(spark, "raw_iso"), out_db="analytics_iso")
+    assert "broken" in rep.failed
+    assert rep.written == {"otd": 2, "orders_per_status": 2}
