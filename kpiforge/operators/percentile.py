@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from kpiforge.session import cut_lineage
@@ -43,6 +43,20 @@ def _ns_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inn
     return out.drop(*ren.values()) if how not in ("left_anti", "left_semi") else out
 
 
+def _is_open(finish_rows: int):
+    """A target still needs a refinement pass: its range holds more than one
+    distinct value and more than ``finish_rows`` histogram rows."""
+    return (F.col("__pL") < F.col("__pU")) & (F.col("__pd") > finish_rows)
+
+
+def _cut_counting_open(targets: DataFrame, finish_rows: int) -> tuple[DataFrame, int]:
+    """Checkpoint the (small) target table and count its open targets in the
+    same job, through an observed metric."""
+    obs = Observation()
+    out = cut_lineage(targets.observe(obs, F.count_if(_is_open(finish_rows)).alias("open")))
+    return out, int(obs.get["open"] or 0)
+
+
 def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weight: str,
                               p: float, out: str, buckets: int = DEFAULT_BUCKETS,
                               finish_rows: int = DEFAULT_FINISH_ROWS,
@@ -66,19 +80,19 @@ def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weig
                      F.floor(pos).cast("long").alias("__pr0"),
                      F.ceil(pos).cast("long").alias("__pr1"),
                      (pos - F.floor(pos)).alias("__pfrac"))
-    targets = cut_lineage(tot.select(
+    targets, n_open = _cut_counting_open(tot.select(
         *ks, "__pfrac",
         F.explode(F.array(
             F.struct(F.lit(0).alias("__pside"), F.col("__pr0").alias("__pr")),
             F.struct(F.lit(1).alias("__pside"), F.col("__pr1").alias("__pr")))).alias("__pt"),
         F.col("__plo").alias("__pL"), F.col("__phi").alias("__pU"), F.col("__pd").alias("__pd"))
-        .select(*ks, "__pfrac", "__pt.__pside", "__pt.__pr", "__pL", "__pU", "__pd"))
+        .select(*ks, "__pfrac", "__pt.__pside", "__pt.__pr", "__pL", "__pU", "__pd"), finish_rows)
 
     tk = ks + ["__pside"]
     for _ in range(max_passes):
-        open_ = targets.where((F.col("__pL") < F.col("__pU")) & (F.col("__pd") > finish_rows))
-        if open_.isEmpty():
+        if n_open == 0:
             break
+        open_ = targets.where(_is_open(finish_rows))
         cand = (_ns_join(h, open_.select(*tk, "__pr", "__pL", "__pU"), ks)
                 .where(F.col("__pv").between(F.col("__pL"), F.col("__pU"))))
         b = F.least(F.floor((F.col("__pv") - F.col("__pL")) / (F.col("__pU") - F.col("__pL")) * buckets),
@@ -93,7 +107,8 @@ def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weig
                           F.col("__pbl").alias("__pL"), F.col("__pbu").alias("__pU"), "__pd"))
         chosen = _ns_join(chosen, targets.select(*tk, "__pfrac"), tk)
         kept = _ns_join(targets, open_.select(*tk), tk, "left_anti")
-        targets = cut_lineage(kept.unionByName(chosen.select(*targets.columns)))
+        targets, n_open = _cut_counting_open(kept.unionByName(chosen.select(*targets.columns)),
+                                             finish_rows)
     else:
         raise RuntimeError("percentile refinement did not converge")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ from kpiforge.sources.csv_ingest import ingest_directory
 
 log = logging.getLogger(__name__)
 
+DEFAULT_PARALLELISM = 4
+
 
 @dataclass
 class RunReport:
@@ -29,30 +32,49 @@ class RunReport:
 
 def run_kpis(spark: SparkSession, registry: Registry | None = None,
              tables: dict[str, DataFrame] | None = None, out_db: str = ANALYTICS_DB,
-             raw_db: str = RAW_DB, report: RunReport | None = None) -> RunReport:
-    """Build and write every KPI in registry order. A KPI that fails (while
+             raw_db: str = RAW_DB, report: RunReport | None = None,
+             parallelism: int = DEFAULT_PARALLELISM) -> RunReport:
+    """Build and write every KPI of the registry. A KPI that fails (while
     planning or while writing - plans are lazy, errors surface at the write) is
-    recorded and the others still run."""
+    recorded and the others still run.
+
+    KPIs are independent, so up to ``parallelism`` of them are submitted at
+    once from driver threads; Spark interleaves their stages on the executors
+    (set ``spark.scheduler.mode=FAIR`` to share them evenly). Results do not
+    depend on the order or concurrency of the runs.
+    """
     registry = registry or default_registry()
     report = report or RunReport()
     ensure_databases(spark, raw_db, out_db)
     if tables is None:
         tables = raw_tables(spark, raw_db)
-    for job in registry.jobs():
+
+    def one(job):
         try:
-            report.written[job.name] = write_table(job.build(spark, tables), out_db, job.name)
+            return job.name, write_table(job.build(spark, tables), out_db, job.name), None
         except Exception as e:  # isolate one KPI's failure
             log.error("KPI %s failed: %s", job.name, e)
-            report.failed[job.name] = f"{type(e).__name__}: {e}".splitlines()[0][:500]
+            return job.name, None, f"{type(e).__name__}: {e}".splitlines()[0][:500]
+
+    jobs = registry.jobs()
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs) or 1))) as pool:
+        results = list(pool.map(one, jobs))
+    for name, rows, err in results:  # registry order
+        if err is None:
+            report.written[name] = rows
+        else:
+            report.failed[name] = err
     return report
 
 
 def run_all(spark: SparkSession, data_dir: str, registry: Registry | None = None,
-            raw_db: str = RAW_DB, out_db: str = ANALYTICS_DB) -> RunReport:
+            raw_db: str = RAW_DB, out_db: str = ANALYTICS_DB,
+            parallelism: int = DEFAULT_PARALLELISM) -> RunReport:
     """Ingest every CSV of ``data_dir`` into ``raw_db``, then compute all KPIs."""
     t0 = time.perf_counter()
     report = RunReport()
-    report.ingested = ingest_directory(spark, data_dir, raw_db)
-    run_kpis(spark, registry, out_db=out_db, raw_db=raw_db, report=report)
+    report.ingested = ingest_directory(spark, data_dir, raw_db, parallelism=parallelism)
+    run_kpis(spark, registry, out_db=out_db, raw_db=raw_db, report=report,
+             parallelism=parallelism)
     report.seconds = time.perf_counter() - t0
     return report

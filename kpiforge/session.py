@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files are row-serialised; compress them (context-level setting)
+    "spark.checkpoint.compress": "true",
 }
 
 
