@@ -37,7 +37,7 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
     median goes through the distributed exact percentile."""
     # the item-grain join feeds two aggregations (per order, and the freight
     # histogram of the median); materialise it once instead of joining twice
-    items = cut_lineage(item_fact(t))
+    items = cut_lineage(item_fact(t), keep_partitioning=True)
     per_order = items.groupBy("estado", "order_id").agg(
         F.sum("freight_value").alias("f_sum"), F.count("freight_value").alias("f_cnt"),
         F.sum("price").alias("p_sum"), F.count("price").alias("p_cnt"),

@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiforge.plans.registry import Registry, default_registry
+from kpiforge.session import purge_scratch
 from kpiforge.sources.catalog import ANALYTICS_DB, RAW_DB, ensure_databases, raw_tables, write_table
 from kpiforge.sources.csv_ingest import ingest_directory
 
@@ -69,12 +70,16 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
 
 def run_all(spark: SparkSession, data_dir: str, registry: Registry | None = None,
             raw_db: str = RAW_DB, out_db: str = ANALYTICS_DB,
-            parallelism: int = DEFAULT_PARALLELISM) -> RunReport:
-    """Ingest every CSV of ``data_dir`` into ``raw_db``, then compute all KPIs."""
+            parallelism: int = DEFAULT_PARALLELISM, purge: bool = True) -> RunReport:
+    """Ingest every CSV of ``data_dir`` into ``raw_db``, then compute all KPIs.
+    With ``purge`` the intermediates this application materialised in the
+    checkpoint folder are deleted once every KPI table is written."""
     t0 = time.perf_counter()
     report = RunReport()
     report.ingested = ingest_directory(spark, data_dir, raw_db, parallelism=parallelism)
     run_kpis(spark, registry, out_db=out_db, raw_db=raw_db, report=report,
              parallelism=parallelism)
+    if purge:
+        purge_scratch(spark)
     report.seconds = time.perf_counter() - t0
     return report

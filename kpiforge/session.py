@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,12 +71,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (reliable: survives
-    executor loss) and return a DataFrame reading it back."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and return a
+    DataFrame reading it back (survives executor loss, short lineage).
+
+    Default: written as parquet, so the planner sees the true size of the
+    result (a small table is broadcast, a large one is not) and later reads
+    prune columns. ``keep_partitioning=True`` uses ``checkpoint()`` instead,
+    which keeps the output partitioning (e.g. hash on order_id after a join),
+    so a following aggregation on that key needs no new shuffle.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    if keep_partitioning:
+        return df.checkpoint(eager=True)
+    path = f"{scratch_root(spark, base)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_root(spark: SparkSession, base: str | None = None) -> str:
+    """Folder of this application's materialised intermediates."""
+    base = base or ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/kpiforge-scratch/{spark.sparkContext.applicationId}"
 
 
-def scratch_dir(prefix: str = "kpiforge-") -> str:
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
+def purge_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediates (only once nothing reads them)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
