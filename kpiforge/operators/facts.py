@@ -12,9 +12,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.functions.exprs import DELIVERED
+from kpiforge.functions.exprs import DELIVERED, is_late, is_on_time, micros_between
 
 DELIVERED_AT = "order_delivered_customer_date"
+ESTIMATED_AT = "order_estimated_delivery_date"
+ORDER_FACT = "delivered_order_fact"
+
+# duration name -> (end stamp, start stamp)
+STAGES = {
+    "total": (DELIVERED_AT, "order_purchase_timestamp"),
+    "approval": ("order_approved_at", "order_purchase_timestamp"),
+    "dispatch": ("order_delivered_carrier_date", "order_approved_at"),
+    "transit": (DELIVERED_AT, "order_delivered_carrier_date"),
+}
 
 
 def delivered_orders(orders: DataFrame) -> DataFrame:
@@ -40,6 +50,36 @@ def reviews_per_order(reviews: DataFrame) -> DataFrame:
     )
 
 
+def build_order_fact(t) -> DataFrame:
+    """Delivered orders (with or without a delivery stamp) joined with the
+    buyer's state, carrying every derived flag and duration the state-level
+    KPIs need. Grain: one row per order row and matching customer row - the
+    grain the state KPIs join at."""
+    o = t["orders"].where(F.col("order_status") == DELIVERED).select(
+        "order_id", "customer_id",
+        F.col(DELIVERED_AT).isNotNull().alias("has_delivery"),
+        (F.col("order_approved_at").isNotNull()
+         & F.col("order_delivered_carrier_date").isNotNull()).alias("has_stamps"),
+        is_on_time().alias("on_time"),
+        F.when(is_late(), micros_between(DELIVERED_AT, ESTIMATED_AT)).alias("late_us"),
+        *[micros_between(a, b).alias(f"{k}_us") for k, (a, b) in STAGES.items()])
+    return o.join(state_of_customer(t["customers"]), "customer_id").drop("customer_id")
+
+
+def order_fact(t) -> DataFrame:
+    """The shared order fact when the caller materialised one, else built inline."""
+    return t[ORDER_FACT] if ORDER_FACT in t else build_order_fact(t)
+
+
+def with_order_fact(t, materialize) -> dict:
+    """``t`` plus the order fact, materialised once (``materialize`` is a lineage
+    cut) so that every state KPI of a run reads it instead of joining orders
+    with customers again."""
+    out = dict(t)
+    out[ORDER_FACT] = materialize(build_order_fact(t))
+    return out
+
+
 def sum0(c) -> F.Column:
     """SUM that yields 0 instead of null (count-like measures)."""
     return F.coalesce(F.sum(c), F.lit(0)).cast("long")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.functions.exprs import DELIVERED, rnd, safe_div
-from kpiforge.operators.facts import state_of_customer
+from kpiforge.functions.exprs import rnd, safe_div
+from kpiforge.operators.facts import order_fact
 from kpiforge.operators.percentile import percentile_cont
 from kpiforge.session import cut_lineage
 
@@ -14,18 +14,14 @@ NAME = "freight_cost"
 
 
 def item_fact(t: dict[str, DataFrame]) -> DataFrame:
-    """Items of delivered orders with the buyer's state.
-
-    Orders meet customers first, then items on order_id, so the result stays
-    hash-partitioned by order_id and the per-order fold needs no new shuffle."""
-    orders = (t["orders"].where(F.col("order_status") == DELIVERED)
-              .select("order_id", "customer_id")
-              .join(state_of_customer(t["customers"]), "customer_id"))
+    """Items of delivered orders with the buyer's state (the order fact carries
+    the state), joined on order_id so the result is hash-partitioned by
+    order_id and the per-order fold needs no new shuffle."""
     items = t["order_items"].select(
         "order_id", "price", "freight_value",
         (F.col("freight_value").cast("double") / F.nullif(F.col("price").cast("double"), F.lit(0.0)))
         .alias("ratio"))
-    return items.join(orders.select("order_id", "estado"), "order_id")
+    return items.join(order_fact(t).select("order_id", "estado"), "order_id")
 
 
 def build(t: dict[str, DataFrame]) -> DataFrame:

@@ -5,18 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.functions.exprs import days, micros_between, rnd, safe_div
-from kpiforge.operators.facts import delivered_orders, state_of_customer
+from kpiforge.functions.exprs import days, rnd, safe_div
+from kpiforge.operators.facts import STAGES, order_fact
 from kpiforge.operators.percentile import percentile_from_histogram
 from kpiforge.session import cut_lineage
 
 NAME = "lead_time"
-_STAGES = {
-    "total": ("order_delivered_customer_date", "order_purchase_timestamp"),
-    "approval": ("order_approved_at", "order_purchase_timestamp"),
-    "dispatch": ("order_delivered_carrier_date", "order_approved_at"),
-    "transit": ("order_delivered_customer_date", "order_delivered_carrier_date"),
-}
 
 
 def build(t: dict[str, DataFrame]) -> DataFrame:
@@ -28,16 +22,12 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
     carries the stage sums; it is checkpointed once and serves both the means
     and the distributed exact median.
     """
-    o = (delivered_orders(t["orders"])
-         .where(F.col("order_approved_at").isNotNull()
-                & F.col("order_delivered_carrier_date").isNotNull())
-         .select("customer_id",
-                 *[micros_between(a, b).alias(f"{k}_us") for k, (a, b) in _STAGES.items()]))
-    joined = o.join(state_of_customer(t["customers"]), "customer_id")
+    joined = (order_fact(t).where(F.col("has_delivery") & F.col("has_stamps"))
+              .select("estado", *[f"{k}_us" for k in STAGES]))
     hist = joined.groupBy("estado", "total_us").agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.col(f"{k}_us").cast("decimal(38,0)")).alias(f"{k}_sum") for k in _STAGES if k != "total"],
-        *[F.count(f"{k}_us").alias(f"{k}_cnt") for k in _STAGES if k != "total"])
+        *[F.sum(F.col(f"{k}_us").cast("decimal(38,0)")).alias(f"{k}_sum") for k in STAGES if k != "total"],
+        *[F.count(f"{k}_us").alias(f"{k}_cnt") for k in STAGES if k != "total"])
     hist = cut_lineage(hist)
 
     tot_us = F.col("total_us").cast("decimal(38,0)")
@@ -45,8 +35,8 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
         F.sum("n").alias("total_pedidos"),
         F.sum(tot_us * F.col("n")).alias("total_sum"),
         F.sum(F.when(F.col("total_us").isNotNull(), F.col("n"))).alias("total_cnt"),
-        *[F.sum(f"{k}_sum").alias(f"{k}_sum") for k in _STAGES if k != "total"],
-        *[F.sum(f"{k}_cnt").alias(f"{k}_cnt") for k in _STAGES if k != "total"])
+        *[F.sum(f"{k}_sum").alias(f"{k}_sum") for k in STAGES if k != "total"],
+        *[F.sum(f"{k}_cnt").alias(f"{k}_cnt") for k in STAGES if k != "total"])
     median = percentile_from_histogram(
         hist.where(F.col("total_us").isNotNull()).select("estado", days("total_us").alias("v"), "n"),
         ["estado"], "v", "n", 0.5, "median_days")

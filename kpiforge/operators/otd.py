@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.functions.exprs import days, is_late, is_on_time, micros_between, pct, rnd, safe_div
-from kpiforge.operators.facts import DELIVERED_AT, delivered_orders, state_of_customer
+from kpiforge.operators.facts import (DELIVERED_AT, ORDER_FACT, delivered_orders,
+                                      state_of_customer)
 
 NAME = "otd"
 
@@ -19,6 +20,13 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
     huge share of orders becomes one row per map task), so the join with the
     customers sees one row per customer instead of one per order.
     """
+    if ORDER_FACT in t:
+        per_state = (t[ORDER_FACT].where(F.col("has_delivery")).groupBy("estado")
+                     .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("on_time")).alias("n_on"),
+                          F.count_if(~F.col("on_time")).alias("n_late"),
+                          F.sum(F.col("late_us").cast("decimal(38,0)")).alias("late_sum"),
+                          F.max("late_us").alias("late_max")))
+        return _finish(per_state)
     o = delivered_orders(t["orders"]).select(
         "customer_id",
         is_on_time().alias("on_time"),
@@ -35,6 +43,10 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
                  .agg(F.sum("n").alias("n"), F.sum("n_on").alias("n_on"),
                       F.sum("n_late").alias("n_late"), F.sum("late_sum").alias("late_sum"),
                       F.max("late_max").alias("late_max")))
+    return _finish(per_state)
+
+
+def _finish(per_state: DataFrame) -> DataFrame:
     return (per_state.select(
         "estado",
         F.col("n").alias("total_pedidos"),

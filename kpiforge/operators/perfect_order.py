@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.functions.exprs import is_on_time, pct, rnd, safe_div
-from kpiforge.operators.facts import delivered_orders, reviews_per_order, state_of_customer, sum0
+from kpiforge.operators.facts import (ORDER_FACT, delivered_orders, reviews_per_order,
+                                      state_of_customer, sum0)
 
 NAME = "perfect_order"
 
@@ -17,12 +18,18 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
 
     Reviews are folded per order and orders per customer before the customer
     join; the per-order counts reproduce the order x review grain exactly.
+    In a pipeline run the shared order fact (already joined) is used instead.
     """
-    o = delivered_orders(t["orders"]).select("order_id", "customer_id",
-                                             is_on_time().alias("on_time"))
     r = reviews_per_order(t["order_reviews"])
+    if ORDER_FACT in t:
+        grain, joined = "estado", (t[ORDER_FACT].where(F.col("has_delivery"))
+                                   .select("order_id", "estado", "on_time").join(r, "order_id"))
+    else:
+        grain, joined = "customer_id", (delivered_orders(t["orders"])
+                                        .select("order_id", "customer_id", is_on_time().alias("on_time"))
+                                        .join(r, "order_id"))
     on, late = F.col("on_time"), ~F.col("on_time")
-    per_customer = o.join(r, "order_id").groupBy("customer_id").agg(
+    folded = joined.groupBy(grain).agg(
         sum0("n_rev").alias("n"),
         sum0(F.when(on, F.col("n_pos"))).alias("perfect"),
         F.sum("s_score").alias("s_all"), sum0("c_score").alias("c_all"),
@@ -31,9 +38,12 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
         F.sum(F.when(late, F.col("s_score"))).alias("s_late"),
         sum0(F.when(late, F.col("c_score"))).alias("c_late"),
         sum0("n_pos").alias("pos"), sum0("n_neu").alias("neu"), sum0("n_neg").alias("neg"))
-    measures = [c for c in per_customer.columns if c != "customer_id"]
-    per_state = (per_customer.join(state_of_customer(t["customers"]), "customer_id")
-                 .groupBy("estado").agg(*[F.sum(c).alias(c) for c in measures]))
+    if grain == "estado":
+        per_state = folded
+    else:
+        measures = [c for c in folded.columns if c != "customer_id"]
+        per_state = (folded.join(state_of_customer(t["customers"]), "customer_id")
+                     .groupBy("estado").agg(*[F.sum(c).alias(c) for c in measures]))
     return (per_state.select(
         "estado",
         F.col("n").alias("total_pedidos"),

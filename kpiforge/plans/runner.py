@@ -10,7 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiforge.plans.registry import Registry, default_registry
-from kpiforge.session import purge_scratch
+from kpiforge.operators.facts import with_order_fact
+from kpiforge.session import cut_lineage, purge_scratch
 from kpiforge.sources.catalog import ANALYTICS_DB, RAW_DB, ensure_databases, raw_tables, write_table
 from kpiforge.sources.csv_ingest import ingest_directory
 
@@ -34,7 +35,8 @@ class RunReport:
 def run_kpis(spark: SparkSession, registry: Registry | None = None,
              tables: dict[str, DataFrame] | None = None, out_db: str = ANALYTICS_DB,
              raw_db: str = RAW_DB, report: RunReport | None = None,
-             parallelism: int = DEFAULT_PARALLELISM) -> RunReport:
+             parallelism: int = DEFAULT_PARALLELISM,
+             share_order_fact: bool = True) -> RunReport:
     """Build and write every KPI of the registry. A KPI that fails (while
     planning or while writing - plans are lazy, errors surface at the write) is
     recorded and the others still run.
@@ -43,12 +45,22 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
     once from driver threads; Spark interleaves their stages on the executors
     (set ``spark.scheduler.mode=FAIR`` to share them evenly). Results do not
     depend on the order or concurrency of the runs.
+
+    With ``share_order_fact`` the delivered-order fact (orders joined with the
+    customers' states, derived flags and durations) is materialised once in
+    the checkpoint folder and read by every state-level KPI, instead of each
+    of them joining orders with customers again.
     """
     registry = registry or default_registry()
     report = report or RunReport()
     ensure_databases(spark, raw_db, out_db)
     if tables is None:
         tables = raw_tables(spark, raw_db)
+    if share_order_fact:
+        try:
+            tables = with_order_fact(tables, cut_lineage)
+        except Exception as e:  # missing inputs: the KPIs report their own errors
+            log.warning("order fact not built: %s", e)
 
     def one(job):
         try:

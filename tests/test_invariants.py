@@ -40,3 +40,14 @@ def test_shares_sum_to_hundred(t):
     from kpiforge.operators import payments
     sh = summaries.payment_share(payments.build(t)).agg(F.sum("share_pct")).first()[0]
     assert sh == pytest.approx(100.0, abs=1e-3)
+
+
+def test_shared_order_fact_gives_the_same_tables(t):
+    from kpiforge.operators import freight_cost, lead_time
+    from kpiforge.operators.facts import with_order_fact
+    from kpiforge.session import cut_lineage
+    shared = with_order_fact(t, cut_lineage)
+    for mod in (otd, lead_time, perfect_order, freight_cost):
+        a = sorted(map(tuple, mod.build(t).collect()))
+        b = sorted(map(tuple, mod.build(shared).collect()))
+        assert a == b, mod.NAME
