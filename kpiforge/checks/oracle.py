@@ -227,7 +227,7 @@ SECOND = {
 SELECT total_pedidos, receita_total, otd_medio, lead_time_medio, perfect_order_medio, frete_medio,
   {_label_money('receita_total')} AS receita_label
 FROM (SELECT
-  (SELECT SUM(total_pedidos) FROM k_otd) AS total_pedidos,
+  (SELECT CAST(SUM(total_pedidos) AS BIGINT) FROM k_otd) AS total_pedidos,
   {RND("(SELECT SUM(receita_total) FROM k_freight_cost)", 2)} AS receita_total,
   {RND("(SELECT AVG(otd_pct) FROM k_otd)", M)} AS otd_medio,
   {RND("(SELECT AVG(lead_time_total_dias) FROM k_lead_time)", M)} AS lead_time_medio,
