@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
-from tools.oracle_check import TABLES, rows_of
+from tools.oracle_check import TABLES, rows_of, type_diffs
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="driver tables missing")
 
@@ -33,6 +33,7 @@ def test_matches_oracle(spark, con, name):
     cur = con.execute(E.oracle_sql()[name])
     cols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(cols)
+    assert type_diffs(df, cur) == []
     assert got == rows_of(cols, cur.fetchall())
 
 
