@@ -58,8 +58,8 @@ def _cut_counting_open(targets: DataFrame, finish_rows: int) -> tuple[DataFrame,
 
 
 def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weight: str,
-                              p: float, out: str, buckets: int = DEFAULT_BUCKETS,
-                              finish_rows: int = DEFAULT_FINISH_ROWS,
+                              p: float, out: str, buckets: int | None = None,
+                              finish_rows: int | None = None,
                               max_passes: int = 200) -> DataFrame:
     """PERCENTILE_CONT(p) per group from a weighted histogram.
 
@@ -70,6 +70,8 @@ def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weig
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be in [0, 1]")
+    buckets = buckets or DEFAULT_BUCKETS
+    finish_rows = finish_rows or DEFAULT_FINISH_ROWS
     h = hist.select(*keys, F.col(value).cast("double").alias("__pv"),
                     F.col(weight).cast("long").alias("__pw"))
     ks = list(keys)

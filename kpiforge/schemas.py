@@ -72,6 +72,12 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
     "product_category_name_translation": CATEGORY_TRANSLATION,
 }
 
+# Known tables whose fields never hold line breaks: their CSV files are read
+# line-splittable (many tasks per file). Free-text tables (review comments) and
+# unknown files are read with multi-line parsing, which is one task per file,
+# so large ones should arrive as a folder of part files.
+SPLITTABLE_TABLES = frozenset(RAW_SCHEMAS) - {"order_reviews"}
+
 # Columns each KPI needs from each raw table (the contract an input honours).
 REQUIRED_COLUMNS: dict[str, tuple[str, ...]] = {
     "orders": tuple(f.name for f in ORDERS.fields),

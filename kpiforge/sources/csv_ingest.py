@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiforge.schemas import NA_TOKENS, RAW_SCHEMAS
+from kpiforge.schemas import NA_TOKENS, RAW_SCHEMAS, SPLITTABLE_TABLES
 from kpiforge.sources.catalog import RAW_DB, ensure_databases, write_table
 
 log = logging.getLogger(__name__)
@@ -28,13 +28,17 @@ def table_name_for(filename: str) -> str:
     return name
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def list_csv_files(spark: SparkSession, data_dir: str) -> list[str]:
     """Full paths of ``*.csv`` directly under ``data_dir``, sorted by file name.
     Listed through the Hadoop FileSystem of the path, so local folders, HDFS
     and object stores behave the same. A missing folder lists as empty."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(data_dir)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path, fs = _fs(spark, data_dir)
     if not fs.exists(path):
         return []
     files = [s.getPath() for s in fs.listStatus(path) if s.isFile()]
@@ -42,12 +46,30 @@ def list_csv_files(spark: SparkSession, data_dir: str) -> list[str]:
     return [full for _, full in names]
 
 
+def list_csv_sources(spark: SparkSession, data_dir: str) -> list[tuple[str, str]]:
+    """(table, path) for every source under ``data_dir``, sorted by name: each
+    ``*.csv`` file, and each sub-folder holding ``*.csv`` part files (one table
+    read by many tasks; the folder name is mapped like a file name)."""
+    path, fs = _fs(spark, data_dir)
+    if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        p = st.getPath()
+        name = p.getName()
+        if st.isFile() and name.endswith(".csv"):
+            out.append((name, table_name_for(name), p.toString()))
+        elif st.isDirectory() and list_csv_files(spark, p.toString()):
+            out.append((name, table_name_for(name), p.toString().rstrip("/") + "/*.csv"))
+    return [(t, full) for _, t, full in sorted(out)]
+
+
 def _null_tokens(c: F.Column, tokens=NA_TOKENS) -> F.Column:
     return F.when(c.isin(*tokens) | c.isNull(), F.lit(None)).otherwise(c)
 
 
 def read_csv(spark: SparkSession, path: str, table: str | None = None,
-             strict: bool = True) -> DataFrame:
+             strict: bool = True, multiline: bool | None = None) -> DataFrame:
     """Read one CSV (header, UTF-8, quoted fields may span lines, doubled
     quotes escape) as text, turn the usual missing-value tokens into null, then
     cast the columns of known tables to their declared types.
@@ -55,9 +77,12 @@ def read_csv(spark: SparkSession, path: str, table: str | None = None,
     ``strict`` casts fail the job on malformed values (a bad date fails this
     table only, see ``plans.runner``); ``strict=False`` yields null instead.
     Columns of unknown tables stay STRING: no type inference that could drop
-    leading zeros.
+    leading zeros. Tables without free text are read line-splittable (see
+    ``schemas.SPLITTABLE_TABLES``); ``multiline`` overrides the choice.
     """
-    raw = (spark.read.option("header", True).option("multiLine", True)
+    if multiline is None:
+        multiline = table not in SPLITTABLE_TABLES
+    raw = (spark.read.option("header", True).option("multiLine", multiline)
            .option("escape", '"').option("encoding", "UTF-8")
            .option("inferSchema", False).csv(path))
     target = {f.name: f.dataType for f in RAW_SCHEMAS.get(table or "", T.StructType([])).fields}
@@ -74,18 +99,18 @@ def read_csv(spark: SparkSession, path: str, table: str | None = None,
 
 def ingest_directory(spark: SparkSession, data_dir: str, db: str = RAW_DB,
                      strict: bool = True, parallelism: int = 4) -> dict[str, int]:
-    """Load every CSV of ``data_dir`` into ``db.<table>`` (files are written
-    concurrently, up to ``parallelism`` at a time); returns rows per table in
-    file-name order. An empty folder logs a warning and loads nothing."""
-    files = list_csv_files(spark, data_dir)
-    if not files:
+    """Load every CSV source of ``data_dir`` (files, or folders of part files)
+    into ``db.<table>``, up to ``parallelism`` tables at a time; returns rows
+    per table in name order. An empty folder logs a warning and loads nothing."""
+    sources = list_csv_sources(spark, data_dir)
+    if not sources:
         log.warning("no CSV file found in %s", data_dir)
         return {}
     ensure_databases(spark, db)
 
-    def one(path):
-        table = table_name_for(path.rsplit("/", 1)[-1])
+    def one(src):
+        table, path = src
         return table, write_table(read_csv(spark, path, table, strict), db, table)
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(files)))) as pool:
-        return dict(pool.map(one, files))
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(sources)))) as pool:
+        return dict(pool.map(one, sources))
