@@ -80,6 +80,25 @@ def with_order_fact(t, materialize) -> dict:
     return out
 
 
+def combine_by_key(key: str, *parts: DataFrame) -> DataFrame:
+    """Merge per-key tables that each carry different columns (at most one row
+    per key in each) by stacking them and taking one aggregate: one small
+    shuffle, no join, and a null key matches a null key."""
+    cols: list[str] = []
+    types = {}
+    for p in parts:
+        for f in p.schema.fields:
+            if f.name != key and f.name not in types:
+                cols.append(f.name)
+                types[f.name] = f.dataType
+    stacked = None
+    for p in parts:
+        sel = p.select(key, *[(F.col(c) if c in p.columns else F.lit(None)).cast(types[c]).alias(c)
+                              for c in cols])
+        stacked = sel if stacked is None else stacked.unionByName(sel)
+    return stacked.groupBy(key).agg(*[F.max(c).alias(c) for c in cols])
+
+
 def sum0(c) -> F.Column:
     """SUM that yields 0 instead of null (count-like measures)."""
     return F.coalesce(F.sum(c), F.lit(0)).cast("long")

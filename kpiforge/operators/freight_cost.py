@@ -6,22 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.functions.exprs import rnd, safe_div
-from kpiforge.operators.facts import order_fact
-from kpiforge.operators.percentile import percentile_cont
+from kpiforge.operators.facts import combine_by_key, order_fact
+from kpiforge.operators.percentile import percentile_from_histogram
 from kpiforge.session import cut_lineage
 
 NAME = "freight_cost"
 
 
-def item_fact(t: dict[str, DataFrame]) -> DataFrame:
-    """Items of delivered orders with the buyer's state (the order fact carries
-    the state), joined on order_id so the result is hash-partitioned by
-    order_id and the per-order fold needs no new shuffle."""
-    items = t["order_items"].select(
+def _items(t: dict[str, DataFrame]) -> DataFrame:
+    return t["order_items"].select(
         "order_id", "price", "freight_value",
         (F.col("freight_value").cast("double") / F.nullif(F.col("price").cast("double"), F.lit(0.0)))
         .alias("ratio"))
-    return items.join(order_fact(t).select("order_id", "estado"), "order_id")
+
+
+def item_fact(t: dict[str, DataFrame]) -> DataFrame:
+    """Items of delivered orders with the buyer's state (from the order fact)."""
+    return _items(t).join(order_fact(t).select("order_id", "estado"), "order_id")
 
 
 def build(t: dict[str, DataFrame]) -> DataFrame:
@@ -29,21 +30,31 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
     item; mean item price; mean of the per-item freight/price ratios in % (zero
     prices drop out of that mean); freight and revenue totals.
 
-    The per-order fold runs on the order_id partitioning of the join; the
-    median goes through the distributed exact percentile."""
-    # the item-grain join feeds two aggregations (per order, and the freight
-    # histogram of the median); materialise it once instead of joining twice
-    items = cut_lineage(item_fact(t), keep_partitioning=True)
-    per_order = items.groupBy("estado", "order_id").agg(
-        F.sum("freight_value").alias("f_sum"), F.count("freight_value").alias("f_cnt"),
+    The item-grain join is folded into a (state, freight) histogram carrying
+    the price and ratio sums; it is materialised once and gives the means,
+    totals and the distributed exact median. Distinct orders per state come
+    from the order fact semi-joined with the items' distinct order ids (one
+    narrow column crosses the shuffle, deduplicated map-side).
+    """
+    fact = order_fact(t).select("order_id", "estado")
+    hist = cut_lineage(_items(t).join(fact, "order_id").groupBy("estado", "freight_value").agg(
+        F.count(F.lit(1)).alias("n"),
         F.sum("price").alias("p_sum"), F.count("price").alias("p_cnt"),
-        F.sum("ratio").alias("r_sum"), F.count("ratio").alias("r_cnt"))
-    per_state = per_order.groupBy("estado").agg(
-        F.count("order_id").alias("total_pedidos"),
-        *[F.sum(c).alias(c) for c in ("f_sum", "f_cnt", "p_sum", "p_cnt", "r_sum", "r_cnt")])
-    median = percentile_cont(items, ["estado"], "freight_value", 0.5, "f_median")
-    out = per_state.join(median, per_state["estado"].eqNullSafe(median["estado"]), "left").select(
-        per_state["estado"],
+        F.sum("ratio").alias("r_sum"), F.count("ratio").alias("r_cnt")))
+    f = F.col("freight_value")
+    sums = hist.groupBy("estado").agg(
+        F.sum(f * F.col("n")).alias("f_sum"),
+        F.sum(F.when(f.isNotNull(), F.col("n"))).alias("f_cnt"),
+        *[F.sum(c).alias(c) for c in ("p_sum", "p_cnt", "r_sum", "r_cnt")])
+    with_items = t["order_items"].select("order_id").distinct()
+    n_orders = (fact.join(with_items, "order_id", "left_semi")
+                .groupBy("estado").agg(F.count_distinct("order_id").alias("total_pedidos")))
+    median = percentile_from_histogram(
+        hist.where(f.isNotNull()).select("estado", f.cast("double").alias("v"), "n"),
+        ["estado"], "v", "n", 0.5, "f_median")
+    per_state = combine_by_key("estado", n_orders, sums, median)
+    out = per_state.select(
+        "estado",
         "total_pedidos",
         rnd(safe_div("f_sum", "f_cnt"), 2).alias("frete_medio"),
         rnd(F.col("f_median"), 2).alias("frete_mediano"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.functions.exprs import days, rnd, safe_div
-from kpiforge.operators.facts import STAGES, order_fact
+from kpiforge.operators.facts import STAGES, combine_by_key, order_fact
 from kpiforge.operators.percentile import percentile_from_histogram
 from kpiforge.session import cut_lineage
 
@@ -45,8 +45,8 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
         return safe_div(f"{k}_sum", f"{k}_cnt") / unit
 
     day, hour = 86_400_000_000.0, 3_600_000_000.0
-    out = means.join(median, means["estado"].eqNullSafe(median["estado"]), "left").select(
-        means["estado"],
+    out = combine_by_key("estado", means, median).select(
+        "estado",
         "total_pedidos",
         rnd(mean_of("total", day), 1).alias("lead_time_total_dias"),
         rnd(F.col("median_days"), 1).alias("lead_time_mediana_dias"),
