@@ -169,3 +169,11 @@ def test_failing_kpi_is_isolated(spark, data_dir):
     rep = run_kpis(spark, reg, tables=raw_tables(spark, "raw_iso"), out_db="analytics_iso")
     assert "broken" in rep.failed
     assert rep.written == {"otd": 2, "orders_per_status": 2}
+
+
+def test_command_line_run(spark, data_dir, capsys):
+    from kpiforge.__main__ import main
+    assert main(["run", data_dir, "--raw-db", "raw_cli", "--out-db", "analytics_cli",
+                 "--shuffle-partitions", "4"]) == 0
+    out = capsys.readouterr().out
+    assert '"otd": 2' in out and '"failed": {}' in out

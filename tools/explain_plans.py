@@ -1,6 +1,6 @@
 """Print the physical plan summary of every KPI on typed raw parquet tables.
 
-    python tools/explain_plans.py [sf_dir] [--full]
+    python tools/explain_plans.py [sf_dir] [--full] [--scale]
 
 Raw tables are materialised from the driver data into a scratch warehouse (the
 same layout the ingestion writes), then each KPI's formatted plan is scanned
@@ -47,7 +47,12 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and not argv[1].startswith("--") else "/root/testdata/sf0.01"
     full = "--full" in argv
     wh = tempfile.mkdtemp(prefix="kpiforge-plans-")
-    spark = build_session("local[8]", 16, extra={"spark.sql.warehouse.dir": wh})
+    extra = {"spark.sql.warehouse.dir": wh}
+    spark = build_session("local[8]", 16, extra=extra)
+    if "--scale" in argv:
+        # as when every table is large: no size-based broadcast, no AQE re-plan
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
     ensure_databases(spark, "plan_raw")
     for name, df in load_driver_tables(spark, sf_dir).items():
         write_table(df, "plan_raw", name)
