@@ -177,3 +177,12 @@ def test_command_line_run(spark, data_dir, capsys):
                  "--shuffle-partitions", "4"]) == 0
     out = capsys.readouterr().out
     assert '"otd": 2' in out and '"failed": {}' in out
+
+
+def test_cached_read_and_refresh(spark, data_dir):
+    run_all(spark, data_dir, raw_db="raw_cache", out_db="analytics_cache")
+    df = load_table(spark, "otd", "analytics_cache", cache=True)
+    assert df.is_cached and df.count() == 2
+    from kpiforge.sources.catalog import refresh
+    refresh(spark, "otd", "analytics_cache")
+    assert load_table(spark, "otd", "analytics_cache").count() == 2

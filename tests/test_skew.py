@@ -1,4 +1,4 @@
-"""KPIs on deliberately skewed inputs, against the DuckDB formulation.
+"""KPIs on deliberately skewed inputs (and duplicate keys), against the DuckDB formulation.
 
 One state holds ~40 % of the orders, one customer 30 %, one order thousands of
 items and reviews, one product a third of the items. The hot state has more
@@ -81,6 +81,10 @@ def skewed(spark):
                          "product_category_name": pa.array([None if i % 17 == 0 else f"cat_{i % 40}" for i in range(800)])})
     translation = pa.table({"product_category_name": [f"cat_{i}" for i in range(0, 40, 3)],
                             "product_category_name_english": [f"category_{i}" for i in range(0, 40, 3)]})
+    # duplicate keys: customer 5 listed twice with different states, order 7 twice
+    customers = pa.concat_tables([customers, pa.table({
+        "customer_id": pa.array([5], pa.int64()), "customer_state": pa.array(["DUP"])})])
+    orders = pa.concat_tables([orders, orders.slice(7, 1)])
     d = tempfile.mkdtemp(prefix="kpiforge-skew-")
     tables = {"orders": orders, "customers": customers, "order_items": items, "order_reviews": reviews,
               "order_payments": payments_t, "products": products,
