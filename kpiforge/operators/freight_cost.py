@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kpiforge.functions.exprs import rnd, safe_div
 from kpiforge.operators.facts import combine_by_key, order_fact
 from kpiforge.operators.percentile import percentile_from_histogram
-from kpiforge.session import cut_lineage
+from kpiforge.session import cut_lineage_counted
 
 NAME = "freight_cost"
 
@@ -37,10 +37,11 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
     narrow column crosses the shuffle, deduplicated map-side).
     """
     fact = order_fact(t).select("order_id", "estado")
-    hist = cut_lineage(_items(t).join(fact, "order_id").groupBy("estado", "freight_value").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("price").alias("p_sum"), F.count("price").alias("p_cnt"),
-        F.sum("ratio").alias("r_sum"), F.count("ratio").alias("r_cnt")))
+    hist, hist_rows = cut_lineage_counted(
+        _items(t).join(fact, "order_id").groupBy("estado", "freight_value").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("price").alias("p_sum"), F.count("price").alias("p_cnt"),
+            F.sum("ratio").alias("r_sum"), F.count("ratio").alias("r_cnt")))
     f = F.col("freight_value")
     sums = hist.groupBy("estado").agg(
         F.sum(f * F.col("n")).alias("f_sum"),
@@ -51,7 +52,7 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
                 .groupBy("estado").agg(F.count_distinct("order_id").alias("total_pedidos")))
     median = percentile_from_histogram(
         hist.where(f.isNotNull()).select("estado", f.cast("double").alias("v"), "n"),
-        ["estado"], "v", "n", 0.5, "f_median")
+        ["estado"], "v", "n", 0.5, "f_median", hist_rows=hist_rows)
     per_state = combine_by_key("estado", n_orders, sums, median)
     out = per_state.select(
         "estado",

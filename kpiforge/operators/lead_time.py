@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kpiforge.functions.exprs import days, rnd, safe_div
 from kpiforge.operators.facts import STAGES, combine_by_key, order_fact
 from kpiforge.operators.percentile import percentile_from_histogram
-from kpiforge.session import cut_lineage
+from kpiforge.session import cut_lineage_counted
 
 NAME = "lead_time"
 
@@ -28,7 +28,7 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         *[F.sum(F.col(f"{k}_us").cast("decimal(38,0)")).alias(f"{k}_sum") for k in STAGES if k != "total"],
         *[F.count(f"{k}_us").alias(f"{k}_cnt") for k in STAGES if k != "total"])
-    hist = cut_lineage(hist)
+    hist, hist_rows = cut_lineage_counted(hist)
 
     tot_us = F.col("total_us").cast("decimal(38,0)")
     means = hist.groupBy("estado").agg(
@@ -39,7 +39,7 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
         *[F.sum(f"{k}_cnt").alias(f"{k}_cnt") for k in STAGES if k != "total"])
     median = percentile_from_histogram(
         hist.where(F.col("total_us").isNotNull()).select("estado", days("total_us").alias("v"), "n"),
-        ["estado"], "v", "n", 0.5, "median_days")
+        ["estado"], "v", "n", 0.5, "median_days", hist_rows=hist_rows)
 
     def mean_of(k, unit):
         return safe_div(f"{k}_sum", f"{k}_cnt") / unit

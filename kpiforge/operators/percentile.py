@@ -27,10 +27,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from kpiforge.session import cut_lineage
+from kpiforge.session import cut_lineage, cut_lineage_counted
 
 DEFAULT_BUCKETS = 4096
-DEFAULT_FINISH_ROWS = 1 << 16
+DEFAULT_FINISH_ROWS = 1 << 20  # rows one task sorts to resolve a rank directly
 
 
 def _ns_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -60,13 +60,16 @@ def _cut_counting_open(targets: DataFrame, finish_rows: int) -> tuple[DataFrame,
 def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weight: str,
                               p: float, out: str, buckets: int | None = None,
                               finish_rows: int | None = None,
-                              max_passes: int = 200) -> DataFrame:
+                              max_passes: int = 200, hist_rows: int | None = None) -> DataFrame:
     """PERCENTILE_CONT(p) per group from a weighted histogram.
 
     ``hist`` has columns ``keys + [value, weight]``: value non-null (cast to
     double), weight a positive count. Duplicate (keys, value) rows are allowed.
     It should be cheap to re-read (checkpointed or a table): it is scanned once
     per pass. Returns ``keys + [out]`` with one row per group present in hist.
+    ``hist_rows`` (the histogram's row count, if known) at most ``finish_rows``
+    means no group can need a refinement pass: the target table then stays
+    lazy instead of being materialised.
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be in [0, 1]")
@@ -82,13 +85,17 @@ def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weig
                      F.floor(pos).cast("long").alias("__pr0"),
                      F.ceil(pos).cast("long").alias("__pr1"),
                      (pos - F.floor(pos)).alias("__pfrac"))
-    targets, n_open = _cut_counting_open(tot.select(
+    targets = (tot.select(
         *ks, "__pfrac",
         F.explode(F.array(
             F.struct(F.lit(0).alias("__pside"), F.col("__pr0").alias("__pr")),
             F.struct(F.lit(1).alias("__pside"), F.col("__pr1").alias("__pr")))).alias("__pt"),
         F.col("__plo").alias("__pL"), F.col("__phi").alias("__pU"), F.col("__pd").alias("__pd"))
-        .select(*ks, "__pfrac", "__pt.__pside", "__pt.__pr", "__pL", "__pU", "__pd"), finish_rows)
+        .select(*ks, "__pfrac", "__pt.__pside", "__pt.__pr", "__pL", "__pU", "__pd"))
+    if hist_rows is not None and hist_rows <= finish_rows:
+        n_open = 0
+    else:
+        targets, n_open = _cut_counting_open(targets, finish_rows)
 
     tk = ks + ["__pside"]
     for _ in range(max_passes):
@@ -139,5 +146,6 @@ def percentile_cont(df: DataFrame, keys: list[str], value, p: float, out: str,
     v = F.col(value) if isinstance(value, str) else value
     hist = (df.select(*keys, v.cast("double").alias("__hv")).where(F.col("__hv").isNotNull())
             .groupBy(*keys, "__hv").agg(F.count(F.lit(1)).alias("__hw")))
-    hist = cut_lineage(hist)
-    return percentile_from_histogram(hist, list(keys), "__hv", "__hw", p, out, **kwargs)
+    hist, rows = cut_lineage_counted(hist)
+    return percentile_from_histogram(hist, list(keys), "__hv", "__hw", p, out,
+                                     hist_rows=rows, **kwargs)

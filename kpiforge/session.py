@@ -90,6 +90,16 @@ def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_lineage_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut_lineage`` that also returns the number of rows written, observed
+    during the write itself."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    obs = Observation()
+    out = cut_lineage(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    return out, int(obs.get["rows"])
+
+
 def scratch_root(spark: SparkSession, base: str | None = None) -> str:
     """Folder of this application's materialised intermediates."""
     base = base or ensure_checkpoint_dir(spark)

@@ -1,9 +1,9 @@
 """KPIs on deliberately skewed inputs (and duplicate keys), against the DuckDB formulation.
 
 One state holds ~40 % of the orders, one customer 30 %, one order thousands of
-items and reviews, one product a third of the items. The hot state has more
-distinct lead times than the percentile operator resolves directly, so its
-refinement passes run inside a real KPI.
+items and reviews, one product a third of the items. The percentile limits are
+lowered so that the hot state's lead times and freights go through the
+refinement passes inside the real KPIs.
 """
 
 import datetime as dt
@@ -99,12 +99,12 @@ def skewed(spark):
     return t, con
 
 
-def test_hot_state_has_many_distinct_lead_times(skewed):
+def test_hot_state_holds_over_a_third(skewed):
     t, _ = skewed
     from pyspark.sql import functions as F
     sp = t["orders"].join(t["customers"], "customer_id").where(F.col("customer_state") == "SP")
     assert sp.count() > N_ORDERS / 3
-    assert sp.select("order_delivered_customer_date").distinct().count() > 65_536
+    assert sp.select("order_delivered_customer_date").distinct().count() > 50_000
 
 
 @pytest.mark.parametrize("kpi", sorted(BUILDERS))
