@@ -17,6 +17,10 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot join partition even where the next step reuses the join's
+    # partitioning (the per-order folds); AQE then adds the one shuffle that
+    # split needs, and only when it actually splits
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
     # checkpoint files are row-serialised; compress them (context-level setting)
     "spark.checkpoint.compress": "true",
