@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
+from tools.explain_plans import plan_text, summarize
 from tools.oracle_check import TABLES, rows_of, type_diffs
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="driver tables missing")
@@ -34,6 +35,7 @@ def test_matches_oracle(spark, con, name):
     cols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(cols)
     assert type_diffs(df, cur) == []
+    assert not summarize(plan_text(df))["cartesian"]
     assert got == rows_of(cols, cur.fetchall())
 
 

@@ -61,9 +61,10 @@ def skewed(spark):
         "order_approved_at": ts(approved, 97), "order_delivered_carrier_date": ts(carrier, 89),
         "order_delivered_customer_date": ts(delivered, 83), "order_estimated_delivery_date": ts(estimated, 79)})
     states = np.array(["SP"] * 40 + [f"S{i}" for i in range(26)] * 2)
+    state_of = np.where(np.arange(3000) < 1200, "SP", states[np.arange(3000) % len(states)])
     customers = pa.table({"customer_id": pa.array(np.arange(3000), pa.int64()),
-                          "customer_state": pa.array(np.where(np.arange(3000) < 1200, "SP",
-                                                              states[np.arange(3000) % len(states)]))})
+                          "customer_state": pa.array([None if i % 250 == 6 else v   # some unknown states
+                                                      for i, v in enumerate(state_of)])})
     m = n * 2
     item_order = np.concatenate([np.zeros(4000, np.int64), rng.integers(0, n, m)])   # hot order 0
     k = len(item_order)
