@@ -64,10 +64,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's ``spark.checkpoint.dir``; only when it is unset (local
-    runs and tests) fall back to a fresh scratch folder."""
+    """Use the session's ``spark.checkpoint.dir``. Only a local-mode session
+    (tests, a laptop) may fall back to a fresh scratch folder when it is unset;
+    on a cluster a machine-local folder would not survive executor loss, so an
+    unset setting is an error there."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="kpiforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
