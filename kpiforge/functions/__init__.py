@@ -3,5 +3,5 @@ from kpiforge.functions.exprs import (  # noqa: F401
     is_on_time, micros_between, payment_label, pct, rnd, safe_div,
 )
 from kpiforge.functions.display import (  # noqa: F401
-    millions, month_label, pct_label, python_title, category_label,
+    category_label, month_label, pct_label, python_title,
 )

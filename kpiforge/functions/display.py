@@ -42,8 +42,3 @@ def pct_label(x, decimals: int = 1) -> Column:
     form), without grouping separators."""
     return F.concat(F.regexp_replace(F.format_number(_c(x), decimals), ",", ""),
                     F.lit("%"))
-
-
-def millions(x) -> Column:
-    """Amount in millions (the cards print it with one decimal)."""
-    return _c(x).cast("double") / 1e6

@@ -78,18 +78,6 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
 # so large ones should arrive as a folder of part files.
 SPLITTABLE_TABLES = frozenset(RAW_SCHEMAS) - {"order_reviews"}
 
-# Columns each KPI needs from each raw table (the contract an input honours).
-REQUIRED_COLUMNS: dict[str, tuple[str, ...]] = {
-    "orders": tuple(f.name for f in ORDERS.fields),
-    "customers": ("customer_id", "customer_state"),
-    "order_items": ("order_id", "product_id", "price", "freight_value"),
-    "order_reviews": ("order_id", "review_score"),
-    "order_payments": ("payment_type", "payment_installments", "payment_value"),
-    "products": ("product_id", "product_category_name"),
-    "product_category_name_translation": ("product_category_name",
-                                          "product_category_name_english"),
-}
-
 # The tokens a default pandas CSV read turns into missing values.
 NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",

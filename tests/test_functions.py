@@ -1,7 +1,5 @@
 """Column helpers against the Python behaviour they reproduce."""
 
-import pytest
-from pyspark.sql import functions as F
 
 from kpiforge.functions import category_label, pct_label, python_title, rnd
 

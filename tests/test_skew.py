@@ -6,7 +6,6 @@ lowered so that the hot state's lead times and freights go through the
 refinement passes inside the real KPIs.
 """
 
-import datetime as dt
 import tempfile
 
 import duckdb
