@@ -68,8 +68,8 @@ def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weig
     It should be cheap to re-read (checkpointed or a table): it is scanned once
     per pass. Returns ``keys + [out]`` with one row per group present in hist.
     ``hist_rows`` (the histogram's row count, if known) at most ``finish_rows``
-    means no group can need a refinement pass: the target table then stays
-    lazy instead of being materialised.
+    means no group can need a refinement pass: one window per group then
+    resolves both ranks.
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be in [0, 1]")
@@ -93,9 +93,8 @@ def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weig
         F.col("__plo").alias("__pL"), F.col("__phi").alias("__pU"), F.col("__pd").alias("__pd"))
         .select(*ks, "__pfrac", "__pt.__pside", "__pt.__pr", "__pL", "__pU", "__pd"))
     if hist_rows is not None and hist_rows <= finish_rows:
-        n_open = 0
-    else:
-        targets, n_open = _cut_counting_open(targets, finish_rows)
+        return _small_histogram(h, ks, p, out)
+    targets, n_open = _cut_counting_open(targets, finish_rows)
 
     tk = ks + ["__pside"]
     for _ in range(max_passes):
@@ -139,6 +138,27 @@ def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weig
     return res.select(*ks, (F.col("__pa") + (F.col("__pb") - F.col("__pa")) * F.col("__pfrac")).alias(out))
 
 
+def _small_histogram(h: DataFrame, ks: list[str], p: float, out: str) -> DataFrame:
+    """Whole histogram within ``finish_rows``: every group is too, so one
+    window per group (running weight and group total) finds both ranks; the
+    fold that follows reuses the window's partitioning."""
+    grp = Window.partitionBy(*ks)
+    run = grp.orderBy("__pv").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = (h.withColumn("__pn", F.sum("__pw").over(grp))
+         .withColumn("__pcum", F.sum("__pw").over(run)))
+    pos = F.lit(float(p)) * (F.col("__pn") - 1).cast("double")
+
+    def covers(rank):
+        return (F.col("__pcum") - F.col("__pw") <= rank) & (rank < F.col("__pcum"))
+
+    lo, hi = F.floor(pos).cast("long"), F.ceil(pos).cast("long")
+    res = x.where(covers(lo) | covers(hi)).groupBy(*ks).agg(
+        F.max(F.when(covers(lo), F.col("__pv"))).alias("__pa"),
+        F.max(F.when(covers(hi), F.col("__pv"))).alias("__pb"),
+        F.max(pos - F.floor(pos)).alias("__pfrac"))
+    return res.select(*ks, (F.col("__pa") + (F.col("__pb") - F.col("__pa")) * F.col("__pfrac")).alias(out))
+
+
 def percentile_cont(df: DataFrame, keys: list[str], value, p: float, out: str,
                     **kwargs) -> DataFrame:
     """Exact PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value) per ``keys``,

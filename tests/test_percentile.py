@@ -67,3 +67,16 @@ def test_many_duplicates_and_two_keys(spark):
     got = {(r["a"], r["b"]): r["m"] for r in res.collect()}
     exp = brute([((a, b), v) for a, b, v in rows], 0.5)
     assert got == exp
+
+
+@pytest.mark.parametrize("p", [0.0, 0.5, 0.9, 1.0])
+def test_small_histogram_path_matches_pass_path(data, spark, p):
+    rows, df = data
+    hist = df.where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count(F.lit(1)).alias("w"))
+    from kpiforge.operators.percentile import percentile_from_histogram
+    fast = percentile_from_histogram(hist, ["k"], "v", "w", p, "q", hist_rows=10, finish_rows=10**6)
+    got = {r["k"]: r["q"] for r in fast.collect()}
+    exp = brute(rows, p)
+    assert set(got) == set(exp)
+    for k in exp:
+        assert got[k] == pytest.approx(exp[k], rel=1e-12, abs=1e-12), k
