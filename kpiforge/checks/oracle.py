@@ -10,6 +10,8 @@ rewrites against the plain semantics. Tables: the driver's parquet views
 
 from __future__ import annotations
 
+from kpiforge.functions.exprs import PAYMENT_LABELS
+
 
 def RND(x: str, n: int) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
@@ -191,8 +193,7 @@ GROUP BY 1
 ORDER BY receita_total DESC NULLS FIRST, categoria
 LIMIT 20""",
     "k_payments": f"""
-SELECT CASE payment_type WHEN 'credit_card' THEN 'Cartão de Crédito' WHEN 'boleto' THEN 'Boleto'
-         WHEN 'voucher' THEN 'Voucher' WHEN 'debit_card' THEN 'Cartão de Débito'
+SELECT CASE payment_type {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PAYMENT_LABELS.items())}
          ELSE payment_type END AS tipo_pagamento,
   COUNT(*) AS total_transacoes,
   {RND("SUM(payment_value)", 2)} AS valor_total,

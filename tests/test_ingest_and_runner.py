@@ -186,3 +186,15 @@ def test_cached_read_and_refresh(spark, data_dir):
     from kpiforge.sources.catalog import refresh
     refresh(spark, "otd", "analytics_cache")
     assert load_table(spark, "otd", "analytics_cache").count() == 2
+
+
+def test_page_metrics_from_the_catalog(spark, data_dir):
+    from kpiforge.plans.dashboard import PAGE_METRICS, page_metrics
+    run_all(spark, data_dir, raw_db="raw_dash", out_db="analytics_dash")
+    pages = page_metrics(spark, "analytics_dash")
+    assert set(pages) == set(PAGE_METRICS)
+    best = pages["otd_best_worst"].first()
+    assert (best["melhor_estado"], best["pior_estado"]) == ("SP", "RJ")
+    assert pages["payment_cards"].first()["pct_transacoes_cartao"] == 50.0
+    spark.sql("DROP TABLE analytics_dash.volume_temporal")
+    assert "volume_trend" not in page_metrics(spark, "analytics_dash")
