@@ -65,6 +65,9 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
     def one(job):
         try:
             return job.name, write_table(job.build(spark, tables), out_db, job.name), None
+        except KeyError as e:  # a raw table the KPI reads is absent
+            log.error("KPI %s failed: missing input table %s", job.name, e)
+            return job.name, None, f"missing input table {e.args[0]}"
         except Exception as e:  # isolate one KPI's failure
             log.error("KPI %s failed: %s", job.name, e)
             return job.name, None, f"{type(e).__name__}: {e}".splitlines()[0][:500]

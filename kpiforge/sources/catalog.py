@@ -14,15 +14,24 @@ def ensure_databases(spark: SparkSession, *names: str) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{n}`")
 
 
+def table_path(spark: SparkSession, db: str, table: str) -> str:
+    """Folder of ``db.table``: inside the database's location."""
+    return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{table}"
+
+
 def write_table(df: DataFrame, db: str, table: str) -> int:
     """Replace ``db.table`` with ``df`` and return the number of rows written.
 
-    The row count is observed during the write itself (no second scan). The
-    replace is not atomic for readers; write to a staging name and swap when
-    concurrent readers matter."""
+    The table is written at an explicit folder inside the database's location:
+    a rerun in a new process (whose catalog may not know the table any more)
+    takes the folder over and replaces its content, instead of refusing the
+    existing location. The row count is observed during the write itself (no
+    second scan). The replace is not atomic for readers; write to a staging
+    name and swap when concurrent readers matter."""
     obs = Observation(f"rows_{db}_{table}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
-        .format("parquet").saveAsTable(f"`{db}`.`{table}`")
+        .format("parquet").option("path", table_path(df.sparkSession, db, table)) \
+        .saveAsTable(f"`{db}`.`{table}`")
     return int(obs.get["rows"])
 
 

@@ -198,3 +198,20 @@ def test_page_metrics_from_the_catalog(spark, data_dir):
     assert pages["payment_cards"].first()["pct_transacoes_cartao"] == 50.0
     spark.sql("DROP TABLE analytics_dash.volume_temporal")
     assert "volume_trend" not in page_metrics(spark, "analytics_dash")
+
+
+def test_full_replace_takes_over_a_leftover_table_folder(spark, data_dir):
+    """A rerun in a new process: the table folder exists, the catalog entry
+    does not. The write must replace the folder's content, not add to it."""
+    import shutil
+    from kpiforge.sources.catalog import ensure_databases, table_path, write_table
+    ensure_databases(spark, "raw_left", "raw_left2")
+    df = read_csv(spark, os.path.join(data_dir, "olist_orders_dataset.csv"), "orders")
+    assert write_table(df, "raw_left", "orders") == 3
+    src = table_path(spark, "raw_left", "orders").replace("file:", "")
+    shutil.copytree(src, table_path(spark, "raw_left2", "orders").replace("file:", ""))
+    assert not spark.catalog.tableExists("orders", "raw_left2")
+    assert write_table(df.limit(2), "raw_left2", "orders") == 2
+    assert spark.table("raw_left2.orders").count() == 2
+    assert write_table(df, "raw_left2", "orders") == 3          # and again in-session
+    assert spark.table("raw_left2.orders").count() == 3
