@@ -23,7 +23,8 @@ def build(t: dict[str, DataFrame], start: str = DEFAULT_BOUNDS[0],
     ts = F.col("order_purchase_timestamp")
     orders = (t["orders"]
               .where((ts >= F.lit(start).cast("timestamp_ntz")) & (ts < F.lit(end).cast("timestamp_ntz")))
-              .select("order_id", F.date_trunc("month", ts).cast("timestamp_ntz").alias("mes")))
+              # month start as a wall-clock timestamp; no session time zone involved
+              .select("order_id", F.trunc(F.to_date(ts), "month").cast("timestamp_ntz").alias("mes")))
     items = t["order_items"].groupBy("order_id").agg(F.sum("price").alias("rev"))
     per_order = (orders.join(items, "order_id", "left")
                  .groupBy("mes", "order_id").agg(F.sum("rev").alias("rev")))
