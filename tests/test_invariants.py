@@ -51,3 +51,23 @@ def test_shared_order_fact_gives_the_same_tables(t):
         a = sorted(map(tuple, mod.build(t).collect()))
         b = sorted(map(tuple, mod.build(shared).collect()))
         assert a == b, mod.NAME
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark, t):
+    from kpiforge.operators import lead_time
+    mods = (otd, lead_time, delay_satisfaction, volume_monthly)
+
+    def run():
+        out = []
+        for m in mods:
+            df = m.build(t, *DRIVER_VOLUME_BOUNDS) if m is volume_monthly else m.build(t)
+            out.append(sorted(map(tuple, df.collect())))
+        return out
+
+    base = run()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        assert run() == base
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
