@@ -25,6 +25,7 @@ class RunReport:
     ingested: dict[str, int] = field(default_factory=dict)
     written: dict[str, int] = field(default_factory=dict)
     failed: dict[str, str] = field(default_factory=dict)
+    kpi_seconds: dict[str, float] = field(default_factory=dict)
     seconds: float = 0.0
 
     @property
@@ -63,19 +64,22 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
             log.warning("order fact not built: %s", e)
 
     def one(job):
+        t0 = time.perf_counter()
         try:
-            return job.name, write_table(job.build(spark, tables), out_db, job.name), None
+            rows, err = write_table(job.build(spark, tables), out_db, job.name), None
         except KeyError as e:  # a raw table the KPI reads is absent
             log.error("KPI %s failed: missing input table %s", job.name, e)
-            return job.name, None, f"missing input table {e.args[0]}"
+            rows, err = None, f"missing input table {e.args[0]}"
         except Exception as e:  # isolate one KPI's failure
             log.error("KPI %s failed: %s", job.name, e)
-            return job.name, None, f"{type(e).__name__}: {e}".splitlines()[0][:500]
+            rows, err = None, f"{type(e).__name__}: {e}".splitlines()[0][:500]
+        return job.name, rows, err, time.perf_counter() - t0
 
     jobs = registry.jobs()
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs) or 1))) as pool:
         results = list(pool.map(one, jobs))
-    for name, rows, err in results:  # registry order
+    for name, rows, err, sec in results:  # registry order
+        report.kpi_seconds[name] = round(sec, 3)
         if err is None:
             report.written[name] = rows
         else:
