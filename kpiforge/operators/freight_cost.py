@@ -43,17 +43,16 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
             F.sum("price").alias("p_sum"), F.count("price").alias("p_cnt"),
             F.sum("ratio").alias("r_sum"), F.count("ratio").alias("r_cnt")))
     f = F.col("freight_value")
-    sums = hist.groupBy("estado").agg(
-        F.sum(f * F.col("n")).alias("f_sum"),
-        F.sum(F.when(f.isNotNull(), F.col("n"))).alias("f_cnt"),
-        *[F.sum(c).alias(c) for c in ("p_sum", "p_cnt", "r_sum", "r_cnt")])
     with_items = t["order_items"].select("order_id").distinct()
     n_orders = (fact.join(with_items, "order_id", "left_semi")
                 .groupBy("estado").agg(F.count_distinct("order_id").alias("total_pedidos")))
-    median = percentile_from_histogram(
-        hist.where(f.isNotNull()).select("estado", f.cast("double").alias("v"), "n"),
-        ["estado"], "v", "n", 0.5, "f_median", hist_rows=hist_rows)
-    per_state = combine_by_key("estado", n_orders, sums, median)
+    stats = percentile_from_histogram(
+        hist.withColumn("v", f.cast("double")), ["estado"], "v", "n", 0.5, "f_median",
+        hist_rows=hist_rows,
+        extra=[F.sum(f * F.col("n")).alias("f_sum"),
+               F.sum(F.when(f.isNotNull(), F.col("n"))).alias("f_cnt"),
+               *[F.sum(c).alias(c) for c in ("p_sum", "p_cnt", "r_sum", "r_cnt")]])
+    per_state = combine_by_key("estado", n_orders, stats)
     out = per_state.select(
         "estado",
         "total_pedidos",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.functions.exprs import days, rnd, safe_div
-from kpiforge.operators.facts import STAGES, combine_by_key, order_fact
+from kpiforge.operators.facts import STAGES, order_fact
 from kpiforge.operators.percentile import percentile_from_histogram
 from kpiforge.session import cut_lineage_counted
 
@@ -31,21 +31,20 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
     hist, hist_rows = cut_lineage_counted(hist)
 
     tot_us = F.col("total_us").cast("decimal(38,0)")
-    means = hist.groupBy("estado").agg(
-        F.sum("n").alias("total_pedidos"),
-        F.sum(tot_us * F.col("n")).alias("total_sum"),
-        F.sum(F.when(F.col("total_us").isNotNull(), F.col("n"))).alias("total_cnt"),
-        *[F.sum(f"{k}_sum").alias(f"{k}_sum") for k in STAGES if k != "total"],
-        *[F.sum(f"{k}_cnt").alias(f"{k}_cnt") for k in STAGES if k != "total"])
-    median = percentile_from_histogram(
-        hist.where(F.col("total_us").isNotNull()).select("estado", days("total_us").alias("v"), "n"),
-        ["estado"], "v", "n", 0.5, "median_days", hist_rows=hist_rows)
+    per_state = percentile_from_histogram(
+        hist.withColumn("v", days("total_us")), ["estado"], "v", "n", 0.5, "median_days",
+        hist_rows=hist_rows,
+        extra=[F.sum("n").alias("total_pedidos"),
+               F.sum(tot_us * F.col("n")).alias("total_sum"),
+               F.sum(F.when(F.col("total_us").isNotNull(), F.col("n"))).alias("total_cnt"),
+               *[F.sum(f"{k}_sum").alias(f"{k}_sum") for k in STAGES if k != "total"],
+               *[F.sum(f"{k}_cnt").alias(f"{k}_cnt") for k in STAGES if k != "total"]])
 
     def mean_of(k, unit):
         return safe_div(f"{k}_sum", f"{k}_cnt") / unit
 
     day, hour = 86_400_000_000.0, 3_600_000_000.0
-    out = combine_by_key("estado", means, median).select(
+    out = per_state.select(
         "estado",
         "total_pedidos",
         rnd(mean_of("total", day), 1).alias("lead_time_total_dias"),

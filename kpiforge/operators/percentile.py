@@ -60,11 +60,16 @@ def _cut_counting_open(targets: DataFrame, finish_rows: int) -> tuple[DataFrame,
 def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weight: str,
                               p: float, out: str, buckets: int | None = None,
                               finish_rows: int | None = None,
-                              max_passes: int = 200, hist_rows: int | None = None) -> DataFrame:
+                              max_passes: int = 200, hist_rows: int | None = None,
+                              extra: list | tuple = ()) -> DataFrame:
     """PERCENTILE_CONT(p) per group from a weighted histogram.
 
-    ``hist`` has columns ``keys + [value, weight]``: value non-null (cast to
-    double), weight a positive count. Duplicate (keys, value) rows are allowed.
+    ``hist`` has columns ``keys + [value, weight]`` (and any others ``extra``
+    reads): value cast to double, rows with a null value are ignored by the
+    percentile, weight a positive count. Duplicate (keys, value) rows are
+    allowed. ``extra`` are further aggregate columns over the histogram rows,
+    returned per group beside the percentile (computed in the same pass when
+    the histogram is small).
     It should be cheap to re-read (checkpointed or a table): it is scanned once
     per pass. Returns ``keys + [out]`` with one row per group present in hist.
     ``hist_rows`` (the histogram's row count, if known) at most ``finish_rows``
@@ -75,9 +80,16 @@ def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weig
         raise ValueError("p must be in [0, 1]")
     buckets = buckets or DEFAULT_BUCKETS
     finish_rows = finish_rows or DEFAULT_FINISH_ROWS
-    h = hist.select(*keys, F.col(value).cast("double").alias("__pv"),
-                    F.col(weight).cast("long").alias("__pw"))
     ks = list(keys)
+    if hist_rows is not None and hist_rows <= finish_rows:
+        return _small_histogram(hist, ks, value, weight, p, out, extra)
+    if extra:  # one more aggregate over the histogram, joined per group
+        pct = percentile_from_histogram(hist, ks, value, weight, p, out, buckets, finish_rows,
+                                        max_passes)
+        return _ns_join(hist.groupBy(*ks).agg(*extra), pct, ks, "left")
+    h = (hist.where(F.col(value).isNotNull())
+         .select(*keys, F.col(value).cast("double").alias("__pv"),
+                 F.col(weight).cast("long").alias("__pw")))
     tot = h.groupBy(*ks).agg(F.sum("__pw").alias("__pn"), F.min("__pv").alias("__plo"),
                              F.max("__pv").alias("__phi"), F.count(F.lit(1)).alias("__pd"))
     pos = F.lit(float(p)) * (F.col("__pn") - 1).cast("double")
@@ -92,8 +104,6 @@ def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weig
             F.struct(F.lit(1).alias("__pside"), F.col("__pr1").alias("__pr")))).alias("__pt"),
         F.col("__plo").alias("__pL"), F.col("__phi").alias("__pU"), F.col("__pd").alias("__pd"))
         .select(*ks, "__pfrac", "__pt.__pside", "__pt.__pr", "__pL", "__pU", "__pd"))
-    if hist_rows is not None and hist_rows <= finish_rows:
-        return _small_histogram(h, ks, p, out)
     targets, n_open = _cut_counting_open(targets, finish_rows)
 
     tk = ks + ["__pside"]
@@ -138,25 +148,32 @@ def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weig
     return res.select(*ks, (F.col("__pa") + (F.col("__pb") - F.col("__pa")) * F.col("__pfrac")).alias(out))
 
 
-def _small_histogram(h: DataFrame, ks: list[str], p: float, out: str) -> DataFrame:
+def _small_histogram(hist: DataFrame, ks: list[str], value: str, weight: str, p: float,
+                     out: str, extra) -> DataFrame:
     """Whole histogram within ``finish_rows``: every group is too, so one
-    window per group (running weight and group total) finds both ranks; the
-    fold that follows reuses the window's partitioning."""
+    window per group (running weight and group total, null values weighing 0)
+    finds both ranks; the fold that follows reuses the window's partitioning
+    and also evaluates the ``extra`` aggregates."""
+    v = F.col(value).cast("double")
+    x = hist.withColumn("__pv", v).withColumn(
+        "__pw", F.when(v.isNotNull(), F.col(weight).cast("long")).otherwise(F.lit(0)))
     grp = Window.partitionBy(*ks)
     run = grp.orderBy("__pv").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = (h.withColumn("__pn", F.sum("__pw").over(grp))
+    x = (x.withColumn("__pn", F.sum("__pw").over(grp))
          .withColumn("__pcum", F.sum("__pw").over(run)))
     pos = F.lit(float(p)) * (F.col("__pn") - 1).cast("double")
 
     def covers(rank):
-        return (F.col("__pcum") - F.col("__pw") <= rank) & (rank < F.col("__pcum"))
+        return (F.col("__pw") > 0) & (F.col("__pcum") - F.col("__pw") <= rank) & (rank < F.col("__pcum"))
 
     lo, hi = F.floor(pos).cast("long"), F.ceil(pos).cast("long")
-    res = x.where(covers(lo) | covers(hi)).groupBy(*ks).agg(
+    res = x.groupBy(*ks).agg(
         F.max(F.when(covers(lo), F.col("__pv"))).alias("__pa"),
         F.max(F.when(covers(hi), F.col("__pv"))).alias("__pb"),
-        F.max(pos - F.floor(pos)).alias("__pfrac"))
-    return res.select(*ks, (F.col("__pa") + (F.col("__pb") - F.col("__pa")) * F.col("__pfrac")).alias(out))
+        F.max(F.when(F.col("__pn") > 0, pos - F.floor(pos))).alias("__pfrac"),
+        *extra)
+    return res.select(*ks, (F.col("__pa") + (F.col("__pb") - F.col("__pa")) * F.col("__pfrac")).alias(out),
+                      *[c for c in res.columns if c not in ks and not c.startswith("__p")])
 
 
 def percentile_cont(df: DataFrame, keys: list[str], value, p: float, out: str,
