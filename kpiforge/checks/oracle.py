@@ -333,6 +333,17 @@ SELECT estado, atraso_medio_dias FROM k_otd ORDER BY atraso_medio_dias DESC NULL
 SELECT estado, nota_media_no_prazo, nota_media_atrasado FROM k_perfect_order
 ORDER BY nota_media_no_prazo DESC NULLS LAST, estado LIMIT 15"""),
     "otd_sorted": (["k_otd"], "SELECT * FROM k_otd ORDER BY otd_pct ASC NULLS LAST, estado"),
+    "otd_table": (["k_otd"], "SELECT * FROM k_otd ORDER BY otd_pct DESC NULLS LAST, estado"),
+    "lead_by_dispatch_share": (["k_lead_time"],
+                               "SELECT * FROM k_lead_time ORDER BY pct_tempo_despacho DESC NULLS LAST, estado"),
+    "perfect_sorted": (["k_perfect_order"],
+                       "SELECT * FROM k_perfect_order ORDER BY perfect_order_pct ASC NULLS LAST, estado"),
+    "freight_by_ratio": (["k_freight_cost"],
+                         "SELECT * FROM k_freight_cost ORDER BY proporcao_frete_pct DESC NULLS LAST, estado"),
+    "categories_by_ticket": (["k_category_top20"],
+                             "SELECT * FROM k_category_top20 ORDER BY ticket_medio ASC NULLS LAST, categoria"),
+    "categories_by_freight_ratio": (["k_category_top20"], "SELECT * FROM k_category_top20 "
+                                    "ORDER BY proporcao_frete_pct DESC NULLS LAST, categoria"),
     "payments_by_ticket": (["k_payments"],
                            "SELECT * FROM k_payments ORDER BY ticket_medio ASC NULLS LAST, tipo_pagamento"),
     "otd_named": (["k_otd", "dim_state"], "SELECT k.*, d.estado_nome FROM k_otd k LEFT JOIN dim_state d USING (estado)"),

@@ -43,8 +43,18 @@ PAGE_METRICS = {
     "payment_cards": (S.payment_cards, ("pagamentos",)),
     "payment_share": (S.payment_share, ("pagamentos",)),
     "payment_pct_labels": (S.payment_pct_labels, ("pagamentos",)),
-    # full tables in presentation order
+    # whole KPI tables in the order a chart or table of the page shows them
     "otd_sorted": (lambda d: S.sorted_view(d, "otd_pct"), ("otd",)),
+    "otd_table": (lambda d: S.sorted_view(d, "otd_pct", ascending=False), ("otd",)),
+    "lead_by_dispatch_share": (lambda d: S.sorted_view(d, "pct_tempo_despacho", ascending=False),
+                               ("lead_time",)),
+    "perfect_sorted": (lambda d: S.sorted_view(d, "perfect_order_pct"), ("perfect_order",)),
+    "freight_by_ratio": (lambda d: S.sorted_view(d, "proporcao_frete_pct", ascending=False),
+                         ("freight_cost",)),
+    "categories_by_ticket": (lambda d: S.sorted_view(d, "ticket_medio", key="categoria"),
+                             ("categorias",)),
+    "categories_by_freight_ratio": (lambda d: S.sorted_view(d, "proporcao_frete_pct", ascending=False,
+                                                            key="categoria"), ("categorias",)),
     "payments_by_ticket": (lambda d: S.sorted_view(d, "ticket_medio", key="tipo_pagamento"),
                            ("pagamentos",)),
 }
