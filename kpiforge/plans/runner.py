@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from kpiforge.plans.registry import Registry, default_registry
 from kpiforge.operators.facts import with_order_fact
 from kpiforge.session import cut_lineage, purge_scratch
-from kpiforge.sources.catalog import ANALYTICS_DB, RAW_DB, ensure_databases, raw_tables, write_table
+from kpiforge.sources.catalog import (ANALYTICS_DB, RAW_DB, ensure_databases, raw_tables,
+                                      replace_table)
 from kpiforge.sources.csv_ingest import ingest_directory
 
 log = logging.getLogger(__name__)
@@ -38,7 +39,9 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
              raw_db: str = RAW_DB, report: RunReport | None = None,
              parallelism: int = DEFAULT_PARALLELISM,
              share_order_fact: bool = True) -> RunReport:
-    """Build and write every KPI of the registry. A KPI that fails (while
+    """Build and write every KPI of the registry (each table switches to its
+    new content in one catalog operation, see ``catalog.replace_table``). A
+    KPI that fails (while
     planning or while writing - plans are lazy, errors surface at the write) is
     recorded and the others still run.
 
@@ -66,7 +69,7 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
     def one(job):
         t0 = time.perf_counter()
         try:
-            rows, err = write_table(job.build(spark, tables), out_db, job.name), None
+            rows, err = replace_table(job.build(spark, tables), out_db, job.name), None
         except KeyError as e:  # a raw table the KPI reads is absent
             log.error("KPI %s failed: missing input table %s", job.name, e)
             rows, err = None, f"missing input table {e.args[0]}"

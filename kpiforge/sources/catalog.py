@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,38 @@ def write_table(df: DataFrame, db: str, table: str) -> int:
     return int(obs.get["rows"])
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def replace_table(df: DataFrame, db: str, table: str, keep: int = 2) -> int:
+    """Replace ``db.table`` so that readers see either the old or the new
+    content, never a half-written table: the new rows go to a fresh version
+    folder under the table folder, then one catalog operation points the table
+    at it. The ``keep`` newest versions stay (a reader that resolved the table
+    just before the switch still finds its files); older ones are deleted.
+    Returns the number of rows written (observed during the write)."""
+    spark = df.sparkSession
+    base = table_path(spark, db, table)
+    version = f"{base}/_v{int(time.time() * 1000):015d}_{uuid.uuid4().hex[:8]}"
+    obs = Observation(f"rows_{db}_{table}_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(version)
+    name = f"`{db}`.`{table}`"
+    if spark.catalog.tableExists(f"{db}.{table}"):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(f"{db}.{table}", path=version, source="parquet")
+    root, fs = _fs(spark, base)
+    versions = sorted(st.getPath().getName() for st in fs.listStatus(root)
+                      if st.isDirectory() and st.getPath().getName().startswith("_v"))
+    for old in versions[:-keep]:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{old}"), True)
+    return int(obs.get["rows"])
+
+
 def load_table(spark: SparkSession, name: str, db: str = ANALYTICS_DB,
                cache: bool = False) -> DataFrame:
     """``SELECT * FROM db.name``. KPI columns are stored typed, so no per-column
@@ -46,14 +81,14 @@ def load_table(spark: SparkSession, name: str, db: str = ANALYTICS_DB,
 
 def try_load(spark: SparkSession, name: str, db: str = ANALYTICS_DB) -> DataFrame | None:
     """The table, or None when it does not exist (yet)."""
-    if not spark.catalog.tableExists(name, db):
+    if not spark.catalog.tableExists(f"{db}.{name}"):
         return None
     return load_table(spark, name, db)
 
 
 def refresh(spark: SparkSession, name: str, db: str = ANALYTICS_DB) -> None:
     """Drop cached data of a table after it was rewritten."""
-    if spark.catalog.tableExists(name, db):
+    if spark.catalog.tableExists(f"{db}.{name}"):
         spark.catalog.uncacheTable(f"`{db}`.`{name}`")
         spark.catalog.refreshTable(f"`{db}`.`{name}`")
 

@@ -210,8 +210,23 @@ def test_full_replace_takes_over_a_leftover_table_folder(spark, data_dir):
     assert write_table(df, "raw_left", "orders") == 3
     src = table_path(spark, "raw_left", "orders").replace("file:", "")
     shutil.copytree(src, table_path(spark, "raw_left2", "orders").replace("file:", ""))
-    assert not spark.catalog.tableExists("orders", "raw_left2")
+    assert not spark.catalog.tableExists("raw_left2.orders")
     assert write_table(df.limit(2), "raw_left2", "orders") == 2
     assert spark.table("raw_left2.orders").count() == 2
     assert write_table(df, "raw_left2", "orders") == 3          # and again in-session
     assert spark.table("raw_left2.orders").count() == 3
+
+
+def test_replace_table_switches_versions(spark, data_dir):
+    from kpiforge.sources.catalog import ensure_databases, replace_table, table_path
+    ensure_databases(spark, "an_swap")
+    df = read_csv(spark, os.path.join(data_dir, "olist_orders_dataset.csv"), "orders")
+    assert replace_table(df, "an_swap", "t") == 3
+    before = spark.table("an_swap.t")                      # resolved on the first version
+    assert replace_table(df.limit(1), "an_swap", "t") == 1
+    assert spark.table("an_swap.t").count() == 1
+    assert before.count() == 3                             # the previous version is still readable
+    assert replace_table(df.limit(2), "an_swap", "t") == 2
+    base = table_path(spark, "an_swap", "t").replace("file:", "")
+    assert len([v for v in os.listdir(base) if v.startswith("_v")]) == 2
+    assert spark.table("an_swap.t").count() == 2
