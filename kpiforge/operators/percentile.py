@@ -16,6 +16,12 @@ keeps every task bounded instead:
    values, the rank is resolved exactly with a running sum over that bounded
    slice.
 
+When the whole histogram has at most ``finish_rows`` rows (its row count is
+observed while it is written), no group can exceed the bound either: one window
+per group then resolves both ranks and steps 2-4 are skipped. Other per-group
+aggregates over the same histogram (``extra``) are returned beside the
+percentile, in the same pass on that path.
+
 The driver only sees row counts; every shuffle is keyed so that no task holds
 more than ``finish_rows`` histogram rows of one group or B buckets of one target.
 """
