@@ -50,6 +50,7 @@ def replace_table(df: DataFrame, db: str, table: str, keep: int = 2) -> int:
     folder under the table folder, then one catalog operation points the table
     at it. The ``keep`` newest versions stay (a reader that resolved the table
     just before the switch still finds its files); older ones are deleted.
+    ``keep=1`` keeps no previous version (raw tables: no doubled storage).
     Returns the number of rows written (observed during the write)."""
     spark = df.sparkSession
     base = table_path(spark, db, table)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiforge.schemas import NA_TOKENS, RAW_SCHEMAS, SPLITTABLE_TABLES
-from kpiforge.sources.catalog import RAW_DB, ensure_databases, write_table
+from kpiforge.sources.catalog import RAW_DB, ensure_databases, replace_table
 
 log = logging.getLogger(__name__)
 
@@ -101,7 +101,9 @@ def ingest_directory(spark: SparkSession, data_dir: str, db: str = RAW_DB,
                      strict: bool = True, parallelism: int = 4) -> dict[str, int]:
     """Load every CSV source of ``data_dir`` (files, or folders of part files)
     into ``db.<table>``, up to ``parallelism`` tables at a time; returns rows
-    per table in name order. An empty folder logs a warning and loads nothing."""
+    per table in name order. Each table switches to its new content only once
+    the content is complete (only the newest version is kept). An empty folder
+    logs a warning and loads nothing."""
     sources = list_csv_sources(spark, data_dir)
     if not sources:
         log.warning("no CSV file found in %s", data_dir)
@@ -110,7 +112,8 @@ def ingest_directory(spark: SparkSession, data_dir: str, db: str = RAW_DB,
 
     def one(src):
         table, path = src
-        return table, write_table(read_csv(spark, path, table, strict), db, table)
+        # a failed load leaves the previous version of the table intact
+        return table, replace_table(read_csv(spark, path, table, strict), db, table, keep=1)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(sources)))) as pool:
         return dict(pool.map(one, sources))
