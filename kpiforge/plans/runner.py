@@ -9,8 +9,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiforge.plans.registry import Registry, default_registry
+from kpiforge.operators import freight_cost, lead_time, otd, perfect_order
 from kpiforge.operators.facts import with_order_fact
+from kpiforge.plans.registry import Registry, default_registry
 from kpiforge.session import cut_lineage, purge_scratch
 from kpiforge.sources.catalog import (ANALYTICS_DB, RAW_DB, ensure_databases, raw_tables,
                                       replace_table)
@@ -18,6 +19,9 @@ from kpiforge.sources.csv_ingest import ingest_directory
 
 log = logging.getLogger(__name__)
 
+# KPI builders that read the shared order fact when a run provides one
+ORDER_FACT_READERS = (otd.build, lead_time.build, perfect_order.build, freight_cost.build)
+
 DEFAULT_PARALLELISM = 4
 
 
@@ -60,7 +64,7 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
     ensure_databases(spark, raw_db, out_db)
     if tables is None:
         tables = raw_tables(spark, raw_db)
-    if share_order_fact:
+    if share_order_fact and any(j.builder in ORDER_FACT_READERS for j in registry.jobs()):
         try:
             tables = with_order_fact(tables, cut_lineage)
         except Exception as e:  # missing inputs: the KPIs report their own errors
