@@ -10,7 +10,13 @@ rewrites against the plain semantics. Tables: the driver's parquet views
 
 from __future__ import annotations
 
-from kpiforge.functions.exprs import PAYMENT_LABELS
+from kpiforge.functions.exprs import (BAND_LABELS, BAND_ON_TIME, BAND_SEVERE, DELIVERED,
+                                      EXCLUDED_PAYMENT_TYPE, OTHER_CATEGORY, PAYMENT_LABELS)
+
+B_ON, B_LIGHT, B_MOD, B_SEV = BAND_LABELS
+CARD = PAYMENT_LABELS["credit_card"]
+BAND_ORDER = "CASE faixa_atraso " + " ".join(
+    f"WHEN '{b}' THEN {i}" for i, b in enumerate(BAND_LABELS[:-1], 1)) + " ELSE 4 END"
 
 
 def RND(x: str, n: int) -> str:
@@ -91,7 +97,7 @@ FROM (SELECT DISTINCT p_brand AS product_category_name FROM part
 
 DEL, EST = "o.order_delivered_customer_date", "o.order_estimated_delivery_date"
 PUR, APP, CAR = "o.order_purchase_timestamp", "o.order_approved_at", "o.order_delivered_carrier_date"
-DELIVERED_WHERE = f"o.order_status = 'delivered' AND {DEL} IS NOT NULL"
+DELIVERED_WHERE = f"o.order_status = '{DELIVERED}' AND {DEL} IS NOT NULL"
 
 KPI = {
     "k_otd": f"""
@@ -146,7 +152,7 @@ SELECT c.customer_state AS estado,
   {RND("SUM(i.price)", 2)} AS receita_total
 FROM r_orders o JOIN r_items i ON o.order_id = i.order_id
   JOIN r_customers c ON o.customer_id = c.customer_id
-WHERE o.order_status = 'delivered'
+WHERE o.order_status = '{DELIVERED}'
 GROUP BY c.customer_state
 ORDER BY frete_medio DESC NULLS FIRST, estado""",
     "k_delay_vs_satisfaction": f"""
@@ -160,15 +166,14 @@ SELECT faixa_atraso,
   COUNT(*) FILTER (WHERE review_score = 1) AS nota_1,
   {PCT("COUNT(*) FILTER (WHERE review_score <= 2)", "COUNT(*)", 1)} AS pct_negativas
 FROM (SELECT r.review_score,
-        CASE WHEN {DEL} <= {EST} THEN 'No prazo'
-             WHEN {DAYS(DEL, EST)} <= 3 THEN 'Atraso leve (1-3 dias)'
-             WHEN {DAYS(DEL, EST)} <= 7 THEN 'Atraso moderado (4-7 dias)'
-             ELSE 'Atraso grave (8+ dias)' END AS faixa_atraso
+        CASE WHEN {DEL} <= {EST} THEN '{B_ON}'
+             WHEN {DAYS(DEL, EST)} <= 3 THEN '{B_LIGHT}'
+             WHEN {DAYS(DEL, EST)} <= 7 THEN '{B_MOD}'
+             ELSE '{B_SEV}' END AS faixa_atraso
       FROM r_orders o JOIN r_reviews r ON o.order_id = r.order_id
       WHERE {DELIVERED_WHERE}) classified
 GROUP BY faixa_atraso
-ORDER BY CASE faixa_atraso WHEN 'No prazo' THEN 1 WHEN 'Atraso leve (1-3 dias)' THEN 2
-  WHEN 'Atraso moderado (4-7 dias)' THEN 3 ELSE 4 END""",
+ORDER BY {BAND_ORDER}""",
     "k_volume_monthly": f"""
 SELECT CAST(date_trunc('month', {PUR}) AS TIMESTAMP) AS mes,
   COUNT(DISTINCT o.order_id) AS total_pedidos,
@@ -179,7 +184,7 @@ WHERE {PUR} >= TIMESTAMP '1997-01-01 00:00:00' AND {PUR} < TIMESTAMP '1998-09-01
 GROUP BY 1
 ORDER BY 1""",
     "k_category_top20": f"""
-SELECT COALESCE(t.product_category_name_english, p.product_category_name, 'other') AS categoria,
+SELECT COALESCE(t.product_category_name_english, p.product_category_name, '{OTHER_CATEGORY}') AS categoria,
   COUNT(DISTINCT o.order_id) AS total_pedidos,
   {RND("SUM(i.price)", 2)} AS receita_total,
   {RND("CAST(SUM(i.price) AS DOUBLE) / NULLIF(COUNT(DISTINCT o.order_id), 0)", 2)} AS ticket_medio,
@@ -188,7 +193,7 @@ SELECT COALESCE(t.product_category_name_english, p.product_category_name, 'other
 FROM r_items i JOIN r_orders o ON i.order_id = o.order_id
   JOIN r_products p ON i.product_id = p.product_id
   LEFT JOIN r_translation t ON p.product_category_name = t.product_category_name
-WHERE o.order_status = 'delivered'
+WHERE o.order_status = '{DELIVERED}'
 GROUP BY 1
 ORDER BY receita_total DESC NULLS FIRST, categoria
 LIMIT 20""",
@@ -202,7 +207,7 @@ SELECT CASE payment_type {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PAYMENT_
   COUNT(*) FILTER (WHERE payment_installments > 1) AS transacoes_parceladas,
   {PCT("COUNT(*) FILTER (WHERE payment_installments > 1)", "COUNT(*)", 1)} AS pct_parcelado
 FROM r_payments
-WHERE payment_type != 'not_defined'
+WHERE payment_type != '{EXCLUDED_PAYMENT_TYPE}'
 GROUP BY 1
 ORDER BY total_transacoes DESC NULLS FIRST, tipo_pagamento""",
 }
@@ -277,16 +282,16 @@ SELECT {RND('AVG(frete_medio)', M)} AS frete_medio_nacional,
 FROM k_freight_cost"""),
     "freight_scatter": (["k_freight_cost"],
                         "SELECT estado, ticket_medio, frete_medio, proporcao_frete_pct, total_pedidos FROM k_freight_cost"),
-    "delay_bands_ordered": (["k_delay_vs_satisfaction"], """
+    "delay_bands_ordered": (["k_delay_vs_satisfaction"], f"""
 SELECT faixa_atraso,
-  CAST(CASE faixa_atraso WHEN 'No prazo' THEN 1 WHEN 'Atraso leve (1-3 dias)' THEN 2
-    WHEN 'Atraso moderado (4-7 dias)' THEN 3 WHEN 'Atraso grave (8+ dias)' THEN 4 END AS INTEGER) AS ordem,
+  CAST(CASE faixa_atraso {" ".join(f"WHEN '{b}' THEN {i}" for i, b in enumerate(BAND_LABELS, 1))}
+    END AS INTEGER) AS ordem,
   total_pedidos, nota_media, pct_negativas
 FROM k_delay_vs_satisfaction ORDER BY ordem NULLS LAST, faixa_atraso"""),
     "delay_drop": (["k_delay_vs_satisfaction"], f"""
 SELECT nota_no_prazo, nota_atraso_grave, {RND('nota_no_prazo - nota_atraso_grave', 2)} AS queda
-FROM (SELECT MAX(nota_media) FILTER (WHERE faixa_atraso = 'No prazo') AS nota_no_prazo,
-        MAX(nota_media) FILTER (WHERE faixa_atraso = 'Atraso grave (8+ dias)') AS nota_atraso_grave
+FROM (SELECT MAX(nota_media) FILTER (WHERE faixa_atraso = '{BAND_ON_TIME}') AS nota_no_prazo,
+        MAX(nota_media) FILTER (WHERE faixa_atraso = '{BAND_SEVERE}') AS nota_atraso_grave
       FROM k_delay_vs_satisfaction) s"""),
     "scores_long": (["k_delay_vs_satisfaction"], " UNION ALL ".join(
         f"SELECT faixa_atraso, 'nota_{v}' AS nota, nota_{v} AS quantidade FROM k_delay_vs_satisfaction"
@@ -313,8 +318,8 @@ SELECT categoria, {_title("replace(categoria, '_', ' ')")} AS categoria_label FR
 SELECT categoria, receita_total, {RND('receita_total / SUM(receita_total) OVER () * 100', M)} AS share_pct
 FROM k_category_top20"""),
     "payment_cards": (["k_payments"], f"""
-SELECT {RND("CAST(SUM(total_transacoes) FILTER (WHERE tipo_pagamento = 'Cartão de Crédito') AS DOUBLE) / NULLIF(CAST(SUM(total_transacoes) AS DOUBLE), 0) * 100", M)} AS pct_transacoes_cartao,
-  MAX(parcelas_medias) FILTER (WHERE tipo_pagamento = 'Cartão de Crédito') AS parcelas_medias_credito,
+SELECT {RND(f"CAST(SUM(total_transacoes) FILTER (WHERE tipo_pagamento = '{CARD}') AS DOUBLE) / NULLIF(CAST(SUM(total_transacoes) AS DOUBLE), 0) * 100", M)} AS pct_transacoes_cartao,
+  MAX(parcelas_medias) FILTER (WHERE tipo_pagamento = '{CARD}') AS parcelas_medias_credito,
   {RND('AVG(ticket_medio)', M)} AS ticket_medio_geral
 FROM k_payments"""),
     "payment_share": (["k_payments"], f"""
