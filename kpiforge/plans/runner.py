@@ -72,6 +72,9 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
 
     def one(job):
         t0 = time.perf_counter()
+        # each KPI's jobs go to their own scheduler pool, so concurrent KPIs
+        # share the executors instead of queueing behind the first one
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"kpi_{job.name}")
         try:
             rows, err = replace_table(job.build(spark, tables), out_db, job.name), None
         except KeyError as e:  # a raw table the KPI reads is absent
@@ -80,6 +83,8 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
         except Exception as e:  # isolate one KPI's failure
             log.error("KPI %s failed: %s", job.name, e)
             rows, err = None, f"{type(e).__name__}: {e}".splitlines()[0][:500]
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
         return job.name, rows, err, time.perf_counter() - t0
 
     jobs = registry.jobs()

@@ -22,6 +22,8 @@ BASE_CONF = {
     # split needs, and only when it actually splits
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
+    # concurrent KPI runs (one scheduler pool each) share the executors
+    "spark.scheduler.mode": "FAIR",
     # checkpoint files are row-serialised; compress them (context-level setting)
     "spark.checkpoint.compress": "true",
 }
