@@ -11,7 +11,7 @@ import sys
 import time
 
 from kpiforge.plans.runner import RunReport, run_all, run_kpis
-from kpiforge.session import build_session
+from kpiforge.session import apply_scale_settings, build_session
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -24,10 +24,14 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--raw-db", default="raw")
         p.add_argument("--out-db", default="analytics")
         p.add_argument("--master", default=None, help="e.g. local[8]; default: from spark-submit")
-        p.add_argument("--shuffle-partitions", type=int, default=200)
+        p.add_argument("--shuffle-partitions", default="auto",
+                       help="a number, or 'auto': sized from the input (run) or 200")
         p.add_argument("--parallelism", type=int, default=4, help="KPIs run at once")
     args = ap.parse_args(argv)
-    spark = build_session(args.master, args.shuffle_partitions)
+    auto = args.shuffle_partitions == "auto"
+    spark = build_session(args.master, 200 if auto else int(args.shuffle_partitions))
+    if auto and args.cmd == "run":
+        apply_scale_settings(spark, args.data_dir)
     t0 = time.perf_counter()
     if args.cmd == "run":
         rep = run_all(spark, args.data_dir, raw_db=args.raw_db, out_db=args.out_db,

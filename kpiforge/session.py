@@ -57,6 +57,38 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20,
+                   max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle sizing for a run reading ``input_bytes``: about one shuffle
+    partition per ``partition_bytes`` of input (at least 200, at most
+    ``max_partitions`` to keep map-output metadata bounded), scans split at
+    128 MB, and AQE coalescing small partitions back towards half that size.
+    Partitions of this size fit executor memory and spill cleanly."""
+    parts = min(max(200, -(-input_bytes // partition_bytes)), max_partitions)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+    }
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (Hadoop FileSystem summary)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def apply_scale_settings(spark: SparkSession, path: str) -> dict[str, str]:
+    """Size the session's shuffles for the input under ``path``."""
+    conf = scale_settings(input_bytes(spark, path))
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the session, if any."""
     d = spark.conf.get("spark.checkpoint.dir", None)

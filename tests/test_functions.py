@@ -28,3 +28,10 @@ def test_rnd_half_away_from_zero(spark):
     df = spark.createDataFrame([(0.125,), (2.675,), (-1.005,), (1.0 / 3,)], "x double")
     got = [r[0] for r in df.select(rnd("x", 2)).collect()]
     assert got == [0.13, 2.68, -1.01, 0.33]
+
+
+def test_scale_settings():
+    from kpiforge.session import scale_settings
+    assert scale_settings(0)["spark.sql.shuffle.partitions"] == "200"
+    assert scale_settings(10 << 40)["spark.sql.shuffle.partitions"] == str(40960)   # 10 TiB / 256 MiB
+    assert scale_settings(100 << 40)["spark.sql.shuffle.partitions"] == "100000"    # capped
