@@ -73,11 +73,16 @@ def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20,
     }
 
 
+def hadoop_fs(spark: SparkSession, path: str):
+    """(Path, FileSystem) of ``path`` through the session's Hadoop
+    configuration: local folders, HDFS and object stores alike (metadata only)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def input_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under ``path`` (Hadoop FileSystem summary)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p, fs = hadoop_fs(spark, path)
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
 
@@ -150,8 +155,6 @@ def scratch_root(spark: SparkSession, base: str | None = None) -> str:
 
 def purge_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediates (only once nothing reads them)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path, fs = hadoop_fs(spark, scratch_root(spark))
     if fs.exists(path):
         fs.delete(path, True)

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from kpiforge.session import hadoop_fs
+
 RAW_DB = "raw"
 ANALYTICS_DB = "analytics"
 
@@ -38,12 +40,6 @@ def write_table(df: DataFrame, db: str, table: str) -> int:
     return int(obs.get["rows"])
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def replace_table(df: DataFrame, db: str, table: str, keep: int = 2) -> int:
     """Replace ``db.table`` so that readers see either the old or the new
     content, never a half-written table: the new rows go to a fresh version
@@ -63,11 +59,11 @@ def replace_table(df: DataFrame, db: str, table: str, keep: int = 2) -> int:
         spark.catalog.refreshTable(name)
     else:
         spark.catalog.createTable(f"{db}.{table}", path=version, source="parquet")
-    root, fs = _fs(spark, base)
+    root, fs = hadoop_fs(spark, base)
     versions = sorted(st.getPath().getName() for st in fs.listStatus(root)
                       if st.isDirectory() and st.getPath().getName().startswith("_v"))
     for old in versions[:-keep]:
-        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{old}"), True)
+        fs.delete(hadoop_fs(spark, f"{base}/{old}")[0], True)
     return int(obs.get["rows"])
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiforge.schemas import NA_TOKENS, RAW_SCHEMAS, SPLITTABLE_TABLES
+from kpiforge.session import hadoop_fs
 from kpiforge.sources.catalog import RAW_DB, ensure_databases, replace_table
 
 log = logging.getLogger(__name__)
@@ -28,17 +29,11 @@ def table_name_for(filename: str) -> str:
     return name
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def list_csv_files(spark: SparkSession, data_dir: str) -> list[str]:
     """Full paths of ``*.csv`` directly under ``data_dir``, sorted by file name.
     Listed through the Hadoop FileSystem of the path, so local folders, HDFS
     and object stores behave the same. A missing folder lists as empty."""
-    path, fs = _fs(spark, data_dir)
+    path, fs = hadoop_fs(spark, data_dir)
     if not fs.exists(path):
         return []
     files = [s.getPath() for s in fs.listStatus(path) if s.isFile()]
@@ -50,7 +45,7 @@ def list_csv_sources(spark: SparkSession, data_dir: str) -> list[tuple[str, str]
     """(table, path) for every source under ``data_dir``, sorted by name: each
     ``*.csv`` file, and each sub-folder holding ``*.csv`` part files (one table
     read by many tasks; the folder name is mapped like a file name)."""
-    path, fs = _fs(spark, data_dir)
+    path, fs = hadoop_fs(spark, data_dir)
     if not fs.exists(path):
         return []
     out = []
