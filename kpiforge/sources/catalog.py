@@ -67,6 +67,31 @@ def replace_table(df: DataFrame, db: str, table: str, keep: int = 2) -> int:
     return int(obs.get["rows"])
 
 
+def recover_tables(spark: SparkSession, db: str) -> list[str]:
+    """Register the tables whose folders exist under ``db``'s location but
+    which the catalog does not know (a new process without a persistent
+    metastore), each at its newest complete version: a version folder whose
+    write committed (``_SUCCESS``), so a half-written version is never used."""
+    ensure_databases(spark, db)
+    base = spark.catalog.getDatabase(db).locationUri.rstrip("/")
+    root, fs = hadoop_fs(spark, base)
+    if not fs.exists(root):
+        return []
+    known = {t.name for t in spark.catalog.listTables(db)}
+    found = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if not st.isDirectory() or name in known or name.startswith(("_", ".")):
+            continue
+        done = sorted(v.getPath().getName() for v in fs.listStatus(st.getPath())
+                      if v.isDirectory() and v.getPath().getName().startswith("_v")
+                      and fs.exists(hadoop_fs(spark, f"{base}/{name}/{v.getPath().getName()}/_SUCCESS")[0]))
+        if done:
+            spark.catalog.createTable(f"{db}.{name}", path=f"{base}/{name}/{done[-1]}", source="parquet")
+            found.append(name)
+    return found
+
+
 def load_table(spark: SparkSession, name: str, db: str = ANALYTICS_DB,
                cache: bool = False) -> DataFrame:
     """``SELECT * FROM db.name``. KPI columns are stored typed, so no per-column
@@ -77,7 +102,10 @@ def load_table(spark: SparkSession, name: str, db: str = ANALYTICS_DB,
 
 
 def try_load(spark: SparkSession, name: str, db: str = ANALYTICS_DB) -> DataFrame | None:
-    """The table, or None when it does not exist (yet)."""
+    """The table, or None when it does not exist (yet). A table written by an
+    earlier process is registered again from its folder first."""
+    if not spark.catalog.tableExists(f"{db}.{name}"):
+        recover_tables(spark, db)
     if not spark.catalog.tableExists(f"{db}.{name}"):
         return None
     return load_table(spark, name, db)
@@ -91,5 +119,7 @@ def refresh(spark: SparkSession, name: str, db: str = ANALYTICS_DB) -> None:
 
 
 def raw_tables(spark: SparkSession, db: str = RAW_DB) -> dict[str, DataFrame]:
-    """Every table of the raw database, by name."""
+    """Every table of the raw database, by name (tables written by an earlier
+    process are registered again from their folders)."""
+    recover_tables(spark, db)
     return {t.name: spark.table(f"`{db}`.`{t.name}`") for t in spark.catalog.listTables(db)}

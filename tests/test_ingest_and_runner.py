@@ -196,7 +196,11 @@ def test_page_metrics_from_the_catalog(spark, data_dir):
     best = pages["otd_best_worst"].first()
     assert (best["melhor_estado"], best["pior_estado"]) == ("SP", "RJ")
     assert pages["payment_cards"].first()["pct_transacoes_cartao"] == 50.0
-    spark.sql("DROP TABLE analytics_dash.volume_temporal")
+    import shutil
+    from kpiforge.sources.catalog import table_path
+    folder = table_path(spark, "analytics_dash", "volume_temporal").replace("file:", "")
+    spark.sql("DROP TABLE analytics_dash.volume_temporal")     # external: remove its folder too
+    shutil.rmtree(folder)
     assert "volume_trend" not in page_metrics(spark, "analytics_dash")
 
 
@@ -230,3 +234,20 @@ def test_replace_table_switches_versions(spark, data_dir):
     base = table_path(spark, "an_swap", "t").replace("file:", "")
     assert len([v for v in os.listdir(base) if v.startswith("_v")]) == 2
     assert spark.table("an_swap.t").count() == 2
+
+
+def test_tables_of_an_earlier_process_are_recovered(spark, data_dir):
+    from kpiforge.sources.catalog import ensure_databases, recover_tables, replace_table, table_path
+    ensure_databases(spark, "raw_rec")
+    df = read_csv(spark, os.path.join(data_dir, "olist_orders_dataset.csv"), "orders")
+    replace_table(df, "raw_rec", "orders")
+    replace_table(df.limit(2), "raw_rec", "orders")
+    # a half-written newer version (no commit marker) must be ignored
+    os.makedirs(os.path.join(table_path(spark, "raw_rec", "orders").replace("file:", ""), "_v999999999999999_x"))
+    spark.sql("DROP TABLE raw_rec.orders")                     # external: files stay
+    assert not spark.catalog.tableExists("raw_rec.orders")
+    assert recover_tables(spark, "raw_rec") == ["orders"]
+    assert spark.table("raw_rec.orders").count() == 2
+    spark.sql("DROP TABLE raw_rec.orders")
+    assert set(raw_tables(spark, "raw_rec")) == {"orders"}
+    assert try_load(spark, "nothing_here", "raw_rec") is None
