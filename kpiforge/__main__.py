@@ -10,6 +10,8 @@ import json
 import sys
 import time
 
+from kpiforge.operators import volume_monthly
+from kpiforge.plans.registry import default_registry
 from kpiforge.plans.runner import RunReport, run_all, run_kpis
 from kpiforge.session import apply_scale_settings, build_session
 
@@ -27,17 +29,25 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--shuffle-partitions", default="auto",
                        help="a number, or 'auto': sized from the input (run) or 200")
         p.add_argument("--parallelism", type=int, default=4, help="KPIs run at once")
+        p.add_argument("--volume-from", default=volume_monthly.DEFAULT_BOUNDS[0],
+                       help="first purchase date of the monthly volume KPI (inclusive)")
+        p.add_argument("--volume-to", default=volume_monthly.DEFAULT_BOUNDS[1],
+                       help="end of the monthly volume window (exclusive)")
     args = ap.parse_args(argv)
+    registry = default_registry()
+    if (args.volume_from, args.volume_to) != volume_monthly.DEFAULT_BOUNDS:
+        lo, hi = args.volume_from, args.volume_to
+        registry.register(volume_monthly.NAME, lambda t: volume_monthly.build(t, lo, hi))
     auto = args.shuffle_partitions == "auto"
     spark = build_session(args.master, 200 if auto else int(args.shuffle_partitions))
     if auto and args.cmd == "run":
         apply_scale_settings(spark, args.data_dir)
     t0 = time.perf_counter()
     if args.cmd == "run":
-        rep = run_all(spark, args.data_dir, raw_db=args.raw_db, out_db=args.out_db,
+        rep = run_all(spark, args.data_dir, registry, raw_db=args.raw_db, out_db=args.out_db,
                       parallelism=args.parallelism)
     else:
-        rep = run_kpis(spark, raw_db=args.raw_db, out_db=args.out_db,
+        rep = run_kpis(spark, registry, raw_db=args.raw_db, out_db=args.out_db,
                        parallelism=args.parallelism, report=RunReport())
         rep.seconds = time.perf_counter() - t0
     print(json.dumps({"ingested": rep.ingested, "written": rep.written, "failed": rep.failed,

@@ -177,6 +177,10 @@ def test_command_line_run(spark, data_dir, capsys):
                  "--shuffle-partitions", "4"]) == 0
     out = capsys.readouterr().out
     assert '"otd": 2' in out and '"failed": {}' in out
+    assert main(["kpis", "--raw-db", "raw_cli", "--out-db", "analytics_cli2", "--shuffle-partitions", "4",
+                 "--volume-from", "2018-02-01", "--volume-to", "2018-03-01"]) == 0
+    months = spark.table("analytics_cli2.volume_temporal").collect()
+    assert [(m["mes"].month, m["total_pedidos"]) for m in months] == [(2, 1)]
 
 
 def test_cached_read_and_refresh(spark, data_dir):
