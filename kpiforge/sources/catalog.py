@@ -1,4 +1,5 @@
-"""Catalog tables: databases, full-replace sinks and tolerant reads."""
+"""Catalog tables: databases, versioned full-replace sinks, recovery of tables
+written by an earlier process, and tolerant reads."""
 
 from __future__ import annotations
 
@@ -31,8 +32,8 @@ def write_table(df: DataFrame, db: str, table: str) -> int:
     a rerun in a new process (whose catalog may not know the table any more)
     takes the folder over and replaces its content, instead of refusing the
     existing location. The row count is observed during the write itself (no
-    second scan). The replace is not atomic for readers; write to a staging
-    name and swap when concurrent readers matter."""
+    second scan). The replace is not atomic for readers; ``replace_table``
+    switches versions atomically."""
     obs = Observation(f"rows_{db}_{table}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
         .format("parquet").option("path", table_path(df.sparkSession, db, table)) \
@@ -59,14 +60,29 @@ def replace_table(df: DataFrame, db: str, table: str, keep: int = 2) -> int:
         spark.catalog.refreshTable(name)
     else:
         spark.catalog.createTable(f"{db}.{table}", path=version, source="parquet")
-    root, fs = hadoop_fs(spark, base)
-    versions = sorted(st.getPath().getName() for st in fs.listStatus(root)
-                      if st.isDirectory() and st.getPath().getName().startswith("_v"))
-    for old in versions[:-keep]:
-        fs.delete(hadoop_fs(spark, f"{base}/{old}")[0], True)
+    committed, leftovers = _versions(spark, base)
+    current = version.rsplit("/", 1)[-1]
+    stale = committed[:-keep] + [v for v in leftovers if v < current]  # crashed older writes
+    fs = hadoop_fs(spark, base)[1]
+    for v in stale:
+        fs.delete(hadoop_fs(spark, f"{base}/{v}")[0], True)
     return int(obs.get["rows"])
 
 
+def _versions(spark: SparkSession, base: str) -> tuple[list[str], list[str]]:
+    """Version folders of a table folder, oldest first: (committed, not committed)."""
+    root, fs = hadoop_fs(spark, base)
+    if not fs.exists(root):
+        return [], []
+    committed, other = [], []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("_v"):
+            done = fs.exists(hadoop_fs(spark, f"{base}/{name}/_SUCCESS")[0])
+            (committed if done else other).append(name)
+    return sorted(committed), sorted(other)
+
+
 def recover_tables(spark: SparkSession, db: str) -> list[str]:
     """Register the tables whose folders exist under ``db``'s location but
     which the catalog does not know (a new process without a persistent
@@ -83,9 +99,7 @@ def recover_tables(spark: SparkSession, db: str) -> list[str]:
         name = st.getPath().getName()
         if not st.isDirectory() or name in known or name.startswith(("_", ".")):
             continue
-        done = sorted(v.getPath().getName() for v in fs.listStatus(st.getPath())
-                      if v.isDirectory() and v.getPath().getName().startswith("_v")
-                      and fs.exists(hadoop_fs(spark, f"{base}/{name}/{v.getPath().getName()}/_SUCCESS")[0]))
+        done = _versions(spark, f"{base}/{name}")[0]
         if done:
             spark.catalog.createTable(f"{db}.{name}", path=f"{base}/{name}/{done[-1]}", source="parquet")
             found.append(name)

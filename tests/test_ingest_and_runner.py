@@ -255,3 +255,16 @@ def test_tables_of_an_earlier_process_are_recovered(spark, data_dir):
     spark.sql("DROP TABLE raw_rec.orders")
     assert set(raw_tables(spark, "raw_rec")) == {"orders"}
     assert try_load(spark, "nothing_here", "raw_rec") is None
+
+
+def test_crashed_write_does_not_take_the_previous_version_slot(spark, data_dir):
+    from kpiforge.sources.catalog import ensure_databases, replace_table, table_path
+    ensure_databases(spark, "an_crash")
+    df = read_csv(spark, os.path.join(data_dir, "olist_orders_dataset.csv"), "orders")
+    replace_table(df, "an_crash", "t")
+    base = table_path(spark, "an_crash", "t").replace("file:", "")
+    os.makedirs(os.path.join(base, "_v000000000000001_crashed"))   # older, never committed
+    before = spark.table("an_crash.t")
+    replace_table(df.limit(1), "an_crash", "t")
+    assert before.count() == 3                                      # previous committed version kept
+    assert sorted(v for v in os.listdir(base) if v.startswith("_v"))[0] != "_v000000000000001_crashed"
