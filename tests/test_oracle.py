@@ -23,11 +23,15 @@ def con():
     return c
 
 
+# the queries of the order tables; the others are tested with their package
+NAMES = sorted(set(E.queries()) - set(E._EXTRA))
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
