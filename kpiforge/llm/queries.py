@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiforge.llm import bpe, fingerprints, packing
+from kpiforge.llm import bpe, brown_lm, fingerprints, language_id, packing, quality_rules
+from kpiforge.llm.common import remainder_of_id
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -23,20 +24,40 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.score(table(spark, sf_dir, "documents"), held_out=remainder_of_id("doc_id", 7) == 2)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packing.pack(table(spark, sf_dir, "documents"), vocabulary())
     return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                        "doc_tokens", "sequence_id", "offset")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder_of_id("doc_id", 3) == 1
+    found = language_id.identify(docs, language_id.fit(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", "log_ppl", "ppl_low", "ppl_high")
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_brown_lm": op2_brown_lm,
     "op3_packing": op3_packing,
+    "op4_language_id": op4_language_id,
     "op5_bpe": op5_bpe,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {}
