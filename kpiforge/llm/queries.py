@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiforge.llm import bpe, brown_lm, fingerprints, language_id, packing, quality_rules
+from kpiforge.llm import bpe, brown_lm, fingerprints, language_id, order_minhash, packing, quality_rules
 from kpiforge.llm.common import remainder_of_id
 
 
@@ -51,6 +51,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "log_ppl", "ppl_low", "ppl_high")
 
 
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_rows")
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_brown_lm": op2_brown_lm,
@@ -58,6 +62,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_bpe": op5_bpe,
     "op8_quality_rules": op8_quality_rules,
+    "op9_order_minhash": op9_order_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
