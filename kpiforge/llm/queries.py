@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiforge.llm import bpe, brown_lm, fingerprints, language_id, order_minhash, packing, quality_rules
+from kpiforge.llm import bpe, brown_lm, fingerprints, language_id, order_minhash, packing, quality_rules, secret_scan
 from kpiforge.llm.common import remainder_of_id
 
 
@@ -55,6 +55,19 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_rows")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < secret_scan.KINDS.index("opaque"))
+
+    def count(kind: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(secret_scan.KINDS[:3])],
+                        F.sha2(secret_scan.spans_text(base), 256).alias("base_sha256"),
+                        secret_scan.spans_text(F.col("spans")).alias("spans"),
+                        F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_brown_lm": op2_brown_lm,
@@ -63,6 +76,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_order_minhash": op9_order_minhash,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {}
