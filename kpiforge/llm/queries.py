@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiforge.llm import bpe, brown_lm, fingerprints, language_id, order_minhash, packing, quality_rules, secret_scan
+from kpiforge.llm import bpe, brown_lm, fingerprints, language_id, order_minhash, packing, quality_rules, secret_scan, tool_calls
 from kpiforge.llm.common import remainder_of_id
 
 
@@ -68,15 +68,82 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"))
 
 
+# the tools that the turns of a conversation stand for: short turns ask, long ones tell
+TURN_TOOLS = {"ask": {"text": ("string", True), "words": ("integer", True)},
+              "tell": {"text": ("string", True), "title": ("string", True), "words": ("integer", True)}}
+
+
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user turn as a call (a long one with its first line as title, if it
+    has several) that uses the result of the call two turns before; every
+    assistant turn as the result of the call one turn before."""
+    turns = table(spark, sf_dir, "conversations")
+
+    def call_id(back: int):
+        return F.concat(F.lit("call-"), F.col("conv_id").cast("string"), F.lit("-"),
+                        (F.col("turn") - back).cast("string"))
+
+    words = F.size(F.filter(F.split("text", "[ \\t-\\r]+"), lambda w: w != ""))
+    name = F.when(words < 40, "ask").otherwise("tell")
+    title = F.when((words >= 40) & F.contains("text", F.lit("\n")), F.split_part("text", F.lit("\n"), F.lit(1)))
+    calls = turns.filter("role = 'user'").select(
+        "conv_id", "turn", call_id(0).alias("call_id"), name.alias("name"),
+        F.to_json(F.struct("text", title.alias("title"), words.alias("words"))).alias("arguments"),
+        F.when(F.col("turn") >= 2, F.array(call_id(2))).otherwise(F.array().cast("array<string>")).alias("uses"))
+    results = turns.filter("role = 'assistant'").select("conv_id", "turn", call_id(1).alias("call_id"),
+                                                        F.col("text").alias("content"))
+    linked = tool_calls.link(calls, results, TURN_TOOLS)
+    return linked.select("kind", "conv_id", "call_id", "turn", "name", "position", "cyclic",
+                         F.array_join("problems", ";").alias("problems"),
+                         F.array_join("unknown_uses", ";").alias("unknown_uses"),
+                         "result_turn", "n_results", "json")
+
+
+OP7_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, role, text,
+         len(regexp_extract_all(text, '[^ \t-\r]+')) AS words
+  FROM conversations),
+c AS (
+  SELECT conv_id, turn, 'call-' || conv_id || '-' || turn AS call_id, text, words,
+         CASE WHEN words < 40 THEN 'ask' ELSE 'tell' END AS name,
+         CASE WHEN words >= 40 AND contains(text, chr(10)) THEN split_part(text, chr(10), 1) END AS title,
+         CASE WHEN turn >= 2 THEN 'call-' || conv_id || '-' || (turn - 2) END AS uses
+  FROM t WHERE role = 'user'),
+r AS (
+  SELECT conv_id, turn AS result_turn, 'call-' || conv_id || '-' || (turn - 1) AS call_id, text AS content
+  FROM t WHERE role = 'assistant'),
+p AS (
+  SELECT c.*, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position,
+         uses IS NOT NULL AND uses NOT IN (SELECT call_id FROM c) AS lost
+  FROM c)
+SELECT 'call' AS kind, conv_id, call_id, turn, name, position, FALSE AS cyclic,
+       CASE WHEN name = 'tell' AND title IS NULL THEN 'missing title' ELSE '' END AS problems,
+       CASE WHEN lost THEN uses ELSE '' END AS unknown_uses,
+       result_turn, CASE WHEN result_turn IS NULL THEN 0 ELSE 1 END::BIGINT AS n_results,
+       '{"arguments":{"text":' || to_json(text)::VARCHAR
+         || CASE WHEN title IS NULL THEN '' ELSE ',"title":' || to_json(title)::VARCHAR END
+         || ',"words":' || words || '},"content":' || coalesce(to_json(content)::VARCHAR, 'null')
+         || ',"id":"' || call_id || '","name":"' || name || '","position":' || position
+         || ',"uses":[' || coalesce('"' || uses || '"', '') || ']}' AS json
+FROM p LEFT JOIN r USING (conv_id, call_id)
+UNION ALL
+SELECT 'orphan', conv_id, call_id, NULL, NULL, NULL, FALSE, '', '', result_turn, 1,
+       '{"content":' || to_json(content)::VARCHAR || '}'
+FROM r WHERE call_id NOT IN (SELECT call_id FROM c)
+"""
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_brown_lm": op2_brown_lm,
     "op3_packing": op3_packing,
     "op4_language_id": op4_language_id,
     "op5_bpe": op5_bpe,
+    "op7_tool_calls": op7_tool_calls,
     "op8_quality_rules": op8_quality_rules,
     "op9_order_minhash": op9_order_minhash,
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_tool_calls": OP7_SQL}
