@@ -278,3 +278,13 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     return d.mapInArrow(run, f"{types}, lang_pred string, score double, "
                              "spans array<struct<lang: string, start: bigint, end: bigint>>")
+
+
+def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+               least_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text is mainly of one learned language, with
+    all of their columns; the model is fitted on the rows that name a language."""
+    ride = {f"_{i}": c for i, c in enumerate(docs.columns)}
+    found = identify(docs, fit(docs, text_col, lang_col), id_col, text_col, **ride)
+    kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    return kept.select(*[F.col(new).alias(c) for new, c in ride.items()])

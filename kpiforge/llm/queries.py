@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiforge.llm import bpe, brown_lm, fingerprints, language_id, order_minhash, packing, quality_rules, secret_scan, tool_calls
+from kpiforge.llm import bpe, brown_lm, cotraining, fingerprints, language_id, order_minhash, packing, quality_rules, secret_scan, tool_calls
 from kpiforge.llm.common import remainder_of_id
 
 
@@ -68,6 +68,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"))
 
 
+def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = cotraining.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("good", F.col("score") >= 0.5)
+
+
 # the tools that the turns of a conversation stand for: short turns ask, long ones tell
 TURN_TOOLS = {"ask": {"text": ("string", True), "words": ("integer", True)},
               "tell": {"text": ("string", True), "title": ("string", True), "words": ("integer", True)}}
@@ -140,6 +145,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_language_id": op4_language_id,
     "op5_bpe": op5_bpe,
+    "op6_cotraining": op6_cotraining,
     "op7_tool_calls": op7_tool_calls,
     "op8_quality_rules": op8_quality_rules,
     "op9_order_minhash": op9_order_minhash,
