@@ -1,0 +1,158 @@
+"""Language ID by held-out accuracy and exact paths; quality rules by brute force."""
+
+import collections
+import itertools
+import math
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+
+from kpiforge.llm import language_id as li
+from kpiforge.llm import quality_rules as qr
+from kpiforge.llm.queries import op4_language_id, op8_quality_rules
+from tests.llm.helpers import ODD, corpus, frame, sentence, words
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    got = op4_language_id(spark, SF)
+    assert got.columns[:4] == ["doc_id", "held_out", "lang_pred", "score"]
+    rows = [r for r in got.join(docs, "doc_id").collect() if r.held_out]
+    assert len(rows) > 200
+    assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.97
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_viterbi_equals_all_paths():
+    rng = np.random.default_rng(0)
+    for _ in range(150):
+        of = np.concatenate([[0], np.cumsum(rng.integers(0, 6, 4))])
+        scores = rng.normal(size=(of[-1], 3)) * 3
+        for label in (li.label_words(scores, of, 2.0), li.viterbi(scores, of, 2.0)):
+            for a, b in zip(of, of[1:]):
+                def value(p):
+                    return (sum(scores[a + i, x] for i, x in enumerate(p))
+                            - 2.0 * sum(x != y for x, y in zip(p, p[1:])))
+                best = max((value(p) for p in itertools.product(range(3), repeat=b - a)), default=0)
+                assert abs(value(label[a:b]) - best) < 1e-9
+
+
+def test_mixed_text_gets_spans(spark):
+    rng = random.Random(3)
+    model = li.fit(frame(spark, corpus()))
+    en, de = sentence(rng, "en", 40).replace("\n", " "), sentence(rng, "de", 80).replace("\n", " ")
+    mixed = [(1, en + " " + de, None, None, 0), (2, "Привет мир", None, None, 0)]
+    rows = {r.doc_id: r for r in li.identify(frame(spark, mixed, clashing=True), model).collect()}
+    assert [s.lang for s in rows[1].spans] == ["en", "de"]
+    assert abs(rows[1].spans[0].end - len(en)) < 12 and rows[1].lang_pred == "de"
+    # no learned language uses that script
+    assert rows[2].lang_pred == "de" and rows[2].score == 0.0
+
+
+def test_language_odd_rows(spark):
+    docs = frame(spark, corpus() + ODD, clashing=True)
+    model = li.fit(docs)
+    assert model.languages == ["de", "en", "fr"]
+    got = [(r.doc_id, r.lang_pred, r.score) for r in li.identify(docs, model).collect()]
+    assert len(got) == docs.count()
+    by_id = {d: (p, s) for d, p, s in got}
+    for d in (1000, 1001, 1002, 1007):
+        assert by_id[d] == ("und", 0.0)
+    nothing = li.fit(frame(spark, []))
+    assert nothing.languages == []
+    assert {r.lang_pred for r in li.identify(docs, nothing).collect()} == {"und"}
+    assert li.identify(frame(spark, []), model).collect() == []
+    kept = li.keep_known(docs)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} >= {r[0] for r in corpus()}
+
+
+def brute_counts(t):
+    w = words(t)
+    found = collections.Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
+    covered = {i + j for i in range(len(w) - 2) if found[tuple(w[i:i + 3])] > 1 for j in range(3)}
+    lines = [x for x in (t or "").split("\n") if words(x)]
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(covered))
+
+
+def test_counts_by_brute_force(spark):
+    rows = corpus() + ODD + [(2000, "a b c\na b c\n\n  \na b c d a b", "en", "s", 0), (2001, "a a a a", "en", "s", 0)]
+    got = qr.judge(frame(spark, rows, clashing=True)).collect()
+    assert len(got) == len(rows)
+    assert sorted(tuple(r[c] for c in qr.COUNTS) for r in got) == sorted(brute_counts(r[1]) for r in rows)
+    for r in got:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert not (r.base_failed and r.kept)
+
+
+def test_query_counts(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = op8_quality_rules(spark, SF)
+    assert got.columns[:8] == ["doc_id", *qr.COUNTS, "base_failed", "kept"]
+    rows = got.collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert tuple(r[c] for c in qr.COUNTS) == brute_counts(docs[r.doc_id])
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    good = [r.kept for r in rows if labels.get(r.doc_id) == 1 and not r.base_failed]
+    assert sum(good) / len(good) > 0.99
+
+
+def test_model_is_kneser_ney_and_sums_to_one():
+    """Against a dictionary version of the same recursion."""
+    texts = ["abab ac", "abc", "", "ba!"]
+    raw, offsets = qr.buffer_of(pa.array(texts))
+    codes, counts = np.unique(qr.ngram_codes(raw, offsets, 3), return_counts=True)
+    model = qr.KneserNey(codes, counts, order=3)
+    grams = collections.Counter()
+    for t in texts:
+        c = [0, 0] + [int(qr.CLASS_OF[b]) for b in t.encode()]
+        grams.update(tuple(c[i:i + 3]) for i in range(len(c) - 2))
+    tables = {3: grams}
+    for n in (2, 1):
+        tables[n] = collections.Counter(g[1:] for g in tables[n + 1])
+    cut = {n: qr.discounts(np.array(list(t.values()))) for n, t in tables.items()}
+
+    def p(g):
+        n = len(g)
+        if n == 0:
+            return 1 / qr.CLASSES
+        same = {x: c for x, c in tables[n].items() if x[:-1] == g[:-1]}
+        if not same:
+            return p(g[1:])
+        total = sum(same.values())
+        left = sum(cut[n][min(c, 3)] for c in same.values())
+        c = same.get(g, 0)
+        return (c - cut[n][min(c, 3)]) / total + left / total * p(g[1:])
+
+    k = qr.CLASSES
+    for context in [(0, 0), (2, 3), (3, 2), (5, 9)]:
+        x = np.array([(context[0] * k + context[1]) * k + w for w in range(k)])
+        got = 10 ** model.log10(x)
+        assert abs(got.sum() - 1) < 1e-9
+        assert np.allclose(got, [p((*context, w)) for w in range(k)])
+
+
+def test_bands_reject_both_ends(spark):
+    rng = random.Random(9)
+    rows = corpus(n=240)
+    shout = "\n".join(" ".join(w.upper() + "!!" for w in sentence(rng, "en", 30).split()) for _ in range(5))
+    symbols = " ".join(w + "#*|" for w in sentence(rng, "en", 150).split())
+    got = {r.doc_id: r for r in qr.judge(frame(spark, rows + [(900, shout, "en", "s", 0), (901, symbols, "en", "s", 0)]))
+           .collect()}
+    assert not got[901].kept and not got[901].base_failed and got[901].log_ppl > got[901].ppl_high
+    assert not got[900].kept
+    assert all(got[r[0]].kept for r in rows)
+
+
+def test_keep_good_keeps_columns_and_empty(spark):
+    docs = frame(spark, corpus() + ODD, clashing=True)
+    kept = qr.keep_good(docs)
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    assert {r.doc_id for r in kept.collect()} == {r[0] for r in corpus()}
+    assert qr.keep_good(frame(spark, [])).collect() == []
+    assert math.isfinite(qr.judge(docs).filter("doc_id = 1005").first().log_ppl)
