@@ -136,9 +136,12 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
         .select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("spans").alias("_spans"))
         .dropDuplicates(["_id", "_key"]))
     hit = F.broadcast(hit) if n <= SMALL_ROWS else hit
-    text = F.col(f"`{text_col}`")
-    d = docs.withColumn("_text_key", F.unhex(F.md5(F.coalesce(text, F.lit("")))))
-    d = d.join(hit, (F.col("_text_key") == F.col("_key")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_id")), "left")
+    # the row travels as one struct, so none of its names can clash
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                    F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    d = d.withColumn("text_key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    d = d.join(hit, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    text = F.col("text")
 
     def add(acc: Column, s: Column) -> Column:
         overlaps = s["start"] < acc["at"]
@@ -148,11 +151,11 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     masked = F.aggregate("_spans", zero, add,
                          lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.char_length(text))))
-    new = {text_col: F.when(F.col("_spans").isNull(), text).otherwise(masked)}
-    columns = [new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns]
-    out = d.select(*columns, F.col("_spans").isNotNull().alias("_changed"))
-    if chars_col in docs.columns:
-        kind = docs.schema[chars_col].dataType
-        out = out.withColumn(chars_col, F.when(F.col("_changed"), F.char_length(F.col(f"`{text_col}`")).cast(kind))
-                             .otherwise(F.col(f"`{chars_col}`")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    clean = F.col("_spans").isNull()
+    d = d.select("row", clean.alias("clean"), F.when(clean, text).otherwise(masked).alias("masked"))
+    columns = {c: F.col("row")[c] for c in docs.columns}
+    columns[text_col] = F.col("masked")
+    if chars_col in columns:
+        size = F.char_length("masked").cast(docs.schema[chars_col].dataType)
+        columns[chars_col] = F.when(F.col("clean"), columns[chars_col]).otherwise(size)
+    return d.select(*[value.alias(c) for c, value in columns.items()])
