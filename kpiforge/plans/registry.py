@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
 from collections import OrderedDict
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,12 +26,41 @@ class KpiJob:
     def build(self, spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
         if self.builder is not None:
             return self.builder(tables)
-        return spark.sql(self.sql)
+        return bind_sql(spark, self.sql, tables)
+
+
+def bind_sql(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``sql`` with every ``raw.<table>`` outside of quotes and comments read
+    from ``tables`` (a table that is not there raises KeyError)."""
+    views: dict[str, str] = {}
+
+    def view_of(name: str) -> str:
+        if name not in views:
+            views[name] = f"kpiforge_{uuid.uuid4().hex}"
+            tables[name].createOrReplaceTempView(views[name])
+        return views[name]
+
+    def put(m: re.Match) -> str:
+        return view_of(m["plain"] or m["ticked"]) if m["plain"] or m["ticked"] else m[0]
+
+    try:
+        return spark.sql(_RAW_REFERENCE.sub(put, sql))
+    finally:
+        for v in views.values():  # the plan holds the tables, the names are not needed any more
+            spark.catalog.dropTempView(v)
+
+
+# quoted text and comments are matched first and left as they are
+_RAW_REFERENCE = re.compile(
+    r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*"|--[^\n]*|/\*.*?\*/"""
+    r"""|(?<![\w.`])`?raw`?\.(?:(?P<plain>\w+)|`(?P<ticked>[^`]+)`)""", re.S | re.I)
 
 
 class Registry:
     """Adding a KPI is one ``register`` (a function of the raw tables) or one
-    ``register_sql`` (Spark SQL reading ``raw.<table>``)."""
+    ``register_sql`` / ``register_sql_file`` (Spark SQL reading
+    ``raw.<table>``, which means the raw tables of the run, whatever their
+    database is called)."""
 
     def __init__(self) -> None:
         self._jobs: OrderedDict[str, KpiJob] = OrderedDict()
@@ -43,6 +75,11 @@ class Registry:
         self._jobs[name] = KpiJob(name, sql=sql.strip().rstrip(";"))
         return self
 
+    def register_sql_file(self, path: str, name: str | None = None) -> "Registry":
+        """The SQL text of ``path`` (UTF-8); the KPI is named after the file."""
+        with open(path, encoding="utf-8") as f:
+            return self.register_sql(name or os.path.splitext(os.path.basename(path))[0], f.read())
+
     def names(self) -> list[str]:
         return list(self._jobs)
 

@@ -72,12 +72,6 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
     "product_category_name_translation": CATEGORY_TRANSLATION,
 }
 
-# Known tables whose fields never hold line breaks: their CSV files are read
-# line-splittable (many tasks per file). Free-text tables (review comments) and
-# unknown files are read with multi-line parsing, which is one task per file,
-# so large ones should arrive as a folder of part files.
-SPLITTABLE_TABLES = frozenset(RAW_SCHEMAS) - {"order_reviews"}
-
 # The tokens a default pandas CSV read turns into missing values.
 NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",

@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from kpiforge.session import hadoop_fs
 
@@ -25,46 +26,47 @@ def table_path(spark: SparkSession, db: str, table: str) -> str:
     return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{table}"
 
 
-def write_table(df: DataFrame, db: str, table: str) -> int:
-    """Replace ``db.table`` with ``df`` and return the number of rows written.
+# a version folder without a commit marker may belong to a writer still at
+# work; one that began this long ago is taken for dead
+ABANDONED_MS = 7 * 24 * 3600 * 1000
 
-    The table is written at an explicit folder inside the database's location:
-    a rerun in a new process (whose catalog may not know the table any more)
-    takes the folder over and replaces its content, instead of refusing the
-    existing location. The row count is observed during the write itself (no
-    second scan). The replace is not atomic for readers; ``replace_table``
-    switches versions atomically."""
-    obs = Observation(f"rows_{db}_{table}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
-        .format("parquet").option("path", table_path(df.sparkSession, db, table)) \
-        .saveAsTable(f"`{db}`.`{table}`")
-    return int(obs.get["rows"])
+
+def _same_columns(a: StructType, b: StructType) -> bool:
+    return [(f.name, f.dataType) for f in a.fields] == [(f.name, f.dataType) for f in b.fields]
 
 
 def replace_table(df: DataFrame, db: str, table: str, keep: int = 2) -> int:
-    """Replace ``db.table`` so that readers see either the old or the new
-    content, never a half-written table: the new rows go to a fresh version
-    folder under the table folder, then one catalog operation points the table
-    at it. The ``keep`` newest versions stay (a reader that resolved the table
-    just before the switch still finds its files); older ones are deleted.
-    ``keep=1`` keeps no previous version (raw tables: no doubled storage).
-    Returns the number of rows written (observed during the write)."""
+    """Replace ``db.table``, rows and columns, so that readers see either the
+    old or the new content, never a half-written table: the new rows go to a
+    fresh version folder under the table folder, then the catalog points the
+    table at it. With unchanged columns that is one catalog operation; with
+    others the entry is made anew (its files stay), and the table's columns are
+    read back before anything old is deleted. The ``keep`` newest committed
+    versions stay (a reader that resolved the table just before the switch
+    still finds its files); older ones are deleted, and uncommitted ones that
+    began more than ``ABANDONED_MS`` ago. ``keep=1`` keeps no previous version
+    (raw tables: no doubled storage). Returns the number of rows written
+    (observed during the write)."""
     spark = df.sparkSession
     base = table_path(spark, db, table)
-    version = f"{base}/_v{int(time.time() * 1000):015d}_{uuid.uuid4().hex[:8]}"
+    now = int(time.time() * 1000)
+    version = f"{base}/_v{now:015d}_{uuid.uuid4().hex[:8]}"
     obs = Observation(f"rows_{db}_{table}_{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(version)
+    written = spark.read.parquet(version).schema
     name = f"`{db}`.`{table}`"
-    if spark.catalog.tableExists(f"{db}.{table}"):
+    if spark.catalog.tableExists(f"{db}.{table}") and _same_columns(spark.table(name).schema, written):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
-        spark.catalog.refreshTable(name)
     else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
         spark.catalog.createTable(f"{db}.{table}", path=version, source="parquet")
+    spark.catalog.refreshTable(name)
+    if not _same_columns(spark.table(name).schema, written):
+        raise RuntimeError(f"{db}.{table} does not show the columns written; old versions are kept")
     committed, leftovers = _versions(spark, base)
-    current = version.rsplit("/", 1)[-1]
-    stale = committed[:-keep] + [v for v in leftovers if v < current]  # crashed older writes
+    dead = [v for v in leftovers if int(v[2:17]) < now - ABANDONED_MS]
     fs = hadoop_fs(spark, base)[1]
-    for v in stale:
+    for v in committed[:-keep] + dead:
         fs.delete(hadoop_fs(spark, f"{base}/{v}")[0], True)
     return int(obs.get["rows"])
 

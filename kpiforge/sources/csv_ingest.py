@@ -5,11 +5,11 @@ from __future__ import annotations
 import logging
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiforge.schemas import NA_TOKENS, RAW_SCHEMAS, SPLITTABLE_TABLES
+from kpiforge.schemas import NA_TOKENS, RAW_SCHEMAS
 from kpiforge.session import hadoop_fs
 from kpiforge.sources.catalog import RAW_DB, ensure_databases, replace_table
 
@@ -63,27 +63,45 @@ def _null_tokens(c: F.Column, tokens=NA_TOKENS) -> F.Column:
     return F.when(c.isin(*tokens) | c.isNull(), F.lit(None)).otherwise(c)
 
 
+def lines_are_records(spark: SparkSession, path: str) -> bool:
+    """Whether no quoted field of the files spans lines, so that they can be
+    read by many tasks each: every line then closes the quotes it opens (a
+    doubled quote counts twice). One splittable text scan."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return spark.read.text(path).filter(quotes % 2 == 1).limit(1).count() == 0
+
+
 def read_csv(spark: SparkSession, path: str, table: str | None = None,
-             strict: bool = True, multiline: bool | None = None) -> DataFrame:
+             strict: bool = True, multiline: bool | None = None,
+             rounded: Observation | None = None) -> DataFrame:
     """Read one CSV (header, UTF-8, quoted fields may span lines, doubled
     quotes escape) as text, turn the usual missing-value tokens into null, then
     cast the columns of known tables to their declared types.
 
-    ``strict`` casts fail the job on malformed values (a bad date fails this
-    table only, see ``plans.runner``); ``strict=False`` yields null instead.
-    Columns of unknown tables stay STRING: no type inference that could drop
-    leading zeros. Tables without free text are read line-splittable (see
-    ``schemas.SPLITTABLE_TABLES``); ``multiline`` overrides the choice.
+    ``strict`` fails the job on rows with more or fewer fields than the header
+    and on malformed values (a bad date fails this table only, see
+    ``plans.runner``); ``strict=False`` yields null instead. Part files whose
+    headers differ are refused in both. Columns of unknown tables stay STRING:
+    no type inference that could drop leading zeros. Files are read
+    line-splittable where ``lines_are_records`` proves that safe; ``multiline``
+    overrides the choice. ``rounded`` observes, per money column, how many
+    values had more digits than the column keeps.
     """
     if multiline is None:
-        multiline = table not in SPLITTABLE_TABLES
+        multiline = not lines_are_records(spark, path)
     raw = (spark.read.option("header", True).option("multiLine", multiline)
-           .option("escape", '"').option("encoding", "UTF-8")
+           .option("escape", '"').option("encoding", "UTF-8").option("enforceSchema", False)
+           .option("mode", "FAILFAST" if strict else "PERMISSIVE")
            .option("inferSchema", False).csv(path))
     target = {f.name: f.dataType for f in RAW_SCHEMAS.get(table or "", T.StructType([])).fields}
+    names = {name: name.lstrip("\ufeff").strip() for name in raw.columns}
+    money = [n for n, clean in names.items() if isinstance(target.get(clean), T.DecimalType)]
+    if rounded is not None:
+        exact = {n: F.col(f"`{n}`").try_cast("decimal(38,10)") for n in money}
+        raw = raw.observe(rounded, F.lit(0).alias("none"), *[
+            F.count_if(exact[n] != exact[n].try_cast(target[names[n]])).alias(names[n]) for n in money])
     cols = []
-    for name in raw.columns:
-        clean = name.lstrip("\ufeff").strip()
+    for name, clean in names.items():
         v = _null_tokens(F.col(f"`{name}`"))
         dt = target.get(clean, T.StringType())
         if not isinstance(dt, T.StringType):
@@ -97,18 +115,29 @@ def ingest_directory(spark: SparkSession, data_dir: str, db: str = RAW_DB,
     """Load every CSV source of ``data_dir`` (files, or folders of part files)
     into ``db.<table>``, up to ``parallelism`` tables at a time; returns rows
     per table in name order. Each table switches to its new content only once
-    the content is complete (only the newest version is kept). An empty folder
+    the content is complete (only the newest version is kept). Of several
+    sources of one table the last by name is loaded, as if they replaced one
+    another in that order. Rounded money values are logged. An empty folder
     logs a warning and loads nothing."""
-    sources = list_csv_sources(spark, data_dir)
-    if not sources:
+    found = list_csv_sources(spark, data_dir)
+    if not found:
         log.warning("no CSV file found in %s", data_dir)
         return {}
+    sources = dict(found)  # in name order: the last source of a table stays
+    for table, path in found:
+        if sources[table] != path:
+            log.warning("%s is replaced by %s: both are table %s", path, sources[table], table)
     ensure_databases(spark, db)
 
     def one(src):
         table, path = src
+        rounded = Observation()
         # a failed load leaves the previous version of the table intact
-        return table, replace_table(read_csv(spark, path, table, strict), db, table, keep=1)
+        rows = replace_table(read_csv(spark, path, table, strict, rounded=rounded), db, table, keep=1)
+        for column, n in rounded.get.items():
+            if n:
+                log.warning("%s.%s: %d values rounded to the column's digits", table, column, n)
+        return table, rows
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(sources)))) as pool:
-        return dict(pool.map(one, sources))
+        return dict(pool.map(one, sources.items()))
