@@ -6,7 +6,7 @@ Layers:
   operators/  the eight KPI builders, a distributed exact percentile and the
               second-level metrics computed over KPI tables
   plans/      KPI registry and the batch runner (ingest -> KPIs -> sinks)
-  streaming/  intentionally empty: the pipeline is a full-refresh batch
+  llm/        operators of a training-data pipeline (optional, on its own)
 """
 
 __version__ = "0.1.0"

@@ -27,7 +27,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--out-db", default="analytics")
         p.add_argument("--master", default=None, help="e.g. local[8]; default: from spark-submit")
         p.add_argument("--shuffle-partitions", default="auto",
-                       help="a number, or 'auto': sized from the input (run) or 200")
+                       help="a number, or 'auto': sized from the input")
         p.add_argument("--parallelism", type=int, default=4, help="KPIs run at once")
         p.add_argument("--volume-from", default=volume_monthly.DEFAULT_BOUNDS[0],
                        help="first purchase date of the monthly volume KPI (inclusive)")
@@ -39,16 +39,16 @@ def main(argv: list[str] | None = None) -> int:
         lo, hi = args.volume_from, args.volume_to
         registry.register(volume_monthly.NAME, lambda t: volume_monthly.build(t, lo, hi))
     auto = args.shuffle_partitions == "auto"
-    spark = build_session(args.master, 200 if auto else int(args.shuffle_partitions))
+    spark = build_session(args.master, None if auto else int(args.shuffle_partitions))
     if auto and args.cmd == "run":
         apply_scale_settings(spark, args.data_dir)
     t0 = time.perf_counter()
     if args.cmd == "run":
         rep = run_all(spark, args.data_dir, registry, raw_db=args.raw_db, out_db=args.out_db,
-                      parallelism=args.parallelism)
+                      parallelism=args.parallelism, size_shuffles=auto)
     else:
         rep = run_kpis(spark, registry, raw_db=args.raw_db, out_db=args.out_db,
-                       parallelism=args.parallelism, report=RunReport())
+                       parallelism=args.parallelism, report=RunReport(), size_shuffles=auto)
         rep.seconds = time.perf_counter() - t0
     print(json.dumps({"ingested": rep.ingested, "written": rep.written, "failed": rep.failed,
                       "kpi_seconds": rep.kpi_seconds, "seconds": round(rep.seconds, 1)},

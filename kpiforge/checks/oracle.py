@@ -1,24 +1,15 @@
 """Independent DuckDB formulation of every registered query.
 
-The KPI SQL here follows the original single-statement form (joins at order x
-review / item grain, COUNT(DISTINCT), PERCENTILE_CONT, FILTER clauses) rather
-than the pre-aggregated Spark plans, so the comparison checks the Spark
-rewrites against the plain semantics. Tables: the driver's parquet views
-(orders, customer, nation, lineitem, part) mapped by the same adapter rules as
-``kpiforge.sources.driver_tables``.
+The state KPIs are aggregates over one order-level relation with flags and
+durations (``order_facts``), its item and review grains and plain SQL
+aggregates, unlike the pre-folded Spark plans. Labels, bands and state names
+are written out here, so that the comparison sees a wrong one. Tables: the
+driver's parquet views (orders, customer, nation, lineitem, part) mapped by
+the same adapter rules as ``kpiforge.sources.driver_tables``.
 """
 
 from __future__ import annotations
 
-from kpiforge.functions.exprs import (BAND_LABELS, BAND_ON_TIME, BAND_SEVERE, DELIVERED,
-                                      EXCLUDED_PAYMENT_TYPE, OTHER_CATEGORY, PAYMENT_LABELS)
-
-B_ON, B_LIGHT, B_MOD, B_SEV = BAND_LABELS
-CARD = PAYMENT_LABELS["credit_card"]
-BAND_ORDER = "CASE faixa_atraso " + " ".join(
-    f"WHEN '{b}' THEN {i}" for i, b in enumerate(BAND_LABELS[:-1], 1)) + " ELSE 4 END"
-
-
 def RND(x: str, n: int) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
 
@@ -95,121 +86,132 @@ FROM (SELECT DISTINCT p_brand AS product_category_name FROM part
       WHERE p_size % 2 = 1 AND p_brand LIKE '%3') b""",
 }
 
-DEL, EST = "o.order_delivered_customer_date", "o.order_estimated_delivery_date"
-PUR, APP, CAR = "o.order_purchase_timestamp", "o.order_approved_at", "o.order_delivered_carrier_date"
-DELIVERED_WHERE = f"o.order_status = '{DELIVERED}' AND {DEL} IS NOT NULL"
+# Order grain: what the KPIs ask of a delivered order, with durations in days.
+FACTS = {
+    "order_facts": f"""
+SELECT o.order_id, o.customer_id, c.customer_state AS estado,
+  o.order_delivered_customer_date IS NOT NULL AS arrived,
+  o.order_approved_at IS NOT NULL AND o.order_carrier IS NOT NULL AS stamped,
+  o.order_delivered_customer_date <= o.order_estimated_delivery_date AS on_time,
+  o.order_delivered_customer_date > o.order_estimated_delivery_date AS late,
+  {DAYS('o.order_delivered_customer_date', 'o.order_estimated_delivery_date')} AS overdue,
+  {DAYS('o.order_delivered_customer_date', 'o.order_purchase_timestamp')} AS total_days,
+  {HOURS('o.order_approved_at', 'o.order_purchase_timestamp')} AS approval_hours,
+  {DAYS('o.order_carrier', 'o.order_approved_at')} AS dispatch_days,
+  {DAYS('o.order_delivered_customer_date', 'o.order_carrier')} AS transit_days
+FROM (SELECT *, order_delivered_carrier_date AS order_carrier FROM r_orders) o
+JOIN r_customers c USING (customer_id)
+WHERE o.order_status = 'delivered'""",
+}
 
 KPI = {
     "k_otd": f"""
-SELECT c.customer_state AS estado,
-  COUNT(*) AS total_pedidos,
-  COUNT(*) FILTER (WHERE {DEL} <= {EST}) AS pedidos_no_prazo,
-  COUNT(*) FILTER (WHERE {DEL} > {EST}) AS pedidos_atrasados,
-  {PCT(f"COUNT(*) FILTER (WHERE {DEL} <= {EST})", "COUNT(*)", 2)} AS otd_pct,
-  {RND(f"AVG(CASE WHEN {DEL} > {EST} THEN {DAYS(DEL, EST)} END)", 1)} AS atraso_medio_dias,
-  {RND(f"MAX(CASE WHEN {DEL} > {EST} THEN {DAYS(DEL, EST)} END)", 1)} AS pior_atraso_dias
-FROM r_orders o JOIN r_customers c ON o.customer_id = c.customer_id
-WHERE {DELIVERED_WHERE}
-GROUP BY c.customer_state
-ORDER BY otd_pct DESC NULLS FIRST, estado""",
+WITH per_state AS (
+  SELECT estado, count(*) AS n, sum(CASE WHEN on_time THEN 1 ELSE 0 END) AS good,
+    sum(CASE WHEN late THEN 1 ELSE 0 END) AS bad,
+    avg(CASE WHEN late THEN overdue END) AS mean_late, max(CASE WHEN late THEN overdue END) AS worst
+  FROM order_facts WHERE arrived GROUP BY estado)
+SELECT estado, n AS total_pedidos, CAST(good AS BIGINT) AS pedidos_no_prazo, CAST(bad AS BIGINT) AS pedidos_atrasados,
+  {PCT("good", "n", 2)} AS otd_pct, {RND("mean_late", 1)} AS atraso_medio_dias, {RND("worst", 1)} AS pior_atraso_dias
+FROM per_state ORDER BY otd_pct DESC NULLS FIRST, estado""",
     "k_lead_time": f"""
-SELECT c.customer_state AS estado,
-  COUNT(*) AS total_pedidos,
-  {RND(f"AVG({DAYS(DEL, PUR)})", 1)} AS lead_time_total_dias,
-  {RND(f"PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY {DAYS(DEL, PUR)})", 1)} AS lead_time_mediana_dias,
-  {RND(f"AVG({HOURS(APP, PUR)})", 1)} AS tempo_aprovacao_horas,
-  {RND(f"AVG({DAYS(CAR, APP)})", 1)} AS tempo_despacho_dias,
-  {RND(f"AVG({DAYS(DEL, CAR)})", 1)} AS tempo_transito_dias,
-  {RND(f"AVG({US(CAR, APP)}) / NULLIF(AVG({US(DEL, PUR)}), 0) * 100", 1)} AS pct_tempo_despacho
-FROM r_orders o JOIN r_customers c ON o.customer_id = c.customer_id
-WHERE {DELIVERED_WHERE} AND {APP} IS NOT NULL AND {CAR} IS NOT NULL
-GROUP BY c.customer_state
-ORDER BY lead_time_total_dias DESC NULLS FIRST, estado""",
+WITH per_state AS (
+  SELECT estado, count(*) AS n, avg(total_days) AS total, quantile_cont(total_days, 0.5) AS middle,
+    avg(approval_hours) AS approval, avg(dispatch_days) AS dispatch, avg(transit_days) AS transit
+  FROM order_facts WHERE arrived AND stamped GROUP BY estado)
+SELECT estado, n AS total_pedidos, {RND("total", 1)} AS lead_time_total_dias,
+  {RND("middle", 1)} AS lead_time_mediana_dias, {RND("approval", 1)} AS tempo_aprovacao_horas,
+  {RND("dispatch", 1)} AS tempo_despacho_dias, {RND("transit", 1)} AS tempo_transito_dias,
+  {RND("CASE WHEN total <> 0 THEN dispatch / total * 100 END", 1)} AS pct_tempo_despacho
+FROM per_state ORDER BY lead_time_total_dias DESC NULLS FIRST, estado""",
     "k_perfect_order": f"""
-SELECT c.customer_state AS estado,
-  COUNT(*) AS total_pedidos,
-  COUNT(*) FILTER (WHERE {DEL} <= {EST} AND r.review_score >= 4) AS pedidos_perfeitos,
-  {PCT(f"COUNT(*) FILTER (WHERE {DEL} <= {EST} AND r.review_score >= 4)", "COUNT(*)", 2)} AS perfect_order_pct,
-  {RND("AVG(r.review_score)", 2)} AS nota_media,
-  {RND(f"AVG(r.review_score) FILTER (WHERE {DEL} <= {EST})", 2)} AS nota_media_no_prazo,
-  {RND(f"AVG(r.review_score) FILTER (WHERE {DEL} > {EST})", 2)} AS nota_media_atrasado,
-  COUNT(*) FILTER (WHERE r.review_score >= 4) AS avaliacoes_positivas,
-  COUNT(*) FILTER (WHERE r.review_score = 3) AS avaliacoes_neutras,
-  COUNT(*) FILTER (WHERE r.review_score <= 2) AS avaliacoes_negativas
-FROM r_orders o JOIN r_customers c ON o.customer_id = c.customer_id
-  JOIN r_reviews r ON o.order_id = r.order_id
-WHERE {DELIVERED_WHERE}
-GROUP BY c.customer_state
-ORDER BY perfect_order_pct DESC NULLS FIRST, estado""",
+WITH rated AS (
+  SELECT f.estado, f.on_time, f.late, r.review_score AS score
+  FROM r_reviews r JOIN order_facts f USING (order_id) WHERE f.arrived),
+per_state AS (
+  SELECT estado, count(*) AS n, sum(CASE WHEN on_time AND score >= 4 THEN 1 ELSE 0 END) AS perfect,
+    avg(score) AS every, avg(CASE WHEN on_time THEN score END) AS good, avg(CASE WHEN late THEN score END) AS bad,
+    sum(CASE WHEN score >= 4 THEN 1 ELSE 0 END) AS high, sum(CASE WHEN score = 3 THEN 1 ELSE 0 END) AS middle,
+    sum(CASE WHEN score <= 2 THEN 1 ELSE 0 END) AS low
+  FROM rated GROUP BY estado)
+SELECT estado, n AS total_pedidos, CAST(perfect AS BIGINT) AS pedidos_perfeitos,
+  {PCT("perfect", "n", 2)} AS perfect_order_pct, {RND("every", 2)} AS nota_media,
+  {RND("good", 2)} AS nota_media_no_prazo, {RND("bad", 2)} AS nota_media_atrasado,
+  CAST(high AS BIGINT) AS avaliacoes_positivas, CAST(middle AS BIGINT) AS avaliacoes_neutras,
+  CAST(low AS BIGINT) AS avaliacoes_negativas
+FROM per_state ORDER BY perfect_order_pct DESC NULLS FIRST, estado""",
     "k_freight_cost": f"""
-SELECT c.customer_state AS estado,
-  COUNT(DISTINCT o.order_id) AS total_pedidos,
-  {RND("AVG(CAST(i.freight_value AS DOUBLE))", 2)} AS frete_medio,
-  {RND("PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY CAST(i.freight_value AS DOUBLE))", 2)} AS frete_mediano,
-  {RND("AVG(CAST(i.price AS DOUBLE))", 2)} AS ticket_medio,
-  {RND("AVG(CAST(i.freight_value AS DOUBLE) / NULLIF(CAST(i.price AS DOUBLE), 0)) * 100", 1)} AS proporcao_frete_pct,
-  {RND("SUM(i.freight_value)", 2)} AS frete_total,
-  {RND("SUM(i.price)", 2)} AS receita_total
-FROM r_orders o JOIN r_items i ON o.order_id = i.order_id
-  JOIN r_customers c ON o.customer_id = c.customer_id
-WHERE o.order_status = '{DELIVERED}'
-GROUP BY c.customer_state
-ORDER BY frete_medio DESC NULLS FIRST, estado""",
+WITH sold AS (
+  SELECT f.estado, f.order_id, CAST(i.freight_value AS DOUBLE) AS freight, CAST(i.price AS DOUBLE) AS price,
+    i.freight_value AS exact_freight, i.price AS exact_price
+  FROM r_items i JOIN order_facts f USING (order_id)),
+per_state AS (
+  SELECT estado, count(DISTINCT order_id) AS n, avg(freight) AS mean_freight, quantile_cont(freight, 0.5) AS middle,
+    avg(price) AS ticket, avg(CASE WHEN price <> 0 THEN freight / price END) AS ratio,
+    sum(exact_freight) AS all_freight, sum(exact_price) AS revenue
+  FROM sold GROUP BY estado)
+SELECT estado, n AS total_pedidos, {RND("mean_freight", 2)} AS frete_medio, {RND("middle", 2)} AS frete_mediano,
+  {RND("ticket", 2)} AS ticket_medio, {RND("ratio * 100", 1)} AS proporcao_frete_pct,
+  {RND("all_freight", 2)} AS frete_total, {RND("revenue", 2)} AS receita_total
+FROM per_state ORDER BY frete_medio DESC NULLS FIRST, estado""",
     "k_delay_vs_satisfaction": f"""
-SELECT faixa_atraso,
-  COUNT(*) AS total_pedidos,
-  {RND("AVG(review_score)", 2)} AS nota_media,
-  COUNT(*) FILTER (WHERE review_score = 5) AS nota_5,
-  COUNT(*) FILTER (WHERE review_score = 4) AS nota_4,
-  COUNT(*) FILTER (WHERE review_score = 3) AS nota_3,
-  COUNT(*) FILTER (WHERE review_score = 2) AS nota_2,
-  COUNT(*) FILTER (WHERE review_score = 1) AS nota_1,
-  {PCT("COUNT(*) FILTER (WHERE review_score <= 2)", "COUNT(*)", 1)} AS pct_negativas
-FROM (SELECT r.review_score,
-        CASE WHEN {DEL} <= {EST} THEN '{B_ON}'
-             WHEN {DAYS(DEL, EST)} <= 3 THEN '{B_LIGHT}'
-             WHEN {DAYS(DEL, EST)} <= 7 THEN '{B_MOD}'
-             ELSE '{B_SEV}' END AS faixa_atraso
-      FROM r_orders o JOIN r_reviews r ON o.order_id = r.order_id
-      WHERE {DELIVERED_WHERE}) classified
-GROUP BY faixa_atraso
-ORDER BY {BAND_ORDER}""",
+WITH arrivals AS (
+  SELECT order_id, order_delivered_customer_date <= order_estimated_delivery_date AS on_time,
+    {DAYS('order_delivered_customer_date', 'order_estimated_delivery_date')} AS overdue
+  FROM r_orders WHERE order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL),
+bands(rank, faixa_atraso) AS (VALUES (1, 'No prazo'), (2, 'Atraso leve (1-3 dias)'),
+  (3, 'Atraso moderado (4-7 dias)'), (4, 'Atraso grave (8+ dias)')),
+rated AS (
+  SELECT r.review_score AS score,
+    CASE WHEN on_time THEN 1 WHEN overdue <= 3 THEN 2 WHEN overdue <= 7 THEN 3 ELSE 4 END AS rank
+  FROM arrivals JOIN r_reviews r USING (order_id)),
+per_band AS (
+  SELECT rank, count(*) AS n, avg(score) AS mean_score, sum(CASE WHEN score <= 2 THEN 1 ELSE 0 END) AS low,
+    {", ".join(f"CAST(sum(CASE WHEN score = {v} THEN 1 ELSE 0 END) AS BIGINT) AS nota_{v}" for v in (5, 4, 3, 2, 1))}
+  FROM rated GROUP BY rank)
+SELECT faixa_atraso, n AS total_pedidos, {RND("mean_score", 2)} AS nota_media,
+  nota_5, nota_4, nota_3, nota_2, nota_1, {PCT("low", "n", 1)} AS pct_negativas
+FROM per_band JOIN bands USING (rank) ORDER BY rank""",
     "k_volume_monthly": f"""
-SELECT CAST(date_trunc('month', {PUR}) AS TIMESTAMP) AS mes,
-  COUNT(DISTINCT o.order_id) AS total_pedidos,
-  {RND("SUM(i.price)", 2)} AS receita_total,
-  {RND("CAST(SUM(i.price) AS DOUBLE) / NULLIF(COUNT(DISTINCT o.order_id), 0)", 2)} AS ticket_medio
-FROM r_orders o LEFT JOIN r_items i ON o.order_id = i.order_id
-WHERE {PUR} >= TIMESTAMP '1997-01-01 00:00:00' AND {PUR} < TIMESTAMP '1998-09-01 00:00:00'
-GROUP BY 1
-ORDER BY 1""",
+WITH months AS (
+  SELECT order_id, CAST(date_trunc('month', order_purchase_timestamp) AS TIMESTAMP) AS mes FROM r_orders
+  WHERE order_purchase_timestamp >= TIMESTAMP '1997-01-01' AND order_purchase_timestamp < TIMESTAMP '1998-09-01'),
+revenue AS (SELECT order_id, sum(price) AS paid FROM r_items GROUP BY order_id),
+per_month AS (
+  SELECT mes, count(DISTINCT m.order_id) AS n, sum(paid) AS paid
+  FROM months m LEFT JOIN revenue USING (order_id) GROUP BY mes)
+SELECT mes, n AS total_pedidos, {RND("paid", 2)} AS receita_total,
+  {RND("CAST(paid AS DOUBLE) / n", 2)} AS ticket_medio
+FROM per_month ORDER BY mes""",
     "k_category_top20": f"""
-SELECT COALESCE(t.product_category_name_english, p.product_category_name, '{OTHER_CATEGORY}') AS categoria,
-  COUNT(DISTINCT o.order_id) AS total_pedidos,
-  {RND("SUM(i.price)", 2)} AS receita_total,
-  {RND("CAST(SUM(i.price) AS DOUBLE) / NULLIF(COUNT(DISTINCT o.order_id), 0)", 2)} AS ticket_medio,
-  {RND("AVG(CAST(i.freight_value AS DOUBLE))", 2)} AS frete_medio,
-  {RND("AVG(CAST(i.freight_value AS DOUBLE)) / NULLIF(AVG(CAST(i.price AS DOUBLE)), 0) * 100", 1)} AS proporcao_frete_pct
-FROM r_items i JOIN r_orders o ON i.order_id = o.order_id
-  JOIN r_products p ON i.product_id = p.product_id
-  LEFT JOIN r_translation t ON p.product_category_name = t.product_category_name
-WHERE o.order_status = '{DELIVERED}'
-GROUP BY 1
-ORDER BY receita_total DESC NULLS FIRST, categoria
-LIMIT 20""",
+WITH named AS (
+  SELECT p.product_id, coalesce(t.product_category_name_english, p.product_category_name, 'other') AS categoria
+  FROM r_products p LEFT JOIN r_translation t USING (product_category_name)),
+sold AS (
+  SELECT categoria, o.order_id, i.price, CAST(i.price AS DOUBLE) AS p, CAST(i.freight_value AS DOUBLE) AS f
+  FROM named JOIN r_items i USING (product_id)
+  JOIN r_orders o ON o.order_id = i.order_id AND o.order_status = 'delivered'),
+per_category AS (
+  SELECT categoria, count(DISTINCT order_id) AS n, sum(price) AS paid, avg(f) AS freight, avg(p) AS ticket
+  FROM sold GROUP BY categoria)
+SELECT categoria, n AS total_pedidos, {RND("paid", 2)} AS receita_total, {RND("CAST(paid AS DOUBLE) / n", 2)} AS ticket_medio,
+  {RND("freight", 2)} AS frete_medio, {RND("CASE WHEN ticket <> 0 THEN freight / ticket * 100 END", 1)} AS proporcao_frete_pct
+FROM per_category ORDER BY receita_total DESC NULLS FIRST, categoria LIMIT 20""",
     "k_payments": f"""
-SELECT CASE payment_type {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PAYMENT_LABELS.items())}
-         ELSE payment_type END AS tipo_pagamento,
-  COUNT(*) AS total_transacoes,
-  {RND("SUM(payment_value)", 2)} AS valor_total,
-  {RND("AVG(CAST(payment_value AS DOUBLE))", 2)} AS ticket_medio,
-  {RND("AVG(payment_installments) FILTER (WHERE payment_installments > 1)", 1)} AS parcelas_medias,
-  COUNT(*) FILTER (WHERE payment_installments > 1) AS transacoes_parceladas,
-  {PCT("COUNT(*) FILTER (WHERE payment_installments > 1)", "COUNT(*)", 1)} AS pct_parcelado
-FROM r_payments
-WHERE payment_type != '{EXCLUDED_PAYMENT_TYPE}'
-GROUP BY 1
-ORDER BY total_transacoes DESC NULLS FIRST, tipo_pagamento""",
+WITH methods(code, label) AS (VALUES ('credit_card', 'Cartão de Crédito'), ('boleto', 'Boleto'),
+  ('voucher', 'Voucher'), ('debit_card', 'Cartão de Débito')),
+paid AS (
+  SELECT coalesce(label, payment_type) AS tipo_pagamento, payment_value, payment_installments AS k
+  FROM r_payments LEFT JOIN methods ON code = payment_type
+  WHERE payment_type IS NOT NULL AND payment_type <> 'not_defined'),
+per_method AS (
+  SELECT tipo_pagamento, count(*) AS n, sum(payment_value) AS total, avg(CAST(payment_value AS DOUBLE)) AS ticket,
+    avg(CASE WHEN k > 1 THEN k END) AS mean_k, sum(CASE WHEN k > 1 THEN 1 ELSE 0 END) AS split
+  FROM paid GROUP BY tipo_pagamento)
+SELECT tipo_pagamento, n AS total_transacoes, {RND("total", 2)} AS valor_total, {RND("ticket", 2)} AS ticket_medio,
+  {RND("mean_k", 1)} AS parcelas_medias, CAST(split AS BIGINT) AS transacoes_parceladas,
+  {PCT("split", "n", 1)} AS pct_parcelado
+FROM per_method ORDER BY total_transacoes DESC NULLS FIRST, tipo_pagamento""",
 }
 
 # -------------------------------------------------------------- second level
@@ -284,14 +286,14 @@ FROM k_freight_cost"""),
                         "SELECT estado, ticket_medio, frete_medio, proporcao_frete_pct, total_pedidos FROM k_freight_cost"),
     "delay_bands_ordered": (["k_delay_vs_satisfaction"], f"""
 SELECT faixa_atraso,
-  CAST(CASE faixa_atraso {" ".join(f"WHEN '{b}' THEN {i}" for i, b in enumerate(BAND_LABELS, 1))}
-    END AS INTEGER) AS ordem,
+  CAST(CASE faixa_atraso WHEN 'No prazo' THEN 1 WHEN 'Atraso leve (1-3 dias)' THEN 2
+    WHEN 'Atraso moderado (4-7 dias)' THEN 3 WHEN 'Atraso grave (8+ dias)' THEN 4 END AS INTEGER) AS ordem,
   total_pedidos, nota_media, pct_negativas
 FROM k_delay_vs_satisfaction ORDER BY ordem NULLS LAST, faixa_atraso"""),
     "delay_drop": (["k_delay_vs_satisfaction"], f"""
 SELECT nota_no_prazo, nota_atraso_grave, {RND('nota_no_prazo - nota_atraso_grave', 2)} AS queda
-FROM (SELECT MAX(nota_media) FILTER (WHERE faixa_atraso = '{BAND_ON_TIME}') AS nota_no_prazo,
-        MAX(nota_media) FILTER (WHERE faixa_atraso = '{BAND_SEVERE}') AS nota_atraso_grave
+FROM (SELECT MAX(nota_media) FILTER (WHERE faixa_atraso = 'No prazo') AS nota_no_prazo,
+        MAX(nota_media) FILTER (WHERE faixa_atraso = 'Atraso grave (8+ dias)') AS nota_atraso_grave
       FROM k_delay_vs_satisfaction) s"""),
     "scores_long": (["k_delay_vs_satisfaction"], " UNION ALL ".join(
         f"SELECT faixa_atraso, 'nota_{v}' AS nota, nota_{v} AS quantidade FROM k_delay_vs_satisfaction"
@@ -318,8 +320,8 @@ SELECT categoria, {_title("replace(categoria, '_', ' ')")} AS categoria_label FR
 SELECT categoria, receita_total, {RND('receita_total / SUM(receita_total) OVER () * 100', M)} AS share_pct
 FROM k_category_top20"""),
     "payment_cards": (["k_payments"], f"""
-SELECT {RND(f"CAST(SUM(total_transacoes) FILTER (WHERE tipo_pagamento = '{CARD}') AS DOUBLE) / NULLIF(CAST(SUM(total_transacoes) AS DOUBLE), 0) * 100", M)} AS pct_transacoes_cartao,
-  MAX(parcelas_medias) FILTER (WHERE tipo_pagamento = '{CARD}') AS parcelas_medias_credito,
+SELECT {RND(f"CAST(SUM(total_transacoes) FILTER (WHERE tipo_pagamento = 'Cartão de Crédito') AS DOUBLE) / NULLIF(CAST(SUM(total_transacoes) AS DOUBLE), 0) * 100", M)} AS pct_transacoes_cartao,
+  MAX(parcelas_medias) FILTER (WHERE tipo_pagamento = 'Cartão de Crédito') AS parcelas_medias_credito,
   {RND('AVG(ticket_medio)', M)} AS ticket_medio_geral
 FROM k_payments"""),
     "payment_share": (["k_payments"], f"""
@@ -338,7 +340,13 @@ SELECT estado, atraso_medio_dias FROM k_otd ORDER BY atraso_medio_dias DESC NULL
 SELECT estado, nota_media_no_prazo, nota_media_atrasado FROM k_perfect_order
 ORDER BY nota_media_no_prazo DESC NULLS LAST, estado LIMIT 15"""),
     "otd_sorted": (["k_otd"], "SELECT * FROM k_otd ORDER BY otd_pct ASC NULLS LAST, estado"),
-    "otd_table": (["k_otd"], "SELECT * FROM k_otd ORDER BY otd_pct DESC NULLS LAST, estado"),
+    "otd_table": (["k_otd", "dim_state"], "SELECT * FROM k_otd LEFT JOIN dim_state USING (estado) "
+                  "ORDER BY otd_pct DESC NULLS LAST, estado"),
+    "lead_table": (["k_lead_time"], "SELECT * FROM k_lead_time ORDER BY lead_time_total_dias DESC NULLS LAST, estado"),
+    "perfect_table": (["k_perfect_order", "dim_state"], "SELECT * FROM k_perfect_order LEFT JOIN dim_state "
+                      "USING (estado) ORDER BY perfect_order_pct DESC NULLS LAST, estado"),
+    "freight_table": (["k_freight_cost", "dim_state"], "SELECT * FROM k_freight_cost LEFT JOIN dim_state "
+                      "USING (estado) ORDER BY frete_medio DESC NULLS LAST, estado"),
     "lead_by_dispatch_share": (["k_lead_time"],
                                "SELECT * FROM k_lead_time ORDER BY pct_tempo_despacho DESC NULLS LAST, estado"),
     "perfect_sorted": (["k_perfect_order"],
@@ -351,6 +359,39 @@ ORDER BY nota_media_no_prazo DESC NULLS LAST, estado LIMIT 15"""),
                                     "ORDER BY proporcao_frete_pct DESC NULLS LAST, categoria"),
     "payments_by_ticket": (["k_payments"],
                            "SELECT * FROM k_payments ORDER BY ticket_medio ASC NULLS LAST, tipo_pagamento"),
+    "overview_labels": (["k_otd", "k_lead_time", "k_perfect_order", "k_freight_cost"], f"""
+SELECT format('{{:,}}', (SELECT CAST(SUM(total_pedidos) AS BIGINT) FROM k_otd)) AS pedidos,
+  {_label_money(RND("(SELECT SUM(receita_total) FROM k_freight_cost)", 2))} AS receita,
+  format('{{:.1f}}%', {RND("(SELECT AVG(otd_pct) FROM k_otd)", M)}) AS otd,
+  format('{{:.1f}}d', {RND("(SELECT AVG(lead_time_total_dias) FROM k_lead_time)", M)}) AS lead_time,
+  format('{{:.1f}}%', {RND("(SELECT AVG(perfect_order_pct) FROM k_perfect_order)", M)}) AS perfect_order,
+  format('R${{:.0f}}', {RND("(SELECT AVG(frete_medio) FROM k_freight_cost)", M)}) AS frete"""),
+    "lead_labels": (["k_lead_time"], f"""
+SELECT format('{{:.1f}}h', {RND('AVG(tempo_aprovacao_horas)', M)}) AS aprovacao,
+  format('{{:.1f}}d', {RND('AVG(tempo_despacho_dias)', M)}) AS despacho,
+  format('{{:.1f}}d', {RND('AVG(tempo_transito_dias)', M)}) AS transito FROM k_lead_time"""),
+    "perfect_labels": (["k_perfect_order"], f"""
+SELECT format('{{:.1f}}%', {RND('AVG(perfect_order_pct)', M)}) AS perfect_order,
+  format('{{:.2f}}', {RND('AVG(nota_media)', M)}) AS nota,
+  format('{{:.1f}}%', {RND('CAST(SUM(avaliacoes_positivas) AS DOUBLE) / NULLIF(CAST(SUM(avaliacoes_positivas + avaliacoes_neutras + avaliacoes_negativas) AS DOUBLE), 0) * 100', M)}) AS positivas
+FROM k_perfect_order"""),
+    "freight_labels": (["k_freight_cost"], f"""
+SELECT format('R${{:.2f}}', {RND('AVG(frete_medio)', M)}) AS frete,
+  format('{{:.1f}}%', {RND('AVG(proporcao_frete_pct)', M)}) AS proporcao,
+  format('R${{:.2f}}', MAX(frete_medio)) AS maior_frete FROM k_freight_cost"""),
+    "delay_labels": (["k_delay_vs_satisfaction"], f"""
+SELECT format('{{:.2f}}', a) AS no_prazo, format('{{:.2f}}', b) AS atraso_grave,
+  format('-{{:.2f}}', {RND('a - b', 2)}) AS queda
+FROM (SELECT MAX(nota_media) FILTER (WHERE faixa_atraso = 'No prazo') AS a,
+        MAX(nota_media) FILTER (WHERE faixa_atraso = 'Atraso grave (8+ dias)') AS b FROM k_delay_vs_satisfaction) s"""),
+    "volume_labels": (["k_volume_monthly"], f"""
+SELECT format('{{:,}}', CAST(SUM(total_pedidos) AS BIGINT)) AS pedidos,
+  {_label_money(RND('SUM(receita_total)', 2))} AS receita,
+  format('R${{:.0f}}', {RND('AVG(ticket_medio)', M)}) AS ticket FROM k_volume_monthly"""),
+    "payment_labels": (["k_payments"], f"""
+SELECT format('{{:.1f}}%', {RND("CAST(SUM(total_transacoes) FILTER (WHERE tipo_pagamento = 'Cartão de Crédito') AS DOUBLE) / NULLIF(CAST(SUM(total_transacoes) AS DOUBLE), 0) * 100", M)}) AS cartao,
+  format('{{:.1f}}x', MAX(parcelas_medias) FILTER (WHERE tipo_pagamento = 'Cartão de Crédito')) AS parcelas,
+  format('R${{:.0f}}', {RND('AVG(ticket_medio)', M)}) AS ticket FROM k_payments"""),
     "otd_named": (["k_otd", "dim_state"], "SELECT k.*, d.estado_nome FROM k_otd k LEFT JOIN dim_state d USING (estado)"),
     "perfect_named": (["k_perfect_order", "dim_state"],
                       "SELECT k.*, d.estado_nome FROM k_perfect_order k LEFT JOIN dim_state d USING (estado)"),
@@ -359,10 +400,37 @@ ORDER BY nota_media_no_prazo DESC NULLS LAST, estado LIMIT 15"""),
 }
 
 
-def _dim_state() -> str:
-    from kpiforge.sources.dimensions import STATE_NAMES
-    rows = ", ".join(f"('{k}', '{v}')" for k, v in sorted(STATE_NAMES.items()))
-    return f"SELECT * FROM (VALUES {rows}) AS t(estado, estado_nome)"
+# The states by code.
+DIM_STATE = """
+SELECT * FROM (VALUES
+  ('AC', 'Acre'),
+  ('AL', 'Alagoas'),
+  ('AM', 'Amazonas'),
+  ('AP', 'Amapá'),
+  ('BA', 'Bahia'),
+  ('CE', 'Ceará'),
+  ('DF', 'Distrito Federal'),
+  ('ES', 'Espírito Santo'),
+  ('GO', 'Goiás'),
+  ('MA', 'Maranhão'),
+  ('MG', 'Minas Gerais'),
+  ('MS', 'Mato Grosso do Sul'),
+  ('MT', 'Mato Grosso'),
+  ('PA', 'Pará'),
+  ('PB', 'Paraíba'),
+  ('PE', 'Pernambuco'),
+  ('PI', 'Piauí'),
+  ('PR', 'Paraná'),
+  ('RJ', 'Rio de Janeiro'),
+  ('RN', 'Rio Grande do Norte'),
+  ('RO', 'Rondônia'),
+  ('RR', 'Roraima'),
+  ('RS', 'Rio Grande do Sul'),
+  ('SC', 'Santa Catarina'),
+  ('SE', 'Sergipe'),
+  ('SP', 'São Paulo'),
+  ('TO', 'Tocantins')
+) AS t(estado, estado_nome)"""
 
 
 def _with(ctes: list[tuple[str, str]], body: str) -> str:
@@ -371,17 +439,18 @@ def _with(ctes: list[tuple[str, str]], body: str) -> str:
 
 def kpi_sql(name: str) -> str:
     """Standalone oracle statement for KPI CTE ``name`` (e.g. ``k_otd``)."""
-    return _with(list(ADAPTERS.items()), KPI[name])
+    shared = ",\n".join(f"{n} AS ({s})" for n, s in [*ADAPTERS.items(), *FACTS.items()])
+    return f"WITH {shared},\n" + KPI[name].strip().removeprefix("WITH ")
 
 
 def oracle_queries() -> dict[str, str]:
     out = {f"kpi_{k[2:]}": kpi_sql(k) for k in KPI}
     for name, (deps, body) in SECOND.items():
-        ctes = list(ADAPTERS.items())
+        ctes = [*ADAPTERS.items(), *FACTS.items()]
         for d in deps:
             if isinstance(d, tuple):
                 ctes.append(d)
             else:
-                ctes.append((d, _dim_state() if d == "dim_state" else KPI[d]))
+                ctes.append((d, DIM_STATE if d == "dim_state" else KPI[d]))
         out[name] = _with(ctes, body)
     return out

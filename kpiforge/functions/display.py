@@ -36,9 +36,18 @@ def month_label(x="mes") -> Column:
     return F.date_format(_c(x), "MMM/yyyy")
 
 
+def number_label(x, decimals: int, prefix: str = "", suffix: str = "") -> Column:
+    """``f"{prefix}{x:.Nf}{suffix}"``: rounding half-even on the exact binary
+    value (what format_number does; format_string rounds half-up on the
+    shortest decimal form), without grouping separators."""
+    return F.concat(F.lit(prefix), F.regexp_replace(F.format_number(_c(x), decimals), ",", ""), F.lit(suffix))
+
+
+def count_label(x) -> Column:
+    """``f"{x:,}"`` of a whole number."""
+    return F.format_number(_c(x), 0)
+
+
 def pct_label(x, decimals: int = 1) -> Column:
-    """``f"{x:.1f}%"``: rounding half-even on the exact binary value (what
-    format_number does; format_string rounds half-up on the shortest decimal
-    form), without grouping separators."""
-    return F.concat(F.regexp_replace(F.format_number(_c(x), decimals), ",", ""),
-                    F.lit("%"))
+    """``f"{x:.1f}%"``."""
+    return number_label(x, decimals, suffix="%")

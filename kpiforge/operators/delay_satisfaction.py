@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.functions.exprs import band_rank, delay_band, pct, rnd, safe_div
-from kpiforge.operators.facts import delivered_orders, reviews_per_order
+from kpiforge.functions.exprs import band_rank, pct, rnd, safe_div
+from kpiforge.operators.facts import review_fold
 
 NAME = "delay_vs_satisfaction"
 
@@ -15,9 +15,7 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
     """Each delivered order x review row is banded by lateness (on time; up to
     3 days; up to 7 days; more, or unknown estimate); per band: rows, mean
     score, count per score and % of scores <= 2. Bands in their fixed order."""
-    o = delivered_orders(t["orders"]).select("order_id", delay_band().alias("faixa_atraso"))
-    r = reviews_per_order(t["order_reviews"])
-    per_band = o.join(r, "order_id").groupBy("faixa_atraso").agg(
+    per_band = review_fold(t).groupBy("faixa_atraso").agg(
         F.sum("n_rev").alias("n"), F.sum("s_score").alias("s"), F.sum("c_score").alias("c"),
         F.sum("n_neg").alias("neg"), *[F.sum(f"n_{v}").alias(f"nota_{v}") for v in (5, 4, 3, 2, 1)])
     return (per_band.select(

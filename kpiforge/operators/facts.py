@@ -12,11 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.functions.exprs import DELIVERED, is_late, is_on_time, micros_between
+from kpiforge.functions.exprs import DELIVERED, delay_band, is_late, is_on_time, micros_between
 
 DELIVERED_AT = "order_delivered_customer_date"
 ESTIMATED_AT = "order_estimated_delivery_date"
 ORDER_FACT = "delivered_order_fact"
+REVIEW_FOLD = "delivered_order_reviews"
 
 # duration name -> (end stamp, start stamp)
 STAGES = {
@@ -80,23 +81,25 @@ def with_order_fact(t, materialize) -> dict:
     return out
 
 
-def combine_by_key(key: str, *parts: DataFrame) -> DataFrame:
-    """Merge per-key tables that each carry different columns (at most one row
-    per key in each) by stacking them and taking one aggregate: one small
-    shuffle, no join, and a null key matches a null key."""
-    cols: list[str] = []
-    types = {}
-    for p in parts:
-        for f in p.schema.fields:
-            if f.name != key and f.name not in types:
-                cols.append(f.name)
-                types[f.name] = f.dataType
-    stacked = None
-    for p in parts:
-        sel = p.select(key, *[(F.col(c) if c in p.columns else F.lit(None)).cast(types[c]).alias(c)
-                              for c in cols])
-        stacked = sel if stacked is None else stacked.unionByName(sel)
-    return stacked.groupBy(key).agg(*[F.max(c).alias(c) for c in cols])
+def build_review_fold(t) -> DataFrame:
+    """Delivered orders with the fold of their reviews: buyer, on-time flag,
+    delay band and the per-order review counts."""
+    o = delivered_orders(t["orders"]).select("order_id", "customer_id", is_on_time().alias("on_time"),
+                                             delay_band().alias("faixa_atraso"))
+    return o.join(reviews_per_order(t["order_reviews"]), "order_id")
+
+
+def review_fold(t) -> DataFrame:
+    """The shared review fold when the caller materialised one, else built inline."""
+    return t[REVIEW_FOLD] if REVIEW_FOLD in t else build_review_fold(t)
+
+
+def with_review_fold(t, materialize) -> dict:
+    """``t`` plus the review fold, materialised once for the KPIs that count
+    order x review rows."""
+    out = dict(t)
+    out[REVIEW_FOLD] = materialize(build_review_fold(t))
+    return out
 
 
 def sum0(c) -> F.Column:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiforge.functions.exprs import rnd, safe_div
-from kpiforge.operators.facts import combine_by_key, order_fact
+from kpiforge.operators.facts import order_fact
 from kpiforge.operators.percentile import percentile_from_histogram
 from kpiforge.session import cut_lineage_counted
 
@@ -20,39 +20,33 @@ def _items(t: dict[str, DataFrame]) -> DataFrame:
         .alias("ratio"))
 
 
-def item_fact(t: dict[str, DataFrame]) -> DataFrame:
-    """Items of delivered orders with the buyer's state (from the order fact)."""
-    return _items(t).join(order_fact(t).select("order_id", "estado"), "order_id")
-
-
 def build(t: dict[str, DataFrame]) -> DataFrame:
     """Per state: distinct delivered orders; mean and exact median freight per
     item; mean item price; mean of the per-item freight/price ratios in % (zero
     prices drop out of that mean); freight and revenue totals.
 
-    The item-grain join is folded into a (state, freight) histogram carrying
-    the price and ratio sums; it is materialised once and gives the means,
-    totals and the distributed exact median. Distinct orders per state come
-    from the order fact semi-joined with the items' distinct order ids (one
-    narrow column crosses the shuffle, deduplicated map-side).
+    Items meet their orders once. While the rows still lie by order, one row of
+    each (order, state) is marked, so that the distinct orders of a state are a
+    sum like the others: everything is folded into a (state, freight) histogram,
+    materialised once, which gives the means, the totals and the distributed
+    exact median. Building the plan runs the job that writes the histogram.
     """
     fact = order_fact(t).select("order_id", "estado")
+    one_order = Window.partitionBy("order_id", "estado").orderBy("order_id")
+    items = (_items(t).join(fact, "order_id")
+             .withColumn("first", F.when(F.row_number().over(one_order) == 1, 1).otherwise(0)))
     hist, hist_rows = cut_lineage_counted(
-        _items(t).join(fact, "order_id").groupBy("estado", "freight_value").agg(
-            F.count(F.lit(1)).alias("n"),
+        items.groupBy("estado", "freight_value").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("first").alias("orders"),
             F.sum("price").alias("p_sum"), F.count("price").alias("p_cnt"),
             F.sum("ratio").alias("r_sum"), F.count("ratio").alias("r_cnt")))
     f = F.col("freight_value")
-    with_items = t["order_items"].select("order_id").distinct()
-    n_orders = (fact.join(with_items, "order_id", "left_semi")
-                .groupBy("estado").agg(F.count_distinct("order_id").alias("total_pedidos")))
-    stats = percentile_from_histogram(
+    per_state = percentile_from_histogram(
         hist.withColumn("v", f.cast("double")), ["estado"], "v", "n", 0.5, "f_median",
         hist_rows=hist_rows,
-        extra=[F.sum(f * F.col("n")).alias("f_sum"),
+        extra=[F.sum("orders").alias("total_pedidos"), F.sum(f * F.col("n")).alias("f_sum"),
                F.sum(F.when(f.isNotNull(), F.col("n"))).alias("f_cnt"),
                *[F.sum(c).alias(c) for c in ("p_sum", "p_cnt", "r_sum", "r_cnt")]])
-    per_state = combine_by_key("estado", n_orders, stats)
     out = per_state.select(
         "estado",
         "total_pedidos",

@@ -18,27 +18,20 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
     days, mean approval hours, dispatch and transit days, and the dispatch share
     of the total (ratio of the two means, in %).
 
-    One join at order grain feeds a per-(state, total duration) histogram that
-    carries the stage sums; it is checkpointed once and serves both the means
-    and the distributed exact median.
+    The orders' states and durations are materialised once (no shuffle beyond
+    the join); means come from a plain per-state aggregate with map-side
+    combine, and the exact median searches the same rows by bucket counts, so
+    no near-unique duration is ever a shuffle key. Building the plan runs the
+    job that writes those rows.
     """
-    joined = (order_fact(t).where(F.col("has_delivery") & F.col("has_stamps"))
-              .select("estado", *[f"{k}_us" for k in STAGES]))
-    hist = joined.groupBy("estado", "total_us").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.col(f"{k}_us").cast("decimal(38,0)")).alias(f"{k}_sum") for k in STAGES if k != "total"],
-        *[F.count(f"{k}_us").alias(f"{k}_cnt") for k in STAGES if k != "total"])
-    hist, hist_rows = cut_lineage_counted(hist)
-
-    tot_us = F.col("total_us").cast("decimal(38,0)")
+    rows, n = cut_lineage_counted(
+        order_fact(t).where(F.col("has_delivery") & F.col("has_stamps"))
+        .select("estado", *[f"{k}_us" for k in STAGES], days("total_us").alias("v"), F.lit(1).alias("n")))
     per_state = percentile_from_histogram(
-        hist.withColumn("v", days("total_us")), ["estado"], "v", "n", 0.5, "median_days",
-        hist_rows=hist_rows,
-        extra=[F.sum("n").alias("total_pedidos"),
-               F.sum(tot_us * F.col("n")).alias("total_sum"),
-               F.sum(F.when(F.col("total_us").isNotNull(), F.col("n"))).alias("total_cnt"),
-               *[F.sum(f"{k}_sum").alias(f"{k}_sum") for k in STAGES if k != "total"],
-               *[F.sum(f"{k}_cnt").alias(f"{k}_cnt") for k in STAGES if k != "total"]])
+        rows, ["estado"], "v", "n", 0.5, "median_days", hist_rows=n,
+        extra=[F.count(F.lit(1)).alias("total_pedidos"),
+               *[F.sum(F.col(f"{k}_us").cast("decimal(38,0)")).alias(f"{k}_sum") for k in STAGES],
+               *[F.count(f"{k}_us").alias(f"{k}_cnt") for k in STAGES]])
 
     def mean_of(k, unit):
         return safe_div(f"{k}_sum", f"{k}_cnt") / unit

@@ -55,12 +55,19 @@ def _is_open(finish_rows: int):
     return (F.col("__pL") < F.col("__pU")) & (F.col("__pd") > finish_rows)
 
 
+# a target table (two rows per group) of up to this counted size is broadcast;
+# a larger one is joined by shuffle
+SMALL_TARGETS = 100_000
+
+
 def _cut_counting_open(targets: DataFrame, finish_rows: int) -> tuple[DataFrame, int]:
-    """Checkpoint the (small) target table and count its open targets in the
-    same job, through an observed metric."""
+    """Checkpoint the target table, counting its rows and its open targets in
+    the same job through observed metrics; broadcast it if it is small."""
     obs = Observation()
-    out = cut_lineage(targets.observe(obs, F.count_if(_is_open(finish_rows)).alias("open")))
-    return out, int(obs.get["open"] or 0)
+    out = cut_lineage(targets.observe(obs, F.count_if(_is_open(finish_rows)).alias("open"),
+                                      F.count(F.lit(1)).alias("rows")))
+    got = obs.get
+    return F.broadcast(out) if got["rows"] <= SMALL_TARGETS else out, int(got["open"] or 0)
 
 
 def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weight: str,
@@ -72,8 +79,9 @@ def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weig
 
     ``hist`` has columns ``keys + [value, weight]`` (and any others ``extra``
     reads): value cast to double, rows with a null value are ignored by the
-    percentile, weight a positive count. Duplicate (keys, value) rows are
-    allowed. ``extra`` are further aggregate columns over the histogram rows,
+    percentile (a group of nulls only has a null percentile), weight a positive
+    count. Duplicate (keys, value) rows are allowed, so plain rows of weight 1
+    serve too. ``extra`` are further aggregate columns over the histogram rows,
     returned per group beside the percentile (computed in the same pass when
     the histogram is small).
     It should be cheap to re-read (checkpointed or a table): it is scanned once
@@ -89,15 +97,14 @@ def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weig
     ks = list(keys)
     if hist_rows is not None and hist_rows <= finish_rows:
         return _small_histogram(hist, ks, value, weight, p, out, extra)
-    if extra:  # one more aggregate over the histogram, joined per group
-        pct = percentile_from_histogram(hist, ks, value, weight, p, out, buckets, finish_rows,
-                                        max_passes)
-        return _ns_join(hist.groupBy(*ks).agg(*extra), pct, ks, "left")
-    h = (hist.where(F.col(value).isNotNull())
-         .select(*keys, F.col(value).cast("double").alias("__pv"),
-                 F.col(weight).cast("long").alias("__pw")))
-    tot = h.groupBy(*ks).agg(F.sum("__pw").alias("__pn"), F.min("__pv").alias("__plo"),
-                             F.max("__pv").alias("__phi"), F.count(F.lit(1)).alias("__pd"))
+    v = F.col(value).cast("double")
+    w_ = F.when(v.isNotNull(), F.col(weight).cast("long"))
+    # totals and ``extra`` in one scan; groups without a value keep their row
+    groups = cut_lineage(hist.groupBy(*ks).agg(
+        F.sum(w_).alias("__pn"), F.min(v).alias("__plo"), F.max(v).alias("__phi"), F.count(w_).alias("__pd"), *extra))
+    h = (hist.where(v.isNotNull())
+         .select(*keys, v.alias("__pv"), F.col(weight).cast("long").alias("__pw")))
+    tot = groups.where(F.col("__pn") > 0)
     pos = F.lit(float(p)) * (F.col("__pn") - 1).cast("double")
     tot = tot.select(*ks, "__plo", "__phi", "__pd",
                      F.floor(pos).cast("long").alias("__pr0"),
@@ -151,7 +158,9 @@ def percentile_from_histogram(hist: DataFrame, keys: list[str], value: str, weig
         F.max(F.when(F.col("__pside") == 0, F.col("__pval"))).alias("__pa"),
         F.max(F.when(F.col("__pside") == 1, F.col("__pval"))).alias("__pb"),
         F.max("__pfrac").alias("__pfrac"))
-    return res.select(*ks, (F.col("__pa") + (F.col("__pb") - F.col("__pa")) * F.col("__pfrac")).alias(out))
+    res = res.select(*ks, (F.col("__pa") + (F.col("__pb") - F.col("__pa")) * F.col("__pfrac")).alias(out))
+    res = _ns_join(groups, res, ks, "left")
+    return res.select(*ks, out, *[c for c in groups.columns if c not in ks and not c.startswith("__p")])
 
 
 def _small_histogram(hist: DataFrame, ks: list[str], value: str, weight: str, p: float,

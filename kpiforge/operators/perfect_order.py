@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.functions.exprs import is_on_time, pct, rnd, safe_div
-from kpiforge.operators.facts import (ORDER_FACT, delivered_orders, reviews_per_order,
+from kpiforge.functions.exprs import pct, rnd, safe_div
+from kpiforge.operators.facts import (ORDER_FACT, REVIEW_FOLD, review_fold, reviews_per_order,
                                       state_of_customer, sum0)
 
 NAME = "perfect_order"
@@ -18,16 +18,15 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
 
     Reviews are folded per order and orders per customer before the customer
     join; the per-order counts reproduce the order x review grain exactly.
-    In a pipeline run the shared order fact (already joined) is used instead.
+    In a pipeline run the shared review fold is read, or the order fact (already
+    joined with the state) where only that is shared.
     """
-    r = reviews_per_order(t["order_reviews"])
-    if ORDER_FACT in t:
+    if REVIEW_FOLD not in t and ORDER_FACT in t:
         grain, joined = "estado", (t[ORDER_FACT].where(F.col("has_delivery"))
-                                   .select("order_id", "estado", "on_time").join(r, "order_id"))
+                                   .select("order_id", "estado", "on_time")
+                                   .join(reviews_per_order(t["order_reviews"]), "order_id"))
     else:
-        grain, joined = "customer_id", (delivered_orders(t["orders"])
-                                        .select("order_id", "customer_id", is_on_time().alias("on_time"))
-                                        .join(r, "order_id"))
+        grain, joined = "customer_id", review_fold(t)
     on, late = F.col("on_time"), ~F.col("on_time")
     folded = joined.groupBy(grain).agg(
         sum0("n_rev").alias("n"),

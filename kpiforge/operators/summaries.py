@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiforge.functions.display import category_label, month_label, pct_label
+from kpiforge.functions.display import category_label, count_label, month_label, number_label, pct_label
 from kpiforge.functions.exprs import BAND_LABELS, BAND_ON_TIME, BAND_SEVERE, PAYMENT_LABELS, rnd, safe_div
 from kpiforge.sources.dimensions import state_names
 
@@ -28,7 +28,7 @@ def _mean(c: str) -> Column:
 
 def money_label(x) -> Column:
     """``f"R${x/1e6:.1f}M"``."""
-    return F.concat(F.lit("R$"), F.regexp_replace(F.format_number(x / 1e6, 1), ",", ""), F.lit("M"))
+    return number_label(x / 1e6, 1, "R$", "M")
 
 
 # ---------------------------------------------------------------- overview
@@ -194,7 +194,7 @@ def category_labels(cat: DataFrame) -> DataFrame:
 def _share(df: DataFrame, key: str, measure: str) -> DataFrame:
     whole = Window.partitionBy()  # KPI tables are bounded (methods / top-20)
     return df.select(key, measure,
-                     rnd(F.col(measure) / F.sum(measure).over(whole) * 100.0, CARD_DIGITS)
+                     rnd(safe_div(F.col(measure), F.sum(measure).over(whole)) * 100.0, CARD_DIGITS)
                      .alias("share_pct"))
 
 
@@ -252,3 +252,54 @@ def with_state_name(df: DataFrame) -> DataFrame:
     """KPI rows with the state's name (unknown codes get null). The 27-row
     dimension has a fixed size, so it is broadcast explicitly."""
     return df.join(F.broadcast(state_names(df.sparkSession)), "estado", "left")
+
+
+def named_view(df: DataFrame, column: str) -> DataFrame:
+    """A page's full table: the KPI rows with the state's name, largest first."""
+    return sorted_view(with_state_name(df), column, ascending=False)
+
+
+# ---------------------------------------------------------------- card labels
+def _labels(values: DataFrame, **labels: Column) -> DataFrame:
+    return values.select(*[c.alias(name) for name, c in labels.items()])
+
+
+def overview_labels(otd: DataFrame, lt: DataFrame, po: DataFrame, fc: DataFrame) -> DataFrame:
+    return _labels(
+        sum_overview(otd, lt, po, fc), pedidos=count_label("total_pedidos"), receita=F.col("receita_label"),
+        otd=pct_label("otd_medio"), lead_time=number_label("lead_time_medio", 1, suffix="d"),
+        perfect_order=pct_label("perfect_order_medio"), frete=number_label("frete_medio", 0, "R$"))
+
+
+def lead_labels(lt: DataFrame) -> DataFrame:
+    return _labels(lead_stage_means(lt), aprovacao=number_label("aprovacao_media_horas", 1, suffix="h"),
+                   despacho=number_label("despacho_medio_dias", 1, suffix="d"),
+                   transito=number_label("transito_medio_dias", 1, suffix="d"))
+
+
+def perfect_labels(po: DataFrame) -> DataFrame:
+    rated = F.col("avaliacoes_positivas") + F.col("avaliacoes_neutras") + F.col("avaliacoes_negativas")
+    g = po.agg(_mean("perfect_order_pct").alias("p"), _mean("nota_media").alias("n"),
+               rnd(safe_div(F.sum("avaliacoes_positivas"), F.sum(rated)) * 100.0, CARD_DIGITS).alias("s"))
+    return _labels(g, perfect_order=pct_label("p"), nota=number_label("n", 2), positivas=pct_label("s"))
+
+
+def freight_labels(fc: DataFrame) -> DataFrame:
+    return _labels(freight_cards(fc), frete=number_label("frete_medio_nacional", 2, "R$"),
+                   proporcao=pct_label("proporcao_frete_media"), maior_frete=number_label("maior_frete", 2, "R$"))
+
+
+def delay_labels(dv: DataFrame) -> DataFrame:
+    return _labels(delay_drop(dv), no_prazo=number_label("nota_no_prazo", 2),
+                   atraso_grave=number_label("nota_atraso_grave", 2), queda=number_label("queda", 2, "-"))
+
+
+def volume_labels(vt: DataFrame) -> DataFrame:
+    return _labels(volume_period(vt), pedidos=count_label("total_pedidos_periodo"), receita=F.col("receita_label"),
+                   ticket=number_label("ticket_medio_periodo", 0, "R$"))
+
+
+def payment_labels(pay: DataFrame) -> DataFrame:
+    return _labels(payment_cards(pay), cartao=pct_label("pct_transacoes_cartao"),
+                   parcelas=number_label("parcelas_medias_credito", 1, suffix="x"),
+                   ticket=number_label("ticket_medio_geral", 0, "R$"))

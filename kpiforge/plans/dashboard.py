@@ -45,7 +45,10 @@ PAGE_METRICS = {
     "payment_pct_labels": (S.payment_pct_labels, ("pagamentos",)),
     # whole KPI tables in the order a chart or table of the page shows them
     "otd_sorted": (lambda d: S.sorted_view(d, "otd_pct"), ("otd",)),
-    "otd_table": (lambda d: S.sorted_view(d, "otd_pct", ascending=False), ("otd",)),
+    "otd_table": (lambda d: S.named_view(d, "otd_pct"), ("otd",)),
+    "lead_table": (lambda d: S.sorted_view(d, "lead_time_total_dias", ascending=False), ("lead_time",)),
+    "perfect_table": (lambda d: S.named_view(d, "perfect_order_pct"), ("perfect_order",)),
+    "freight_table": (lambda d: S.named_view(d, "frete_medio"), ("freight_cost",)),
     "lead_by_dispatch_share": (lambda d: S.sorted_view(d, "pct_tempo_despacho", ascending=False),
                                ("lead_time",)),
     "perfect_sorted": (lambda d: S.sorted_view(d, "perfect_order_pct"), ("perfect_order",)),
@@ -57,6 +60,14 @@ PAGE_METRICS = {
                                                             key="categoria"), ("categorias",)),
     "payments_by_ticket": (lambda d: S.sorted_view(d, "ticket_medio", key="tipo_pagamento"),
                            ("pagamentos",)),
+    # the figures on each page's cards, as text
+    "overview_labels": (S.overview_labels, ("otd", "lead_time", "perfect_order", "freight_cost")),
+    "lead_labels": (S.lead_labels, ("lead_time",)),
+    "perfect_labels": (S.perfect_labels, ("perfect_order",)),
+    "freight_labels": (S.freight_labels, ("freight_cost",)),
+    "delay_labels": (S.delay_labels, ("delay_vs_satisfaction",)),
+    "volume_labels": (S.volume_labels, ("volume_temporal",)),
+    "payment_labels": (S.payment_labels, ("pagamentos",)),
 }
 
 

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import logging
 import time
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiforge.operators import freight_cost, lead_time, otd, perfect_order
-from kpiforge.operators.facts import with_order_fact
+from kpiforge.operators import delay_satisfaction, freight_cost, lead_time, otd, perfect_order
+from kpiforge.operators.facts import with_order_fact, with_review_fold
 from kpiforge.plans.registry import Registry, default_registry
-from kpiforge.session import cut_lineage, purge_scratch
+from kpiforge.session import apply_runtime_settings, cut_lineage, purge_scratch, size_for_tables
 from kpiforge.sources.catalog import (ANALYTICS_DB, RAW_DB, ensure_databases, raw_tables,
                                       replace_table)
 from kpiforge.sources.csv_ingest import ingest_directory
@@ -20,11 +21,36 @@ from kpiforge.sources.csv_ingest import ingest_directory
 log = logging.getLogger(__name__)
 
 # KPI builders that read the shared order fact when a run provides one
-ORDER_FACT_READERS = (otd.build, lead_time.build, perfect_order.build, freight_cost.build)
+ORDER_FACT_READERS = (otd.build, lead_time.build, freight_cost.build)
+# ... and those that read its join with the reviews per order
+REVIEW_FOLD_READERS = (perfect_order.build, delay_satisfaction.build)
 
 DEFAULT_PARALLELISM = 4
 
 
+class MissingInput(KeyError):
+    """A raw table that a KPI reads is not there."""
+
+
+class Inputs(Mapping):
+    """The raw tables of a run; asking for an absent one raises MissingInput,
+    so that a KeyError inside a builder is not taken for a missing table."""
+
+    def __init__(self, tables: Mapping[str, DataFrame]):
+        self._tables = tables
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            raise MissingInput(name)
+        return self._tables[name]
+
+    def __iter__(self):
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+
 @dataclass
 class RunReport:
     ingested: dict[str, int] = field(default_factory=dict)
@@ -42,7 +68,8 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
              tables: dict[str, DataFrame] | None = None, out_db: str = ANALYTICS_DB,
              raw_db: str = RAW_DB, report: RunReport | None = None,
              parallelism: int = DEFAULT_PARALLELISM,
-             share_order_fact: bool = True) -> RunReport:
+             share_order_fact: bool = True, purge: bool = True,
+             size_shuffles: bool = True) -> RunReport:
     """Build and write every KPI of the registry (each table switches to its
     new content in one catalog operation, see ``catalog.replace_table``). A
     KPI that fails (while
@@ -57,18 +84,31 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
     With ``share_order_fact`` the delivered-order fact (orders joined with the
     customers' states, derived flags and durations) is materialised once in
     the checkpoint folder and read by every state-level KPI, instead of each
-    of them joining orders with customers again.
+    of them joining orders with customers again; so is the fold of the reviews
+    per order that two KPIs read.
+
+    With ``size_shuffles`` the session's shuffles are sized from the raw tables
+    (never below what is set). With ``purge`` the intermediates this
+    application materialised in the checkpoint folder are deleted once every
+    KPI table is written.
     """
     registry = registry or default_registry()
     report = report or RunReport()
     ensure_databases(spark, raw_db, out_db)
+    apply_runtime_settings(spark)
     if tables is None:
         tables = raw_tables(spark, raw_db)
-    if share_order_fact and any(j.builder in ORDER_FACT_READERS for j in registry.jobs()):
-        try:
-            tables = with_order_fact(tables, cut_lineage)
-        except Exception as e:  # missing inputs: the KPIs report their own errors
-            log.warning("order fact not built: %s", e)
+    if size_shuffles:
+        size_for_tables(spark, tables.values())
+    tables = Inputs(tables)
+    builders = [j.builder for j in registry.jobs()]
+    if share_order_fact:
+        for readers, share in ((ORDER_FACT_READERS, with_order_fact), (REVIEW_FOLD_READERS, with_review_fold)):
+            if sum(b in readers for b in builders) > 1:
+                try:
+                    tables = Inputs(share(tables, cut_lineage))
+                except MissingInput as e:  # the KPIs report it
+                    log.warning("shared input not built: missing %s", e)
 
     def one(job):
         t0 = time.perf_counter()
@@ -77,7 +117,7 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"kpi_{job.name}")
         try:
             rows, err = replace_table(job.build(spark, tables), out_db, job.name), None
-        except KeyError as e:  # a raw table the KPI reads is absent
+        except MissingInput as e:
             log.error("KPI %s failed: missing input table %s", job.name, e)
             rows, err = None, f"missing input table {e.args[0]}"
         except Exception as e:  # isolate one KPI's failure
@@ -88,8 +128,12 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
         return job.name, rows, err, time.perf_counter() - t0
 
     jobs = registry.jobs()
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs) or 1))) as pool:
-        results = list(pool.map(one, jobs))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs) or 1))) as pool:
+            results = list(pool.map(one, jobs))
+    finally:
+        if purge:
+            purge_scratch(spark)
     for name, rows, err, sec in results:  # registry order
         report.kpi_seconds[name] = round(sec, 3)
         if err is None:
@@ -101,16 +145,14 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
 
 def run_all(spark: SparkSession, data_dir: str, registry: Registry | None = None,
             raw_db: str = RAW_DB, out_db: str = ANALYTICS_DB,
-            parallelism: int = DEFAULT_PARALLELISM, purge: bool = True) -> RunReport:
-    """Ingest every CSV of ``data_dir`` into ``raw_db``, then compute all KPIs.
-    With ``purge`` the intermediates this application materialised in the
-    checkpoint folder are deleted once every KPI table is written."""
+            parallelism: int = DEFAULT_PARALLELISM, purge: bool = True,
+            size_shuffles: bool = True) -> RunReport:
+    """Ingest every CSV of ``data_dir`` into ``raw_db``, then compute all KPIs
+    (see ``run_kpis``)."""
     t0 = time.perf_counter()
     report = RunReport()
     report.ingested = ingest_directory(spark, data_dir, raw_db, parallelism=parallelism)
     run_kpis(spark, registry, out_db=out_db, raw_db=raw_db, report=report,
-             parallelism=parallelism)
-    if purge:
-        purge_scratch(spark)
+             parallelism=parallelism, purge=purge, size_shuffles=size_shuffles)
     report.seconds = time.perf_counter() - t0
     return report

@@ -29,19 +29,22 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "kpiforge", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the kpiforge defaults.
 
-    On a cluster pass ``master=None`` and size ``shuffle_partitions`` to the
-    input (AQE coalesces small partitions, so err on the high side: roughly
-    input bytes / 128 MB).
+    On a cluster pass ``master=None``. ``shuffle_partitions`` left out is 8 on
+    a local master and Spark's own default elsewhere; the runner sizes it from
+    the raw tables anyway (``size_for_tables``).
     """
+    if shuffle_partitions is None and master and master.startswith("local"):
+        shuffle_partitions = 8
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -57,14 +60,23 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20,
-                   max_partitions: int = 100_000) -> dict[str, str]:
+def apply_runtime_settings(spark: SparkSession) -> None:
+    """The settings every job relies on, for a session made by the caller
+    (those that can be set while it runs)."""
+    for k, v in BASE_CONF.items():
+        if spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
+
+
+def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20, least: int = 200,
+                   max_partitions: int = 500_000) -> dict[str, str]:
     """Shuffle sizing for a run reading ``input_bytes``: about one shuffle
-    partition per ``partition_bytes`` of input (at least 200, at most
-    ``max_partitions`` to keep map-output metadata bounded), scans split at
-    128 MB, and AQE coalescing small partitions back towards half that size.
-    Partitions of this size fit executor memory and spill cleanly."""
-    parts = min(max(200, -(-input_bytes // partition_bytes)), max_partitions)
+    partition per ``partition_bytes`` of input (at least ``least``), scans split
+    at 128 MB, and AQE coalescing small partitions back towards half that size.
+    Partitions of this size fit executor memory and spill cleanly.
+    ``max_partitions`` bounds the map-output metadata; it is reached at 128 TB,
+    beyond which partitions grow in proportion."""
+    parts = min(max(least, -(-input_bytes // partition_bytes)), max_partitions)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(128 << 20),
@@ -73,6 +85,16 @@ def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20,
     }
 
 
+def size_for_tables(spark: SparkSession, tables) -> dict[str, str]:
+    """Size the session's shuffles for a run over ``tables`` (their estimated
+    sizes, from file metadata), never below the number already set."""
+    size = sum(int(str(t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in tables)
+    conf = scale_settings(size, least=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     """(Path, FileSystem) of ``path`` through the session's Hadoop
     configuration: local folders, HDFS and object stores alike (metadata only)."""
@@ -87,8 +109,9 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 
 
 def apply_scale_settings(spark: SparkSession, path: str) -> dict[str, str]:
-    """Size the session's shuffles for the input under ``path``."""
-    conf = scale_settings(input_bytes(spark, path))
+    """Size the session's shuffles for the input under ``path``, never below
+    the number already set."""
+    conf = scale_settings(input_bytes(spark, path), least=int(spark.conf.get("spark.sql.shuffle.partitions")))
     for k, v in conf.items():
         spark.conf.set(k, v)
     return conf
@@ -118,21 +141,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and return a
-    DataFrame reading it back (survives executor loss, short lineage).
-
-    Default: written as parquet, so the planner sees the true size of the
-    result (a small table is broadcast, a large one is not) and later reads
-    prune columns. ``keep_partitioning=True`` uses ``checkpoint()`` instead,
-    which keeps the output partitioning (e.g. hash on order_id after a join),
-    so a following aggregation on that key needs no new shuffle.
-    """
+    DataFrame reading it back (survives executor loss, short lineage). It is
+    written as parquet, so the planner sees the true size of the result (a
+    small table is broadcast, a large one is not) and later reads prune columns."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    if keep_partitioning:
-        return df.checkpoint(eager=True)
-    path = f"{scratch_root(spark, base)}/{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

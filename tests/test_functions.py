@@ -34,4 +34,5 @@ def test_scale_settings():
     from kpiforge.session import scale_settings
     assert scale_settings(0)["spark.sql.shuffle.partitions"] == "200"
     assert scale_settings(10 << 40)["spark.sql.shuffle.partitions"] == str(40960)   # 10 TiB / 256 MiB
-    assert scale_settings(100 << 40)["spark.sql.shuffle.partitions"] == "100000"    # capped
+    assert scale_settings(100 << 40)["spark.sql.shuffle.partitions"] == str(409600)  # 100 TiB
+    assert scale_settings(1, least=7)["spark.sql.shuffle.partitions"] == "7"

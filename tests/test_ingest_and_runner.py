@@ -210,19 +210,88 @@ def test_page_metrics_from_the_catalog(spark, data_dir):
 
 def test_full_replace_takes_over_a_leftover_table_folder(spark, data_dir):
     """A rerun in a new process: the table folder exists, the catalog entry
-    does not. The write must replace the folder's content, not add to it."""
-    import shutil
-    from kpiforge.sources.catalog import ensure_databases, table_path, write_table
-    ensure_databases(spark, "raw_left", "raw_left2")
+    does not. The write must replace the table's content, not add to it."""
+    from kpiforge.sources.catalog import ensure_databases, replace_table
+    ensure_databases(spark, "raw_left")
     df = read_csv(spark, os.path.join(data_dir, "olist_orders_dataset.csv"), "orders")
-    assert write_table(df, "raw_left", "orders") == 3
-    src = table_path(spark, "raw_left", "orders").replace("file:", "")
-    shutil.copytree(src, table_path(spark, "raw_left2", "orders").replace("file:", ""))
-    assert not spark.catalog.tableExists("raw_left2.orders")
-    assert write_table(df.limit(2), "raw_left2", "orders") == 2
-    assert spark.table("raw_left2.orders").count() == 2
-    assert write_table(df, "raw_left2", "orders") == 3          # and again in-session
-    assert spark.table("raw_left2.orders").count() == 3
+    assert replace_table(df, "raw_left", "orders") == 3
+    spark.sql("DROP TABLE raw_left.orders")                     # external: files stay
+    assert replace_table(df.limit(2), "raw_left", "orders") == 2
+    assert spark.table("raw_left.orders").count() == 2
+    assert replace_table(df, "raw_left", "orders") == 3          # and again in-session
+    assert spark.table("raw_left.orders").count() == 3
+
+
+@pytest.mark.parametrize("columns", [
+    "a, b, 'new' AS c", "a", "a, b AS renamed", "a, CAST(b AS STRING) AS b", "b, a"])
+def test_full_replace_replaces_the_columns(spark, columns):
+    from kpiforge.sources.catalog import ensure_databases, recover_tables, replace_table
+    ensure_databases(spark, "an_cols")
+    old = spark.sql("SELECT 1 AS a, 2 AS b UNION ALL SELECT 3, 4")
+    new = spark.sql(f"SELECT {columns} FROM VALUES (5, 6) AS t(a, b)")
+    replace_table(old, "an_cols", "t")
+    before = spark.table("an_cols.t")                            # a reader during the switch
+    assert replace_table(new, "an_cols", "t") == 1
+    got = spark.table("an_cols.t")
+    assert got.dtypes == new.dtypes and got.collect() == new.collect()
+    assert sorted(map(tuple, before.collect())) == [(1, 2), (3, 4)]
+    # a table known from an earlier process
+    spark.sql("DROP TABLE an_cols.t")
+    recover_tables(spark, "an_cols")
+    replace_table(old, "an_cols", "t")
+    assert spark.table("an_cols.t").dtypes == old.dtypes
+
+
+def test_ingest_and_kpis_with_changed_columns(spark):
+    d = tempfile.mkdtemp(prefix="kpiforge-cols-")
+    _write(d, "custom.csv", "a,b\n1,2\n")
+    run_all(spark, d, registry=Registry().register_sql("k", "SELECT a FROM raw.custom"), raw_db="raw_c", out_db="an_c")
+    _write(d, "custom.csv", "b,c,a\n2,3,1\n")
+    rep = run_all(spark, d, registry=Registry().register_sql("k", "SELECT c, a FROM raw.custom"),
+                  raw_db="raw_c", out_db="an_c")
+    assert rep.ok, rep.failed
+    assert spark.table("raw_c.custom").columns == ["b", "c", "a"]
+    assert [r.asDict() for r in spark.table("an_c.k").collect()] == [{"c": "3", "a": "1"}]
+
+
+def test_csv_rows_are_never_bent(spark):
+    """Quoted line breaks in any table, surplus and missing fields, part files
+    with another column order, sub-cent values."""
+    d = tempfile.mkdtemp(prefix="kpiforge-rows-")
+    _write(d, "olist_customers_dataset.csv", CUSTOMERS.replace("sao paulo", '"sao\npaulo"'))
+    path = os.path.join(d, "olist_customers_dataset.csv")
+    rows = read_csv(spark, path, "customers").collect()
+    assert [r["customer_city"] for r in rows] == ["sao\npaulo", "rio"]
+    for bad in ("c3,u3,1,x,SP,extra", "c3,u3"):
+        _write(d, "bad.csv", CUSTOMERS + bad + "\n")
+        with pytest.raises(Exception):
+            read_csv(spark, os.path.join(d, "bad.csv"), "customers").collect()
+        assert read_csv(spark, os.path.join(d, "bad.csv"), "customers", strict=False).count() == 3
+    parts = os.path.join(d, "olist_sellers_dataset")
+    os.makedirs(parts)
+    _write(parts, "p0.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01001,sp,SP\n")
+    _write(parts, "p1.csv", "seller_id,seller_state,seller_city,seller_zip_code_prefix\ns2,RJ,rio,20000\n")
+    with pytest.raises(Exception):
+        read_csv(spark, f"{parts}/*.csv", "sellers").collect()
+
+
+def test_rounded_money_is_reported(spark, caplog):
+    from kpiforge.sources.csv_ingest import ingest_directory
+    d = tempfile.mkdtemp(prefix="kpiforge-cent-")
+    _write(d, "olist_order_items_dataset.csv", ITEMS.replace("20.00", "1.005").replace("10.00", "10.000"))
+    with caplog.at_level("WARNING"):
+        assert ingest_directory(spark, d, "raw_cent") == {"order_items": 3}
+    assert [m for m in caplog.messages if "rounded" in m] == [
+        "order_items.price: 1 values rounded to the column's digits"]
+
+
+def test_last_of_several_sources_wins(spark):
+    from kpiforge.sources.csv_ingest import ingest_directory
+    d = tempfile.mkdtemp(prefix="kpiforge-twice-")
+    _write(d, "custom.csv", "a\n1\n")
+    _write(d, "olist_custom.csv", "a\n2\n3\n")
+    for _ in range(2):
+        assert ingest_directory(spark, d, "raw_twice") == {"custom": 2}
 
 
 def test_replace_table_switches_versions(spark, data_dir):
@@ -268,3 +337,9 @@ def test_crashed_write_does_not_take_the_previous_version_slot(spark, data_dir):
     replace_table(df.limit(1), "an_crash", "t")
     assert before.count() == 3                                      # previous committed version kept
     assert sorted(v for v in os.listdir(base) if v.startswith("_v"))[0] != "_v000000000000001_crashed"
+    # a version that may still be being written survives other writers
+    import time
+    running = f"_v{int(time.time() * 1000) - 60_000:015d}_running"
+    os.makedirs(os.path.join(base, running))
+    replace_table(df, "an_crash", "t")
+    assert running in os.listdir(base)

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from kpiforge.plans.registry import default_registry
-from kpiforge.sources.catalog import ensure_databases, raw_tables, write_table
+from kpiforge.sources.catalog import ensure_databases, raw_tables, replace_table
 from kpiforge.sources.driver_tables import load_driver_tables
 from tests.conftest import SF_SMALL
 from tools.explain_plans import plan_text, summarize
@@ -15,7 +15,7 @@ from tools.explain_plans import plan_text, summarize
 def plans(spark):
     ensure_databases(spark, "plans_raw")
     for name, df in load_driver_tables(spark, SF_SMALL).items():
-        write_table(df, "plans_raw", name)
+        replace_table(df, "plans_raw", name)
     t = raw_tables(spark, "plans_raw")
     return {job.name: plan_text(job.build(spark, t)) for job in default_registry().jobs()}
 

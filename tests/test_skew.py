@@ -14,10 +14,10 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from kpiforge.checks.oracle import KPI
+from kpiforge.checks.oracle import FACTS, KPI
 from kpiforge.operators import (categories, delay_satisfaction, freight_cost, lead_time, otd,
                                 payments, perfect_order, volume_monthly)
-from kpiforge.operators.facts import with_order_fact
+from kpiforge.operators.facts import with_order_fact, with_review_fold
 from kpiforge.session import cut_lineage
 from kpiforge.sources.driver_tables import DRIVER_VOLUME_BOUNDS
 from tools.oracle_check import rows_of
@@ -96,6 +96,8 @@ def skewed(spark):
         pq.write_table(tab, path, row_group_size=8192)  # several map tasks per table
         t[name] = spark.read.parquet(path)
         con.execute(f"CREATE VIEW {SQL_NAMES[name]} AS SELECT * FROM read_parquet('{path}')")
+    for name, sql in FACTS.items():
+        con.execute(f"CREATE VIEW {name} AS {sql}")
     return t, con
 
 
@@ -117,7 +119,7 @@ def test_skewed_inputs_match_sql(skewed, kpi, monkeypatch):
     cur = con.execute(KPI[kpi])
     cols = [c[0] for c in cur.description]
     want = rows_of(cols, cur.fetchall())
-    for tables in (t, with_order_fact(t, cut_lineage)):
+    for tables in (t, with_order_fact(t, cut_lineage), with_review_fold(t, cut_lineage)):
         df = BUILDERS[kpi](tables)
         assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == want
 

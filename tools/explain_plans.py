@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from kpiforge.plans.registry import default_registry  # noqa: E402
 from kpiforge.session import build_session  # noqa: E402
-from kpiforge.sources.catalog import ensure_databases, raw_tables, write_table  # noqa: E402
+from kpiforge.sources.catalog import ensure_databases, raw_tables, replace_table  # noqa: E402
 from kpiforge.sources.driver_tables import load_driver_tables  # noqa: E402
 
 
@@ -55,7 +55,7 @@ def main(argv):
         spark.conf.set("spark.sql.adaptive.enabled", "false")
     ensure_databases(spark, "plan_raw")
     for name, df in load_driver_tables(spark, sf_dir).items():
-        write_table(df, "plan_raw", name)
+        replace_table(df, "plan_raw", name)
     tables = raw_tables(spark, "plan_raw")
     for job in default_registry().jobs():
         df = job.build(spark, tables)
