@@ -43,7 +43,7 @@ from kpiforge.llm.common import chunks, column, text_or_empty
 from kpiforge.llm.textvec import SPACE, buffer_of, mix, span_hashes, spans
 from kpiforge.session import cut_lineage
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 HEAD = 8192
 TAIL = 4096
 CLASSES = 32   # class 0 is the end token's
@@ -262,16 +262,26 @@ def exchange(units: Units, before: np.ndarray, after: np.ndarray) -> np.ndarray:
     return classes
 
 
+def likelihood(before: np.ndarray, classes: np.ndarray) -> float:
+    """The part of the class bigram log likelihood that depends on the classes."""
+    g = np.zeros((CLASSES, CLASSES))
+    np.add.at(g, classes, before.astype(float))
+    return float(_xlogx(g).sum() - _xlogx(g.sum(axis=0)).sum() - _xlogx(g.sum(axis=1)).sum())
+
+
 def cluster(stored: DataFrame, head: np.ndarray, rounds: int = ROUNDS) -> tuple[Units, np.ndarray]:
-    """The clustered units and their ``before`` counts under the final classes."""
+    """The clustered units and their ``before`` counts under the final classes.
+    Counts are a round old while units move, so the best round is kept."""
     n = len(head) + TAIL
     start = 1 + np.arange(n) % (CLASSES - 1)
     units = Units(head, np.append(start, 0))
     before, after = context_counts(stored, units)
+    best = likelihood(before, units.classes), units, before
     for _ in range(rounds):
         units = Units(head, exchange(units, before, after))
         before, after = context_counts(stored, units)
-    return units, before
+        best = max(best, (likelihood(before, units.classes), units, before), key=lambda x: x[0])
+    return best[1], best[2]
 
 
 # ---- scores -----------------------------------------------------------------

@@ -11,7 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # text processed at once inside a task; bounds the numpy scratch space
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+# rows that cross to a Python worker at once, unless the session says otherwise:
+# whole texts may be long
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def pick(df: DataFrame, **cols: str) -> DataFrame:
@@ -19,9 +23,16 @@ def pick(df: DataFrame, **cols: str) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(dst) for dst, src in cols.items()])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the rows of an Arrow batch where the session has Spark's default."""
+    if spark.conf.get(_BATCH_CONF) == "10000":
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
 def text_or_empty(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   **more: str) -> DataFrame:
     """(doc_id, text, ...) with a null text as the empty one."""
+    small_batches(df.sparkSession)
     d = pick(df, doc_id=id_col, text=text_col, **more)
     return d.withColumn("text", F.coalesce(F.col("text"), F.lit("")))
 

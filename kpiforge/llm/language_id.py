@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.llm.common import CHUNK_BYTES, chunks, column, text_or_empty
+from kpiforge.llm.common import CHUNK_BYTES, chunks, column, small_batches, text_or_empty
 from kpiforge.llm.textvec import mix, spans
 
 BUCKETS = 1 << 17
@@ -107,6 +107,7 @@ class Model:
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Counts of every labelled text; each task adds up before it sends."""
+    small_batches(labelled.sparkSession)
     d = labelled.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
                         F.col(f"`{lang_col}`").alias("lang")).filter(F.col("lang").isNotNull())
     size = BUCKETS + len(SCRIPT_NAMES)
@@ -234,7 +235,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         k = len(m.languages)
-        most = CHUNK_BYTES * 4 // max(4, k)
+        most = CHUNK_BYTES * 8 // max(8, k)
         for batch in batches:
             for part in chunks(batch, most=most):
                 found = Letters(column(part, "text"))

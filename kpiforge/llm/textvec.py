@@ -44,7 +44,7 @@ def _geometric(ratio: int, n: int) -> np.ndarray:
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverse
     if len(_powers) < n:
-        size = max(n, 2 * len(_powers), 1 << 16)
+        size = -(-n // (1 << 18)) * (1 << 18)
         _powers = _geometric(_BASE, size)
         _inverse = _geometric(pow(_BASE, -1, 1 << 64), size)
     return _powers, _inverse
