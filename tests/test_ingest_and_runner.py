@@ -343,3 +343,65 @@ def test_crashed_write_does_not_take_the_previous_version_slot(spark, data_dir):
     os.makedirs(os.path.join(base, running))
     replace_table(df, "an_crash", "t")
     assert running in os.listdir(base)
+
+
+def test_sql_kpi_reads_the_tables_of_the_run(spark, data_dir, tmp_path):
+    run_all(spark, data_dir, raw_db="raw_sql", out_db="an_sql", registry=Registry())
+    f = tmp_path / "by_status.sql"
+    f.write_text("-- raw.nothing is only a comment\nSELECT order_status, COUNT(*) AS n, 'raw.orders' AS t\n"
+                 "FROM raw.orders o JOIN `raw`.customers USING (customer_id) GROUP BY 1;\n", encoding="utf-8")
+    reg = Registry().register_sql_file(str(f)).register_sql("lost", "SELECT * FROM raw.no_such_table")
+    rep = run_kpis(spark, reg, raw_db="raw_sql", out_db="an_sql")            # from a database
+    assert rep.written == {"by_status": 2}
+    assert rep.failed == {"lost": "missing input table no_such_table"}
+    given = {"orders": spark.table("raw_sql.orders").limit(0), "customers": spark.table("raw_sql.customers")}
+    rep = run_kpis(spark, reg, tables=given, out_db="an_sql")                # from DataFrames
+    assert rep.written == {"by_status": 0}
+    assert not [v for v in spark.catalog.listTables() if v.name.startswith("kpiforge_")]
+
+
+def test_a_bug_in_a_builder_is_not_a_missing_table(spark, data_dir):
+    run_all(spark, data_dir, raw_db="raw_bug", out_db="an_bug", registry=Registry())
+    reg = Registry().register("bug", lambda t: {}["oops"]).register("gone", lambda t: t["nowhere"])
+    rep = run_kpis(spark, reg, raw_db="raw_bug", out_db="an_bug")
+    assert rep.failed == {"bug": "KeyError: 'oops'", "gone": "missing input table nowhere"}
+
+
+def test_both_commands_size_shuffles_and_leave_no_scratch(spark, data_dir, capsys):
+    from kpiforge.__main__ import main
+    from kpiforge.session import hadoop_fs, scratch_root, size_for_tables
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        for args in (["run", data_dir], ["kpis"]):
+            spark.conf.set(key, "4")
+            assert main([*args, "--raw-db", "raw_size", "--out-db", "an_size"]) == 0
+            assert spark.conf.get(key) == "4"                   # tiny tables: what was set stays
+            path, fs = hadoop_fs(spark, scratch_root(spark))
+            assert not fs.exists(path)
+
+        class Sized:                                            # a table of 10 TiB, by its statistics
+            class _jdf:
+                queryExecution = staticmethod(lambda: Sized)
+            optimizedPlan = staticmethod(lambda: Sized)
+            stats = staticmethod(lambda: Sized)
+            sizeInBytes = staticmethod(lambda: 10 << 40)
+
+        assert size_for_tables(spark, [Sized])[key] == "40960" == spark.conf.get(key)
+    finally:
+        spark.conf.set(key, before)
+    capsys.readouterr()
+
+
+def test_session_of_a_caller_gets_the_settings(spark):
+    from kpiforge.session import apply_runtime_settings
+    key = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    spark.conf.set(key, "false")
+    apply_runtime_settings(spark)
+    assert spark.conf.get(key) == "true"
+
+
+def test_zero_total_share_is_null(spark):
+    from kpiforge.operators.summaries import payment_share
+    df = spark.createDataFrame([("Boleto", 0)], "tipo_pagamento string, total_transacoes long")
+    assert payment_share(df).first()["share_pct"] is None
