@@ -282,7 +282,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-               least_score: float = 0.5) -> DataFrame:
+               least_score: float = 1 / 3) -> DataFrame:
     """The rows of ``docs`` whose text is mainly of one learned language, with
     all of their columns; the model is fitted on the rows that name a language."""
     ride = {f"_{i}": c for i, c in enumerate(docs.columns)}
