@@ -27,7 +27,7 @@ invalid. Other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiforge.llm.common import pick, shuffle_partitions
@@ -114,11 +114,10 @@ def numbered(df: DataFrame, group: str, order: list[str], name: str) -> DataFram
                .withColumn("_at", F.monotonically_increasing_id()))
     stored = cut_lineage(sorted_).withColumn("_part", F.shiftright("_at", 33))
     parts = stored.groupBy(group, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = parts.select(F.col(group).alias("_g"), F.col("_part").alias("_earlier"), F.col("_n").alias("_m"))
-    # partitions of one group: as many as there are partitions at most
-    offset = (parts.join(before, parts[group].eqNullSafe(before["_g"]) & (parts["_part"] > before["_earlier"]), "left")
-              .groupBy(group, "_part", "_first").agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_offset"))
-              .withColumnsRenamed({group: "_g", "_part": "_p"}))
+    # as many rows of one group as there are partitions, at most
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offset = parts.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), "_first",
+                          F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     out = stored.join(offset, stored[group].eqNullSafe(offset["_g"]) & (stored["_part"] == offset["_p"]))
     return out.select(*[stored[c] for c in df.columns], (F.col("_at") - F.col("_first") + F.col("_offset")).alias(name))
 
