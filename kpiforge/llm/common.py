@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # text processed at once inside a task; bounds the numpy scratch space
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 # rows that cross to a Python worker at once, unless the session says otherwise:
 # whole texts may be long
 BATCH_ROWS = 1000

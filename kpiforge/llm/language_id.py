@@ -235,7 +235,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         k = len(m.languages)
-        most = CHUNK_BYTES * 8 // max(8, k)
+        most = CHUNK_BYTES * 12 // max(8, k)
         for batch in batches:
             for part in chunks(batch, most=most):
                 found = Letters(column(part, "text"))

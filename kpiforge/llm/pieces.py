@@ -21,7 +21,7 @@ import pyarrow as pa
 
 from kpiforge.llm.textvec import SPACE, buffer_of, span_hashes, spans
 
-REMEMBERED = 1_500_000
+REMEMBERED = 500_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
