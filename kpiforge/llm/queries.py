@@ -56,7 +56,7 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), wide=secret_scan.WIDE)
     base = F.filter("spans", lambda s: s["kind"] < secret_scan.KINDS.index("opaque"))
 
     def count(kind: int):

@@ -12,8 +12,12 @@ that splitting there gives the text between and inside the matches, and sums
 of their lengths give code point positions. Failing matches still consume
 their text, as leftmost non-overlapping search demands.
 
-All assign, access and hex matches are reported; opaque tokens only where they
-look live and overlap no other span.
+All assign, access and hex matches are reported; opaque tokens where they
+overlap no other span. ``scan`` alone leaves out opaque tokens of more than
+``LIVE_OWNERS`` owners. With ``wide``, as the query and ``redact`` call it, it
+reports all of them, and a value is an example (not live) only if distinct texts
+that hold it number more than ``WIDE[1]`` and have more than ``WIDE[0]`` owners;
+copies of one text count once, for the least of their owners.
 
 Defined cases: a null or empty text has no spans; a null owner is an owner of
 its own; repeated rows of one document are one repository and each get the
@@ -30,6 +34,7 @@ from kpiforge.session import cut_lineage, cut_lineage_counted
 
 KINDS = ["assign", "access", "hex", "opaque"]  # the order among spans of one start
 LIVE_OWNERS = 1   # a value of more owners is an example
+WIDE = (2, 9)     # owners and distinct texts beyond which a value is widely copied
 VALUE_CHARS = 12  # of an assignment
 SMALL_ROWS = 200_000
 
@@ -94,24 +99,33 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(value, n_owners, n_docs): distinct owners and repositories of every
-    candidate value, by partial sums over ever coarser keys."""
+    """(value, n_owners, n_docs, text_owners, n_texts): distinct owners and
+    repositories of every candidate value, and the same over distinct texts, by
+    partial sums over ever coarser keys."""
     spans = found.select("doc_id", "key", "owner", F.explode(F.concat("base", "opaque")).alias("s"))
     by_doc = spans.groupBy(F.col("s.value").alias("value"), "owner", "doc_id", "key").agg(F.lit(1).alias("one"))
     by_owner = by_doc.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("n"))
-    return by_owner.groupBy("value").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_docs"))
+    rows = by_owner.groupBy("value").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_docs"))
+    by_text = by_doc.groupBy("value", "key").agg(F.min("owner").alias("owner"))
+    by_owner = by_text.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("n"))
+    texts = by_owner.groupBy("value").agg(F.count(F.lit(1)).alias("text_owners"), F.sum("n").alias("n_texts"))
+    return rows.join(texts, "value")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-         live_owners: int = LIVE_OWNERS) -> DataFrame:
+         live_owners: int = LIVE_OWNERS, wide: tuple[int, int] | None = None) -> DataFrame:
     """doc_id, key and spans of every row: array of (start, kind, end, n_owners,
-    n_docs, live) by start and kind, positions in code points."""
+    n_docs, live) by start and kind, positions in code points. ``wide``: the
+    owners and texts beyond which a value is an example; opaque ones stay then."""
     found = cut_lineage(candidates(docs, id_col, text_col, owner_col))
-    judged = ownership(found).withColumn("live", F.col("n_owners") <= live_owners)
+    live = F.col("n_owners") <= live_owners
+    if wide is not None:
+        live = (F.col("text_owners") <= wide[0]) | (F.col("n_texts") <= wide[1])
+    judged = ownership(found).select("value", "n_owners", "n_docs", live.alias("live"))
     spans = (found.select("doc_id", "key", F.explode(F.concat("base", "opaque")).alias("s"))
              .select("doc_id", "key", "s.start", "s.kind", "s.end", "s.value").distinct()
              .join(judged, "value")
-             .filter((F.col("kind") != KINDS.index("opaque")) | F.col("live")))
+             .filter((F.col("kind") != KINDS.index("opaque")) | F.col("live") | F.lit(wide is not None)))
     grouped = spans.groupBy("doc_id", "key").agg(
         F.array_sort(F.collect_list(F.struct("start", "kind", "end", "n_owners", "n_docs", "live"))).alias("spans"))
     grouped = grouped.withColumnsRenamed({"doc_id": "_id", "key": "_key"})
@@ -132,7 +146,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
     """The rows of ``docs`` with every span replaced by ``mask`` (overlapping
     spans by one) and ``chars_col``, if there is one, brought up to date."""
     hit, n = cut_lineage_counted(
-        scan(docs, id_col, text_col, owner_col).filter(F.size("spans") > 0)
+        scan(docs, id_col, text_col, owner_col, wide=WIDE).filter(F.size("spans") > 0)
         .select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("spans").alias("_spans"))
         .dropDuplicates(["_id", "_key"]))
     hit = F.broadcast(hit) if n <= SMALL_ROWS else hit

@@ -65,6 +65,21 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert ss.scan(frame(spark, [])).collect() == []
 
 
+def test_copies_hide_no_opaque_token(spark, tmp_path):
+    """Copied to another source, a token is live; widely copied, an example; masked either way."""
+    copied, two, wide = (f"{p}_A1b2C3d4E5f6G7h8I9j0Kk" for p in ("one", "two", "all"))
+    rows = [(1, f"a {copied} b", "en", "o1", 0), (2, f"a {copied} b", "en", "o2", 0)]
+    rows += [(3 + i, f"{i} {two}", "en", f"o{i % 2}", 0) for i in range(20)]
+    rows += [(30 + i, f"{i} {wide}", "en", f"o{i % 3}", 0) for i in range(20)]
+    docs = frame(spark, rows)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in op10_secret_scan(spark, str(tmp_path)).collect()}
+    assert got[1].spans == got[2].spans == "opaque:2:28"
+    assert {d: r.n_live for d, r in got.items()} == {r[0]: int(r[0] < 30) for r in rows}
+    assert all(r.spans.startswith("opaque:") for r in got.values())
+    assert all(r.text.count("[SECRET]") == 1 and "A1b2" not in r.text for r in ss.redact(docs).collect())
+
+
 def test_redaction(spark):
     docs = frame(spark, [(1, "é token=abcdefabcdefabcdefa tail", "en", "s", 32), (2, "clean", "en", "s", 5),
                          (2, "clean", "en", "s", 5), (3, None, "en", "s", None),
