@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiforge.llm import bpe, brown_lm, cotraining, fingerprints, language_id, order_minhash, packing, quality_rules, secret_scan, tool_calls
+from kpiforge.llm import (bpe, brown_lm, cotraining, fingerprints, language_id, order_minhash, packing,
+                          periodic_runs, quality_rules, secret_scan, tool_calls)
 from kpiforge.llm.common import remainder_of_id
 
 
@@ -139,6 +140,44 @@ FROM r WHERE call_id NOT IN (SELECT call_id FROM c)
 """
 
 
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """One document in ten (crc32 of the id written as decimal, h % 10 = 0) with
+    its words from number a on replaced by a repetition of p of them:
+    g = floor(h / 10), a = g % n, p = 1 + floor((n - a) / (3 + g % 8)). Documents
+    without words or without an id stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    d = docs.select("doc_id", "text", h.alias("h"))
+    chosen = (F.col("h") % 10 == 0) & (F.size("words") > 0)
+    d = d.withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    d = d.withColumn("a", F.when(chosen, (g % n).cast("int")))
+    d = d.withColumn("p", F.when(chosen, (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int")))
+    tail = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return d.select("doc_id", F.when(chosen, F.array_join(tail, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find(with_periodic_tails(table(spark, sf_dir, "documents")))
+
+    def better(a, b):
+        """The run of greater length / period; of equals the one that starts, then repeats, earlier."""
+        x, y = a["length"] * b["period"], b["length"] * a["period"]
+        return (x > y) | ((x == y) & ((a["start"] < b["start"])
+                                      | ((a["start"] == b["start"]) & (a["period"] < b["period"]))))
+
+    best = F.aggregate(F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))), F.get("runs", F.lit(0)),
+                       lambda a, b: F.when(better(b, a), b).otherwise(a))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"),
+                                                               r["period"].cast("string")), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"), F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_brown_lm": op2_brown_lm,
@@ -150,6 +189,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_order_minhash": op9_order_minhash,
     "op10_secret_scan": op10_secret_scan,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_tool_calls": OP7_SQL}
