@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiforge.llm import (bpe, brown_lm, cotraining, fingerprints, language_id, order_minhash, packing,
-                          periodic_runs, quality_rules, secret_scan, tool_calls)
+from kpiforge.llm import (bpe, brown_lm, byte_bpe, cotraining, fingerprints, language_id, order_minhash,
+                          packing, periodic_runs, quality_rules, secret_scan, tool_calls)
 from kpiforge.llm.common import remainder_of_id
 
 
@@ -178,6 +178,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"),
+                               public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_brown_lm": op2_brown_lm,
@@ -190,6 +196,7 @@ QUERIES = {
     "op9_order_minhash": op9_order_minhash,
     "op10_secret_scan": op10_secret_scan,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_tool_calls": OP7_SQL}
