@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiforge.llm import (bpe, brown_lm, byte_bpe, cotraining, fingerprints, language_id, order_minhash,
-                          packing, periodic_runs, quality_rules, secret_scan, tool_calls)
+                          packing, periodic_runs, quality_rules, secret_scan, tool_calls, whitening)
 from kpiforge.llm.common import remainder_of_id
+from kpiforge.session import cut_lineage
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -184,6 +185,18 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                public_tokenizers.PATTERN)
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    white = cut_lineage(whitening.apply(vectors, model))
+    error = whitening.identity_error(white, len(model.scaled))
+    rows = white.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    explained = F.array(*[F.lit(x) for x in model.explained]).cast("array<double>")
+    return rows.select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("bigint").alias("n"),
+                       F.col("deviation").try_cast("bigint").alias("deviation"), "whitened",
+                       F.get(explained, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_brown_lm": op2_brown_lm,
@@ -197,6 +210,7 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {"op7_tool_calls": OP7_SQL}
