@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--shuffle-partitions", default="auto",
                        help="a number, or 'auto': sized from the input")
         p.add_argument("--parallelism", type=int, default=4, help="KPIs run at once")
+        p.add_argument("--kpi-sql", default=None, help="folder of *.sql files, each one more KPI named after its file")
         p.add_argument("--volume-from", default=volume_monthly.DEFAULT_BOUNDS[0],
                        help="first purchase date of the monthly volume KPI (inclusive)")
         p.add_argument("--volume-to", default=volume_monthly.DEFAULT_BOUNDS[1],
@@ -38,6 +39,8 @@ def main(argv: list[str] | None = None) -> int:
     if (args.volume_from, args.volume_to) != volume_monthly.DEFAULT_BOUNDS:
         lo, hi = args.volume_from, args.volume_to
         registry.register(volume_monthly.NAME, lambda t: volume_monthly.build(t, lo, hi))
+    if args.kpi_sql:
+        registry.register_sql_folder(args.kpi_sql)
     auto = args.shuffle_partitions == "auto"
     spark = build_session(args.master, None if auto else int(args.shuffle_partitions))
     if auto and args.cmd == "run":

@@ -443,8 +443,45 @@ def kpi_sql(name: str) -> str:
     return f"WITH {shared},\n" + KPI[name].strip().removeprefix("WITH ")
 
 
+# KPIs given as SQL files (kpiforge/plans/sql), over the same order relations
+SQL_FILES = {
+    "sql_transit_by_state": f"""
+WITH came AS (
+  SELECT estado AS state, total_days, late, on_time, overdue FROM order_facts WHERE arrived)
+SELECT state, count(*) AS arrivals,
+  {PCT("sum(CASE WHEN late THEN 1 ELSE 0 END)", "nullif(count(CASE WHEN late OR on_time THEN 1 END), 0)", 2)} AS late_pct,
+  {RND("avg(total_days * 24)", 2)} AS mean_hours, {RND("quantile_cont(total_days, 0.9)", 2)} AS p90_days,
+  CAST(round(max(overdue) * 86400) AS BIGINT) AS worst_late_seconds
+FROM came GROUP BY state""",
+    "sql_revenue_by_month": f"""
+WITH sold AS (
+  SELECT order_id, sum(price) AS price, sum(freight_value) AS freight FROM r_items GROUP BY order_id),
+months AS (
+  SELECT CAST(date_trunc('month', o.order_purchase_timestamp) AS TIMESTAMP) AS month, count(*) AS orders,
+    sum(price) AS price, sum(freight) AS freight
+  FROM r_orders o LEFT JOIN sold USING (order_id)
+  WHERE o.order_purchase_timestamp >= TIMESTAMP '1997-01-01' AND o.order_purchase_timestamp < TIMESTAMP '1998-09-01'
+  GROUP BY 1)
+SELECT month, orders, CAST(coalesce(price, 0) AS DOUBLE) AS revenue, {RND("CAST(price AS DOUBLE) / orders", 2)} AS ticket,
+  {RND("CAST(price AS DOUBLE) / (SELECT CAST(sum(price) AS DOUBLE) FROM months) * 100", 3)} AS share_pct,
+  {RND("CAST(freight AS DECIMAL(24,2)) * CAST(0.125 AS DECIMAL(4,3))", 3)} AS freight_eighth
+FROM months""",
+    "sql_review_by_delay_day": f"""
+SELECT CAST(round(f.overdue) AS INTEGER) AS days_late, count(*) AS reviews, {RND("avg(r.review_score)", 3)} AS mean_score,
+  {PCT("sum(CASE WHEN r.review_score >= 4 THEN 1 ELSE 0 END)", "count(*)", 1)} AS good_pct
+FROM (SELECT o.order_id, {DAYS('o.order_delivered_customer_date', 'o.order_estimated_delivery_date')} AS overdue
+      FROM r_orders o WHERE o.order_status = 'delivered') f
+JOIN r_reviews r USING (order_id) WHERE r.review_score IS NOT NULL
+GROUP BY 1 ORDER BY reviews DESC, days_late NULLS LAST LIMIT 25""",
+}
+
+
 def oracle_queries() -> dict[str, str]:
     out = {f"kpi_{k[2:]}": kpi_sql(k) for k in KPI}
+    shared = ",\n".join(f"{n} AS ({s})" for n, s in [*ADAPTERS.items(), *FACTS.items()])
+    for name, body in SQL_FILES.items():
+        body = body.strip()
+        out[name] = f"WITH {shared},\n{body[5:]}" if body.startswith("WITH ") else f"WITH {shared}\n{body}"
     for name, (deps, body) in SECOND.items():
         ctes = [*ADAPTERS.items(), *FACTS.items()]
         for d in deps:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import uuid
 from collections import OrderedDict
 from collections.abc import Callable, Mapping
@@ -13,6 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kpiforge.operators import (categories, delay_satisfaction, freight_cost, lead_time, otd,
                                 payments, perfect_order, volume_monthly)
+from kpiforge.plans.sql_dialect import define_functions, to_spark
+from kpiforge.session import apply_runtime_settings
+
+# KPIs that come with the package as SQL text, as an example of such files
+SQL_FOLDER = os.path.join(os.path.dirname(os.path.abspath(__file__)), "sql")
 
 Builder = Callable[[dict[str, DataFrame]], DataFrame]
 
@@ -30,8 +34,9 @@ class KpiJob:
 
 
 def bind_sql(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """``sql`` with every ``raw.<table>`` outside of quotes and comments read
-    from ``tables`` (a table that is not there raises KeyError)."""
+    """``sql``, written for PostgreSQL or Spark (``plans.sql_dialect`` says how its
+    forms are read), with every ``raw.<table>`` outside of quotes and comments
+    read from ``tables`` (a table that is not there raises KeyError)."""
     views: dict[str, str] = {}
 
     def view_of(name: str) -> str:
@@ -40,27 +45,20 @@ def bind_sql(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame]) ->
             tables[name].createOrReplaceTempView(views[name])
         return views[name]
 
-    def put(m: re.Match) -> str:
-        return view_of(m["plain"] or m["ticked"]) if m["plain"] or m["ticked"] else m[0]
-
+    apply_runtime_settings(spark)  # ANSI and exact decimals, which the reading of numeric relies on
+    define_functions(spark)
     try:
-        return spark.sql(_RAW_REFERENCE.sub(put, sql))
+        return spark.sql(to_spark(sql, view_of))
     finally:
         for v in views.values():  # the plan holds the tables, the names are not needed any more
             spark.catalog.dropTempView(v)
 
 
-# quoted text and comments are matched first and left as they are
-_RAW_REFERENCE = re.compile(
-    r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*"|--[^\n]*|/\*.*?\*/"""
-    r"""|(?<![\w.`])`?raw`?\.(?:(?P<plain>\w+)|`(?P<ticked>[^`]+)`)""", re.S | re.I)
-
-
 class Registry:
     """Adding a KPI is one ``register`` (a function of the raw tables) or one
-    ``register_sql`` / ``register_sql_file`` (Spark SQL reading
-    ``raw.<table>``, which means the raw tables of the run, whatever their
-    database is called)."""
+    ``register_sql`` / ``register_sql_file`` / ``register_sql_folder`` (SQL for
+    PostgreSQL or Spark reading ``raw.<table>``, which means the raw tables of
+    the run, whatever their database is called)."""
 
     def __init__(self) -> None:
         self._jobs: OrderedDict[str, KpiJob] = OrderedDict()
@@ -80,6 +78,12 @@ class Registry:
         with open(path, encoding="utf-8") as f:
             return self.register_sql(name or os.path.splitext(os.path.basename(path))[0], f.read())
 
+    def register_sql_folder(self, path: str) -> "Registry":
+        """Every ``*.sql`` file directly under ``path``, in the order of their names."""
+        for name in sorted(n for n in os.listdir(path) if n.endswith(".sql")):
+            self.register_sql_file(os.path.join(path, name))
+        return self
+
     def names(self) -> list[str]:
         return list(self._jobs)
 

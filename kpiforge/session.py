@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # a decimal result with too many digits raises instead of losing some
+    "spark.sql.decimalOperations.allowPrecisionLoss": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
