@@ -14,6 +14,7 @@ from kpiforge.operators import volume_monthly
 from kpiforge.plans.registry import default_registry
 from kpiforge.plans.runner import RunReport, run_all, run_kpis
 from kpiforge.session import apply_scale_settings, build_session
+from kpiforge.sources.csv_ingest import MODES
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -21,6 +22,8 @@ def main(argv: list[str] | None = None) -> int:
     sub = ap.add_subparsers(dest="cmd", required=True)
     run = sub.add_parser("run", help="ingest every CSV of DATA_DIR, then compute all KPIs")
     run.add_argument("data_dir")
+    run.add_argument("--rows", default="padded", choices=MODES,
+                     help="rows that do not fit their table: fail, pad short ones (surplus fields fail), or set apart")
     kp = sub.add_parser("kpis", help="compute all KPIs from the existing raw tables")
     for p in (run, kp):
         p.add_argument("--raw-db", default="raw")
@@ -48,12 +51,13 @@ def main(argv: list[str] | None = None) -> int:
     t0 = time.perf_counter()
     if args.cmd == "run":
         rep = run_all(spark, args.data_dir, registry, raw_db=args.raw_db, out_db=args.out_db,
-                      parallelism=args.parallelism, size_shuffles=auto)
+                      parallelism=args.parallelism, size_shuffles=auto, mode=args.rows)
     else:
         rep = run_kpis(spark, registry, raw_db=args.raw_db, out_db=args.out_db,
                        parallelism=args.parallelism, report=RunReport(), size_shuffles=auto)
         rep.seconds = time.perf_counter() - t0
-    print(json.dumps({"ingested": rep.ingested, "written": rep.written, "failed": rep.failed,
+    departures = {k: v for k in ("padded", "rejected", "kept_as_text") if (v := getattr(rep, k))}
+    print(json.dumps({"ingested": rep.ingested, **departures, "written": rep.written, "failed": rep.failed,
                       "kpi_seconds": rep.kpi_seconds, "seconds": round(rep.seconds, 1)},
                      ensure_ascii=False))
     return 0 if rep.ok else 1

@@ -56,6 +56,10 @@ class RunReport:
     ingested: dict[str, int] = field(default_factory=dict)
     written: dict[str, int] = field(default_factory=dict)
     failed: dict[str, str] = field(default_factory=dict)
+    # departures of the sources, by table (see ``csv_ingest.ingest_directory``)
+    padded: dict[str, int] = field(default_factory=dict)
+    rejected: dict[str, int] = field(default_factory=dict)
+    kept_as_text: dict[str, list[str]] = field(default_factory=dict)
     kpi_seconds: dict[str, float] = field(default_factory=dict)
     seconds: float = 0.0
 
@@ -146,12 +150,14 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
 def run_all(spark: SparkSession, data_dir: str, registry: Registry | None = None,
             raw_db: str = RAW_DB, out_db: str = ANALYTICS_DB,
             parallelism: int = DEFAULT_PARALLELISM, purge: bool = True,
-            size_shuffles: bool = True) -> RunReport:
-    """Ingest every CSV of ``data_dir`` into ``raw_db``, then compute all KPIs
-    (see ``run_kpis``)."""
+            size_shuffles: bool = True, mode: str = "padded") -> RunReport:
+    """Ingest every CSV of ``data_dir`` into ``raw_db`` (``mode``: what rows and
+    values that do not fit may do, see ``ingest_directory``), then compute all
+    KPIs (see ``run_kpis``)."""
     t0 = time.perf_counter()
-    report = RunReport()
-    report.ingested = ingest_directory(spark, data_dir, raw_db, parallelism=parallelism)
+    loaded = ingest_directory(spark, data_dir, raw_db, mode, parallelism=parallelism)
+    report = RunReport(ingested=dict(loaded), padded=loaded.padded, rejected=loaded.rejected,
+                       kept_as_text=loaded.kept_as_text)
     run_kpis(spark, registry, out_db=out_db, raw_db=raw_db, report=report,
              parallelism=parallelism, purge=purge, size_shuffles=size_shuffles)
     report.seconds = time.perf_counter() - t0

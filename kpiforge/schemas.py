@@ -58,8 +58,8 @@ GEOLOCATION = _struct(
 CATEGORY_TRANSLATION = _struct(
     ("product_category_name", S), ("product_category_name_english", S))
 
-# Raw table name -> schema. Files whose table name is not listed here are read
-# with every column as STRING (no lossy inference) and typed by their consumer.
+# Raw table name -> schema. Columns that are not listed here take the type that
+# all of their values have (``sources.columns``), without loss.
 RAW_SCHEMAS: dict[str, T.StructType] = {
     "orders": ORDERS,
     "customers": CUSTOMERS,

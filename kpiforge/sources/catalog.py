@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from kpiforge.session import hadoop_fs
+from kpiforge.sources.columns import with_numeric_columns
 
 RAW_DB = "raw"
 ANALYTICS_DB = "analytics"
@@ -109,11 +110,15 @@ def recover_tables(spark: SparkSession, db: str) -> list[str]:
 
 
 def load_table(spark: SparkSession, name: str, db: str = ANALYTICS_DB,
-               cache: bool = False) -> DataFrame:
-    """``SELECT * FROM db.name``. KPI columns are stored typed, so no per-column
-    numeric coercion is needed. ``cache=True`` keeps the (small) KPI table in
-    memory for repeated dashboard reads; call ``refresh`` after a rerun."""
+               cache: bool = False, numeric: bool = False, text: tuple[str, ...] = ()) -> DataFrame:
+    """``SELECT * FROM db.name``. The package's KPI columns are stored typed; for
+    tables that hold numbers as text ``numeric=True`` reads each text column, but
+    for those named in ``text``, as DOUBLE if all of its values are numbers, and
+    leaves it whole as it is otherwise. ``cache=True`` keeps the (small) KPI table
+    in memory for repeated dashboard reads; call ``refresh`` after a rerun."""
     df = spark.table(f"`{db}`.`{name}`")
+    if numeric:
+        df = with_numeric_columns(df, keep=text)
     return df.cache() if cache else df
 
 
