@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--shuffle-partitions", default="auto",
                        help="a number, or 'auto': sized from the input")
         p.add_argument("--parallelism", type=int, default=4, help="KPIs run at once")
+        p.add_argument("--kpi-seconds", type=float, default=None, help="stop a KPI that takes longer, and report it")
         p.add_argument("--kpi-sql", default=None, help="folder of *.sql files, each one more KPI named after its file")
         p.add_argument("--volume-from", default=volume_monthly.DEFAULT_BOUNDS[0],
                        help="first purchase date of the monthly volume KPI (inclusive)")
@@ -51,10 +52,11 @@ def main(argv: list[str] | None = None) -> int:
     t0 = time.perf_counter()
     if args.cmd == "run":
         rep = run_all(spark, args.data_dir, registry, raw_db=args.raw_db, out_db=args.out_db,
-                      parallelism=args.parallelism, size_shuffles=auto, mode=args.rows)
+                      parallelism=args.parallelism, size_shuffles=auto, mode=args.rows, kpi_seconds=args.kpi_seconds)
     else:
         rep = run_kpis(spark, registry, raw_db=args.raw_db, out_db=args.out_db,
-                       parallelism=args.parallelism, report=RunReport(), size_shuffles=auto)
+                       parallelism=args.parallelism, report=RunReport(), size_shuffles=auto,
+                       kpi_seconds=args.kpi_seconds)
         rep.seconds = time.perf_counter() - t0
     departures = {k: v for k in ("padded", "rejected", "kept_as_text") if (v := getattr(rep, k))}
     print(json.dumps({"ingested": rep.ingested, **departures, "written": rep.written, "failed": rep.failed,

@@ -25,21 +25,24 @@ def build(t: dict[str, DataFrame]) -> DataFrame:
     item; mean item price; mean of the per-item freight/price ratios in % (zero
     prices drop out of that mean); freight and revenue totals.
 
-    Items meet their orders once. While the rows still lie by order, one row of
+    Items meet their orders once. While the rows still lie by order they are
+    folded per (order, state, freight), which shrinks an order of very many items
+    before anything looks at it as a whole; then the row of the least freight of
     each (order, state) is marked, so that the distinct orders of a state are a
-    sum like the others: everything is folded into a (state, freight) histogram,
+    sum like the others. All is folded on into a (state, freight) histogram,
     materialised once, which gives the means, the totals and the distributed
     exact median. Building the plan runs the job that writes the histogram.
     """
     fact = order_fact(t).select("order_id", "estado")
-    one_order = Window.partitionBy("order_id", "estado").orderBy("order_id")
-    items = (_items(t).join(fact, "order_id")
-             .withColumn("first", F.when(F.row_number().over(one_order) == 1, 1).otherwise(0)))
+    per_order = _items(t).join(fact, "order_id").groupBy("order_id", "estado", "freight_value").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("price").alias("p_sum"), F.count("price").alias("p_cnt"),
+        F.sum("ratio").alias("r_sum"), F.count("ratio").alias("r_cnt"))
+    least = F.min("freight_value").over(Window.partitionBy("order_id", "estado"))
+    marked = per_order.withColumn("first", F.col("freight_value").eqNullSafe(least).cast("int"))
     hist, hist_rows = cut_lineage_counted(
-        items.groupBy("estado", "freight_value").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("first").alias("orders"),
-            F.sum("price").alias("p_sum"), F.count("price").alias("p_cnt"),
-            F.sum("ratio").alias("r_sum"), F.count("ratio").alias("r_cnt")))
+        marked.groupBy("estado", "freight_value").agg(
+            F.sum("first").alias("orders"), *[F.sum(c).alias(c) for c in ("n", "p_sum", "p_cnt", "r_sum", "r_cnt")]))
     f = F.col("freight_value")
     per_state = percentile_from_histogram(
         hist.withColumn("v", f.cast("double")), ["estado"], "v", "n", 0.5, "f_median",

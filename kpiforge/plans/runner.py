@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
+import math
+import threading
 import time
+import uuid
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +28,8 @@ ORDER_FACT_READERS = (otd.build, lead_time.build, freight_cost.build)
 REVIEW_FOLD_READERS = (perfect_order.build, delay_satisfaction.build)
 
 DEFAULT_PARALLELISM = 4
+# after its time limit a KPI has this long to end once its jobs are cancelled
+GRACE_SECONDS = 30.0
 
 
 class MissingInput(KeyError):
@@ -73,7 +77,7 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
              raw_db: str = RAW_DB, report: RunReport | None = None,
              parallelism: int = DEFAULT_PARALLELISM,
              share_order_fact: bool = True, purge: bool = True,
-             size_shuffles: bool = True) -> RunReport:
+             size_shuffles: bool = True, kpi_seconds: float | None = None) -> RunReport:
     """Build and write every KPI of the registry (each table switches to its
     new content in one catalog operation, see ``catalog.replace_table``). A
     KPI that fails (while
@@ -91,6 +95,11 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
     of them joining orders with customers again; so is the fold of the reviews
     per order that two KPIs read.
 
+    With ``kpi_seconds`` a KPI that takes longer is stopped (its Spark jobs are
+    cancelled by their tag, again for as long as it starts new ones) and recorded
+    as failed. One that hangs outside of Spark's jobs is left behind after
+    ``GRACE_SECONDS`` more, so that the run always ends.
+
     With ``size_shuffles`` the session's shuffles are sized from the raw tables
     (never below what is set). With ``purge`` the intermediates this
     application materialised in the checkpoint folder are deleted once every
@@ -114,30 +123,66 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
                 except MissingInput as e:  # the KPIs report it
                     log.warning("shared input not built: missing %s", e)
 
+    run_id = uuid.uuid4().hex[:8]
+    started: dict[str, float] = {}
+    stopped: set[str] = set()
+
+    def tag(job):
+        return f"kpiforge-{run_id}-{job.name}".replace(",", "_")
+
     def one(job):
-        t0 = time.perf_counter()
+        started[job.name] = t0 = time.perf_counter()
         # each KPI's jobs go to their own scheduler pool, so concurrent KPIs
         # share the executors instead of queueing behind the first one
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"kpi_{job.name}")
+        spark.sparkContext.addJobTag(tag(job))
         try:
             rows, err = replace_table(job.build(spark, tables), out_db, job.name), None
         except MissingInput as e:
             log.error("KPI %s failed: missing input table %s", job.name, e)
             rows, err = None, f"missing input table {e.args[0]}"
         except Exception as e:  # isolate one KPI's failure
-            log.error("KPI %s failed: %s", job.name, e)
             rows, err = None, f"{type(e).__name__}: {e}".splitlines()[0][:500]
+            if job.name in stopped:
+                err = f"stopped after {kpi_seconds:g} s"
+            log.error("KPI %s failed: %s", job.name, err)
         finally:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+            spark.sparkContext.removeJobTag(tag(job))
         return job.name, rows, err, time.perf_counter() - t0
 
     jobs = registry.jobs()
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs) or 1))) as pool:
-            results = list(pool.map(one, jobs))
-    finally:
-        if purge:
-            purge_scratch(spark)
+    done: dict[str, tuple] = {}
+    left: set[str] = set()
+    slots = threading.Semaphore(max(1, parallelism))
+
+    def worker(job):
+        slots.acquire()
+        try:
+            done[job.name] = one(job)
+        finally:
+            if job.name not in left:  # else its slot is given on already
+                slots.release()
+
+    # daemon threads: one that hangs must not keep the process
+    threads = {job.name: threading.Thread(target=worker, args=(job,), daemon=True) for job in jobs}
+    for t in threads.values():
+        t.start()
+    while waiting := [j for j in jobs if threads[j.name].is_alive() and j.name not in left]:
+        threads[waiting[0].name].join(0.2 if kpi_seconds else None)
+        for j in waiting if kpi_seconds else ():
+            over = time.perf_counter() - started.get(j.name, math.inf) - kpi_seconds
+            if over > 0 and threads[j.name].is_alive():
+                stopped.add(j.name)
+                spark.sparkContext.cancelJobsWithTag(tag(j))
+                if over > GRACE_SECONDS:
+                    log.error("KPI %s hangs outside of Spark's jobs and is left behind", j.name)
+                    left.add(j.name)
+                    slots.release()
+    if purge and not left:
+        purge_scratch(spark)
+    results = [(j.name, None, f"stopped after {kpi_seconds:g} s, still hanging", kpi_seconds + GRACE_SECONDS)
+               if j.name in left else done[j.name] for j in jobs]
     for name, rows, err, sec in results:  # registry order
         report.kpi_seconds[name] = round(sec, 3)
         if err is None:
@@ -150,7 +195,8 @@ def run_kpis(spark: SparkSession, registry: Registry | None = None,
 def run_all(spark: SparkSession, data_dir: str, registry: Registry | None = None,
             raw_db: str = RAW_DB, out_db: str = ANALYTICS_DB,
             parallelism: int = DEFAULT_PARALLELISM, purge: bool = True,
-            size_shuffles: bool = True, mode: str = "padded") -> RunReport:
+            size_shuffles: bool = True, mode: str = "padded",
+            kpi_seconds: float | None = None) -> RunReport:
     """Ingest every CSV of ``data_dir`` into ``raw_db`` (``mode``: what rows and
     values that do not fit may do, see ``ingest_directory``), then compute all
     KPIs (see ``run_kpis``)."""
@@ -159,6 +205,6 @@ def run_all(spark: SparkSession, data_dir: str, registry: Registry | None = None
     report = RunReport(ingested=dict(loaded), padded=loaded.padded, rejected=loaded.rejected,
                        kept_as_text=loaded.kept_as_text)
     run_kpis(spark, registry, out_db=out_db, raw_db=raw_db, report=report,
-             parallelism=parallelism, purge=purge, size_shuffles=size_shuffles)
+             parallelism=parallelism, purge=purge, size_shuffles=size_shuffles, kpi_seconds=kpi_seconds)
     report.seconds = time.perf_counter() - t0
     return report

@@ -6,9 +6,9 @@ from __future__ import annotations
 import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from kpiforge.session import hadoop_fs
 from kpiforge.sources.columns import with_numeric_columns
@@ -32,48 +32,81 @@ def table_path(spark: SparkSession, db: str, table: str) -> str:
 ABANDONED_MS = 7 * 24 * 3600 * 1000
 
 
-def _same_columns(a: StructType, b: StructType) -> bool:
-    return [(f.name, f.dataType) for f in a.fields] == [(f.name, f.dataType) for f in b.fields]
+def versions_db(db: str) -> str:
+    """The database of the version tables that the views of ``db`` point at."""
+    return f"{db}__versions"
 
 
-def replace_table(df: DataFrame, db: str, table: str, keep: int = 2) -> int:
-    """Replace ``db.table``, rows and columns, so that readers see either the
-    old or the new content, never a half-written table: the new rows go to a
-    fresh version folder under the table folder, then the catalog points the
-    table at it. With unchanged columns that is one catalog operation; with
-    others the entry is made anew (its files stay), and the table's columns are
-    read back before anything old is deleted. The ``keep`` newest committed
-    versions stay (a reader that resolved the table just before the switch
-    still finds its files); older ones are deleted, and uncommitted ones that
-    began more than ``ABANDONED_MS`` ago. ``keep=1`` keeps no previous version
-    (raw tables: no doubled storage). Returns the number of rows written
+def replace_table(df: DataFrame, db: str, table: str, keep: int = 2,
+                  buckets: tuple[int, str] | None = None, partition_by: str | None = None) -> int:
+    """Replace ``db.table``, rows and columns, so that readers see the old or the
+    new content whole, and never no table. ``db.table`` is a view on one version
+    table: the new rows are written as a version of their own, then one
+    ``ALTER VIEW`` turns to it, whatever its columns.
+
+    Versions are ordered by their time, and every writer turns the view to the
+    newest complete one until that is where it points: of several writers at
+    once the newest wins whole, whoever comes last. The ``keep`` newest versions
+    stay, for readers that resolved the view just before; older ones are deleted,
+    and unfinished ones that began more than ``ABANDONED_MS`` ago. ``keep=1``
+    keeps no previous version (raw tables: no doubled storage).
+
+    ``buckets`` = (number, column) stores the rows hashed and sorted by a column,
+    so that joins and folds on it need no exchange; ``partition_by`` gives each
+    value of a column its own folder. Returns the number of rows written
     (observed during the write)."""
     spark = df.sparkSession
     base = table_path(spark, db, table)
     now = int(time.time() * 1000)
-    version = f"{base}/_v{now:015d}_{uuid.uuid4().hex[:8]}"
+    version = f"_v{now:015d}_{uuid.uuid4().hex[:8]}"
     obs = Observation(f"rows_{db}_{table}_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(version)
-    written = spark.read.parquet(version).schema
-    name = f"`{db}`.`{table}`"
-    if spark.catalog.tableExists(f"{db}.{table}") and _same_columns(spark.table(name).schema, written):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
-    else:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
-        spark.catalog.createTable(f"{db}.{table}", path=version, source="parquet")
-    spark.catalog.refreshTable(name)
-    if not _same_columns(spark.table(name).schema, written):
-        raise RuntimeError(f"{db}.{table} does not show the columns written; old versions are kept")
-    committed, leftovers = _versions(spark, base)
-    dead = [v for v in leftovers if int(v[2:17]) < now - ABANDONED_MS]
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format("parquet")
+    if buckets:
+        writer = writer.bucketBy(*buckets).sortBy(buckets[1])
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    ensure_databases(spark, versions_db(db))
+    try:
+        writer.option("path", f"{base}/{version}").saveAsTable(_entry(db, table, version))
+    except AnalysisException:
+        # another writer found the files complete and registered them first
+        if version not in _versions(spark, base)[0]:
+            raise
+    _turn_to_newest(spark, db, table, df.columns if partition_by else None)
+    committed, unfinished = _versions(spark, base)
+    dead = [v for v in unfinished if int(v[2:17]) < now - ABANDONED_MS]
     fs = hadoop_fs(spark, base)[1]
     for v in committed[:-keep] + dead:
+        spark.sql(f"DROP TABLE IF EXISTS {_entry(db, table, v)}")  # external: the files go next
         fs.delete(hadoop_fs(spark, f"{base}/{v}")[0], True)
     return int(obs.get["rows"])
 
 
+def _entry(db: str, table: str, version: str) -> str:
+    return f"`{versions_db(db)}`.`{table}{version}`"
+
+
+def _turn_to_newest(spark: SparkSession, db: str, table: str, columns: list[str] | None = None) -> None:
+    """Point the view ``db.table`` at the newest complete version."""
+    base, name = table_path(spark, db, table), f"`{db}`.`{table}`"
+    pointed = None
+    while pointed != (newest := _versions(spark, base)[0][-1]):
+        entry = _entry(db, table, newest)
+        if not spark.catalog.tableExists(entry):  # written by another process
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {entry} USING parquet LOCATION '{base}/{newest}'")
+            if any(c.isPartition for c in spark.catalog.listColumns(entry)):
+                spark.catalog.recoverPartitions(entry)
+        shown = ", ".join(f"`{c}`" for c in columns or spark.table(entry).columns)
+        query = f"SELECT {shown} FROM {entry}"
+        if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+            spark.sql(f"DROP TABLE {name}")  # an entry of the time before versions were tables
+        spark.sql(f"CREATE VIEW IF NOT EXISTS {name} AS {query}")
+        spark.sql(f"ALTER VIEW {name} AS {query}")
+        pointed = newest
+
+
 def _versions(spark: SparkSession, base: str) -> tuple[list[str], list[str]]:
-    """Version folders of a table folder, oldest first: (committed, not committed)."""
+    """Version folders of a table folder, oldest first: (complete, not complete)."""
     root, fs = hadoop_fs(spark, base)
     if not fs.exists(root):
         return [], []
@@ -91,7 +124,7 @@ def recover_tables(spark: SparkSession, db: str) -> list[str]:
     which the catalog does not know (a new process without a persistent
     metastore), each at its newest complete version: a version folder whose
     write committed (``_SUCCESS``), so a half-written version is never used."""
-    ensure_databases(spark, db)
+    ensure_databases(spark, db, versions_db(db))
     base = spark.catalog.getDatabase(db).locationUri.rstrip("/")
     root, fs = hadoop_fs(spark, base)
     if not fs.exists(root):
@@ -100,11 +133,8 @@ def recover_tables(spark: SparkSession, db: str) -> list[str]:
     found = []
     for st in fs.listStatus(root):
         name = st.getPath().getName()
-        if not st.isDirectory() or name in known or name.startswith(("_", ".")):
-            continue
-        done = _versions(spark, f"{base}/{name}")[0]
-        if done:
-            spark.catalog.createTable(f"{db}.{name}", path=f"{base}/{name}/{done[-1]}", source="parquet")
+        if st.isDirectory() and name not in known and not name.startswith(("_", ".")) and _versions(spark, f"{base}/{name}")[0]:
+            _turn_to_newest(spark, db, name)
             found.append(name)
     return found
 
@@ -143,4 +173,4 @@ def raw_tables(spark: SparkSession, db: str = RAW_DB) -> dict[str, DataFrame]:
     """Every table of the raw database, by name (tables written by an earlier
     process are registered again from their folders)."""
     recover_tables(spark, db)
-    return {t.name: spark.table(f"`{db}`.`{t.name}`") for t in spark.catalog.listTables(db)}
+    return {t.name: spark.table(f"`{db}`.`{t.name}`") for t in spark.catalog.listTables(db) if not t.isTemporary}

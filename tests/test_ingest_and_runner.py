@@ -203,7 +203,7 @@ def test_page_metrics_from_the_catalog(spark, data_dir):
     import shutil
     from kpiforge.sources.catalog import table_path
     folder = table_path(spark, "analytics_dash", "volume_temporal").replace("file:", "")
-    spark.sql("DROP TABLE analytics_dash.volume_temporal")     # external: remove its folder too
+    spark.sql("DROP VIEW analytics_dash.volume_temporal")     # the files stay: remove their folder too
     shutil.rmtree(folder)
     assert "volume_trend" not in page_metrics(spark, "analytics_dash")
 
@@ -215,7 +215,7 @@ def test_full_replace_takes_over_a_leftover_table_folder(spark, data_dir):
     ensure_databases(spark, "raw_left")
     df = read_csv(spark, os.path.join(data_dir, "olist_orders_dataset.csv"), "orders")
     assert replace_table(df, "raw_left", "orders") == 3
-    spark.sql("DROP TABLE raw_left.orders")                     # external: files stay
+    spark.sql("DROP VIEW raw_left.orders")                     # files stay
     assert replace_table(df.limit(2), "raw_left", "orders") == 2
     assert spark.table("raw_left.orders").count() == 2
     assert replace_table(df, "raw_left", "orders") == 3          # and again in-session
@@ -236,7 +236,7 @@ def test_full_replace_replaces_the_columns(spark, columns):
     assert got.dtypes == new.dtypes and got.collect() == new.collect()
     assert sorted(map(tuple, before.collect())) == [(1, 2), (3, 4)]
     # a table known from an earlier process
-    spark.sql("DROP TABLE an_cols.t")
+    spark.sql("DROP VIEW an_cols.t")
     recover_tables(spark, "an_cols")
     replace_table(old, "an_cols", "t")
     assert spark.table("an_cols.t").dtypes == old.dtypes
@@ -317,11 +317,11 @@ def test_tables_of_an_earlier_process_are_recovered(spark, data_dir):
     replace_table(df.limit(2), "raw_rec", "orders")
     # a half-written newer version (no commit marker) must be ignored
     os.makedirs(os.path.join(table_path(spark, "raw_rec", "orders").replace("file:", ""), "_v999999999999999_x"))
-    spark.sql("DROP TABLE raw_rec.orders")                     # external: files stay
+    spark.sql("DROP VIEW raw_rec.orders")                     # files stay
     assert not spark.catalog.tableExists("raw_rec.orders")
     assert recover_tables(spark, "raw_rec") == ["orders"]
     assert spark.table("raw_rec.orders").count() == 2
-    spark.sql("DROP TABLE raw_rec.orders")
+    spark.sql("DROP VIEW raw_rec.orders")
     assert set(raw_tables(spark, "raw_rec")) == {"orders"}
     assert try_load(spark, "nothing_here", "raw_rec") is None
 
