@@ -11,9 +11,11 @@ import sys
 import time
 
 from kpiforge.operators import volume_monthly
+from kpiforge.plans.layout import store_for_joins
 from kpiforge.plans.registry import default_registry
 from kpiforge.plans.runner import RunReport, run_all, run_kpis
 from kpiforge.session import apply_scale_settings, build_session
+from kpiforge.sources.catalog import recover_tables
 from kpiforge.sources.csv_ingest import MODES
 
 
@@ -25,6 +27,10 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--rows", default="padded", choices=MODES,
                      help="rows that do not fit their table: fail, pad short ones (surplus fields fail), or set apart")
     kp = sub.add_parser("kpis", help="compute all KPIs from the existing raw tables")
+    lay = sub.add_parser("layout", help="store the raw tables hashed by order and by month of purchase")
+    lay.add_argument("--buckets", type=int, default=None, help="default: sized from the tables")
+    lay.add_argument("--raw-db", default="raw")
+    lay.add_argument("--master", default=None)
     for p in (run, kp):
         p.add_argument("--raw-db", default="raw")
         p.add_argument("--out-db", default="analytics")
@@ -39,6 +45,11 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--volume-to", default=volume_monthly.DEFAULT_BOUNDS[1],
                        help="end of the monthly volume window (exclusive)")
     args = ap.parse_args(argv)
+    if args.cmd == "layout":
+        spark = build_session(args.master)
+        recover_tables(spark, args.raw_db)
+        print(json.dumps({"buckets": store_for_joins(spark, args.raw_db, args.buckets)}))
+        return 0
     registry = default_registry()
     if (args.volume_from, args.volume_to) != volume_monthly.DEFAULT_BOUNDS:
         lo, hi = args.volume_from, args.volume_to

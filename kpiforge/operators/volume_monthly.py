@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kpiforge.functions.exprs import rnd, safe_div
 
 NAME = "volume_temporal"
+MONTH = "purchase_month"  # a column that the stored layout may add, yyyy-MM
 DEFAULT_BOUNDS = ("2017-01-01", "2018-09-01")
 
 
@@ -21,7 +22,10 @@ def build(t: dict[str, DataFrame], start: str = DEFAULT_BOUNDS[0],
     the join keeps the order_id partitioning for the distinct-order fold.
     """
     ts = F.col("order_purchase_timestamp")
-    orders = (t["orders"]
+    orders = t["orders"]
+    if MONTH in orders.columns:  # stored by month: other months' files are not read
+        orders = orders.where(F.col(MONTH).between(start[:7], end[:7]))
+    orders = (orders
               .where((ts >= F.lit(start).cast("timestamp_ntz")) & (ts < F.lit(end).cast("timestamp_ntz")))
               # month start as a wall-clock timestamp; no session time zone involved
               .select("order_id", F.trunc(F.to_date(ts), "month").cast("timestamp_ntz").alias("mes")))

@@ -1,6 +1,6 @@
 """Print the physical plan summary of every KPI on typed raw parquet tables.
 
-    python tools/explain_plans.py [sf_dir] [--full] [--scale]
+    python tools/explain_plans.py [sf_dir] [--full] [--scale] [--layout]
 
 Raw tables are materialised from the driver data into a scratch warehouse (the
 same layout the ingestion writes), then each KPI's formatted plan is scanned
@@ -19,6 +19,7 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from kpiforge.plans.layout import store_for_joins  # noqa: E402
 from kpiforge.plans.registry import default_registry  # noqa: E402
 from kpiforge.session import build_session  # noqa: E402
 from kpiforge.sources.catalog import ensure_databases, raw_tables, replace_table  # noqa: E402
@@ -56,6 +57,8 @@ def main(argv):
     ensure_databases(spark, "plan_raw")
     for name, df in load_driver_tables(spark, sf_dir).items():
         replace_table(df, "plan_raw", name)
+    if "--layout" in argv:
+        print(store_for_joins(spark, "plan_raw", buckets=8))
     tables = raw_tables(spark, "plan_raw")
     for job in default_registry().jobs():
         df = job.build(spark, tables)
