@@ -32,10 +32,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from kpiforge.llm.common import chunks, column, pick, text_or_empty
+from kpiforge.llm.common import chunks, column, lean, pick, text_or_empty
 from kpiforge.llm.pieces import Pieces
 
-WORDS_REMEMBERED = 200_000  # merged words a worker keeps, besides its pieces
+WORDS_REMEMBERED = 50_000  # merged words a worker keeps, besides its pieces ...
+LONGEST_WORD = 64          # ... of so many characters at most
 
 # fixed values: the code points of Unicode White_Space
 WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006" \
@@ -148,9 +149,10 @@ class Bpe:
             symbols = [first[b] for b in raw]
             symbols[-1] = self.last[raw[-1]]
             got = np.array(self.merge_word([s for s in symbols if s is not None]), "<u4").tobytes()
-            if len(self._word_memory) >= WORDS_REMEMBERED:
-                self._word_memory.clear()
-            self._word_memory[word] = got
+            if len(word) <= LONGEST_WORD:
+                if len(self._word_memory) >= WORDS_REMEMBERED:
+                    self._word_memory.clear()
+                self._word_memory[word] = got
         return got
 
     # pieces and texts --------------------------------------------------------
@@ -204,7 +206,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([column(part, "doc_id"), lists], ["doc_id", "ids"])
 
-    return d.mapInArrow(run, f"doc_id {id_type}, ids array<int>")
+    return d.mapInArrow(lean(run), f"doc_id {id_type}, ids array<int>")
 
 
 def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids",
@@ -220,7 +222,7 @@ def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(texts, pa.string())],
                                              ["doc_id", "text"])
 
-    return d.mapInArrow(run, f"doc_id {id_type}, text string")
+    return d.mapInArrow(lean(run), f"doc_id {id_type}, text string")
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -247,4 +249,4 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                      pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return d.mapInArrow(run, f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return d.mapInArrow(lean(run), f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

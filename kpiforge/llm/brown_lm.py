@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiforge.llm.common import chunks, column, text_or_empty
+from kpiforge.llm.common import chunks, column, lean, text_or_empty
 from kpiforge.llm.textvec import SPACE, buffer_of, mix, span_hashes, spans
 from kpiforge.session import cut_lineage
 
@@ -134,7 +134,7 @@ def blocks(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
         if held:
             yield out()
 
-    return d.mapInArrow(run, f"block bigint, ids array<{id_type}>, held_out array<boolean>, length array<int>, "
+    return d.mapInArrow(lean(run), f"block bigint, ids array<{id_type}>, held_out array<boolean>, length array<int>, "
                              "tokens binary, words binary, n binary, slot binary")
 
 
@@ -152,7 +152,7 @@ def word_counts(stored: DataFrame) -> DataFrame:
                     ["block", "local", "word", "slot", "n"])
 
     rows = (stored.select("block", "words", "n", "slot")
-            .mapInArrow(run, "block bigint, local int, word bigint, slot int, n bigint"))
+            .mapInArrow(lean(run), "block bigint, local int, word bigint, slot int, n bigint"))
     by_word = Window.partitionBy("word")
     return rows.select("block", "local", "word", "slot", F.sum("n").over(by_word).alias("c"),
                        (F.row_number().over(by_word.orderBy("block")) == 1).alias("first"))
@@ -214,7 +214,7 @@ def context_counts(stored: DataFrame, units: Units) -> tuple[np.ndarray, np.ndar
 
     names = [f"c{c}" for c in range(CLASSES)]
     got = (stored.select("held_out", "length", "tokens", "words", "slot")
-           .mapInArrow(run, "kind int, unit int, " + ", ".join(f"{c} bigint" for c in names))
+           .mapInArrow(lean(run), "kind int, unit int, " + ", ".join(f"{c} bigint" for c in names))
            .groupBy("kind", "unit").agg(*[F.sum(c).alias(c) for c in names]).toArrow())
     out = np.zeros((2, n_units, CLASSES), np.int64)
     if got.num_rows:
@@ -350,7 +350,7 @@ def class_terms(stored: DataFrame, model: ClassModel) -> DataFrame:
                                               pa.array(terms, pa.list_(pa.float64()))], [*keep, "term"])
 
     types = {f.name: f.dataType.simpleString() for f in stored.schema.fields}
-    return stored.drop("n").mapInArrow(run, ", ".join(f"{c} {types[c]}" for c in keep) + ", term array<double>")
+    return stored.drop("n").mapInArrow(lean(run), ", ".join(f"{c} {types[c]}" for c in keep) + ", term array<double>")
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",

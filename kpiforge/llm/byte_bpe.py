@@ -32,7 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from kpiforge.llm.common import chunks, column, pick, text_or_empty
+from kpiforge.llm.common import chunks, column, lean, pick, text_or_empty
 from kpiforge.llm.pieces import gather
 
 LONGEST = 256             # bytes of a match that shares a matrix with others
@@ -250,7 +250,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([column(part, "doc_id"), lists], ["doc_id", "ids"])
 
-    return d.mapInArrow(run, f"doc_id {id_type}, ids array<int>")
+    return d.mapInArrow(lean(run), f"doc_id {id_type}, ids array<int>")
 
 
 def decode(coded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -265,7 +265,7 @@ def decode(coded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", id
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(got, pa.binary())],
                                              ["doc_id", "bytes"])
 
-    return d.mapInArrow(run, f"doc_id {id_type}, bytes binary")
+    return d.mapInArrow(lean(run), f"doc_id {id_type}, bytes binary")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
@@ -287,4 +287,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                      pa.array([hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids], pa.string())],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return d.mapInArrow(run, f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return d.mapInArrow(lean(run), f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

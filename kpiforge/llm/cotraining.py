@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.llm.common import chunks, column, pick, remainder_of_id, text_or_empty
+from kpiforge.llm.common import chunks, column, lean, pick, remainder_of_id, text_or_empty
 from kpiforge.llm.quality_rules import CLASS_OF, CLASSES, statistics
 from kpiforge.llm.textvec import buffer_of
 from kpiforge.session import cut_lineage, cut_lineage_counted
@@ -111,7 +111,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
                     pa.array([counts[4 * a:4 * b] for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
                     pa.array([p.tobytes() for p in page], pa.binary())], ["doc_id", "pairs", "counts", "page"])
 
-    return d.mapInArrow(run, f"doc_id {id_type}, pairs binary, counts binary, page binary")
+    return d.mapInArrow(lean(run), f"doc_id {id_type}, pairs binary, counts binary, page binary")
 
 
 class Batch:
@@ -191,7 +191,7 @@ def _passed(stored: DataFrame, views: Views | None) -> tuple[np.ndarray, np.ndar
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(at), view, np.int32)), pa.array(at), pa.array(t[at])], ["view", "slot", "n"])
 
-    got = (stored.mapInArrow(run, "view int, slot bigint, n double")
+    got = (stored.mapInArrow(lean(run), "view int, slot bigint, n double")
            .groupBy("view", "slot").agg(F.sum("n").alias("n")).toArrow())
     out = [np.zeros(2 * s) for s in sizes]
     for view in (0, 1):
@@ -235,7 +235,7 @@ def _calibrated(stored: DataFrame, views: Views) -> Views:
                      pa.array(n.astype(np.int64))], ["view", "score", "label", "n"])
 
     held = stored.filter((F.col("fold") == 0) & F.col("label").isNotNull())
-    got = (held.mapInArrow(run, "view int, score bigint, label bigint, n bigint")
+    got = (held.mapInArrow(lean(run), "view int, score bigint, label bigint, n bigint")
            .groupBy("view", "score", "label").agg(F.sum("n").alias("n")).toArrow())
     fitted = np.array([[0.0, views.prior], [0.0, views.prior]])
     view, score, label, n = (got[c].to_numpy() for c in ("view", "score", "label", "n"))
@@ -283,5 +283,5 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 [column(batch, "doc_id"), column(batch, "label").is_valid(), *[pa.array(chance[:, i]) for i in range(3)]],
                 ["doc_id", "labelled", "score", "content_score", "page_score"])
 
-    return stored.mapInArrow(run, f"doc_id {id_type}, labelled boolean, score double, content_score double, "
+    return stored.mapInArrow(lean(run), f"doc_id {id_type}, labelled boolean, score double, content_score double, "
                                   "page_score double")

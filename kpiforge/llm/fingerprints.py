@@ -24,7 +24,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiforge.llm.common import chunks, column, shuffle_partitions, text_or_empty
+from kpiforge.llm.common import chunks, column, lean, shuffle_partitions, text_or_empty
 from kpiforge.llm.textvec import Words, shingles
 
 SHINGLE_WORDS = 5
@@ -98,7 +98,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     ["doc_id", "fingerprint", "distinct_est"])
 
     id_type = d.schema["doc_id"].dataType.simpleString()
-    return d.mapInArrow(run, f"doc_id {id_type}, fingerprint string, distinct_est double")
+    return d.mapInArrow(lean(run), f"doc_id {id_type}, fingerprint string, distinct_est double")
 
 
 def merge_by(prints: DataFrame, key: str, k: int = SKETCH_SIZE,
@@ -225,6 +225,6 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     pa.array([containment(x[2], e, k) for x, e in zip(out, edits)], pa.float64()),
                 ], [f for f, _ in fields])
 
-    return rows.mapInArrow(run, f"doc_id {id_type}, n_chars bigint, edited_sha256 string, fingerprint string, "
+    return rows.mapInArrow(lean(run), f"doc_id {id_type}, n_chars bigint, edited_sha256 string, fingerprint string, "
                                 "edited_fingerprint string, near_edited double, near_next double, "
                                 "distinct_est double, contained_in_edited double")

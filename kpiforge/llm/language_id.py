@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiforge.llm.common import CHUNK_BYTES, chunks, column, small_batches, text_or_empty
+from kpiforge.llm.common import CHUNK_BYTES, chunks, column, lean, small_batches, text_or_empty
 from kpiforge.llm.textvec import mix, spans
 
 BUCKETS = 1 << 17
@@ -131,7 +131,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
                 [pa.array([name] * len(keys), pa.string()), pa.array(keys), pa.array(got[keys].astype(np.int64))],
                 ["lang", "bucket", "n"])
 
-    counts = (d.mapInArrow(run, "lang string, bucket bigint, n bigint")
+    counts = (d.mapInArrow(lean(run), "lang string, bucket bigint, n bigint")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
     languages = sorted(counts["lang"].unique().to_pylist())
     n = np.zeros((size, len(languages)))
@@ -277,7 +277,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                      pa.array(score, pa.float64()), pa.array(runs, pa.list_(span))],
                     [*kept, "lang_pred", "score", "spans"])
 
-    return d.mapInArrow(run, f"{types}, lang_pred string, score double, "
+    return d.mapInArrow(lean(run), f"{types}, lang_pred string, score double, "
                              "spans array<struct<lang: string, start: bigint, end: bigint>>")
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from kpiforge.llm.common import chunks, column, text_or_empty
+from kpiforge.llm.common import chunks, column, lean, text_or_empty
 from kpiforge.llm.pieces import Pieces
 
 WINDOW = 4096
@@ -238,5 +238,5 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             if rows:
                 yield out(rows)
 
-    return d.mapInArrow(run, f"doc_id {id_type}, start bigint, ids binary, length bigint, doc_tokens bigint, "
+    return d.mapInArrow(lean(run), f"doc_id {id_type}, start bigint, ids binary, length bigint, doc_tokens bigint, "
                              "sequence_id bigint, offset bigint")

@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from kpiforge.llm.common import chunks, column, text_or_empty
+from kpiforge.llm.common import chunks, column, lean, text_or_empty
 from kpiforge.llm.textvec import SPACE, buffer_of, spans
 
 LEAST_WORDS = 6   # a shorter stretch is no run
@@ -213,4 +213,4 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for part in chunks(batch):
                 yield part_of(part)
 
-    return d.mapInArrow(run, f"doc_id {id_type}, n_words bigint, runs {RUN_TYPE}, collapsed string")
+    return d.mapInArrow(lean(run), f"doc_id {id_type}, n_words bigint, runs {RUN_TYPE}, collapsed string")

@@ -2,14 +2,13 @@
 
 For vocabularies whose ids never cross white space and whose words are made of
 lower-cased letters, a text's ids are those of its pieces in order. The pieces
-of a whole column of texts are found and hashed as array operations; only
-pieces not yet remembered by this process are handed to the encoder, each
-once. The memory holds at most ``most`` pieces; beyond that the half that was
-used longest ago goes.
-
-A remembered piece is found by a 64-bit hash of its bytes and length, and its
-first eight bytes are compared besides; where they differ the texts are
-encoded one by one instead.
+of a whole column of texts are found and told apart as array operations, by all
+of their bytes; only pieces that this process does not remember are handed to
+the encoder, each once.
+
+The memory is bounded by bytes: letters and ids of what it holds, and about
+``_PER_PIECE`` more for each. When it is full it starts afresh. Pieces of more
+than ``_LONGEST`` bytes (unspaced text) are encoded each time and not kept.
 """
 
 from __future__ import annotations
@@ -19,9 +18,11 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-from kpiforge.llm.textvec import SPACE, buffer_of, span_hashes, spans
+from kpiforge.llm.textvec import SPACE, buffer_of, spans
 
-REMEMBERED = 500_000
+REMEMBERED = 48 << 20  # bytes
+_PER_PIECE = 200
+_LONGEST = 256
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -49,33 +50,25 @@ class Pieces:
     def __init__(self, learn: Callable[[list[str]], list[bytes]],
                  plain: Callable[[list[str]], list[np.ndarray]], most: int = REMEMBERED):
         self.learn, self.plain, self.most = learn, plain, most
-        self.hash = np.zeros(0, np.uint64)  # sorted
-        self.head = np.zeros(0, np.uint64)
-        self.start = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
-        self.used = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
-        self.now = 0
-
-    def _forget(self) -> None:
-        keep = self.used >= np.partition(self.used, len(self.used) // 2)[len(self.used) // 2]
-        if keep.all():
-            keep[::2] = False
-        self.pool = gather(self.pool, self.start[keep], self.length[keep])
-        self.hash, self.head, self.length, self.used = (
-            x[keep] for x in (self.hash, self.head, self.length, self.used))
-        self.start = np.cumsum(self.length) - self.length
-
-    def _remember(self, hashes: np.ndarray, heads: np.ndarray, packed: list[bytes]) -> None:
-        length = np.fromiter((len(p) // 4 for p in packed), np.int64, len(packed))
-        start = len(self.pool) + np.cumsum(length) - length
-        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(packed), "<u4")])
-        at = np.searchsorted(self.hash, hashes)  # both sorted
-        self.hash = np.insert(self.hash, at, hashes)
-        self.head = np.insert(self.head, at, heads)
-        self.start = np.insert(self.start, at, start)
-        self.length = np.insert(self.length, at, length)
-        self.used = np.insert(self.used, at, self.now)
+        self.memory: dict[bytes, bytes] = {}
+        self.held = 0
+
+    def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of distinct pieces."""
+        if self.held > self.most:
+            self.memory, self.held = {}, 0
+        memory = self.memory
+        new = [p for p in pieces if p not in memory]
+        if not new:
+            return [memory[p] for p in pieces]
+        long: dict[bytes, bytes] = {}
+        for p, packed in zip(new, self.learn([p.decode() for p in new])):
+            if len(p) > _LONGEST:
+                long[p] = packed
+            else:
+                memory[p] = packed
+                self.held += _PER_PIECE + len(p) + len(packed)
+        return [memory[p] if p in memory else long[p] for p in pieces]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, offset of each text's first id)."""
@@ -88,7 +81,8 @@ class Pieces:
             return self._one_by_one(texts)
         # a letter before a combining mark may compose with it: left as it is
         low = np.where(follows < 0xCC, _LOWER[raw], raw)
-        starts, ends = spans(~SPACE[raw], offsets)
+        inside = ~SPACE[raw]
+        starts, ends = spans(inside, offsets)
         # a closing '.' or ',' right after a letter is a word of its own
         last = ends - 1
         before = raw[last - 1]
@@ -96,32 +90,17 @@ class Pieces:
         closing = last[_MARK[raw[last]] & (last > starts) & letter]
         starts, ends = np.sort(np.concatenate([starts, closing])), np.sort(np.concatenate([ends, closing]))
 
-        hashes = span_hashes(low, starts, ends)
-        padded = np.concatenate([low, np.zeros(8, np.uint8)])
-        size = np.minimum(ends - starts, 8)
-        heads = np.lib.stride_tricks.sliding_window_view(padded, 8)[starts].copy().view("<u8")[:, 0]
-        heads &= np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)[size]
-
-        if len(self.hash) > self.most:
-            self._forget()
-        self.now += 1
-        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.hash, distinct)
-        new = np.ones(len(distinct), bool)
-        if len(self.hash):
-            new = self.hash[np.minimum(at, len(self.hash) - 1)] != distinct
-        if new.any():
-            data = low.tobytes()
-            w = first[new]
-            words = [data[a:b].decode() for a, b in zip(starts[w].tolist(), ends[w].tolist())]
-            self._remember(distinct[new], heads[w], self.learn(words))
-            at = np.searchsorted(self.hash, distinct)
-        if np.any(self.head[at][back] != heads):
-            return self._one_by_one(texts)
-        self.used[at] = self.now
-        of = at[back]
-        length = self.length[of]
-        ids = gather(self.pool, self.start[of], length)
+        # only white space lies between the pieces: without it they follow one another
+        at = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+        pieces = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(low[inside].tobytes())])
+        coded = pieces.dictionary_encode()
+        packed = self._ids_of(coded.dictionary.to_pylist())
+        pool = np.frombuffer(b"".join(packed), "<u4")
+        size = np.fromiter((len(p) // 4 for p in packed), np.int64, len(packed))
+        of = coded.indices.to_numpy()
+        length = size[of]
+        ids = gather(pool, (np.cumsum(size) - size)[of], length)
         done = np.concatenate([[0], np.cumsum(length)])
         return ids, done[np.searchsorted(starts, offsets)]
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from kpiforge.llm import bpe, packing, pieces
+from kpiforge.llm import bpe, packing, pieces, textvec
 from kpiforge.llm.queries import op3_packing, op5_bpe, vocabulary
 from tests.llm.helpers import ODD, corpus, frame
 
@@ -45,13 +45,56 @@ def test_both_encoders_equal_the_library(library, seed):
 
 def test_memory_forgets_but_stays_right():
     learn = lambda ws: [np.array([len(w), ord(w[0])], "<u4").tobytes() for w in ws]
-    memory = pieces.Pieces(learn, lambda ts: [], most=40)
+    memory = pieces.Pieces(learn, lambda ts: [], most=20_000)
     rng = random.Random(0)
     for _ in range(30):
         text = " ".join(rng.choice("abcdefgh") * rng.randint(1, 30) for _ in range(40))
         ids, _ = memory.encode(pa.array([text, None, ""]))
         assert ids.tolist() == [x for w in text.split() for x in (len(w), ord(w[0]))]
-    assert len(memory.hash) < 120
+    assert memory.held < 40_000 and len(memory.memory) < 200
+
+
+def collide():
+    """Two words of one hash under any polynomial modulo 2^64 (Thue-Morse)."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    return ["xxxxxxxx" + "".join(p[b] for b in bits) for p in ("ab", "ba")]
+
+
+def test_words_of_structure_are_told_apart(spark, library):
+    x, y = collide()
+    texts = [f"{x} {y}", f"{y} {x}", f"{x[:200]} {y[:200]} {x[:200]}"]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] != want[1]
+    for coder in (bpe.load(vocabulary()), packing.tokenizer(vocabulary())):
+        ids, at = coder.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want
+    from kpiforge.llm import quality_rules
+    lines = [(1, f"{x}\n{y}\n{x}", "en", "s", 0), (2, f"{x}\n{y}", "en", "s", 0)]
+    got = {r.doc_id: r.n_dup_lines for r in quality_rules.judge(frame(spark, lines)).collect()}
+    assert got == {1: 1, 2: 0}
+
+
+def test_span_hashes_depend_on_every_byte():
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choice("ab") for _ in range(rng.randint(1, 30))) for _ in range(4000)}
+                   | {"a" * n for n in range(1, 600)} | {"a" * n + "b" for n in range(1, 600)}
+                   | {"\x00" * n for n in range(1, 40)})
+    w = textvec.Words(pa.array([" ".join(words), " ".join(reversed(words))]))
+    assert len(w.hash) == 2 * len(words)
+    first = dict(zip(words, w.hash[:len(words)].tolist()))
+    again = dict(zip(reversed(words), w.hash[len(words):].tolist()))
+    assert first == again and len(set(first.values())) == len(words)
+
+
+def test_unspaced_text_is_right_and_not_remembered(library):
+    rng = random.Random(6)
+    han = ["".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(800)) for _ in range(30)]
+    want = [e.ids for e in library.encode_batch(han, add_special_tokens=False)]
+    for make in (bpe.Bpe, packing.FileTokenizer):
+        coder = make(vocabulary())
+        ids, at = coder.encode(pa.array(han))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want
+        assert coder.pieces.held == 0 and not coder.pieces.memory
 
 
 def test_operator_encode_and_decode(spark, library):
