@@ -37,6 +37,7 @@ LIVE_OWNERS = 1   # a value of more owners is an example
 WIDE = (2, 9)     # owners and distinct texts beyond which a value is widely copied
 VALUE_CHARS = 12  # of an assignment
 SMALL_ROWS = 200_000
+BLOCK = 64        # spans looked through together
 
 ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)"""
           r"([A-Za-z0-9+/_.=-]+)")
@@ -76,13 +77,36 @@ def _walk(pieces: Column, step: int, kind: int) -> Column:
     return F.coalesce(walked["out"], F.array().cast(_SPAN))
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once: inside another function's
+    lambda Spark would work it out again for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _matches(text: Column, pattern: str, kind: int, groups: bool = False) -> Column:
     marked = F.regexp_replace(text, pattern, "\x01$1\x02$2\x03" if groups else "\x01$0\x02")
-    pieces = F.split(marked, r"[\x01-\x03]")
-    found = _walk(pieces, 3 if groups else 2, kind)
+    found = once(F.split(marked, r"[\x01-\x03]"), lambda pieces: _walk(pieces, 3 if groups else 2, kind))
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
 
 
+def _apart(spans: Column, base: Column) -> Column:
+    """The spans that overlap none of ``base``, which is sorted: only the blocks
+    of it that reach into a span are looked through."""
+    def block(i: Column) -> Column:
+        part = F.slice(base, i * BLOCK + 1, F.lit(BLOCK))
+        return once(part, lambda p: F.struct(F.get(p, F.lit(0))["start"].alias("start"),
+                                             F.array_max(F.transform(p, lambda b: b["end"])).alias("end"), p.alias("spans")))
+
+    def meets(a: Column, b: Column) -> Column:
+        return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+    many = F.floor((F.size(base) - 1) / BLOCK).cast("int")
+    return F.when((F.size(base) == 0) | (F.size(spans) == 0), spans).otherwise(once(
+        F.transform(F.sequence(F.lit(0), F.greatest(many, F.lit(0))), block),
+        lambda blocks: F.filter(spans, lambda o: ~F.exists(
+            blocks, lambda k: meets(o, k) & F.exists(k["spans"], lambda b: meets(o, b))))))
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                owner_col: str = "source") -> DataFrame:
     """(doc_id, key, owner, base, opaque): the spans of every row, with the
@@ -94,8 +118,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  _matches(text, ASSIGN, 0, groups=True).alias("assign"), _matches(text, ACCESS, 1).alias("access"),
                  _matches(text, HEX, 2).alias("hex"), _matches(text, OPAQUE, 3).alias("opaque"))
     base = F.array_sort(F.concat("assign", "access", "hex"))
-    apart = F.filter("opaque", lambda o: ~F.exists("base", lambda b: (b["start"] < o["end"]) & (o["start"] < b["end"])))
-    return d.withColumn("base", base).select("doc_id", "key", "owner", "base", apart.alias("opaque"))
+    d = d.select("doc_id", "key", "owner", "opaque", base.alias("base"))
+    return d.select("doc_id", "key", "owner", "base", once(F.struct("opaque", "base"), lambda x: _apart(x["opaque"], x["base"])).alias("opaque"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
