@@ -99,7 +99,12 @@ def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("turn") >= 2, F.array(call_id(2))).otherwise(F.array().cast("array<string>")).alias("uses"))
     results = turns.filter("role = 'assistant'").select("conv_id", "turn", call_id(1).alias("call_id"),
                                                         F.col("text").alias("content"))
+    content = F.to_json(F.to_variant_object(F.struct(F.col("text").alias("content"))))
     linked = tool_calls.link(calls, results, TURN_TOOLS)
+    others = {"kind": F.lit("turn"), "conv_id": F.col("conv_id"), "turn": F.col("turn"), "name": F.col("role"),
+              "cyclic": F.lit(False), "problems": F.array(), "unknown_uses": F.array(), "n_results": F.lit(0), "json": content}
+    linked = linked.unionByName(turns.filter("role IS NULL OR role NOT IN ('user', 'assistant')").select(
+        *[others.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in linked.schema.fields]))
     return linked.select("kind", "conv_id", "call_id", "turn", "name", "position", "cyclic",
                          F.array_join("problems", ";").alias("problems"),
                          F.array_join("unknown_uses", ";").alias("unknown_uses"),
@@ -138,6 +143,10 @@ UNION ALL
 SELECT 'orphan', conv_id, call_id, NULL, NULL, NULL, FALSE, '', '', result_turn, 1,
        '{"content":' || to_json(content)::VARCHAR || '}'
 FROM r WHERE call_id NOT IN (SELECT call_id FROM c)
+UNION ALL
+SELECT 'turn', conv_id, NULL, turn, role, NULL, FALSE, '', '', NULL, 0,
+       '{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || '}'
+FROM t WHERE role IS NULL OR role NOT IN ('user', 'assistant')
 """
 
 

@@ -6,6 +6,8 @@ import re
 
 import duckdb
 
+from pyspark.sql import functions as F
+
 from kpiforge.llm import secret_scan as ss
 from kpiforge.llm import tool_calls as tc
 from kpiforge.llm.queries import OP7_SQL, TURN_TOOLS, op7_tool_calls, op10_secret_scan
@@ -151,3 +153,25 @@ def test_positions_across_partitions(spark):
     assert sorted(place.values()) == list(range(n))
     assert all(place[c[1]] > place[u] for c in calls for u in c[5])
     assert not any(r.cyclic for r in rows)
+
+
+def test_a_text_of_very_many_matches(spark):
+    """Positions of 3,000 matches, and of tokens that overlap hex strings or not."""
+    import hashlib
+    hexes = [hashlib.md5(str(i).encode()).hexdigest() for i in range(3000)]
+    token = "Zx9-" * 6 + "q1"
+    text = "é " + " ".join(f"{h} {token}{i}" if i % 3 == 0 else h for i, h in enumerate(hexes))
+    row = ss.scan(frame(spark, [(1, text, "en", "s", len(text))]), wide=ss.WIDE).first()
+    got = {(s.start, s.end) for s in row.spans if s.kind == 2}
+    assert got == {m.span() for m in re.finditer("[0-9a-f]{16,}", text)} and len(got) == 3000
+    opaque = {(s.start, s.end) for s in row.spans if s.kind == 3}
+    assert opaque == {m.span() for m in re.finditer(r"Zx9-[A-Za-z0-9-]+", text)} and len(opaque) == 1000
+
+
+def test_turns_of_other_roles_are_rows(spark):
+    sf = "/root/testdata/sf0.001"
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    rows = op7_tool_calls(spark, sf)
+    assert rows.filter("kind = 'turn'").count() == turns.filter("role NOT IN ('user', 'assistant')").count() > 0
+    seen = rows.select("conv_id", F.explode(F.array("turn", "result_turn")).alias("turn")).dropna().distinct()
+    assert seen.count() == turns.select("conv_id", "turn").distinct().count()
