@@ -48,7 +48,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality_rules", rules), ("language_id", language), ("near_duplicates", near_duplicates),
           ("secret_scan", secrets), ("packing", pack)]
 
-# language models, alignments and a tokenizer are beyond SQL: see tests/llm/test_pipeline.py
+# language models, alignments and a tokenizer are beyond SQL: see tests/llm/test_cotraining_and_pipeline.py
 ORACLE_SQL = None
 
 
