@@ -14,6 +14,9 @@ labelled texts of the training split.
 Defined cases: a null text, or one without letters, is ``und`` with score 0;
 so is everything when no labelled text exists. A text whose letters belong to
 no learned language's script gets the first learned language with score 0.
+``keep_known`` also rejects texts whose letters fit their language far worse
+than its documents do (gibberish, languages not learned); a language of one
+document keeps it.
 Ties go to the language that sorts first. Repeated rows are labelled one by
 one. Only the text is an input of a prediction.
 """
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 
 from kpiforge.llm.common import CHUNK_BYTES, chunks, column, lean, small_batches, text_or_empty
 from kpiforge.llm.textvec import mix, spans
+from kpiforge.session import cut_lineage
 
 BUCKETS = 1 << 17
 SMOOTHING = 0.5
@@ -38,6 +42,8 @@ OUTSIDE = -50.0      # score of a language that a word's script rules out
 SCRIPT_SHARE = 0.005  # of its letters, above which a language uses a script
 OVERLAP = 3.0        # each letter takes part in three trigrams
 UNKNOWN = "und"
+FIT_WIDTH = 8.0      # robust standard deviations below a language's median fit ...
+LEAST_SPREAD = 0.08  # ... of at least so many nats a letter
 
 # fixed values: Unicode block ranges of the scripts told apart (last included)
 SCRIPTS = [
@@ -224,8 +230,10 @@ def label_words(scores: np.ndarray, of: np.ndarray, switch: float = SWITCH) -> n
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
              switch: float = SWITCH, **more: str) -> DataFrame:
-    """doc_id, columns ``more``, lang_pred, score and spans: the labelled runs of
-    words as (lang, start, end) in code points. No shuffle."""
+    """doc_id, columns ``more``, lang_pred, score, spans (the labelled runs of
+    words as (lang, start, end) in code points), letters in words that some
+    language may hold and fit, those words' mean log probability a letter under
+    their labels. No shuffle."""
     d = text_or_empty(docs, id_col, text_col, **more)
     kept = [c for c in d.columns if c != "text"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -243,6 +251,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 doc = np.repeat(np.arange(docs_here), np.diff(found.of))
                 letters = np.bincount(doc, found.per_word, minlength=docs_here)
                 name, score = np.array([UNKNOWN] * docs_here, dtype=object), np.zeros(docs_here)
+                judged, fitted = np.zeros(docs_here, np.int64), np.zeros(docs_here)
                 runs: list[list] = [[] for _ in range(docs_here)]
                 if k:
                     scores = word_scores(found, m)
@@ -254,9 +263,13 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                     np.add.at(total, doc, scores)
                     total -= total.max(axis=1, keepdims=True)
                     chance = np.exp(total) / np.exp(total).sum(axis=1, keepdims=True)
+                    some = (scores != 0).any(axis=1)
+                    np.add.at(judged, doc[some], found.per_word[some])
+                    np.add.at(fitted, doc, scores[np.arange(len(label)), label])
+                    fitted /= np.maximum(judged, 1)
                     rows = np.arange(docs_here)
                     known = np.zeros(docs_here, bool)
-                    known[doc[(scores != 0).any(axis=1)]] = True
+                    known[doc[some]] = True
                     share = held[rows, top] / np.maximum(letters, 1)
                     # a mixed text's whole-text chance says nothing about its largest part
                     sure = np.where(share < 1, 1.0, chance[rows, top])
@@ -274,18 +287,39 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                             runs[d_].append({"lang": m.languages[l_], "start": a, "end": b})
                 yield pa.RecordBatch.from_arrays(
                     [*[column(part, c) for c in kept], pa.array(name.tolist(), pa.string()),
-                     pa.array(score, pa.float64()), pa.array(runs, pa.list_(span))],
-                    [*kept, "lang_pred", "score", "spans"])
+                     pa.array(score, pa.float64()), pa.array(runs, pa.list_(span)), pa.array(judged),
+                     pa.array(fitted)],
+                    [*kept, "lang_pred", "score", "spans", "letters", "fit"])
 
     return d.mapInArrow(lean(run), f"{types}, lang_pred string, score double, "
-                             "spans array<struct<lang: string, start: bigint, end: bigint>>")
+                             "spans array<struct<lang: string, start: bigint, end: bigint>>, letters bigint, fit double")
+
+
+def least_fit(found: DataFrame, width: float = FIT_WIDTH) -> DataFrame:
+    """(lang_pred, mid, half, mid_letters): every predicted language's median fit,
+    ``width`` robust standard deviations of it and median number of letters, over all
+    documents. The deviation is taken from the upper half, as whatever does not belong
+    lies below. One row for each learned language at most."""
+    half = F.percentile_approx("fit", [0.5, 0.75], 10000)
+    known = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("letters") > 0))
+    rows = known.groupBy("lang_pred").agg(half.alias("q"), F.percentile_approx("letters", 0.5, 10000).alias("mid_letters"))
+    spread = F.greatest((F.col("q")[1] - F.col("q")[0]) / 0.6745, F.lit(LEAST_SPREAD))
+    return rows.select("lang_pred", F.col("q")[0].alias("mid"), (width * spread).alias("half"), "mid_letters")
 
 
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-               least_score: float = 1 / 3) -> DataFrame:
-    """The rows of ``docs`` whose text is mainly of one learned language, with
-    all of their columns; the model is fitted on the rows that name a language."""
+               least_score: float = 1 / 3, width: float = FIT_WIDTH) -> DataFrame:
+    """The rows of ``docs`` whose text is mainly of one learned language and fits
+    it, with all of their columns; the model is fitted on the rows that name a
+    language. Texts of fewer letters than their language's median may lie lower,
+    by the root of the ratio. The texts are read three times and never stored."""
     ride = {f"_{i}": c for i, c in enumerate(docs.columns)}
-    found = identify(docs, fit(docs, text_col, lang_col), id_col, text_col, **ride)
-    kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    model = fit(docs, text_col, lang_col)
+    limits = cut_lineage(least_fit(identify(docs, model, id_col, text_col), width).withColumnRenamed("lang_pred", "limit_lang"))
+    found = identify(docs, model, id_col, text_col, **ride)
+    # bounded by the model, which every worker holds anyway
+    found = found.join(F.broadcast(limits), F.col("lang_pred") == F.col("limit_lang"), "left")
+    short = F.sqrt(F.greatest(F.col("mid_letters") / F.greatest(F.col("letters"), F.lit(1)), F.lit(1.0)))
+    fits = F.coalesce(F.col("fit") >= F.col("mid") - F.col("half") * short, F.lit(False))
+    kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score) & fits)
     return kept.select(*[F.col(new).alias(c) for new, c in ride.items()])

@@ -71,6 +71,39 @@ def test_language_odd_rows(spark):
     assert {r.doc_id for r in kept.collect()} >= {r[0] for r in corpus()}
 
 
+def test_keep_known_rejects_gibberish_and_unlearned_languages(spark):
+    """60-word texts in a learned script: random letters, and a language of its own
+    that no row names; a language of one document keeps it."""
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    gibberish = " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(80))
+    unlearned = " ".join(rng.choice("kuo yksi kolme neljä viisi kuusi seitsemän kahdeksan yhdeksän kymmenen talvi kesä "
+                                    "syksy aamu ilta kirje silta puutarha katu kylä satama joki kivi".split()) for _ in range(80))
+    mixed = sentence(rng, "en", 60) + " " + sentence(rng, "de", 60)
+    rows = corpus(n=240) + [(900, gibberish, None, "s", 0), (901, unlearned, None, "s", 0), (902, mixed, None, "s", 0),
+                            (903, "Привет " * 60, None, "s", 0)]
+    got = {r.doc_id for r in li.keep_known(frame(spark, rows, clashing=True)).collect()}
+    assert got == {r[0] for r in corpus(n=240)} | {902}
+    alone = [(1, sentence(rng, "en", 70), "en", "s", 0)]
+    assert [r.doc_id for r in li.keep_known(frame(spark, alone)).collect()] == [1]
+    assert li.keep_known(frame(spark, [])).collect() == []
+
+
+def test_fit_by_hand(spark):
+    model = li.fit(frame(spark, corpus()))
+    texts = [r[1] for r in corpus()[:6]] + ["", "123 45", "the 12 Привет of"]
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    got = {r.doc_id: r for r in li.identify(frame(spark, rows), model).collect()}
+    for i, t in enumerate(texts):
+        found = li.Letters(pa.array([t]))
+        scores = li.word_scores(found, model)
+        label = li.label_words(scores, found.of)
+        judged = (scores != 0).any(axis=1)
+        letters = found.per_word[judged].sum()
+        want = scores[np.arange(len(label)), label].sum() / max(letters, 1)
+        assert abs(got[i].fit - want) < 1e-9 and got[i].letters == letters
+
+
 def brute_counts(t):
     w = words(t)
     found = collections.Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
@@ -156,3 +189,71 @@ def test_keep_good_keeps_columns_and_empty(spark):
     assert {r.doc_id for r in kept.collect()} == {r[0] for r in corpus()}
     assert qr.keep_good(frame(spark, [])).collect() == []
     assert math.isfinite(qr.judge(docs).filter("doc_id = 1005").first().log_ppl)
+
+
+def band_by_hand(logs, whole):
+    """Mean and spread of the mixture of a language and the corpus."""
+    def at(q, xs):
+        return sorted(xs)[max(math.ceil(q * len(xs)), 1) - 1]
+    (m, s), (mc, sc) = ((at(0.5, xs), (at(0.75, xs) - at(0.25, xs)) / 1.349) for xs in (logs, whole))
+    w = (len(logs) - 1) / (len(logs) - 1 + qr.PRIOR)
+    return w * m + (1 - w) * mc, math.sqrt(w * s * s + (1 - w) * sc * sc + w * (1 - w) * (m - mc) ** 2)
+
+
+def test_bands_of_any_size_by_hand(spark):
+    rng = random.Random(2)
+    rows = corpus(n=240)
+    rows += [(5000 + i, sentence(rng, "en", 80), lang, "s", 0) for i, lang in enumerate(["xx", "yy", "yy", None])]
+    symbols = " ".join(w + "#*|" for w in sentence(rng, "en", 150).split())
+    rows.append((6000, symbols, "zz", "s", 0))  # alone in its language, yet judged
+    got = {r.doc_id: r for r in qr.judge(frame(spark, rows)).collect()}
+    passed = [r for r in got.values() if not r.base_failed]
+    for lang in {r.lang for r in passed}:
+        mine = [r for r in passed if r.lang == lang]
+        mid, spread = band_by_hand([r.log_ppl for r in mine], [r.log_ppl for r in passed])
+        words_ = sorted(r.n_words for r in mine)[math.ceil(len(mine) / 2) - 1]
+        for r in mine:
+            half = qr.WIDTH * spread * math.sqrt(max(words_ / r.n_words, 1))
+            assert abs(r.ppl_low - (mid - half)) < 1e-9 and abs(r.ppl_high - (mid + half)) < 1e-9
+            assert r.kept == (r.ppl_low <= r.log_ppl <= r.ppl_high)
+    assert all(got[5000 + i].kept for i in range(4)) and not got[6000].kept
+
+
+def other_script(rng, letters, n):
+    """Prose of a small made-up vocabulary: syllables that repeat."""
+    stock = random.Random(1)
+    vocabulary = ["".join(stock.choice(letters) for _ in range(stock.randint(2, 8))) for _ in range(60)]
+    return " ".join(rng.choice(vocabulary) for _ in range(n))
+
+
+def test_garbled_letters_outside_ascii_are_rejected(spark):
+    """Letters shuffled within a text, in four scripts."""
+    rng = random.Random(4)
+    scripts = {"ru": [chr(c) for c in range(0x430, 0x450)], "el": [chr(c) for c in range(0x3B1, 0x3CA)],
+               "zh": [chr(c) for c in range(0x4E00, 0x9000, 37)], "ko": [chr(c) for c in range(0xAC00, 0xD7A0, 53)]}
+    rows, garbled = [], []
+    for k, (lang, letters) in enumerate(scripts.items()):
+        assert len(set(qr.classes(np.frombuffer("".join(letters).encode(), np.uint8)).tolist())) >= min(len(letters), qr.SLOTS) - 1
+        for i in range(120):
+            rows.append((1000 * k + i, other_script(rng, letters, rng.randint(80, 200)), lang, "s", 0))
+        text = other_script(rng, letters, 150)
+        mixed = rng.sample([c for c in text if c != " "], len(text.replace(" ", "")))
+        garbled.append((1000 * k + 900, "".join(c if c == " " else mixed.pop() for c in text), lang, "s", 0))
+    got = {r.doc_id: r for r in qr.judge(frame(spark, rows + garbled)).collect()}
+    assert all(got[r[0]].kept for r in rows)
+    assert all(not got[r[0]].kept and got[r[0]].log_ppl > got[r[0]].ppl_high for r in garbled)
+
+
+def test_classes_of_all_code_points():
+    points = [c for c in range(1, 0x110000, 7) if not 0xD800 <= c < 0xE000]
+    text = "".join(map(chr, points))
+    got = qr.classes(np.frombuffer(text.encode(), np.uint8))
+    assert len(got) == len(points) and got.min() >= 0 and got.max() < qr.CLASSES
+    low = np.array(points) < 1 << 16
+    assert (got[low] == qr.CLASS_OF[np.array(points)[low]]).all()
+    raw, offsets = qr.buffer_of(pa.array(["ёжик", "", "a字b"]))
+    codes = qr.ngram_codes(raw, offsets)
+    assert len(codes) == 7 and codes.max() < qr.CLASSES ** qr.ORDER
+    assert codes[4] == qr.CLASS_OF[ord("a")]  # nothing of the text before
+    seen = set(qr.ngram_codes(*qr.buffer_of(pa.array([text]))).tolist())
+    assert len(seen) <= qr.MOST_NGRAMS
