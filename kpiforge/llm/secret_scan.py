@@ -17,7 +17,8 @@ overlap no other span. ``scan`` alone leaves out opaque tokens of more than
 ``LIVE_OWNERS`` owners. With ``wide``, as the query and ``redact`` call it, it
 reports all of them, and a value is an example (not live) only if distinct texts
 that hold it number more than ``WIDE[1]`` and have more than ``WIDE[0]`` owners;
-copies of one text count once, for the least of their owners.
+copies of one text count once, for the least of their owners. ``redact`` masks
+base spans and live ones and leaves opaque examples in the text.
 
 Defined cases: a null or empty text has no spans; a null owner is an owner of
 its own; repeated rows of one document are one repository and each get the
@@ -38,12 +39,18 @@ WIDE = (2, 9)     # owners and distinct texts beyond which a value is widely cop
 VALUE_CHARS = 12  # of an assignment
 SMALL_ROWS = 200_000
 BLOCK = 64        # spans looked through together
+TEXT_BLOCK = 4096  # code points of a text cut from together
 
 ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)"""
           r"([A-Za-z0-9+/_.=-]+)")
 # a match of fewer characters fails, and none can start inside it
 ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "[0-9a-f]{16,}"
+# what chance leaves in a token: a digit beside a letter, a capital after a small
+# letter that begins no word; so many at least, and one in so many characters
+CHANGE = "(?<=[A-Za-z])[0-9]|(?<=[0-9])[A-Za-z]|(?<=[a-z])[A-Z](?![a-z])"
+CHANGES, APART = 3, 8
+UUID = "[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
 OPAQUE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{20,}"
 
 _SPAN = "array<struct<start:int,kind:int,end:int,value:binary>>"
@@ -54,27 +61,68 @@ def _unmarked(text: Column) -> Column:
     return F.when(text.rlike(r"[\x01-\x03]"), F.translate(text, "\x01\x02\x03", "\x04\x04\x04")).otherwise(text)
 
 
+def _before(sizes: Column, fold: str, use) -> Column:
+    """``use(before)`` where ``before(i)`` is the sum (``fold`` "sum") or the greatest
+    ("max") of the elements ahead of element i: blocks are folded once, so the work
+    grows with the elements, not with their square."""
+    def over(part: Column) -> Column:
+        if fold == "max":
+            return F.coalesce(F.array_max(part), F.lit(0))
+        return F.aggregate(part, F.lit(0), lambda a, x: a + x)
+
+    many = F.floor((F.size(sizes) - 1) / BLOCK).cast("int")
+    blocks = F.when(F.size(sizes) == 0, F.array().cast("array<int>")).otherwise(
+        F.transform(F.sequence(F.lit(0), F.greatest(many, F.lit(0))), lambda k: over(F.slice(sizes, k * BLOCK + 1, F.lit(BLOCK)))))
+
+    def with_blocks(tops: Column) -> Column:
+        ahead = F.transform(tops, lambda _, k: over(F.slice(tops, F.lit(1), k)))
+
+        def with_ahead(so_far: Column) -> Column:
+            def before(i: Column) -> Column:
+                block = F.floor(i / BLOCK).cast("int")
+                near = over(F.slice(sizes, block * BLOCK + 1, i - block * BLOCK))
+                top = F.get(so_far, block)
+                return F.greatest(top, near) if fold == "max" else top + near
+            return use(before)
+
+        return once(ahead, with_ahead)
+
+    return once(blocks, with_blocks)
+
+
 def _walk(pieces: Column, step: int, kind: int) -> Column:
     """Spans from the pieces of a marked text: each match is ``step`` - 1 pieces
     behind one piece of plain text."""
-    def size(i: Column) -> Column:
-        return F.char_length(F.get(pieces, i))
-
-    def add(acc: Column, k: Column) -> Column:
-        first = k * step
-        start = acc["at"] + size(first)
-        end = start + size(first + 1) + (size(first + 2) if step == 3 else F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
-                        F.unhex(F.md5(F.get(pieces, first + step - 1))).alias("value"))
-        grown = F.concat(acc["out"], F.array(span))
-        if step == 3:
-            grown = F.when(size(first + 2) >= VALUE_CHARS, grown).otherwise(acc["out"])
-        return F.struct(end.alias("at"), grown.alias("out"))
-
-    matches = F.floor((F.size(pieces) - 1) / step).cast("int")
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
-    walked = F.aggregate(F.slice(F.sequence(F.lit(0), matches), F.lit(1), matches), zero, add)
-    return F.coalesce(walked["out"], F.array().cast(_SPAN))
+    def spans(sizes: Column) -> Column:
+        def size(i: Column) -> Column:
+            return F.get(sizes, i)
+
+        def located(before) -> Column:
+            def span(k: Column) -> Column:
+                first = k * step
+                start = before(first + 1)
+                end = start + size(first + 1) + (size(first + 2) if step == 3 else F.lit(0))
+                return F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
+                                F.unhex(F.md5(F.get(pieces, first + step - 1))).alias("value"))
+
+            matches = F.floor((F.size(pieces) - 1) / step).cast("int")
+            which = F.slice(F.sequence(F.lit(0), matches), F.lit(1), matches)
+            if step == 3:
+                which = F.filter(which, lambda k: size(k * step + 2) >= VALUE_CHARS)
+            if kind == KINDS.index("opaque"):
+                which = F.filter(which, lambda k: _random(F.get(pieces, k * step + 1)))
+            return F.transform(which, span)
+
+        return _before(sizes, "sum", located)
+
+    walked = once(F.transform(pieces, lambda p: F.char_length(p)), spans)
+    return F.coalesce(walked, F.array().cast(_SPAN))
+
+
+def _random(token: Column) -> Column:
+    """Whether a token looks like chance."""
+    changes = F.regexp_count(token, F.lit(CHANGE))
+    return (changes >= CHANGES) & (changes * APART >= F.char_length(token)) & ~token.rlike(f"^{UUID}$")
 
 
 def once(value: Column, use) -> Column:
@@ -165,32 +213,48 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["start"], s["end"])), ",")
 
 
+def _masked(text: Column, spans: Column, mask: str) -> Column:
+    """The text with ``mask`` for every span that begins behind all before it;
+    what lies between is cut from blocks of the text, never from its start."""
+    def cut(blocks: Column, a: Column, b: Column) -> Column:
+        """Code points a to b, b exclusive."""
+        first, last = F.floor(a / TEXT_BLOCK).cast("int"), F.floor(b / TEXT_BLOCK).cast("int")
+        head, tail = F.coalesce(F.get(blocks, first), F.lit("")), F.coalesce(F.get(blocks, last), F.lit(""))
+        across = F.concat(F.substring(head, a % TEXT_BLOCK + 1, F.lit(TEXT_BLOCK)),
+                          F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+                          F.substring(tail, F.lit(1), b % TEXT_BLOCK))
+        return F.when(a >= b, "").when(first == last, F.substring(head, a % TEXT_BLOCK + 1, b - a)).otherwise(across)
+
+    def pieces(blocks: Column) -> Column:
+        def piece(before):
+            return lambda s, i: once(before(i), lambda at: F.when(s["start"] < at, "").otherwise(
+                F.concat(cut(blocks, at, s["start"]), F.lit(mask))))
+        return once(F.transform(spans, lambda s: s["end"]), lambda ends: F.concat(
+            F.array_join(_before(ends, "max", lambda before: F.transform(spans, piece(before))), ""),
+            cut(blocks, F.array_max(ends), F.char_length(text))))
+
+    return once(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{TEXT_BLOCK}}}"), F.lit(0)), pieces)
+
+
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
            chars_col: str | None = "n_chars", mask: str = "[SECRET]") -> DataFrame:
-    """The rows of ``docs`` with every span replaced by ``mask`` (overlapping
-    spans by one) and ``chars_col``, if there is one, brought up to date."""
+    """The rows of ``docs`` with every base span and every live opaque one
+    replaced by ``mask`` (overlapping spans by one) and ``chars_col``, if there is
+    one, brought up to date. Opaque examples stay in the text."""
+    secret = F.filter("spans", lambda s: (s["kind"] < KINDS.index("opaque")) | s["live"])
     hit, n = cut_lineage_counted(
-        scan(docs, id_col, text_col, owner_col, wide=WIDE).filter(F.size("spans") > 0)
-        .select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("spans").alias("_spans"))
-        .dropDuplicates(["_id", "_key"]))
+        scan(docs, id_col, text_col, owner_col, wide=WIDE)
+        .select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), secret.alias("_spans"))
+        .filter(F.size("_spans") > 0).dropDuplicates(["_id", "_key"]))
     hit = F.broadcast(hit) if n <= SMALL_ROWS else hit
     # the row travels as one struct, so none of its names can clash
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                     F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     d = d.withColumn("text_key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     d = d.join(hit, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    text = F.col("text")
-
-    def add(acc: Column, s: Column) -> Column:
-        overlaps = s["start"] < acc["at"]
-        more = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(overlaps, acc["out"]).otherwise(more).alias("out"))
-
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate("_spans", zero, add,
-                         lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.char_length(text))))
+    masked = _masked(F.col("text"), F.col("_spans"), mask)
     clean = F.col("_spans").isNull()
-    d = d.select("row", clean.alias("clean"), F.when(clean, text).otherwise(masked).alias("masked"))
+    d = d.select("row", clean.alias("clean"), F.when(clean, F.col("text")).otherwise(masked).alias("masked"))
     columns = {c: F.col("row")[c] for c in docs.columns}
     columns[text_col] = F.col("masked")
     if chars_col in columns:
