@@ -9,19 +9,22 @@ How the work is spread
   blocks    Each task turns the texts it reads into blocks of at most
             ``BLOCK_BYTES``: the block's distinct words (64-bit hashes, training
             counts) and every text as numbers into that list. Stored once.
-  counts    One row per block and distinct word is shuffled by word and gets
-            the word's count over the training texts of the whole corpus, exact
-            for every word, however rare.
-  exchange  The ``HEAD`` most frequent words are clustered one by one, all other
-            words by what their endings share (``TAIL`` slots), so every word of
-            the corpus has a class and the class map has a fixed size. In each
+  exchange  The ``CORE`` most frequent words are clustered first, with all other
+            words lumped by their endings (``ENDINGS`` slots) meanwhile. In each
             round all blocks count how often each unit precedes and follows
             each class; Spark adds the counts up, and the units then move, the
             most frequent first, each to the class that raises the class
             bigram likelihood most. The driver sees units x classes numbers,
             whatever the corpus.
-  scores    Class terms are summed while the blocks are read; the blocks then
-            meet their words' counts (cogroup by block) for the word terms.
+  words     Then every other word of the training texts, however rare, is
+            exchanged by its own contexts: Spark sums them by word, and tasks move
+            each word to its best class against the class bigram table. The
+            result, (word, count, class), is a Spark table, joined back to the
+            blocks by word. The core's counts and classes are broadcast, so no
+            word that is joined has more than 1/``CORE`` of the tokens.
+  scores    The class bigrams are counted anew with all words in their final
+            classes; a last pass over the stored blocks scores every text.
+A word without a training count takes the class of its ending.
 
 Defined cases: a null or empty text is the end token alone; null ids are held
 out or not by the rule for the empty id and keep their rows; repeated rows are
@@ -36,7 +39,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.llm.common import chunks, column, lean, text_or_empty
@@ -44,10 +47,11 @@ from kpiforge.llm.textvec import SPACE, buffer_of, mix, span_hashes, spans
 from kpiforge.session import cut_lineage
 
 BLOCK_BYTES = 4 << 20
-HEAD = 8192
-TAIL = 4096
+CORE = 8192    # words clustered one after another; all others are exchanged in tasks
+ENDINGS = 4096
 CLASSES = 32   # class 0 is the end token's
 ROUNDS = 3
+ROWS = 1 << 16  # context counts that a task works on at once
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -68,7 +72,7 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         size = np.minimum(ends - starts, 4)
         tail = np.lib.stride_tricks.sliding_window_view(padded, 4)[ends].copy().view(">u4")[:, 0].astype(np.uint32)
         tail &= np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)[size]
-    slot = (mix(tail.astype(_U) + _U(1)) % _U(TAIL)).astype(np.uint16)
+    slot = (mix(tail.astype(_U) + _U(1)) % _U(ENDINGS)).astype(np.uint16)
     return span_hashes(low, starts, ends), slot, np.diff(np.searchsorted(starts, offsets))
 
 
@@ -139,30 +143,23 @@ def blocks(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
 
 
 def word_counts(stored: DataFrame) -> DataFrame:
-    """(block, local, word, slot, c, first): every block's words with their
-    training count c over the whole corpus; ``first`` marks one row per word."""
+    """(word, c): every word's training count over the whole corpus, where there is one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, words, n, slot in zip(*[column(batch, c).to_pylist() for c in ("block", "words", "n", "slot")]):
-                w = np.frombuffer(words, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(w), block)), pa.array(np.arange(len(w), dtype=np.int32)), pa.array(w),
-                     pa.array(np.frombuffer(slot, np.uint16).astype(np.int32)), pa.array(from_planes(n))],
-                    ["block", "local", "word", "slot", "n"])
+            for words, n in zip(*[column(batch, c).to_pylist() for c in ("words", "n")]):
+                w, many = np.frombuffer(words, np.int64), from_planes(n)
+                yield pa.RecordBatch.from_arrays([pa.array(w[many > 0]), pa.array(many[many > 0])], ["word", "n"])
 
-    rows = (stored.select("block", "words", "n", "slot")
-            .mapInArrow(lean(run), "block bigint, local int, word bigint, slot int, n bigint"))
-    by_word = Window.partitionBy("word")
-    return rows.select("block", "local", "word", "slot", F.sum("n").over(by_word).alias("c"),
-                       (F.row_number().over(by_word.orderBy("block")) == 1).alias("first"))
+    return (stored.select("words", "n").mapInArrow(lean(run), "word bigint, n bigint")
+            .groupBy("word").agg(F.sum("n").alias("c")))
 
 
 # ---- exchange clustering ----------------------------------------------------
 
 @dataclass
 class Units:
-    """What is clustered: head words (sorted signed hashes), tail slots, the end
+    """What is clustered first: core words (sorted signed hashes), endings, the end
     token (last). ``classes`` has a class for each."""
     head: np.ndarray
     classes: np.ndarray
@@ -272,7 +269,7 @@ def likelihood(before: np.ndarray, classes: np.ndarray) -> float:
 def cluster(stored: DataFrame, head: np.ndarray, rounds: int = ROUNDS) -> tuple[Units, np.ndarray]:
     """The clustered units and their ``before`` counts under the final classes.
     Counts are a round old while units move, so the best round is kept."""
-    n = len(head) + TAIL
+    n = len(head) + ENDINGS
     start = 1 + np.arange(n) % (CLASSES - 1)
     units = Units(head, np.append(start, 0))
     before, after = context_counts(stored, units)
@@ -284,11 +281,187 @@ def cluster(stored: DataFrame, head: np.ndarray, rounds: int = ROUNDS) -> tuple[
     return best[1], best[2]
 
 
+# ---- every other word -------------------------------------------------------
+
+def contexts(stored: DataFrame, units: Units) -> DataFrame:
+    """(word, start, code, n) of the training words outside the core: how often a
+    word stands before (code: the class) and after (code: ``CLASSES`` + the class)
+    a word of each class; ``start`` is its ending's class."""
+    shared = stored.sparkSession.sparkContext.broadcast(units)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        u = shared.value
+        for batch in batches:
+            for held, length, tokens, words, slot in zip(
+                    *[column(batch, c).to_pylist() for c in ("held_out", "length", "tokens", "words", "slot")]):
+                w = np.frombuffer(words, np.int64)
+                unit = u.of_words(w, np.frombuffer(slot, np.uint16))
+                classes = u.classes[unit]
+                other = unit >= len(u.head)
+                other[-1] = False
+                t = from_planes(tokens)
+                train = np.repeat(~np.array(held, bool), length)
+                q, p = t[train], _previous(t, len(unit) - 1)[train]
+                keys, n = np.unique(np.concatenate([p[other[p]] * 2 * CLASSES + classes[q[other[p]]],
+                                                    q[other[q]] * 2 * CLASSES + CLASSES + classes[p[other[q]]]]),
+                                    return_counts=True)
+                local = keys // (2 * CLASSES)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(w[local]), pa.array(classes[local].astype(np.int16)),
+                     pa.array((keys % (2 * CLASSES)).astype(np.int16)), pa.array(n.astype(np.int64))],
+                    ["word", "start", "code", "n"])
+
+    return (stored.select("held_out", "length", "tokens", "words", "slot")
+            .mapInArrow(lean(run), "word bigint, start smallint, code smallint, n bigint"))
+
+
+def best_classes(of: np.ndarray, start: np.ndarray, code: np.ndarray, n: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """The class of every word that raises the class bigram likelihood most, the
+    other words staying where they are. ``of`` is the word of each context count,
+    ``start`` the class of each word now, ``g`` the class bigram table with it."""
+    m, entry = len(start), np.arange(len(of))
+    sides = np.zeros((2, m, CLASSES))  # as first, as second word of a bigram
+    side, near = code // CLASSES, code % CLASSES
+    np.add.at(sides, (side, of, near), n)
+    word, now = np.arange(m), start[of]
+    gain = np.zeros((m, CLASSES))
+    # cells (b, near) or (near, b) for every class b, without the word itself
+    cell = np.where(side[:, None] == 0, g[:, near].T, g[near])
+    cell -= np.where((near == now)[:, None], sides[1 - side, of], 0.0)
+    cell[entry, now] -= n
+    np.maximum(cell, 0.0, out=cell)
+    np.add.at(gain, of, _xlogx(cell + n[:, None]) - _xlogx(cell))
+    r, l = sides
+    d = np.tile(g.diagonal(), (m, 1))
+    d[word, start] -= r[word, start] + l[word, start]
+    np.maximum(d, 0.0, out=d)
+    gain += _xlogx(d + r + l) - _xlogx(d + r) - _xlogx(d + l) + _xlogx(d)
+    for whole, own in ((g.sum(axis=1), r.sum(axis=1)), (g.sum(axis=0), l.sum(axis=1))):
+        rest = np.tile(whole, (m, 1))
+        rest[word, start] -= own
+        gain -= _xlogx(rest + own[:, None]) - _xlogx(rest)
+    gain[:, 0] = -np.inf  # the end token's own class
+    best = gain.argmax(axis=1)
+    return np.where(gain[word, best] > gain[word, start] + 1e-9, best, start)
+
+
+def word_classes(found: DataFrame, g: np.ndarray) -> DataFrame:
+    """(word, c, class) of the words of ``contexts``: training count and best class."""
+    shared = found.sparkSession.sparkContext.broadcast(g)
+    summed = (found.repartition("word").groupBy("word", "start", "code").agg(F.sum("n").alias("n"))
+              .sortWithinPartitions("word"))  # by word already, so no second exchange
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def out(last: bool) -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
+            word = rows["word"].to_numpy()
+            # the last word may go on in the next batch: it has 2 x CLASSES rows at most
+            done = len(word) if last else int(np.searchsorted(word, word[-1]))
+            held.extend(rows.slice(done).to_batches())
+            if not done:
+                return
+            words, first, of = np.unique(word[:done], return_index=True, return_inverse=True)
+            start, code, n = (rows[c].to_numpy()[:done].astype(np.int64) for c in ("start", "code", "n"))
+            after = code >= CLASSES  # every occurrence has one token before it
+            c = np.bincount(of[after], n[after], len(words)).astype(np.int64)
+            best = best_classes(of, start[first], code, n.astype(float), shared.value)
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(c), pa.array(best.astype(np.int16))],
+                                             ["word", "c", "class"])
+
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= ROWS:
+                yield from out(False)
+        if held:
+            yield from out(True)
+
+    return summed.mapInArrow(lean(run), "word bigint, c bigint, class smallint")
+
+
+# ---- blocks with counts and classes -----------------------------------------
+
+@dataclass
+class Core:
+    """The core's units with the training counts of its words."""
+    units: Units
+    c: np.ndarray
+
+
+def classed_blocks(stored: DataFrame, core: Core, known: DataFrame) -> DataFrame:
+    """(ids, held_out, length, tokens, c, classes): the blocks with the training
+    count and class of each of their words; the end token's are not among them."""
+    spark = stored.sparkSession
+    shared = spark.sparkContext.broadcast(core)
+    keep = ["block", "ids", "held_out", "length", "tokens"]
+    types = {f.name: f.dataType.simpleString() for f in stored.schema.fields}
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        u = shared.value.units
+        for batch in batches:
+            for block, words, slot in zip(*[column(batch, c).to_pylist() for c in ("block", "words", "slot")]):
+                w = np.frombuffer(words, np.int64)
+                local = np.flatnonzero(u.of_words(w, np.frombuffer(slot, np.uint16))[:-1] >= len(u.head))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(local), block)), pa.array(local.astype(np.int32)),
+                                                  pa.array(w[local])], ["block", "local", "word"])
+
+    def of_core(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        u, counts = shared.value.units, np.append(shared.value.c, 0)
+        for batch in batches:
+            c, classes = [], []
+            for words, slot in zip(*[column(batch, c).to_pylist() for c in ("words", "slot")]):
+                unit = u.of_words(np.frombuffer(words, np.int64), np.frombuffer(slot, np.uint16))[:-1]
+                c.append(counts[np.minimum(unit, len(u.head))].astype("<i8").tobytes())
+                classes.append(u.classes[unit].astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([*[column(batch, c) for c in keep], pa.array(c, pa.binary()),
+                                              pa.array(classes, pa.binary())], [*keep, "c", "classes"])
+
+    def meet(block: pa.Table, words: pa.Table) -> pa.Table:
+        c = np.frombuffer(block["c"][0].as_py(), "<i8").copy()
+        classes = np.frombuffer(block["classes"][0].as_py(), np.uint8).copy()
+        local = words["local"].to_numpy()
+        c[local] = words["c"].to_numpy()
+        classes[local] = words["class"].to_numpy()
+        return pa.table({**{k: block[k] for k in keep[1:]}, "c": pa.array([c.tobytes()], pa.binary()),
+                         "classes": pa.array([classes.tobytes()], pa.binary())})
+
+    looked_up = (stored.select("block", "words", "slot")
+                 .mapInArrow(lean(others), "block bigint, local int, word bigint")
+                 .join(known, "word").select("block", "local", "c", "class"))
+    named = ", ".join(f"{c} {types[c]}" for c in keep)
+    return (stored.drop("n").mapInArrow(lean(of_core), f"{named}, c binary, classes binary").groupBy("block")
+            .cogroup(looked_up.groupBy("block"))
+            .applyInArrow(meet, ", ".join(f"{c} {types[c]}" for c in keep[1:]) + ", c binary, classes binary"))
+
+
+def class_bigrams(ready: DataFrame) -> np.ndarray:
+    """How often a token of each class follows one of each class in training texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g = np.zeros(CLASSES * CLASSES, np.int64)
+        for batch in batches:
+            for held, length, tokens, classes in zip(
+                    *[column(batch, c).to_pylist() for c in ("held_out", "length", "tokens", "classes")]):
+                k = np.append(np.frombuffer(classes, np.uint8), 0).astype(np.int64)
+                t = from_planes(tokens)
+                train = np.repeat(~np.array(held, bool), length)
+                g += np.bincount(k[_previous(t, len(k) - 1)[train]] * CLASSES + k[t[train]], minlength=len(g))
+        some = np.flatnonzero(g)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(g[some])], ["cell", "n"])
+
+    got = (ready.select("held_out", "length", "tokens", "classes").mapInArrow(lean(run), "cell bigint, n bigint")
+           .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
+    g = np.zeros(CLASSES * CLASSES, np.int64)
+    g[got["cell"].to_numpy()] = got["n"].to_numpy()
+    return g.reshape(CLASSES, CLASSES)
+
+
 # ---- scores -----------------------------------------------------------------
 
 @dataclass
 class ClassModel:
-    units: Units
     transition: np.ndarray  # log10 P(class | class before)
     emission: np.ndarray    # log10 of each class's emission denominator
     train_tokens: int
@@ -296,31 +469,34 @@ class ClassModel:
     ends: int               # training count of the end token
 
 
-def fit(stored: DataFrame, known: DataFrame, head_size: int = HEAD, rounds: int = ROUNDS) -> ClassModel:
-    """The model from stored blocks and word counts."""
-    distinct = known.filter(F.col("first") & (F.col("c") > 0))
-    top = distinct.orderBy(F.col("c").desc(), "word").limit(head_size).select("word", "slot").toArrow()
-    head_words, head_slots = top["word"].to_numpy(), top["slot"].to_numpy()
-    order = np.argsort(head_words)
-    units, before = cluster(stored, head_words[order], rounds)
-    # distinct words per tail slot, without the head's own
-    per_slot = np.zeros(TAIL, np.int64)
-    got = distinct.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).toArrow()
-    per_slot[got["slot"].to_numpy()] = got["n"].to_numpy()
-    per_slot -= np.bincount(head_slots, minlength=TAIL)
-    types = np.concatenate([np.ones(len(head_words)), per_slot, [0]])
-    g = np.zeros((CLASSES, CLASSES))
-    np.add.at(g, units.classes, before.astype(float))
+def class_model(g: np.ndarray, types: np.ndarray) -> ClassModel:
+    """The model from class bigrams and the number of distinct words per class."""
     after = g.sum(axis=0)  # tokens of each class
     train_tokens = int(after.sum())
     # Witten-Bell between the class bigram and the add-one class unigram
     unigram = (after + 1) / (train_tokens + CLASSES)
     rows, kinds = g.sum(axis=1, keepdims=True), np.maximum((g > 0).sum(axis=1, keepdims=True), 1)
     transition = np.log10((g + kinds * unigram) / (rows + kinds))
-    emission = np.log10(after + np.bincount(units.classes, types, CLASSES) + 1)
+    emission = np.log10(after + types + 1)
     emission[0] = 0.0  # the end token is the only word of its class
     ended = int(after[0])
-    return ClassModel(units, transition, emission, train_tokens, int(types.sum()) + (ended > 0), ended)
+    return ClassModel(transition, emission, train_tokens, int(types.sum()) + (ended > 0), ended)
+
+
+def fit(stored: DataFrame, core_size: int = CORE, rounds: int = ROUNDS) -> tuple[ClassModel, DataFrame]:
+    """The model of stored blocks, and the blocks with counts and classes."""
+    top = word_counts(stored).orderBy(F.col("c").desc(), "word").limit(core_size).toArrow()
+    head, c = top["word"].to_numpy(), top["c"].to_numpy()
+    order = np.argsort(head)
+    units, before = cluster(stored, head[order], rounds)
+    g = np.zeros((CLASSES, CLASSES))
+    np.add.at(g, units.classes, before.astype(float))
+    known = cut_lineage(word_classes(contexts(stored, units), g))
+    ready = cut_lineage(classed_blocks(stored, Core(units, c[order]), known))
+    types = np.bincount(units.classes[:len(head)], minlength=CLASSES)
+    got = known.groupBy("class").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    types[got["class"].to_numpy()] += got["n"].to_numpy()
+    return class_model(class_bigrams(ready), types), ready
 
 
 def _per_text(x: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -329,59 +505,34 @@ def _per_text(x: np.ndarray, length: np.ndarray) -> np.ndarray:
     return done[ends] - done[ends - length]
 
 
-def class_terms(stored: DataFrame, model: ClassModel) -> DataFrame:
-    """Blocks with each text's sum of class transition and emission denominator
-    terms; what the word terms still need stays along."""
-    shared = stored.sparkSession.sparkContext.broadcast(model)
-    keep = ["block", "ids", "held_out", "length", "tokens"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in batches:
-            terms = []
-            for length, tokens, words, slot in zip(
-                    *[column(batch, c).to_pylist() for c in ("length", "tokens", "words", "slot")]):
-                unit = m.units.of_words(np.frombuffer(words, np.int64), np.frombuffer(slot, np.uint16))
-                t = from_planes(tokens)
-                q = m.units.classes[unit[t]]
-                p = m.units.classes[unit[_previous(t, len(unit) - 1)]]
-                terms.append(_per_text(m.transition[p, q] - m.emission[q], np.array(length, np.int64)).tolist())
-            yield pa.RecordBatch.from_arrays([*[column(batch, c) for c in keep],
-                                              pa.array(terms, pa.list_(pa.float64()))], [*keep, "term"])
-
-    types = {f.name: f.dataType.simpleString() for f in stored.schema.fields}
-    return stored.drop("n").mapInArrow(lean(run), ", ".join(f"{c} {types[c]}" for c in keep) + ", term array<double>")
-
-
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
-          head_size: int = HEAD, rounds: int = ROUNDS) -> DataFrame:
+          core_size: int = CORE, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one
     unigram), score (the class model's log10 probability) and perplexity."""
     stored = cut_lineage(blocks(docs, held_out, id_col, text_col))
-    known = cut_lineage(word_counts(stored))
-    model = fit(stored, known, head_size, rounds)
+    model, ready = fit(stored, core_size, rounds)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     id_type = stored.schema["ids"].dataType.elementType.simpleString()
 
-    def word_terms(block: pa.Table, counts: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        c = np.zeros(counts.num_rows + 1)
-        c[counts["local"].to_numpy()] = counts["c"].to_numpy()
-        c[-1] = m.ends
-        plus = np.log10(c + 1)
-        length = np.array(block["length"][0].as_py(), np.int64)
-        t = from_planes(block["tokens"][0].as_py())
-        word = _per_text(plus[t], length)
-        # in the class model the end token is certain once its class is given
-        return pa.table({
-            "doc_id": block["ids"][0].values, "held_out": block["held_out"][0].values, "n_tokens": pa.array(length),
-            "n_known": pa.array(_per_text((c > 0)[t].astype(float), length).astype(np.int64)),
-            "train_tokens": pa.array(np.full(len(length), m.train_tokens)),
-            "base_score": pa.array(word - length * np.log10(m.train_tokens + m.types + 1)),
-            "score": pa.array(word - plus[-1] + np.array(block["term"][0].as_py()))})
-
-    scored = (class_terms(stored, model).groupBy("block")
-              .cogroup(known.select("block", "local", "c").groupBy("block"))
-              .applyInArrow(word_terms, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, "
-                                        "train_tokens bigint, base_score double, score double"))
+        for batch in batches:
+            for i in range(batch.num_rows):
+                c = np.append(np.frombuffer(column(batch, "c")[i].as_py(), "<i8"), m.ends)
+                k = np.append(np.frombuffer(column(batch, "classes")[i].as_py(), np.uint8), 0)
+                length = np.array(column(batch, "length")[i].as_py(), np.int64)
+                t = from_planes(column(batch, "tokens")[i].as_py())
+                plus = np.log10(c + 1.0)
+                base = _per_text(plus[t], length) - length * np.log10(m.train_tokens + m.types + 1)
+                plus[-1] = 0.0  # in the class model the end token is certain once its class is given
+                q, p = k[t], k[_previous(t, len(k) - 1)]
+                by_class = _per_text(plus[t] + m.transition[p, q] - m.emission[q], length)
+                yield pa.RecordBatch.from_arrays(
+                    [column(batch, "ids")[i].values, column(batch, "held_out")[i].values, pa.array(length),
+                     pa.array(_per_text((c > 0)[t].astype(float), length).astype(np.int64)),
+                     pa.array(np.full(len(length), m.train_tokens)), pa.array(base), pa.array(by_class)],
+                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    scored = ready.mapInArrow(lean(run), f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, "
+                                         "train_tokens bigint, base_score double, score double")
     return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

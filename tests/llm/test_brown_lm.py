@@ -5,6 +5,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from kpiforge.llm import brown_lm
 from kpiforge.llm.common import remainder_of_id
@@ -55,7 +56,7 @@ def test_query_base_and_gain(spark):
 
 def test_odd_rows(spark):
     rows = corpus() + ODD
-    got = brown_lm.score(frame(spark, rows, clashing=True), remainder_of_id("doc_id", 7) == 2, head_size=50, rounds=1)
+    got = brown_lm.score(frame(spark, rows, clashing=True), remainder_of_id("doc_id", 7) == 2, core_size=50, rounds=1)
     same(got.collect(), [(r[0], r[1]) for r in rows])
     assert brown_lm.score(frame(spark, []), remainder_of_id("doc_id", 7) == 2).collect() == []
     # every text held out: nothing is known
@@ -64,24 +65,65 @@ def test_odd_rows(spark):
     assert {(r.train_tokens, r.n_known) for r in got} == {(0, 0)}
 
 
+def one_block(spark, rows, rounds=1):
+    """The model of a corpus in a single block, and count and class of each of its words by hash."""
+    docs = frame(spark, rows).coalesce(1)
+    stored = brown_lm.cut_lineage(brown_lm.blocks(docs, remainder_of_id("doc_id", 7) == 2))
+    model, ready = brown_lm.fit(stored, core_size=40, rounds=rounds)
+    (block,), (classed,) = stored.collect(), ready.collect()
+    hashes = np.frombuffer(block.words, np.int64).view(np.uint64) ^ brown_lm._SIGN
+    c, classes = np.frombuffer(classed.c, "<i8"), np.frombuffer(classed.classes, np.uint8)
+    return model, {h: (n, k) for h, n, k in zip(hashes.tolist(), c.tolist(), classes.tolist())}
+
+
 def test_word_probabilities_sum_to_one(spark):
     """Over all known words and one unknown word per class, after each class."""
-    docs = frame(spark, corpus(n=30))
-    stored = brown_lm.cut_lineage(brown_lm.blocks(docs, remainder_of_id("doc_id", 7) == 2))
-    known = brown_lm.cut_lineage(brown_lm.word_counts(stored))
-    model = brown_lm.fit(stored, known, head_size=40, rounds=1)
-    rows = known.filter("first and c > 0").collect()
-    assert model.types == len(rows) + 1
-    classes = model.units.classes[model.units.of_words(np.array([r.word for r in rows], np.int64),
-                                                       np.array([r.slot for r in rows], np.uint16))][:-1]
+    model, of = one_block(spark, corpus(n=30))
+    known = [(n, k) for n, k in of.values() if n]
+    assert model.types == len(known) + 1 and len(known) > 100
     emitted = np.zeros(brown_lm.CLASSES)
-    np.add.at(emitted, classes, [r.c + 1 for r in rows])
+    np.add.at(emitted, [k for _, k in known], [n + 1 for n, _ in known])
     emitted = (emitted + 1) / 10 ** model.emission
     emitted[0] = 1.0  # the end token
     assert np.allclose(emitted, 1.0)
     assert np.allclose((10 ** model.transition).sum(axis=1), 1.0)
 
 
+def test_score_by_dictionaries(spark):
+    rows = [(r[0], r[1]) for r in corpus(n=30) + ODD if r[1] is not None]
+    full = [r for r in corpus(n=30) + ODD if r[1] is not None]
+    _, of = one_block(spark, full)
+    texts = sorted({t for _, x in rows for t in tokens(x) if t is not None})
+    hashes, _, _ = brown_lm.tokens_of(pa.array(texts))
+    kind = {t: of[h][1] for t, h in zip(texts, hashes.tolist())} | {None: 0}
+    counts, pairs = collections.Counter(), collections.Counter()
+    for d, x in rows:
+        if not held(d):
+            ts = tokens(x)
+            counts.update(ts)
+            pairs.update((kind[a], kind[b]) for a, b in zip([None] + ts[:-1], ts))
+    assert all(counts[t] == of[h][0] for t, h in zip(texts, hashes.tolist()))
+    k, total = brown_lm.CLASSES, sum(counts.values())
+    size, types, followers, first = (collections.Counter() for _ in range(4))
+    for (a, b), n in pairs.items():
+        size[b] += n
+        first[a] += n
+        followers[a] += 1
+    types.update(kind[t] for t in counts)
+    want = []
+    for d, x in rows:
+        ts, score = tokens(x), 0.0
+        for a, b in zip([None] + ts[:-1], ts):
+            i, j = kind[a], kind[b]
+            w = max(followers[i], 1)
+            score += math.log10((pairs[i, j] + w * (size[j] + 1) / (total + k)) / (first[i] + w))
+            if b is not None:
+                score += math.log10((counts[b] + 1) / (size[j] + types[j] + 1))
+        want.append(score)
+    got = brown_lm.score(frame(spark, full).coalesce(1), remainder_of_id("doc_id", 7) == 2, core_size=40, rounds=1)
+    assert np.allclose(sorted(r.score for r in got.collect()), sorted(want))
+
+
 def likelihood(classes, pairs):
     f = lambda x: x * math.log(x) if x else 0.0
     g, r, c = collections.Counter(), collections.Counter(), collections.Counter()
@@ -117,6 +159,45 @@ def test_exchange_raises_the_class_bigram_likelihood():
     assert classes[-1] == 0 and 0 not in classes[:-1]
 
 
+def test_rare_words_go_to_their_best_class():
+    rng = np.random.default_rng(5)
+    n, k = 50, brown_lm.CLASSES
+    pairs = collections.Counter()
+    for a, b in rng.integers(0, n + 1, (600, 2)).tolist():
+        if a != b:  # a word beside itself counts on both sides
+            pairs[a, b] += 1
+    classes = np.append(1 + rng.integers(0, 6, n), 0)
+    g = np.zeros((k, k))
+    seen = collections.Counter()
+    for (a, b), m in pairs.items():
+        g[classes[a], classes[b]] += m
+        seen[a, classes[b]] += m
+        seen[b, k + classes[a]] += m
+    rows = sorted((w, code, m) for (w, code), m in seen.items() if w < n)
+    of, code, m = (np.array(x) for x in zip(*rows))
+    got = brown_lm.best_classes(of, classes[:n], code, m.astype(float), g)
+    for w in range(n):
+        scores = {b: likelihood(np.where(np.arange(n + 1) == w, b, classes), pairs) for b in range(1, k)}
+        assert math.isclose(scores[got[w]], max(scores.values()), abs_tol=1e-7)
+    assert (got != classes[:n]).any()
+
+
+def test_every_word_counts_by_its_own_contexts(spark):
+    """Words of one ending and one hash slot, outside the core, part by what stands beside them."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(400):
+        kinds = [("left", "a"), ("right", "b")]
+        text = " ".join(f"{side} {mark}{rng.integers(40)}same" for side, mark in
+                        (kinds[int(x)] for x in rng.integers(0, 2, 30)))
+        rows.append((i, text, "en", "s", len(text)))
+    _, of = one_block(spark, rows, rounds=3)
+    hashes, slot, _ = brown_lm.tokens_of(pa.array([f"{m}{i}same" for m in "ab" for i in range(40)]))
+    assert len(set(slot.tolist())) == 1 and len(of) == 82  # half of them in the core
+    kinds = [of[h][1] for h in hashes.tolist()]
+    assert not set(kinds[:40]) & set(kinds[40:])
+
+
 def test_planes_round_trip():
     x = np.array([0, 1, 255, 256, 70000, 2**31], np.int64)
     assert brown_lm.from_planes(brown_lm.planes(x)).tolist() == x.tolist()
