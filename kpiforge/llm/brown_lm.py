@@ -9,19 +9,20 @@ How the work is spread
   blocks    Each task turns the texts it reads into blocks of at most
             ``BLOCK_BYTES``: the block's distinct words (64-bit hashes, training
             counts) and every text as numbers into that list. Stored once.
-  exchange  The ``CORE`` most frequent words are clustered first, with all other
-            words lumped by their endings (``ENDINGS`` slots) meanwhile. In each
-            round all blocks count how often each unit precedes and follows
-            each class; Spark adds the counts up, and the units then move, the
-            most frequent first, each to the class that raises the class
-            bigram likelihood most. The driver sees units x classes numbers,
-            whatever the corpus.
+  exchange  A core is clustered first: the ``CORE`` words with the greatest counts
+            over those blocks where they are frequent (which spares a shuffle of
+            all words for choosing it). All other words are lumped by their endings
+            (``ENDINGS`` slots) meanwhile. In each round all blocks count how often
+            each unit precedes and follows each class; Spark adds the counts up,
+            and the units then move, the most frequent first, each to the class
+            that raises the class bigram likelihood most. The driver sees
+            units x classes numbers, whatever the corpus.
   words     Then every other word of the training texts, however rare, is
             exchanged by its own contexts: Spark sums them by word, and tasks move
             each word to its best class against the class bigram table. The
             result, (word, count, class), is a Spark table, joined back to the
-            blocks by word. The core's counts and classes are broadcast, so no
-            word that is joined has more than 1/``CORE`` of the tokens.
+            blocks by word. The core's counts and classes are broadcast instead,
+            so the most frequent words are in no join.
   scores    The class bigrams are counted anew with all words in their final
             classes; a last pass over the stored blocks scores every text.
 A word without a training count takes the class of its ending.
@@ -142,14 +143,17 @@ def blocks(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
                              "tokens binary, words binary, n binary, slot binary")
 
 
-def word_counts(stored: DataFrame) -> DataFrame:
-    """(word, c): every word's training count over the whole corpus, where there is one."""
+def frequent_words(stored: DataFrame, share: float) -> DataFrame:
+    """(word, c): training counts over the blocks in which a word is at least
+    ``share`` of the training tokens; a word that is so in the corpus is so in a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words, n in zip(*[column(batch, c).to_pylist() for c in ("words", "n")]):
                 w, many = np.frombuffer(words, np.int64), from_planes(n)
-                yield pa.RecordBatch.from_arrays([pa.array(w[many > 0]), pa.array(many[many > 0])], ["word", "n"])
+                some = many > 0
+                some &= many >= share * many.sum()
+                yield pa.RecordBatch.from_arrays([pa.array(w[some]), pa.array(many[some])], ["word", "n"])
 
     return (stored.select("words", "n").mapInArrow(lean(run), "word bigint, n bigint")
             .groupBy("word").agg(F.sum("n").alias("c")))
@@ -485,14 +489,15 @@ def class_model(g: np.ndarray, types: np.ndarray) -> ClassModel:
 
 def fit(stored: DataFrame, core_size: int = CORE, rounds: int = ROUNDS) -> tuple[ClassModel, DataFrame]:
     """The model of stored blocks, and the blocks with counts and classes."""
-    top = word_counts(stored).orderBy(F.col("c").desc(), "word").limit(core_size).toArrow()
-    head, c = top["word"].to_numpy(), top["c"].to_numpy()
-    order = np.argsort(head)
-    units, before = cluster(stored, head[order], rounds)
+    top = (frequent_words(stored, 1 / (4 * core_size)).orderBy(F.col("c").desc(), "word").limit(core_size)
+           .select("word").toArrow())
+    head = np.sort(top["word"].to_numpy())
+    units, before = cluster(stored, head, rounds)
+    c = before[:len(head)].sum(axis=1)  # a token stands behind each word
     g = np.zeros((CLASSES, CLASSES))
     np.add.at(g, units.classes, before.astype(float))
     known = cut_lineage(word_classes(contexts(stored, units), g))
-    ready = cut_lineage(classed_blocks(stored, Core(units, c[order]), known))
+    ready = cut_lineage(classed_blocks(stored, Core(units, c), known))
     types = np.bincount(units.classes[:len(head)], minlength=CLASSES)
     got = known.groupBy("class").agg(F.count(F.lit(1)).alias("n")).toArrow()
     types[got["class"].to_numpy()] += got["n"].to_numpy()
