@@ -52,7 +52,7 @@ CORE = 8192    # words clustered one after another; all others are exchanged in
 ENDINGS = 4096
 CLASSES = 32   # class 0 is the end token's
 ROUNDS = 3
-ROWS = 1 << 16  # context counts that a task works on at once
+ROWS = 1 << 14  # words and blocks whose contexts a task adds up at once
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -288,10 +288,11 @@ def cluster(stored: DataFrame, head: np.ndarray, rounds: int = ROUNDS) -> tuple[
 # ---- every other word -------------------------------------------------------
 
 def contexts(stored: DataFrame, units: Units) -> DataFrame:
-    """(word, start, code, n) of the training words outside the core: how often a
-    word stands before (code: the class) and after (code: ``CLASSES`` + the class)
-    a word of each class; ``start`` is its ending's class."""
+    """(word, seen), a row per block and training word outside the core. ``seen`` is
+    bytes: the class of the word's ending, then a code for each of its neighbours:
+    the class of the token behind it, ``CLASSES`` + the class of the one before it."""
     shared = stored.sparkSession.sparkContext.broadcast(units)
+    kinds = 1 + 2 * CLASSES  # of bytes: the ending's class, then the codes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u = shared.value
@@ -306,17 +307,20 @@ def contexts(stored: DataFrame, units: Units) -> DataFrame:
                 t = from_planes(tokens)
                 train = np.repeat(~np.array(held, bool), length)
                 q, p = t[train], _previous(t, len(unit) - 1)[train]
-                keys, n = np.unique(np.concatenate([p[other[p]] * 2 * CLASSES + classes[q[other[p]]],
-                                                    q[other[q]] * 2 * CLASSES + CLASSES + classes[p[other[q]]]]),
-                                    return_counts=True)
-                local = keys // (2 * CLASSES)
+                first, second = other[p], other[q]
+                local = np.unique(q[second])
+                keys = np.sort(np.concatenate([local * kinds, p[first] * kinds + 1 + classes[q[first]],
+                                               q[second] * kinds + 1 + CLASSES + classes[p[second]]]))
+                code = keys % kinds
+                seen = np.where(code == 0, classes[keys // kinds], code - 1).astype(np.uint8)
+                cuts = np.append(np.searchsorted(keys, local * kinds), len(keys)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(w[local]), pa.array(classes[local].astype(np.int16)),
-                     pa.array((keys % (2 * CLASSES)).astype(np.int16)), pa.array(n.astype(np.int64))],
-                    ["word", "start", "code", "n"])
+                    [pa.array(w[local]), pa.Array.from_buffers(pa.binary(), len(local),
+                                                               [None, pa.py_buffer(cuts), pa.py_buffer(seen)])],
+                    ["word", "seen"])
 
     return (stored.select("held_out", "length", "tokens", "words", "slot")
-            .mapInArrow(lean(run), "word bigint, start smallint, code smallint, n bigint"))
+            .mapInArrow(lean(run), "word bigint, seen binary"))
 
 
 def best_classes(of: np.ndarray, start: np.ndarray, code: np.ndarray, n: np.ndarray, g: np.ndarray) -> np.ndarray:
@@ -350,39 +354,53 @@ def best_classes(of: np.ndarray, start: np.ndarray, code: np.ndarray, n: np.ndar
 
 
 def word_classes(found: DataFrame, g: np.ndarray) -> DataFrame:
-    """(word, c, class) of the words of ``contexts``: training count and best class."""
+    """(word, c, class) of the words of ``contexts``: training count and best class.
+    Rows come sorted by word; the last word's sums are carried on, so memory is
+    bounded however many rows a word has."""
     shared = found.sparkSession.sparkContext.broadcast(g)
-    summed = (found.repartition("word").groupBy("word", "start", "code").agg(F.sum("n").alias("n"))
-              .sortWithinPartitions("word"))  # by word already, so no second exchange
+    codes = 2 * CLASSES
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def out(last: bool) -> Iterator[pa.RecordBatch]:
-            rows = pa.Table.from_batches(held).combine_chunks()
-            held.clear()
-            word = rows["word"].to_numpy()
-            # the last word may go on in the next batch: it has 2 x CLASSES rows at most
-            done = len(word) if last else int(np.searchsorted(word, word[-1]))
-            held.extend(rows.slice(done).to_batches())
-            if not done:
-                return
-            words, first, of = np.unique(word[:done], return_index=True, return_inverse=True)
-            start, code, n = (rows[c].to_numpy()[:done].astype(np.int64) for c in ("start", "code", "n"))
-            after = code >= CLASSES  # every occurrence has one token before it
-            c = np.bincount(of[after], n[after], len(words)).astype(np.int64)
-            best = best_classes(of, start[first], code, n.astype(float), shared.value)
-            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(c), pa.array(best.astype(np.int16))],
-                                             ["word", "c", "class"])
+    def settled(words: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        of, code = np.nonzero(n)
+        best = best_classes(of, start, code, n[of, code].astype(float), shared.value)
+        c = n[:, CLASSES:].sum(axis=1)  # every occurrence has one token before it
+        return pa.RecordBatch.from_arrays([pa.array(words), pa.array(c), pa.array(best.astype(np.int16))],
+                                          ["word", "c", "class"])
 
-        for batch in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, start, n = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, codes), np.int64)
+        for batch in gathered(batches, ROWS):
+            word = batch["word"].to_numpy()
+            raw, cuts = buffer_of(batch["seen"].combine_chunks())
+            row = np.repeat(np.arange(len(word)), np.diff(cuts))
+            inner = np.ones(len(raw), bool)
+            inner[cuts[:-1]] = False
+            distinct, first, of = np.unique(np.concatenate([words, word]), return_index=True, return_inverse=True)
+            start = np.concatenate([start, raw[cuts[:-1]].astype(np.int64)])[first]
+            sums = np.bincount(of[len(words) + row[inner]] * codes + raw[inner],
+                               minlength=len(distinct) * codes).reshape(-1, codes)
+            sums[:len(words)] += n  # the word carried on is the least
+            if len(distinct) > 1:
+                yield settled(distinct[:-1], start[:-1], sums[:-1])
+            words, start, n = distinct[-1:], start[-1:], sums[-1:]
+        if len(words):
+            yield settled(words, start, n)
+
+    return (found.repartition("word").sortWithinPartitions("word")
+            .mapInArrow(lean(run), "word bigint, c bigint, class smallint"))
+
+
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The batches, several as one of at least ``rows`` rows; none is empty."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
             held.append(batch)
-            if sum(b.num_rows for b in held) >= ROWS:
-                yield from out(False)
-        if held:
-            yield from out(True)
-
-    return summed.mapInArrow(lean(run), "word bigint, c bigint, class smallint")
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 # ---- blocks with counts and classes -----------------------------------------
