@@ -405,6 +405,12 @@ def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]
 
 # ---- blocks with counts and classes -----------------------------------------
 
+def _per_text(x: np.ndarray, length: np.ndarray) -> np.ndarray:
+    done = np.concatenate([[0.0], np.cumsum(x)])
+    ends = np.cumsum(length)
+    return done[ends] - done[ends - length]
+
+
 @dataclass
 class Core:
     """The core's units with the training counts of its words."""
@@ -413,8 +419,9 @@ class Core:
 
 
 def classed_blocks(stored: DataFrame, core: Core, known: DataFrame) -> DataFrame:
-    """(ids, held_out, length, tokens, c, classes): the blocks with the training
-    count and class of each of their words; the end token's are not among them."""
+    """(ids, held_out, length, plus, known, classes): a row per block. Of its texts:
+    the sum of log10(count + 1) over their words and how many words have a training
+    count; and the class of every token, which is all that the model asks further."""
     spark = stored.sparkSession
     shared = spark.sparkContext.broadcast(core)
     keep = ["block", "ids", "held_out", "length", "tokens"]
@@ -446,8 +453,13 @@ def classed_blocks(stored: DataFrame, core: Core, known: DataFrame) -> DataFrame
         local = words["local"].to_numpy()
         c[local] = words["c"].to_numpy()
         classes[local] = words["class"].to_numpy()
-        return pa.table({**{k: block[k] for k in keep[1:]}, "c": pa.array([c.tobytes()], pa.binary()),
-                         "classes": pa.array([classes.tobytes()], pa.binary())})
+        t = from_planes(block["tokens"][0].as_py())
+        c, classes = np.append(c, 0), np.append(classes, 0)  # the end token's count is for the model
+        length = np.array(block["length"][0].as_py(), np.int64)
+        plus, some = _per_text(np.log10(c + 1.0)[t], length), _per_text((c > 0)[t].astype(float), length)
+        return pa.table({**{k: block[k] for k in keep[1:-1]}, "plus": pa.array([plus.tolist()], pa.list_(pa.float64())),
+                         "known": pa.array([some.astype(np.int64).tolist()], pa.list_(pa.int64())),
+                         "classes": pa.array([classes[t].astype(np.uint8).tobytes()], pa.binary())})
 
     looked_up = (stored.select("block", "words", "slot")
                  .mapInArrow(lean(others), "block bigint, local int, word bigint")
@@ -455,7 +467,8 @@ def classed_blocks(stored: DataFrame, core: Core, known: DataFrame) -> DataFrame
     named = ", ".join(f"{c} {types[c]}" for c in keep)
     return (stored.drop("n").mapInArrow(lean(of_core), f"{named}, c binary, classes binary").groupBy("block")
             .cogroup(looked_up.groupBy("block"))
-            .applyInArrow(meet, ", ".join(f"{c} {types[c]}" for c in keep[1:]) + ", c binary, classes binary"))
+            .applyInArrow(meet, ", ".join(f"{c} {types[c]}" for c in keep[1:-1])
+                          + ", plus array<double>, known array<bigint>, classes binary"))
 
 
 def class_bigrams(ready: DataFrame) -> np.ndarray:
@@ -464,16 +477,15 @@ def class_bigrams(ready: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = np.zeros(CLASSES * CLASSES, np.int64)
         for batch in batches:
-            for held, length, tokens, classes in zip(
-                    *[column(batch, c).to_pylist() for c in ("held_out", "length", "tokens", "classes")]):
-                k = np.append(np.frombuffer(classes, np.uint8), 0).astype(np.int64)
-                t = from_planes(tokens)
+            for held, length, classes in zip(
+                    *[column(batch, c).to_pylist() for c in ("held_out", "length", "classes")]):
+                q = np.frombuffer(classes, np.uint8).astype(np.int64)
                 train = np.repeat(~np.array(held, bool), length)
-                g += np.bincount(k[_previous(t, len(k) - 1)[train]] * CLASSES + k[t[train]], minlength=len(g))
+                g += np.bincount((_previous(q, 0) * CLASSES + q)[train], minlength=len(g))
         some = np.flatnonzero(g)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(g[some])], ["cell", "n"])
 
-    got = (ready.select("held_out", "length", "tokens", "classes").mapInArrow(lean(run), "cell bigint, n bigint")
+    got = (ready.select("held_out", "length", "classes").mapInArrow(lean(run), "cell bigint, n bigint")
            .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
     g = np.zeros(CLASSES * CLASSES, np.int64)
     g[got["cell"].to_numpy()] = got["n"].to_numpy()
@@ -522,12 +534,6 @@ def fit(stored: DataFrame, core_size: int = CORE, rounds: int = ROUNDS) -> tuple
     return class_model(class_bigrams(ready), types), ready
 
 
-def _per_text(x: np.ndarray, length: np.ndarray) -> np.ndarray:
-    done = np.concatenate([[0.0], np.cumsum(x)])
-    ends = np.cumsum(length)
-    return done[ends] - done[ends - length]
-
-
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
           core_size: int = CORE, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one
@@ -541,19 +547,16 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         m = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
-                c = np.append(np.frombuffer(column(batch, "c")[i].as_py(), "<i8"), m.ends)
-                k = np.append(np.frombuffer(column(batch, "classes")[i].as_py(), np.uint8), 0)
                 length = np.array(column(batch, "length")[i].as_py(), np.int64)
-                t = from_planes(column(batch, "tokens")[i].as_py())
-                plus = np.log10(c + 1.0)
-                base = _per_text(plus[t], length) - length * np.log10(m.train_tokens + m.types + 1)
-                plus[-1] = 0.0  # in the class model the end token is certain once its class is given
-                q, p = k[t], k[_previous(t, len(k) - 1)]
-                by_class = _per_text(plus[t] + m.transition[p, q] - m.emission[q], length)
+                plus = np.array(column(batch, "plus")[i].as_py())
+                some = np.array(column(batch, "known")[i].as_py(), np.int64) + (m.ends > 0)
+                base = plus + np.log10(m.ends + 1) - length * np.log10(m.train_tokens + m.types + 1)
+                # in the class model the end token is certain once its class is given
+                q = np.frombuffer(column(batch, "classes")[i].as_py(), np.uint8).astype(np.int64)
+                by_class = plus + _per_text(m.transition[_previous(q, 0), q] - m.emission[q], length)
                 yield pa.RecordBatch.from_arrays(
                     [column(batch, "ids")[i].values, column(batch, "held_out")[i].values, pa.array(length),
-                     pa.array(_per_text((c > 0)[t].astype(float), length).astype(np.int64)),
-                     pa.array(np.full(len(length), m.train_tokens)), pa.array(base), pa.array(by_class)],
+                     pa.array(some), pa.array(np.full(len(length), m.train_tokens)), pa.array(base), pa.array(by_class)],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     scored = ready.mapInArrow(lean(run), f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, "

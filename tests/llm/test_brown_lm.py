@@ -66,20 +66,23 @@ def test_odd_rows(spark):
 
 
 def one_block(spark, rows, rounds=1):
-    """The model of a corpus in a single block, and count and class of each of its words by hash."""
+    """The model of a corpus in a single block, and the class of each of its words by hash."""
     docs = frame(spark, rows).coalesce(1)
     stored = brown_lm.cut_lineage(brown_lm.blocks(docs, remainder_of_id("doc_id", 7) == 2))
     model, ready = brown_lm.fit(stored, core_size=40, rounds=rounds)
     (block,), (classed,) = stored.collect(), ready.collect()
     hashes = np.frombuffer(block.words, np.int64).view(np.uint64) ^ brown_lm._SIGN
-    c, classes = np.frombuffer(classed.c, "<i8"), np.frombuffer(classed.classes, np.uint8)
-    return model, {h: (n, k) for h, n, k in zip(hashes.tolist(), c.tolist(), classes.tolist())}
+    kinds = dict(zip(brown_lm.from_planes(block.tokens).tolist(), classed.classes))
+    return model, {h: kinds[i] for i, h in enumerate(hashes.tolist())}
 
 
 def test_word_probabilities_sum_to_one(spark):
     """Over all known words and one unknown word per class, after each class."""
-    model, of = one_block(spark, corpus(n=30))
-    known = [(n, k) for n, k in of.values() if n]
+    rows = corpus(n=30)
+    model, of = one_block(spark, rows)
+    counts = collections.Counter(t for r in rows if not held(r[0]) for t in tokens(r[1]) if t is not None)
+    hashes, _, _ = brown_lm.tokens_of(pa.array(list(counts)))
+    known = [(n, of[h]) for n, h in zip(counts.values(), hashes.tolist())]
     assert model.types == len(known) + 1 and len(known) > 100
     emitted = np.zeros(brown_lm.CLASSES)
     np.add.at(emitted, [k for _, k in known], [n + 1 for n, _ in known])
@@ -95,14 +98,13 @@ def test_score_by_dictionaries(spark):
     _, of = one_block(spark, full)
     texts = sorted({t for _, x in rows for t in tokens(x) if t is not None})
     hashes, _, _ = brown_lm.tokens_of(pa.array(texts))
-    kind = {t: of[h][1] for t, h in zip(texts, hashes.tolist())} | {None: 0}
+    kind = {t: of[h] for t, h in zip(texts, hashes.tolist())} | {None: 0}
     counts, pairs = collections.Counter(), collections.Counter()
     for d, x in rows:
         if not held(d):
             ts = tokens(x)
             counts.update(ts)
             pairs.update((kind[a], kind[b]) for a, b in zip([None] + ts[:-1], ts))
-    assert all(counts[t] == of[h][0] for t, h in zip(texts, hashes.tolist()))
     k, total = brown_lm.CLASSES, sum(counts.values())
     size, types, followers, first = (collections.Counter() for _ in range(4))
     for (a, b), n in pairs.items():
@@ -194,7 +196,7 @@ def test_every_word_counts_by_its_own_contexts(spark):
     _, of = one_block(spark, rows, rounds=3)
     hashes, slot, _ = brown_lm.tokens_of(pa.array([f"{m}{i}same" for m in "ab" for i in range(40)]))
     assert len(set(slot.tolist())) == 1 and len(of) == 82  # half of them in the core
-    kinds = [of[h][1] for h in hashes.tolist()]
+    kinds = [of[h] for h in hashes.tolist()]
     assert not set(kinds[:40]) & set(kinds[40:])
 
 
