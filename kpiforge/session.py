@@ -31,6 +31,12 @@ BASE_CONF = {
 }
 
 
+# sorts, hash maps and windows of one task hold some ten times its shuffled bytes
+TASK_SHUFFLE = 16 << 20
+TASK_INPUT = 8 << 20
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
 def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "kpiforge", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the kpiforge defaults.
@@ -97,6 +103,18 @@ def size_for_tables(spark: SparkSession, tables) -> dict[str, str]:
     return conf
 
 
+def bound_tasks(spark: SparkSession, path: str) -> None:
+    """Bounds what a task of a shuffle holds, for a session sized by its caller:
+    a shuffle partition per ``TASK_INPUT`` of the files under ``path``, never below
+    the number set, joined up to ``TASK_SHUFFLE`` at most."""
+    held = spark.conf
+    parts = min(-(-input_bytes(spark, path) // TASK_INPUT), 500_000)
+    held.set("spark.sql.shuffle.partitions", str(max(parts, int(held.get("spark.sql.shuffle.partitions")))))
+    advisory = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(held.get(_ADVISORY))
+    if advisory > TASK_SHUFFLE:
+        held.set(_ADVISORY, str(TASK_SHUFFLE))
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     """(Path, FileSystem) of ``path`` through the session's Hadoop
     configuration: local folders, HDFS and object stores alike (metadata only)."""

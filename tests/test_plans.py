@@ -43,3 +43,25 @@ def test_scans_read_only_needed_columns(plans):
     assert reads == ["struct<payment_type:string,payment_installments:int,payment_value:decimal(12,2)>"]
     otd_reads = " ".join(summarize(plans["otd"])["read"])
     assert "order_purchase_timestamp" not in otd_reads and "order_approved_at" not in otd_reads
+
+
+def test_tasks_of_the_queries_are_bounded(spark, tmp_path):
+    """A task's share of a shuffle has a bound that does not grow with the tables."""
+    from kpiforge import session
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set(keys[1], "64MB")
+        (tmp_path / "orders.parquet").write_bytes(bytes(20 * session.TASK_INPUT + 1))
+        session.bound_tasks(spark, str(tmp_path / "orders.parquet"))
+        assert [int(spark.conf.get(k)) for k in keys] == [max(21, int(before[keys[0]])), session.TASK_SHUFFLE]
+        spark.conf.set(keys[1], "1m")
+        session.bound_tasks(spark, str(tmp_path / "missing.parquet"))
+        assert spark.conf.get(keys[1]) == "1m"
+        spark.conf.set(keys[1], "64MB")
+        import __spark_entry__
+        __spark_entry__.queries()["sum_overview"](spark, SF_SMALL)
+        assert int(spark.conf.get(keys[1])) == session.TASK_SHUFFLE
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
