@@ -38,6 +38,7 @@ from kpiforge.llm.pieces import Pieces
 WINDOW = 4096
 END_ID = 2
 POOL = 4096  # waiting pieces of a task
+TEXT_BYTES = 2 << 20  # text encoded at once: the more, the fewer distinct pieces are looked up again
 
 
 class FileTokenizer:
@@ -221,7 +222,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
         for batch in batches:
             kind = column(batch, "doc_id").type
-            for part in chunks(batch):
+            for part in chunks(batch, most=TEXT_BYTES):
                 rows = []
                 ids, at = coder.encode(column(part, "text"))
                 for i, doc in enumerate(column(part, "doc_id").to_pylist()):

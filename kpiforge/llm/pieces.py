@@ -7,7 +7,8 @@ of their bytes; only pieces that this process does not remember are handed to
 the encoder, each once.
 
 The memory is bounded by bytes: letters and ids of what it holds, and about
-``_PER_PIECE`` more for each. When it is full it starts afresh. Pieces of more
+``_PER_PIECE`` more for each. When half of it is full, that half becomes the older
+one, whose pieces come over as they are met, and the older one so far goes. Pieces of more
 than ``_LONGEST`` bytes (unspaced text) are encoded each time and not kept.
 """
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 
 from kpiforge.llm.textvec import SPACE, buffer_of, spans
 
-REMEMBERED = 48 << 20  # bytes
+REMEMBERED = 96 << 20  # bytes
 _PER_PIECE = 200
 _LONGEST = 256
 
@@ -51,24 +52,31 @@ class Pieces:
                  plain: Callable[[list[str]], list[np.ndarray]], most: int = REMEMBERED):
         self.learn, self.plain, self.most = learn, plain, most
         self.memory: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.held = 0
 
+    def _keep(self, piece: bytes, packed: bytes) -> None:
+        self.memory[piece] = packed
+        self.held += _PER_PIECE + len(piece) + len(packed)
+
     def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
         """Packed ids of distinct pieces."""
-        if self.held > self.most:
-            self.memory, self.held = {}, 0
-        memory = self.memory
-        new = [p for p in pieces if p not in memory]
-        if not new:
-            return [memory[p] for p in pieces]
-        long: dict[bytes, bytes] = {}
-        for p, packed in zip(new, self.learn([p.decode() for p in new])):
-            if len(p) > _LONGEST:
-                long[p] = packed
+        if self.held > self.most // 2:
+            self.older, self.memory, self.held = self.memory, {}, 0
+        out = list(map(self.memory.get, pieces))
+        new = []
+        for i in [i for i, packed in enumerate(out) if packed is None]:
+            out[i] = self.older.get(pieces[i])
+            if out[i] is None:
+                new.append(i)
             else:
-                memory[p] = packed
-                self.held += _PER_PIECE + len(p) + len(packed)
-        return [memory[p] if p in memory else long[p] for p in pieces]
+                self._keep(pieces[i], out[i])
+        if new:
+            for i, packed in zip(new, self.learn([pieces[i].decode() for i in new])):
+                out[i] = packed
+                if len(pieces[i]) <= _LONGEST:
+                    self._keep(pieces[i], packed)
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, offset of each text's first id)."""
@@ -97,7 +105,7 @@ class Pieces:
         coded = pieces.dictionary_encode()
         packed = self._ids_of(coded.dictionary.to_pylist())
         pool = np.frombuffer(b"".join(packed), "<u4")
-        size = np.fromiter((len(p) // 4 for p in packed), np.int64, len(packed))
+        size = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         of = coded.indices.to_numpy()
         length = size[of]
         ids = gather(pool, (np.cumsum(size) - size)[of], length)

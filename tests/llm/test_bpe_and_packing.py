@@ -43,6 +43,22 @@ def test_both_encoders_equal_the_library(library, seed):
         assert [one.decode(w) for w in want] == [library.decode(w, skip_special_tokens=False) for w in want]
 
 
+def test_memory_keeps_what_is_met_again():
+    """A piece of every text is learned once, however many others come and go."""
+    asked = []
+
+    def learn(words):
+        asked.extend(words)
+        return [np.array([len(w)], "<u4").tobytes() for w in words]
+
+    memory = pieces.Pieces(learn, lambda ts: [], most=20_000)
+    for i in range(200):
+        ids, _ = memory.encode(pa.array(["the " + " ".join(f"w{i}x{k}" for k in range(20))]))
+        assert ids[0] == 3
+        assert memory.held < 20_000
+    assert asked.count("the") == 1 and len(asked) == 200 * 20 + 1
+
+
 def test_memory_forgets_but_stays_right():
     learn = lambda ws: [np.array([len(w), ord(w[0])], "<u4").tobytes() for w in ws]
     memory = pieces.Pieces(learn, lambda ts: [], most=20_000)
