@@ -1,17 +1,15 @@
 """Quality rules: document statistics and n-gram perplexity bands by language.
 
-Perplexity comes from a modified Kneser-Ney model of character 4-grams.
-Characters fall into ``CLASSES`` classes: ASCII letters one by one, letters of
-other scripts by their code point modulo ``SLOTS`` (so an alphabet's letters
-stay apart, and Han characters and Hangul syllables spread evenly), capitals,
-digits, marks and symbols in groups. Where a letter of another script is among
-the three characters before, the oldest of them is left out. An n-gram of
-classes is a number that serves as its collision-free hash. Spark counts the
-n-grams of every text of the corpus; the lower orders' continuation counts
-follow from them. The model is sorted arrays of n-gram hashes beside their log
-probabilities and back-off weights, looked up by binary search. ``MOST_NGRAMS``
-bounds its size however large the corpus is (a few hundred thousand entries in
-practice), which is what allows it to be broadcast.
+Perplexity comes from a modified Kneser-Ney model of character 4-grams. Every
+character counts as itself, in all scripts: an n-gram is a 64-bit number made of
+four UTF-16 units (a character beyond U+FFFF is two), so no two n-grams share a
+number. Spark counts the n-grams of every text of the corpus; the lower orders'
+continuation counts follow from them. A model of up to ``MOST_NGRAMS`` counted
+n-grams is sorted arrays of n-grams beside their log probabilities and back-off
+weights, broadcast and looked up by binary search. A larger one stays a Spark table,
+worked out by joins and sums, and is joined to the distinct n-grams of blocks of
+texts; both give the same probabilities. An n-gram or context that no other text
+has counts as unseen when a text is scored, or rare garbage would vouch for itself.
 
 A document's perplexity is taken per word. Within each language, the median
 and the interquartile range of log perplexity give a lower and an upper bound,
@@ -34,10 +32,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,37 +47,21 @@ ORDER = 4
 MIN_WORDS = 50
 WIDTH = 5.0    # half-width of a band, in robust standard deviations
 PRIOR = 5      # documents that the whole corpus counts for in a language's band
-SLOTS = 64     # classes of the letters of other scripts
 REPEAT_WORDS = 3
 SMALL_ROWS = 100_000
 MERGE = 1 << 19  # counts that wait in a task before they are added up
 _U = np.uint64
 
 
-def _classes() -> tuple[np.ndarray, int]:
-    """Class of each code point below 65536, and the first of the ``SLOTS``
-    classes of other scripts' letters and their combining marks."""
-    groups = (" \t\n\x0b\x0c\r", *"abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789",
-              ".", ",", "!", "#", "*", "$%&", "|<>", "'\"-", "?:;()/@=+_[]{}\\^`~")
-    table = np.zeros(1 << 16, np.int64)  # 0: before the text's start, and control characters
-    for n, group in enumerate(groups, 1):
-        table[[ord(c) for c in group]] = n
-    capital, digit, mark = table[ord("A")], table[ord("0")], len(groups) + 1
-    for point in range(0x80, 1 << 16):
-        kind = category(chr(point))
-        table[point] = (capital if kind == "Lu" else mark + 1 + point % SLOTS if kind[0] in "LM"
-                        else digit if kind[0] == "N" else mark)
-    return table, mark + 1
-
-
-CLASS_OF, FIRST_SLOT = _classes()
-CLASSES = FIRST_SLOT + SLOTS
-# with and without other scripts' letters among the characters before the last
-MOST_NGRAMS = FIRST_SLOT ** (ORDER - 1) * CLASSES + CLASSES ** (ORDER - 1)
+# classes of characters are UTF-16 units: no letter of any script shares its class
+CLASSES = SLOTS = 1 << 16
+CLASS_OF = np.arange(CLASSES)  # of the code points below 65536; 0 also stands before a text's start
+MOST_NGRAMS = 1 << 21  # n-grams of a model that is broadcast; more are joined
+BLOCK_BYTES = 2 << 20  # texts whose n-grams are joined at once
 
 
 def classes(raw: np.ndarray) -> np.ndarray:
-    """Class of every character of UTF-8 bytes."""
+    """The (first) UTF-16 unit of every character of UTF-8 bytes."""
     lead = np.flatnonzero((raw & 0xC0) != 0x80)
     first = raw[lead]
     out = CLASS_OF[first]
@@ -90,32 +72,38 @@ def classes(raw: np.ndarray) -> np.ndarray:
         f = first[wide].astype(np.int64)
         point = np.where(f < 0xE0, (f & 0x1F) << 6 | a,
                          np.where(f < 0xF0, (f & 0x0F) << 12 | a << 6 | b, (f & 0x07) << 18 | a << 12 | b << 6 | c))
-        # beyond the table: Han characters in planes 2 and 3, symbols elsewhere
-        beyond = np.where((point >> 17) == 1, FIRST_SLOT + point % SLOTS, FIRST_SLOT - 1)
-        out[wide] = np.where(point < len(CLASS_OF), CLASS_OF[point % len(CLASS_OF)], beyond)
+        out[wide] = np.where(f < 0xF0, point, 0xD800 + ((point - 0x10000) >> 10))
     return out
 
 
+def units_before(raw: np.ndarray) -> np.ndarray:
+    """How many UTF-16 units the characters have that begin before each byte, and in all."""
+    return np.concatenate([[0], np.cumsum(((raw & 0xC0) != 0x80).astype(np.int64) + (raw >= 0xF0))])
+
+
 def ngram_codes(raw: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """Code of the n-gram that ends at each character; positions before a text's
-    start count as class 0."""
+    """Code of the n-gram that ends at each unit; positions before a text's start
+    count as class 0."""
     c = classes(raw)
+    at_byte = units_before(raw)
+    lead = np.flatnonzero(raw >= 0xF0)
+    if len(lead):  # the second unit of a pair: ten bits of the last two bytes and a half
+        low = ((raw[lead + 1].astype(np.int64) & 0x3F) << 12 | (raw[lead + 2].astype(np.int64) & 0x3F) << 6
+               | raw[lead + 3] & 0x3F) & 0x3FF
+        after = np.cumsum((raw & 0xC0) != 0x80)[lead]
+        c = np.insert(c, after, 0xDC00 + low)
+    c = c.astype(_U)
     code = c.copy()
-    at_byte = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
     starts = np.unique(at_byte[offsets[:-1][np.diff(offsets) > 0]])
-    other = np.zeros(len(c), bool)
     for back in range(1, order):
         shifted = np.zeros_like(c)
         shifted[back:] = c[:-back]
-        for i in range(back):  # the characters that would look into the text before
+        for i in range(back):  # the units that would look into the text before
             at = starts + i
             shifted[at[at < len(c)]] = 0
         # short texts: position start + i may belong to the next text, whose
         # own start is at most that far back, so it looks across as well
-        other |= shifted >= FIRST_SLOT
-        if back == ORDER - 1:
-            shifted[other] = 0
-        code += shifted * CLASSES ** back
+        code |= shifted << _U(16 * back)
     return code
 
 
@@ -140,7 +128,11 @@ def _find(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def discounts(counts: np.ndarray) -> np.ndarray:
     """Modified Kneser-Ney discounts for counts 0, 1, 2 and 3 or more, from the
     counts of counts; where those are missing a discount stays within [0, c]."""
-    n = np.array([np.count_nonzero(counts == c) for c in (1, 2, 3, 4)], float)
+    return discounts_of(np.array([np.count_nonzero(counts == c) for c in (1, 2, 3, 4)], float))
+
+
+def discounts_of(n: np.ndarray) -> np.ndarray:
+    """Discounts from how many n-grams have the counts 1, 2, 3 and 4."""
     y = n[0] / (n[0] + 2 * n[1]) if n[0] + n[1] else 0.5
     d = np.zeros(4)
     for c in (1, 2, 3):
@@ -150,18 +142,24 @@ def discounts(counts: np.ndarray) -> np.ndarray:
 
 
 class KneserNey:
-    """Interpolated modified Kneser-Ney over n-gram codes in base ``base``."""
+    """Interpolated modified Kneser-Ney over n-gram codes in base ``base``. With
+    the least and the greatest number of the texts that have each n-gram, what only
+    one text has is unseen when a text is looked up, so that none vouches for itself."""
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, order: int = ORDER, base: int = CLASSES):
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, order: int = ORDER, base: int = CLASSES,
+                 first: np.ndarray | None = None, last: np.ndarray | None = None):
         self.order, self.base = order, base
         self.floor = -np.log10(base)  # the uniform distribution below the unigrams
         self.levels: list[Level] = []
-        tables = [(codes, counts)]
+        if first is None:
+            first, last = np.zeros(len(codes), np.int64), np.ones(len(codes), np.int64)
+        tables = [(codes, counts, first, last)]
+        shared = []
         for n in range(order - 1, 0, -1):
             # continuation count: in how many distinct left contexts an n-gram occurs
-            keys, many = np.unique(tables[0][0] % base ** n, return_counts=True)
-            tables.insert(0, (keys, many))
-        for n, (keys, c) in enumerate(tables, 1):
+            above, _, first, last = tables[0]
+            tables.insert(0, _grouped(above % base ** n, first, last))
+        for n, (keys, c, first, last) in enumerate(tables, 1):
             c = c.astype(float)
             d = discounts(c)[np.minimum(c, 3).astype(int)]
             contexts, of = np.unique(keys // base, return_inverse=True)
@@ -174,6 +172,9 @@ class KneserNey:
             p = (c - d) / total[of] + weight[of] * 10.0 ** lower
             with np.errstate(divide="ignore"):
                 self.levels.append(Level(keys, np.log10(p), contexts, np.log10(weight)))
+            _, _, low, high = _grouped(keys // base, first, last)
+            shared.append((first != last, low != high))
+        self.levels = [Level(x.keys[k], x.logp[k], x.contexts[c], x.backoff[c]) for x, (k, c) in zip(self.levels, shared)]
 
     def _at(self, n: int, codes: np.ndarray) -> np.ndarray:
         """log10 probability of each n-gram's last symbol after the others."""
@@ -191,44 +192,121 @@ class KneserNey:
         return out
 
     def log10(self, codes: np.ndarray) -> np.ndarray:
-        return self._at(self.order, codes)
+        return self._at(self.order, codes.astype(_U))
+
+
+@dataclass
+class Known:
+    """Log probabilities of the n-grams of some texts, sorted by n-gram."""
+    keys: np.ndarray
+    logp: np.ndarray
+    order: int
+
+    def log10(self, codes: np.ndarray) -> np.ndarray:
+        return self.logp[np.searchsorted(self.keys, codes)]
+
+
+def _grouped(codes: np.ndarray, first: np.ndarray, last: np.ndarray,
+             n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct code, number of its rows or sum of their ``n``, least ``first``, greatest ``last``)."""
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    at = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.zeros(0, np.int64)
+    many = np.diff(np.append(at, len(codes))) if n is None else np.add.reduceat(n[order], at) if len(at) else n
+    if not len(at):
+        return codes, many, first, last
+    return codes[at], many, np.minimum.reduceat(first[order], at), np.maximum.reduceat(last[order], at)
+
 
+def _added(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of several parts added up by code."""
+    codes, n, first, last = (np.concatenate(x) for x in zip(*parts))
+    return _grouped(codes, first, last, n)
 
-def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of several parts added up by key."""
-    keys, of = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    total = np.zeros(len(keys), np.int64)
-    np.add.at(total, of, np.concatenate([n for _, n in parts]))
-    return keys, total
+
+def _counted(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of the n-grams of some texts. A text's number is a hash of it, so copies are one text."""
+    raw, offsets = buffer_of(texts)
+    codes = ngram_codes(raw, offsets, order)
+    number = span_hashes(raw, offsets[:-1], offsets[1:]).view(np.int64)
+    text = np.repeat(number, np.diff(units_before(raw)[offsets]))
+    return _grouped(codes, text, text)
 
 
 def count_ngrams(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> DataFrame:
-    """(code, n): the n-gram counts of all texts. Each task adds up its counts,
-    which number at most ``MOST_NGRAMS``, before it sends them."""
+    """(code, n, first, last): the n-gram counts of all texts, and the least and the
+    greatest number of those that have it. Each task adds up its counts
+    before it sends them, up to ``MOST_NGRAMS`` n-grams at a time. A code is
+    signed here, with the bits of the unsigned one."""
     small_batches(docs.sparkSession)
     d = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
+    def out(parts: list) -> pa.RecordBatch:
+        keys, n, first, last = _added(parts)
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n), pa.array(first), pa.array(last)],
+                                          ["code", "n", "first", "last"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, waiting = [], 0
         for batch in batches:
             for part in chunks(batch):
-                raw, offsets = buffer_of(column(part, "text"))
-                if len(raw):
-                    parts.append(np.unique(ngram_codes(raw, offsets, order), return_counts=True))
-                    waiting += len(parts[-1][0])
+                parts.append(_counted(column(part, "text"), order))
+                waiting += len(parts[-1][0])
                 if waiting > max(MERGE, len(parts[0][0]) if parts else 0):
                     parts, waiting = [_added(parts)], 0
+                    if len(parts[0][0]) > MOST_NGRAMS:
+                        yield out(parts)
+                        parts = []
         if parts:
-            keys, n = _added(parts)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["code", "n"])
-
-    return d.mapInArrow(lean(run), "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def fit(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> KneserNey:
-    """The model of the whole corpus; its counts number at most ``MOST_NGRAMS``."""
-    got = count_ngrams(docs, text_col, order).toArrow().sort_by("code")
-    return KneserNey(got["code"].to_numpy(), got["n"].to_numpy(), order)
+            yield out(parts)
+
+    return d.mapInArrow(lean(run), "code bigint, n bigint, first bigint, last bigint").groupBy("code").agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
+
+
+def fit(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> KneserNey | DataFrame:
+    """The model of the whole corpus: a ``KneserNey`` if it has at most
+    ``MOST_NGRAMS`` n-grams, else the table of ``probabilities``."""
+    counts, n = cut_lineage_counted(count_ngrams(docs, text_col, order))
+    if n > MOST_NGRAMS:
+        return cut_lineage(probabilities(counts, order))
+    got = counts.toArrow()
+    codes = got["code"].to_numpy().view(_U)
+    at = np.argsort(codes)
+    return KneserNey(codes[at], got["n"].to_numpy()[at], order, CLASSES,
+                     got["first"].to_numpy()[at], got["last"].to_numpy()[at])
+
+
+def probabilities(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(code, logp): what ``KneserNey`` gives for each n-gram of the counts, ``p``
+    being its probability and ``q`` that for a text that may be the only one to have it. No
+    context and no suffix has more n-grams than there are classes, so no key of
+    these joins is large."""
+    bits = CLASSES.bit_length() - 1
+    tables = [counts.select("code", F.col("n").alias("c"), "first", "last")]
+    span = [F.min("first").alias("first"), F.max("last").alias("last")]
+    for n in range(order - 1, 0, -1):
+        suffix = F.col("code").bitwiseAND(F.lit((1 << bits * n) - 1))
+        tables.insert(0, cut_lineage(tables[0].groupBy(suffix.alias("code")).agg(F.count(F.lit(1)).alias("c"), *span)))
+    lower = None
+    for n, table in enumerate(tables, 1):
+        many = table.agg(*[F.count_if(F.col("c") == k) for k in (1, 2, 3, 4)]).first()
+        cut = discounts_of(np.array(many, float))
+        rows = table.withColumn("d", F.get(F.array(*[F.lit(float(x)) for x in cut]), F.least("c", F.lit(3)).cast("int")))
+        rows = rows.withColumn("context", F.shiftrightunsigned("code", bits))
+        of = rows.groupBy("context").agg(F.sum("c").alias("total"), F.sum("d").alias("left"),
+                                        (F.min("first") == F.max("last")).alias("alone"))
+        rows = rows.join(of, "context")
+        if lower is None:
+            rows = rows.withColumn("below", F.lit(1.0 / CLASSES)).withColumn("below_q", F.col("below"))
+        else:
+            rows = rows.withColumn("suffix", F.col("code").bitwiseAND(F.lit((1 << bits * (n - 1)) - 1)))
+            rows = rows.join(lower.select(F.col("code").alias("suffix"), F.col("p").alias("below"), F.col("q").alias("below_q")), "suffix")
+        weight = F.col("left") / F.col("total")
+        p = (F.col("c") - F.col("d")) / F.col("total") + weight * F.col("below")
+        q = F.when(F.col("first") < F.col("last"), p).otherwise(F.when(F.col("alone"), 1.0).otherwise(weight) * F.col("below_q"))
+        lower = cut_lineage(rows.select("code", p.alias("p"), q.alias("q")))
+    return lower.select("code", F.log10("q").alias("logp"))
 
 
 # ---- statistics of one column of texts --------------------------------------
@@ -243,7 +321,7 @@ def repeated(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def statistics(texts: pa.Array, model: KneserNey | None = None) -> dict[str, np.ndarray]:
+def statistics(texts: pa.Array, model: KneserNey | Known | None = None) -> dict[str, np.ndarray]:
     """Counts of every text, and its log10 probability under ``model``."""
     w = Words(texts)
     docs = len(w.of) - 1
@@ -278,31 +356,80 @@ def statistics(texts: pa.Array, model: KneserNey | None = None) -> dict[str, np.
     if model is not None:
         logp = model.log10(ngram_codes(w.raw, w.offsets, model.order))
         so_far = np.concatenate([[0.0], np.cumsum(logp)])
-        out["log10_prob"] = np.diff(so_far[seen[w.offsets]])
+        out["log10_prob"] = np.diff(so_far[units_before(w.raw)[w.offsets]])
     return out
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def score(docs: DataFrame, model: KneserNey, id_col: str = "doc_id", text_col: str = "text",
+def score(docs: DataFrame, model: KneserNey | DataFrame, id_col: str = "doc_id", text_col: str = "text",
           **more: str) -> DataFrame:
-    """doc_id, further columns ``more``, the counts and log10_prob of every row."""
+    """doc_id, further columns ``more``, the counts and log10_prob of every row.
+    A model that is a table must have every n-gram of the texts."""
     d = text_or_empty(docs, id_col, text_col, **more)
     kept = [c for c in d.columns if c != "text"]
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    types = ", ".join(f"`{c}` {d.schema[c].dataType.simpleString()}" for c in kept)
+    types = {c: d.schema[c].dataType.simpleString() for c in d.columns}
+    schema = ", ".join(f"`{c}` {types[c]}" for c in kept) + ", " + ", ".join(f"{c} bigint" for c in COUNTS) + ", log10_prob double"
+
+    def scored(part: pa.RecordBatch, model: KneserNey | Known) -> pa.RecordBatch:
+        s = statistics(column(part, "text"), model)
+        return pa.RecordBatch.from_arrays(
+            [*[column(part, c) for c in kept], *[pa.array(s[c].astype(np.int64)) for c in COUNTS],
+             pa.array(s["log10_prob"])], [*kept, *COUNTS, "log10_prob"])
+
+    if isinstance(model, DataFrame):
+        return _joined(d, model, scored, schema, types)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
-                s = statistics(column(part, "text"), shared.value)
-                yield pa.RecordBatch.from_arrays(
-                    [*[column(part, c) for c in kept], *[pa.array(s[c].astype(np.int64)) for c in COUNTS],
-                     pa.array(s["log10_prob"])], [*kept, *COUNTS, "log10_prob"])
+                yield scored(part, shared.value)
+
+    return d.mapInArrow(lean(run), schema)
 
-    return d.mapInArrow(lean(run), f"{types}, " + ", ".join(f"{c} bigint" for c in COUNTS) + ", log10_prob double")
+
+def _joined(d: DataFrame, model: DataFrame, scored, schema: str, types: dict[str, str], order: int = ORDER) -> DataFrame:
+    """``score`` with a table: texts in numbered blocks, stored; the distinct
+    n-grams of each block meet the table and come back to the block."""
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, size = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            for part in chunks(batch):
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.full(part.num_rows, block))],
+                                                 [*part.schema.names, "_block"])
+                size += column(part, "text").nbytes
+                if size >= BLOCK_BYTES:
+                    block, size = block + 1, 0
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = np.zeros(0, _U), None
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(held), now)), pa.array(held.view(np.int64))], ["_block", "code"])
+
+        for batch in batches:
+            of = column(batch, "_block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)] if len(of) else [0]
+            for a, b in zip(cuts, cuts[1:]):
+                if now is not None and of[a] != now:
+                    yield out()
+                    held = held[:0]
+                now = of[a]
+                held = np.unique(np.concatenate([held, ngram_codes(*buffer_of(column(batch.slice(a, b - a), "text")), order)]))
+        if now is not None:
+            yield out()
+
+    def meet(rows: pa.Table, found: pa.Table) -> pa.Table:
+        keys, first = np.unique(found["code"].to_numpy().view(_U), return_index=True)
+        known = Known(keys, found["logp"].to_numpy()[first], order)
+        return pa.Table.from_batches([scored(rows.combine_chunks().to_batches()[0], known)])
+
+    blocked = cut_lineage(d.mapInArrow(lean(number), ", ".join(f"`{c}` {t}" for c, t in types.items()) + ", _block bigint"))
+    found = (blocked.select("text", "_block").mapInArrow(lean(distinct), "_block bigint, code bigint")
+             .join(model, "code").select("_block", "code", "logp"))
+    return blocked.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(meet, schema)
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

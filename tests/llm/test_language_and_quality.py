@@ -257,3 +257,32 @@ def test_classes_of_all_code_points():
     assert codes[4] == qr.CLASS_OF[ord("a")]  # nothing of the text before
     seen = set(qr.ngram_codes(*qr.buffer_of(pa.array([text]))).tolist())
     assert len(seen) <= qr.MOST_NGRAMS
+
+
+def test_every_character_counts_as_itself():
+    """Texts that differ in one character differ in their n-grams, in any script."""
+    for a, b in [("A", "B"), ("3", "7"), ("$", "%"), ("字", chr(ord("字") + 64)), ("Ж", "Д"), ("😀", "😁"), ("😀", "🨀")]:
+        x, y = (qr.ngram_codes(*qr.buffer_of(pa.array([f"ab{c}de", "z"]))) for c in (a, b))
+        units = len(a.encode("utf-16-le")) // 2
+        assert len(x) == len(y) == 5 + units and np.flatnonzero(x != y).tolist()[-1] == units + 3
+    text = "x😀字\u07ffé"
+    want = np.frombuffer(text.encode("utf-16-le"), "<u2")
+    got = qr.ngram_codes(*qr.buffer_of(pa.array([text])))
+    assert (got & np.uint64(0xFFFF)).tolist() == want.tolist()
+    assert int(got[-1]) == sum(int(u) << 16 * i for i, u in enumerate(want[::-1][:4]))
+
+
+def test_a_model_too_large_to_broadcast_gives_the_same(spark, monkeypatch):
+    rows = corpus(n=60) + ODD + [(7000, "Ж字😀 " * 60, "zz", "s", 0)]
+    columns = ["doc_id", *qr.COUNTS, "kept", "log_ppl", "ppl_low", "ppl_high"]
+
+    def found():
+        return sorted((tuple(r[c] for c in columns) for r in qr.judge(frame(spark, rows, clashing=True)).collect()), key=repr)
+
+    want = found()
+    monkeypatch.setattr(qr, "MOST_NGRAMS", 1000)
+    monkeypatch.setattr(qr, "BLOCK_BYTES", 5000)
+    got = found()
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g[:7] == w[:7] and np.allclose(np.array(g[7:], float), np.array(w[7:], float), equal_nan=True)
