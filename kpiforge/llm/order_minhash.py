@@ -13,9 +13,14 @@ to as many tasks as it needs. Entries next to each other with their first value
 in common are a candidate pair: the sort puts those side by side which agree on
 the longest row of values. This is done twice. At first with the entries of
 ``FEW`` values, which joins a family of copies into a class or nearly so; then
-with all entries, where only neighbours of different classes are pairs. So the
-work grows with the nodes and not with the size of a group, and nothing is
-capped.
+with all entries, where only neighbours of different classes are pairs. That finds
+nearly all links at a cost that grows with the nodes, not with the size of a group.
+
+The rest is exact: wherever a value is still in more than one class, all pairs of
+nodes of different classes that have it are candidates, in cells of at most
+``CELL`` by ``CELL`` nodes, each a group of its own. A cell gives only the pairs
+whose lengths and word counts by ``BINS`` allow an alignment, a bound that no near
+pair fails. So any two near texts with a value in common end up in one class.
 
 Verification. A pair is linked if the alignment of its words, within a band of
 diagonals around the main one, needs edits for at most 1 - threshold of the
@@ -52,6 +57,8 @@ THRESHOLD = 0.8
 # the values an entry is sorted by, counted from its own; each list is one sort
 STRIDES = [(0, 1, 2, 3), (0, 7, 18, 29)]
 FEW = 4  # values whose entries are sorted first
+CELL = 2000  # nodes of one value that meet as many others in one group
+BINS = 512   # word counts that bound what two texts have in common
 SMALL_ROWS = 200_000  # a table is broadcast up to this counted size
 
 _U = np.uint64
@@ -279,6 +286,75 @@ def candidates(nodes: DataFrame, threshold: float, first: int = SKETCHES, lists:
     return pairs.filter(longer - F.least("na", "nb") <= F.floor((1 - threshold) * longer + 1e-9)).select("a", "b")
 
 
+def word_bins(texts: DataFrame) -> DataFrame:
+    """(node, length, bins): number of words, and how many fall into each of ``BINS`` by their hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch):
+                w = Words(column(part, "text"))
+                at = w.doc_index() * BINS + (w.hash % _U(BINS)).astype(np.int64)
+                n = np.bincount(at, minlength=part.num_rows * BINS).reshape(-1, BINS).astype("<u4")
+                yield pa.RecordBatch.from_arrays(
+                    [column(part, "node"), pa.array(w.counts()), pa.array([x.tobytes() for x in n], pa.binary())],
+                    ["node", "length", "bins"])
+
+    return texts.mapInArrow(lean(run), "node binary, length bigint, bins binary")
+
+
+def cell_pairs(root: np.ndarray, length: np.ndarray, bins: np.ndarray, left: np.ndarray, right: np.ndarray,
+               threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of an item of ``left`` and one of ``right`` (numbers of items; each
+    pair once where both are the same) of different roots that may be near: words in
+    common are at most those of the bins in common, and edits spoil at most the band."""
+    coarse = bins.reshape(len(bins), -1, 8).sum(axis=2)
+    same = left is right
+    out_a, out_b = [], []
+    for k, a in enumerate(left.tolist()):
+        b = right[k + 1:] if same else right
+        longer = np.maximum(length[a], length[b])
+        band = ((1 - threshold) * longer + 1e-9).astype(np.int64)
+        ok = (root[b] != root[a]) & (np.abs(length[b] - length[a]) <= band)
+        b, least = b[ok], (longer - band)[ok]
+        for table in (coarse, bins):
+            ok = np.minimum(table[b], table[a]).sum(axis=1) >= least
+            b, least = b[ok], least[ok]
+        out_a.append(np.full(len(b), a))
+        out_b.append(b)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
+
+
+def rest(nodes: DataFrame, texts_of, threshold: float) -> DataFrame | None:
+    """(a, b): all pairs of nodes (node, values, root) of different roots with a
+    common value that may be near; None if no value has two roots."""
+    places = entries(nodes, (0,))
+    mixed, n = cut_lineage_counted(
+        places.groupBy("k0").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
+        .filter("lo <> hi").select("k0", F.ceil(F.col("n") / CELL).cast("int").alias("parts")))
+    if not n:
+        return None
+    met = cut_lineage(places.join(_small(mixed, n), "k0"))
+    bins = word_bins(texts_of(met.select("node").distinct()))
+    rows = (met.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("k0", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "root")
+            .join(bins, "node"))
+
+    def meet(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        node = cell["node"].combine_chunks()
+        root = cell["root"].combine_chunks().dictionary_encode().indices.to_numpy()
+        table = np.frombuffer(b"".join(cell["bins"].to_pylist()), "<u4").reshape(-1, BINS).astype(np.int64)
+        part, i, j = cell["part"].to_numpy(), cell["i"][0].as_py(), cell["j"][0].as_py()
+        left = np.flatnonzero(part == i)
+        a, b = cell_pairs(root, cell["length"].to_numpy(), table, left, left if i == j else np.flatnonzero(part == j), threshold)
+        return pa.table({"a": node.take(pa.array(a)), "b": node.take(pa.array(b))})
+
+    pairs = rows.groupBy("k0", "i", "j").applyInArrow(meet, "a binary, b binary")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def links(nodes: DataFrame, texts_of, threshold: float) -> DataFrame | None:
     """(a, b): verified links between nodes (node, words, values) that connect
     all near candidates. ``texts_of(ids)`` gives (node, text) of the nodes in
@@ -297,12 +373,25 @@ def links(nodes: DataFrame, texts_of, threshold: float) -> DataFrame | None:
     if n:  # what failed is not tried again
         left = left.join(tested.select("a", "b"), ["a", "b"], "left_anti")
     left, n_left = cut_lineage_counted(left)
-    more = test(left).filter("linked").select("a", "b") if n_left else None
-    if not n:
-        return more
-    # of the first links the classes they make are enough
-    first = family.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return first.union(more) if n_left else first
+    if n_left:
+        more = test(left)
+        edges = more.filter("linked").select("a", "b")
+        tested = tested.unionByName(more) if n else more
+        if n:  # of the first links the classes they make are enough
+            edges = edges.union(family.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        family = cut_lineage(components(edges))
+        nodes = cut_lineage(nodes.drop("root").join(family, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    first = family.select(F.col("node").alias("a"), F.col("root").alias("b")) if n or n_left else None
+    last = rest(nodes, texts_of, threshold)
+    if last is None:
+        return first
+    if n or n_left:
+        last = last.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    last, n_last = cut_lineage_counted(last)
+    if not n_last:
+        return first
+    found = test(last).filter("linked").select("a", "b")
+    return found if first is None else first.union(found)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -238,3 +238,38 @@ def test_components_of_a_long_chain(spark):
                                   "a binary, b binary")
     got = {bytes(r.node): bytes(r.root) for r in om.components(edges).collect()}
     assert {got[bytes([i])] for i in range(2, 41)} == {b"\x01"} and got[b"\x65"] == b"\x64"
+
+
+def test_near_texts_that_are_never_neighbours_are_linked(spark, monkeypatch):
+    """All texts share a passage; near ones stand apart in every sorted order."""
+    monkeypatch.setattr(om, "CELL", 7)
+    none = spark.createDataFrame([], "a binary, b binary")
+    monkeypatch.setattr(om, "candidates", lambda *args: none)  # as if no neighbours were near
+    rows = corpus(n=60) + family(copies=25)
+    got = om.classes(frame(spark, rows)).collect()
+    want = sorted((r[0], c) for r, c in zip(rows, brute_classes(rows)))
+    assert sorted((r.doc_id, r.class_id) for r in got) == want
+
+
+def test_cells_keep_every_near_pair():
+    rng = random.Random(8)
+    texts = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(40)}" for _ in range(rng.randint(0, 60))]
+        for _ in range(4):
+            copy = list(base)
+            for _ in range(rng.randint(0, 8)):
+                copy.insert(rng.randrange(len(copy) + 1), f"w{rng.randrange(40)}")
+            texts.append(copy)
+    w = Words(pa.array([" ".join(x) for x in texts]))
+    bins = np.zeros((len(texts), om.BINS), np.int64)
+    np.add.at(bins, (w.doc_index(), (w.hash % np.uint64(om.BINS)).astype(np.int64)), 1)
+    root = np.arange(len(texts)) % 47
+    every = np.arange(len(texts))
+    a, b = om.cell_pairs(root, w.counts(), bins, every, every, 0.8)
+    got = set(zip(a.tolist(), b.tolist()))
+    near = {(i, j) for j in every for i in range(j)
+            if root[i] != root[j] and om.near(w.hash[w.of[i]:w.of[i + 1]], w.hash[w.of[j]:w.of[j + 1]], 0.8)}
+    assert near <= got and len(got) < len(every) ** 2 / 4 and len(near) > 20
+    a, b = om.cell_pairs(root, w.counts(), bins, every[:20], every[20:], 0.8)
+    assert {p for p in got if p[0] < 20 <= p[1]} == set(zip(a.tolist(), b.tolist()))
