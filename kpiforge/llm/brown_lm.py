@@ -40,7 +40,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiforge.llm.common import chunks, column, lean, text_or_empty
@@ -52,7 +52,10 @@ CORE = 8192    # words clustered one after another; all others are exchanged in
 ENDINGS = 4096
 CLASSES = 32   # class 0 is the end token's
 ROUNDS = 3
-ROWS = 1 << 14  # words and blocks whose contexts a task adds up at once
+ROWS = 1 << 12  # words and blocks whose contexts a task adds up at once
+
+_BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BYTES_DEFAULT = ("64MB", "67108864", "67108864b")
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -82,8 +85,22 @@ def planes(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4")[:, 0].astype(np.int64)
+def from_planes(data: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4")[:, 0].astype(kind)
+
+
+def rows_of(batch: pa.RecordBatch, *names: str) -> Iterator[list]:
+    """The named columns, one block in memory at a time."""
+    columns = [column(batch, c) for c in names]
+    for i in range(batch.num_rows):
+        yield [c[i].as_py() for c in columns]
+
+
+def block_batches(spark: SparkSession) -> None:
+    """Bounds the bytes of an Arrow batch, which would else hold many blocks, in
+    the JVM and in Python, where the session has Spark's default."""
+    if spark.conf.get(_BYTES_CONF) in _BYTES_DEFAULT:
+        spark.conf.set(_BYTES_CONF, str(BLOCK_BYTES))
 
 
 def blocks(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -91,6 +108,7 @@ def blocks(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     tokens (planes of numbers into the block's words; their count is the end
     token), words (hashes, signed so that they sort), n (training counts), slot."""
     d = text_or_empty(docs, id_col, text_col).withColumn("held_out", held_out)
+    block_batches(docs.sparkSession)
     id_type = d.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +167,7 @@ def frequent_words(stored: DataFrame, share: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for words, n in zip(*[column(batch, c).to_pylist() for c in ("words", "n")]):
+            for words, n in rows_of(batch, "words", "n"):
                 w, many = np.frombuffer(words, np.int64), from_planes(n)
                 some = many > 0
                 some &= many >= share * many.sum()
@@ -193,18 +211,18 @@ def context_counts(stored: DataFrame, units: Units) -> tuple[np.ndarray, np.ndar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u = shared.value
+        classes = u.classes.astype(np.int32)
         before = np.zeros(n_units * CLASSES, np.int64)
         after = np.zeros(n_units * CLASSES, np.int64)
         for batch in batches:
-            for held, length, tokens, words, slot in zip(
-                    *[column(batch, c).to_pylist() for c in ("held_out", "length", "tokens", "words", "slot")]):
-                unit = u.of_words(np.frombuffer(words, np.int64), np.frombuffer(slot, np.uint16))
-                t = from_planes(tokens)
+            for held, length, tokens, words, slot in rows_of(batch, "held_out", "length", "tokens", "words", "slot"):
+                unit = u.of_words(np.frombuffer(words, np.int64), np.frombuffer(slot, np.uint16)).astype(np.int32)
+                t = from_planes(tokens, np.int32)
                 train = np.repeat(~np.array(held, bool), length)
                 q = unit[t[train]]
                 p = unit[_previous(t, len(unit) - 1)[train]]
-                before += np.bincount(p * CLASSES + u.classes[q], minlength=len(before))
-                after += np.bincount(q * CLASSES + u.classes[p], minlength=len(after))
+                before += np.bincount(p * CLASSES + classes[q], minlength=len(before))
+                after += np.bincount(q * CLASSES + classes[p], minlength=len(after))
         for kind, x in enumerate((before, after)):
             x = x.reshape(n_units, CLASSES)
             some = np.flatnonzero(x.any(axis=1))
@@ -297,8 +315,7 @@ def contexts(stored: DataFrame, units: Units) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u = shared.value
         for batch in batches:
-            for held, length, tokens, words, slot in zip(
-                    *[column(batch, c).to_pylist() for c in ("held_out", "length", "tokens", "words", "slot")]):
+            for held, length, tokens, words, slot in rows_of(batch, "held_out", "length", "tokens", "words", "slot"):
                 w = np.frombuffer(words, np.int64)
                 unit = u.of_words(w, np.frombuffer(slot, np.uint16))
                 classes = u.classes[unit]
@@ -430,7 +447,7 @@ def classed_blocks(stored: DataFrame, core: Core, known: DataFrame) -> DataFrame
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u = shared.value.units
         for batch in batches:
-            for block, words, slot in zip(*[column(batch, c).to_pylist() for c in ("block", "words", "slot")]):
+            for block, words, slot in rows_of(batch, "block", "words", "slot"):
                 w = np.frombuffer(words, np.int64)
                 local = np.flatnonzero(u.of_words(w, np.frombuffer(slot, np.uint16))[:-1] >= len(u.head))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(local), block)), pa.array(local.astype(np.int32)),
@@ -440,7 +457,7 @@ def classed_blocks(stored: DataFrame, core: Core, known: DataFrame) -> DataFrame
         u, counts = shared.value.units, np.append(shared.value.c, 0)
         for batch in batches:
             c, classes = [], []
-            for words, slot in zip(*[column(batch, c).to_pylist() for c in ("words", "slot")]):
+            for words, slot in rows_of(batch, "words", "slot"):
                 unit = u.of_words(np.frombuffer(words, np.int64), np.frombuffer(slot, np.uint16))[:-1]
                 c.append(counts[np.minimum(unit, len(u.head))].astype("<i8").tobytes())
                 classes.append(u.classes[unit].astype(np.uint8).tobytes())
@@ -477,8 +494,7 @@ def class_bigrams(ready: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = np.zeros(CLASSES * CLASSES, np.int64)
         for batch in batches:
-            for held, length, classes in zip(
-                    *[column(batch, c).to_pylist() for c in ("held_out", "length", "classes")]):
+            for held, length, classes in rows_of(batch, "held_out", "length", "classes"):
                 q = np.frombuffer(classes, np.uint8).astype(np.int64)
                 train = np.repeat(~np.array(held, bool), length)
                 g += np.bincount((_previous(q, 0) * CLASSES + q)[train], minlength=len(g))

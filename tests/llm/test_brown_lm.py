@@ -204,3 +204,26 @@ def test_planes_round_trip():
     x = np.array([0, 1, 255, 256, 70000, 2**31], np.int64)
     assert brown_lm.from_planes(brown_lm.planes(x)).tolist() == x.tolist()
     assert brown_lm.from_planes(brown_lm.planes(np.zeros(0, np.int64))).tolist() == []
+
+
+def test_batches_hold_few_blocks(spark):
+    """Blocks cross to Python a few at a time, whatever a stored file holds."""
+    import pyarrow as pa
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        brown_lm.block_batches(spark)
+
+        def rows(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+        large = spark.range(0, 8, 1, 1).selectExpr(f"repeat('x', {brown_lm.BLOCK_BYTES // 2 + 1}) AS tokens")
+        got = [r.n for r in large.mapInArrow(rows, "n bigint").collect()]
+        assert sum(got) == 8 and max(got) <= 2
+        spark.conf.set(key, "1000")
+        brown_lm.block_batches(spark)
+        assert spark.conf.get(key).startswith("1000")
+    finally:
+        spark.conf.set(key, before)
