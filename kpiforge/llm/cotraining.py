@@ -26,6 +26,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiforge.llm.common import chunks, column, lean, pick, remainder_of_id, text_or_empty
-from kpiforge.llm.quality_rules import CLASS_OF, CLASSES, statistics
+from kpiforge.llm.quality_rules import statistics
 from kpiforge.llm.textvec import buffer_of
 from kpiforge.session import cut_lineage, cut_lineage_counted
 
@@ -42,6 +43,27 @@ PSEUDO_WEIGHT = 0.3   # of a pseudo-label beside a true label
 SURE = 0.97           # calibrated probability from which a view passes a label on
 FOLDS = 5             # one of them is for calibration
 SMALL_ROWS = 200_000
+SLOTS = 64     # classes of the letters of other scripts
+
+
+def _classes() -> tuple[np.ndarray, int]:
+    """Coarse class of each code point below 65536 for the page view's pairs, and
+    the first of the ``SLOTS`` classes of other scripts' letters and their combining marks."""
+    groups = (" \t\n\x0b\x0c\r", *"abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789",
+              ".", ",", "!", "#", "*", "$%&", "|<>", "'\"-", "?:;()/@=+_[]{}\\^`~")
+    table = np.zeros(1 << 16, np.int64)  # 0: before the text's start, and control characters
+    for n, group in enumerate(groups, 1):
+        table[[ord(c) for c in group]] = n
+    capital, digit, mark = table[ord("A")], table[ord("0")], len(groups) + 1
+    for point in range(0x80, 1 << 16):
+        kind = category(chr(point))
+        table[point] = (capital if kind == "Lu" else mark + 1 + point % SLOTS if kind[0] in "LM"
+                        else digit if kind[0] == "N" else mark)
+    return table, mark + 1
+
+
+CLASS_OF, FIRST_SLOT = _classes()
+CLASSES = FIRST_SLOT + SLOTS
 PAIRS = CLASSES * CLASSES
 LANGUAGES, SOURCES, BINS = 64, 256, 16
 MEASURES = 8
