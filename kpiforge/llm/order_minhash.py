@@ -17,10 +17,13 @@ with all entries, where only neighbours of different classes are pairs. That fin
 nearly all links at a cost that grows with the nodes, not with the size of a group.
 
 The rest is exact: wherever a value is still in more than one class, all pairs of
-nodes of different classes that have it are candidates, in cells of at most
-``CELL`` by ``CELL`` nodes, each a group of its own. A cell gives only the pairs
-whose lengths and word counts by ``BINS`` allow an alignment, a bound that no near
-pair fails. So any two near texts with a value in common end up in one class.
+nodes of different classes that have it are met, in cells of about ``CELL`` by
+``CELL`` nodes and ``CELL_BYTES`` of text a side, each a group of its own. A pair is
+met under the first value it has in common and aligned within its cell, if lengths
+and word counts by ``BINS`` allow it, a bound that no near pair fails, and if no
+link of the cell joins its classes yet. Only links leave a cell, fewer than it has
+nodes, so no table of pairs grows with the square of a group. So any two near texts
+with a value in common end up in one class.
 
 Verification. A pair is linked if the alignment of its words, within a band of
 diagonals around the main one, needs edits for at most 1 - threshold of the
@@ -57,8 +60,10 @@ THRESHOLD = 0.8
 # the values an entry is sorted by, counted from its own; each list is one sort
 STRIDES = [(0, 1, 2, 3), (0, 7, 18, 29)]
 FEW = 4  # values whose entries are sorted first
-CELL = 2000  # nodes of one value that meet as many others in one group
+CELL = 1000  # nodes of one value that meet as many others in one group
+CELL_BYTES = 8 << 20  # of their texts
 BINS = 512   # word counts that bound what two texts have in common
+NARROW = 24  # edits up to which an alignment follows single diagonals
 SMALL_ROWS = 200_000  # a table is broadcast up to this counted size
 
 _U = np.uint64
@@ -101,8 +106,8 @@ def sketch(kmers: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, node, words, values) of every row: node is the text's MD5, words
-    the number of its words."""
+    """(doc_id, node, words, size, values) of every row: node is the text's MD5, words
+    the number of its words, size that of its bytes."""
     d = text_or_empty(docs, id_col, text_col).withColumn("node", F.unhex(F.md5("text")))
     id_type = d.schema["doc_id"].dataType.simpleString()
 
@@ -117,11 +122,11 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 values = np.concatenate([*[sketch(h[of[d]:of[d + 1]]) for d in some], np.zeros(0, _U)])
                 offsets = np.concatenate([[0], np.cumsum(np.where(n > 0, SKETCHES, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [column(part, "doc_id"), column(part, "node"), pa.array(w.counts()),
+                    [column(part, "doc_id"), column(part, "node"), pa.array(w.counts()), pa.array(np.diff(w.offsets)),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array((values ^ _SIGN).view(np.int64)))],
-                    ["doc_id", "node", "words", "values"])
+                    ["doc_id", "node", "words", "size", "values"])
 
-    return d.mapInArrow(lean(run), f"doc_id {id_type}, node binary, words bigint, values array<bigint>")
+    return d.mapInArrow(lean(run), f"doc_id {id_type}, node binary, words bigint, size bigint, values array<bigint>")
 
 
 # ---- verification -----------------------------------------------------------
@@ -129,12 +134,13 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def banded_distance(a: list, b: list, band: int) -> int | None:
     """Edits (insert, delete, replace) that turn ``a`` into ``b``, or None if
     more than ``band``. Only the diagonals of the band are followed: ``reach``
-    holds how far each one gets with the edits so far."""
+    holds how far each one gets with the edits so far. Beyond ``NARROW`` edits all
+    diagonals of a column go at once, as bits of a number."""
     n, m = len(a), len(b)
     if abs(n - m) > band:
         return None
     reach = {}
-    for edits in range(band + 1):
+    for edits in range(min(band, NARROW) + 1):
         now = {}
         for k in range(-edits, edits + 1):  # diagonal: place in b minus place in a
             if edits == 0:
@@ -155,7 +161,31 @@ def banded_distance(a: list, b: list, band: int) -> int | None:
                 return edits
             now[k] = i
         reach = now
-    return None
+    return _by_columns(a, b, band) if band > NARROW else None
+
+
+def _by_columns(a: list, b: list, band: int) -> int | None:
+    """The same by Myers' bit vectors: ``up`` and ``down`` tell where a column of
+    the table of distances rises or falls by one from one item of ``a`` to the next."""
+    n, m = len(a), len(b)
+    if not n:
+        return m if m <= band else None
+    at: dict = {}
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    full, last = (1 << n) - 1, n - 1
+    up, down, edits = full, 0, n
+    for j, y in enumerate(b, 1):
+        same = at.get(y, 0)
+        level = ((same & up) + up ^ up) | same
+        right, left = down | full & ~(level | up), up & level
+        edits += (right >> last & 1) - (left >> last & 1)
+        if edits - (m - j) > band:  # each column left lowers it by one at most
+            return None
+        right, left, same = right << 1 | 1, left << 1, same | down
+        up = (left | ~(same | right)) & full
+        down = right & same & full
+    return edits
 
 
 def _runs(a: np.ndarray, k: int) -> np.ndarray:
@@ -221,54 +251,62 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
 # ---- candidates -------------------------------------------------------------
 
-def entries(nodes: DataFrame, strides: tuple[int, ...], first: int = SKETCHES) -> DataFrame:
-    """(k0, k1, ..., node, root): an entry of each node for its first values."""
+def entries(nodes: DataFrame, strides: tuple[int, ...], first: int = SKETCHES, more: str = "words") -> DataFrame:
+    """(k0, k1, ..., node, root, ``more``): an entry of each node for its first values."""
     def entry(i: Column) -> Column:
         return F.struct(*[F.element_at("values", ((i + s) % SKETCHES + 1).cast("int")).alias(f"k{j}")
                           for j, s in enumerate(strides)])
     places = F.transform(F.sequence(F.lit(0), F.lit(first - 1)), entry)
-    return (nodes.filter(F.size("values") > 0).select(F.explode(places).alias("e"), "node", "root")
-            .select("e.*", "node", "root"))
+    return (nodes.filter(F.size("values") > 0).select(F.explode(places).alias("e"), "node", "root", more)
+            .select("e.*", "node", "root", more))
 
 
-def side_by_side(rows: DataFrame) -> DataFrame:
+def side_by_side(rows: DataFrame, threshold: float = 0.0) -> DataFrame:
     """(a, b): nodes of entries next to each other in sorted order that agree on
-    their first value and have different roots."""
-    by = [c for c in rows.columns if c != "root"]
-    sorted_rows = rows.repartitionByRange(*by).sortWithinPartitions(*by).select("k0", "node", "root")
+    their first value, have different roots and, if given as words, lengths that
+    allow an alignment."""
+    by = [c for c in rows.columns if c not in ("root", "words")]
+    words = "words" if "words" in rows.columns else F.lit(0).cast("bigint").alias("words")
+    sorted_rows = rows.repartitionByRange(*by).sortWithinPartitions(*by).select("k0", "node", "root", words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # kind 0: a pair; 1 and 2: the first and the last entry of a partition
         part = TaskContext.get().partitionId()
-        names = ["a", "b", "k0", "root", "kind", "part"]
+        names = ["a", "b", "k0", "root", "words", "kind", "part"]
 
-        def out(a: pa.Array, b: pa.Array, key: pa.Array, root: pa.Array, kind: int) -> pa.RecordBatch:
+        def out(a: pa.Array, b: pa.Array, key: pa.Array, root: pa.Array, size: pa.Array, kind: int) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [a, b, key, root, pa.array(np.full(len(a), kind, np.int32)), pa.array(np.full(len(a), part, np.int32))], names)
+                [a, b, key, root, size, pa.array(np.full(len(a), kind, np.int32)), pa.array(np.full(len(a), part, np.int32))], names)
 
         last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, node, root = (column(batch, c) for c in ("k0", "node", "root"))
+            key, node, root, size = (column(batch, c) for c in ("k0", "node", "root", "words"))
             if last is None:
-                yield out(node[:1], node[:1], key[:1], root[:1], 1)
+                yield out(node[:1], node[:1], key[:1], root[:1], size[:1], 1)
             else:
-                key, node, root = (pa.concat_arrays([x, y]) for x, y in zip(last, (key, node, root)))
-            k = key.to_numpy()
-            met = pc.and_(pa.array(k[1:] == k[:-1]), pc.not_equal(root[1:], root[:-1]))
-            yield out(node[:-1].filter(met), node[1:].filter(met), key[1:].filter(met), root[1:].filter(met), 0)
-            last = key[-1:], node[-1:], root[-1:]
+                key, node, root, size = (pa.concat_arrays([x, y]) for x, y in zip(last, (key, node, root, size)))
+            k, n = key.to_numpy(), size.to_numpy()
+            fit = np.abs(n[1:] - n[:-1]) <= ((1 - threshold) * np.maximum(n[1:], n[:-1]) + 1e-9).astype(np.int64)
+            met = pc.and_(pa.array((k[1:] == k[:-1]) & fit), pc.not_equal(root[1:], root[:-1]))
+            yield out(node[:-1].filter(met), node[1:].filter(met), key[1:].filter(met), root[1:].filter(met),
+                      size[1:].filter(met), 0)
+            last = key[-1:], node[-1:], root[-1:], size[-1:]
         if last is not None:
-            yield out(last[1], last[1], last[0], last[2], 2)
+            yield out(last[1], last[1], last[0], last[2], last[3], 2)
 
     found = cut_lineage(sorted_rows.mapInArrow(
-        lean(run), "a binary, b binary, k0 bigint, root binary, kind int, part int"))
+        lean(run), "a binary, b binary, k0 bigint, root binary, words bigint, kind int, part int"))
     # the ends of partitions, two rows of each, meet across the borders
     border = Window.orderBy("part", "kind")
     ends = found.filter("kind > 0").select(
-        "kind", "k0", "root", "b", *[F.lag(c).over(border).alias(f"{c}_before") for c in ("k0", "root", "a")])
-    across = ends.filter("kind = 1 AND k0 = k0_before AND root <> root_before").select(F.col("a_before").alias("a"), "b")
+        "kind", "k0", "root", "words", "b",
+        *[F.lag(c).over(border).alias(f"{c}_before") for c in ("k0", "root", "words", "a")])
+    longer = F.greatest("words", "words_before")
+    across = (ends.filter("kind = 1 AND k0 = k0_before AND root <> root_before")
+              .filter(longer - F.least("words", "words_before") <= F.floor((1 - threshold) * longer + 1e-9))
+              .select(F.col("a_before").alias("a"), "b"))
     return found.filter("kind = 0").select("a", "b").union(across)
 
 
@@ -277,29 +315,9 @@ def candidates(nodes: DataFrame, threshold: float, first: int = SKETCHES, lists:
     allow an alignment."""
     pairs = None
     for strides in lists:
-        found = side_by_side(entries(nodes, strides, first))
+        found = side_by_side(entries(nodes, strides, first), threshold)
         pairs = found if pairs is None else pairs.unionByName(found)
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    for c in "ab":
-        pairs = pairs.join(nodes.select(F.col("node").alias(c), F.col("words").alias(f"n{c}")), c)
-    longer = F.greatest("na", "nb")
-    return pairs.filter(longer - F.least("na", "nb") <= F.floor((1 - threshold) * longer + 1e-9)).select("a", "b")
-
-
-def word_bins(texts: DataFrame) -> DataFrame:
-    """(node, length, bins): number of words, and how many fall into each of ``BINS`` by their hash."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch):
-                w = Words(column(part, "text"))
-                at = w.doc_index() * BINS + (w.hash % _U(BINS)).astype(np.int64)
-                n = np.bincount(at, minlength=part.num_rows * BINS).reshape(-1, BINS).astype("<u4")
-                yield pa.RecordBatch.from_arrays(
-                    [column(part, "node"), pa.array(w.counts()), pa.array([x.tobytes() for x in n], pa.binary())],
-                    ["node", "length", "bins"])
-
-    return texts.mapInArrow(lean(run), "node binary, length bigint, bins binary")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def cell_pairs(root: np.ndarray, length: np.ndarray, bins: np.ndarray, left: np.ndarray, right: np.ndarray,
@@ -325,38 +343,70 @@ def cell_pairs(root: np.ndarray, length: np.ndarray, bins: np.ndarray, left: np.
     return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
 
 
+def cell_links(node: pa.Array, root: np.ndarray, values: np.ndarray, hashes: list[np.ndarray], pairs: tuple,
+               key: int, threshold: float) -> pa.Table:
+    """(a, b): links of the cell of value ``key`` that join the roots which its near
+    ``pairs`` join, each pair tested under the first value it has in common only."""
+    parent = list(range(int(root.max()) + 1))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    for at in range(0, len(pairs[0]), 4096):
+        a, b = (x[at:at + 4096] for x in pairs)
+        same = values[a] == values[b]
+        first = values[a, same.argmax(axis=1)]
+        here = (first == key) | ~same.any(axis=1)
+        for x, y in zip(a[here].tolist(), b[here].tolist()):
+            rx, ry = find(int(root[x])), find(int(root[y]))
+            if rx != ry and near(hashes[x], hashes[y], threshold):
+                parent[rx] = ry
+                out.append((x, y))
+    a, b = np.array(out, np.int64).reshape(-1, 2).T
+    return pa.table({"a": node.take(pa.array(a)), "b": node.take(pa.array(b))})
+
+
 def rest(nodes: DataFrame, texts_of, threshold: float) -> DataFrame | None:
-    """(a, b): all pairs of nodes (node, values, root) of different roots with a
-    common value that may be near; None if no value has two roots."""
-    places = entries(nodes, (0,))
+    """(a, b): links that join what near pairs of nodes (node, size, values, root) of
+    different roots with a common value join; None if no value has two roots."""
+    places = entries(nodes, (0,), more="size")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / CELL), F.ceil(F.sum("size") / CELL_BYTES))
     mixed, n = cut_lineage_counted(
-        places.groupBy("k0").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
-        .filter("lo <> hi").select("k0", F.ceil(F.col("n") / CELL).cast("int").alias("parts")))
+        places.groupBy("k0").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), parts.cast("int").alias("parts"))
+        .filter("lo <> hi").select("k0", "parts"))
     if not n:
         return None
-    met = cut_lineage(places.join(_small(mixed, n), "k0"))
-    bins = word_bins(texts_of(met.select("node").distinct()))
+    met = cut_lineage(places.select("k0", "node", "root").join(_small(mixed, n), "k0"))
+    texts = texts_of(met.select("node").distinct()).join(nodes.select("node", "values"), "node")
     rows = (met.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .select("k0", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "root")
-            .join(bins, "node"))
+            .join(texts, "node"))
 
     def meet(cell: pa.Table) -> pa.Table:
         cell = cell.combine_chunks()
-        node = cell["node"].combine_chunks()
         root = cell["root"].combine_chunks().dictionary_encode().indices.to_numpy()
-        table = np.frombuffer(b"".join(cell["bins"].to_pylist()), "<u4").reshape(-1, BINS).astype(np.int64)
+        values = cell["values"].combine_chunks().flatten().to_numpy().reshape(-1, SKETCHES)
+        hashes, bins = [], []
+        for piece in (p for batch in cell.to_batches() for p in chunks(batch)):
+            w = Words(column(piece, "text"))
+            hashes += [w.hash[a:b] for a, b in zip(w.of[:-1], w.of[1:])]
+            at = w.doc_index() * BINS + (w.hash % _U(BINS)).astype(np.int64)
+            bins.append(np.bincount(at, minlength=piece.num_rows * BINS).reshape(-1, BINS).astype(np.int32))
         part, i, j = cell["part"].to_numpy(), cell["i"][0].as_py(), cell["j"][0].as_py()
         left = np.flatnonzero(part == i)
-        a, b = cell_pairs(root, cell["length"].to_numpy(), table, left, left if i == j else np.flatnonzero(part == j), threshold)
-        return pa.table({"a": node.take(pa.array(a)), "b": node.take(pa.array(b))})
+        pairs = cell_pairs(root, np.array([len(h) for h in hashes]), np.concatenate(bins),
+                           left, left if i == j else np.flatnonzero(part == j), threshold)
+        return cell_links(cell["node"].combine_chunks(), root, values, hashes, pairs, cell["k0"][0].as_py(), threshold)
 
-    pairs = rows.groupBy("k0", "i", "j").applyInArrow(meet, "a binary, b binary")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return rows.groupBy("k0", "i", "j").applyInArrow(meet, "a binary, b binary")
 
 
 def links(nodes: DataFrame, texts_of, threshold: float) -> DataFrame | None:
-    """(a, b): verified links between nodes (node, words, values) that connect
+    """(a, b): verified links between nodes (node, words, size, values) that connect
     all near candidates. ``texts_of(ids)`` gives (node, text) of the nodes in
     ``ids``."""
     def test(pairs: DataFrame) -> DataFrame:
@@ -374,9 +424,7 @@ def links(nodes: DataFrame, texts_of, threshold: float) -> DataFrame | None:
         left = left.join(tested.select("a", "b"), ["a", "b"], "left_anti")
     left, n_left = cut_lineage_counted(left)
     if n_left:
-        more = test(left)
-        edges = more.filter("linked").select("a", "b")
-        tested = tested.unionByName(more) if n else more
+        edges = test(left).filter("linked").select("a", "b")
         if n:  # of the first links the classes they make are enough
             edges = edges.union(family.select(F.col("node").alias("a"), F.col("root").alias("b")))
         family = cut_lineage(components(edges))
@@ -385,13 +433,7 @@ def links(nodes: DataFrame, texts_of, threshold: float) -> DataFrame | None:
     last = rest(nodes, texts_of, threshold)
     if last is None:
         return first
-    if n or n_left:
-        last = last.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    last, n_last = cut_lineage_counted(last)
-    if not n_last:
-        return first
-    found = test(last).filter("linked").select("a", "b")
-    return found if first is None else first.union(found)
+    return last if first is None else first.union(last)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -421,7 +463,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc_id, node, class_id, class_rows) of every row."""
     rows = cut_lineage(sketches(docs, id_col, text_col))
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("values").alias("values"),
-                                     F.first("words").alias("words"), F.count(F.lit(1)).alias("n"))
+                                     F.first("words").alias("words"), F.first("size").alias("size"),
+                                     F.count(F.lit(1)).alias("n"))
     nodes = cut_lineage(nodes)
 
     def texts_of(ids: DataFrame) -> DataFrame:
@@ -432,7 +475,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.col("doc_id").eqNullSafe(F.col("least_id")))
         return cut_lineage(hit.groupBy("node").agg(F.first("text").alias("text")))
 
-    found = links(nodes.select("node", "words", "values"), texts_of, threshold)
+    found = links(nodes.select("node", "words", "size", "values"), texts_of, threshold)
     root = nodes.select("node").limit(0).withColumn("root", F.col("node")) if found is None else components(found)
     # linked nodes point to their root; the root itself and every other node to itself
     rooted = cut_lineage(nodes.select("node", "doc_id", "n").join(root, "node", "left")

@@ -273,3 +273,56 @@ def test_cells_keep_every_near_pair():
     assert near <= got and len(got) < len(every) ** 2 / 4 and len(near) > 20
     a, b = om.cell_pairs(root, w.counts(), bins, every[:20], every[20:], 0.8)
     assert {p for p in got if p[0] < 20 <= p[1]} == set(zip(a.tolist(), b.tolist()))
+
+
+def apart(spark, rows):
+    """Nodes of texts, each a class of its own, and a function that gives their texts."""
+    nodes = (om.sketches(frame(spark, rows)).select("node", "words", "size", "values", F.col("node").alias("root"))
+             .localCheckpoint())
+    texts = frame(spark, rows).select(F.unhex(F.md5("text")).alias("node"), "text")
+    return nodes, lambda ids: texts.join(ids, "node")
+
+
+def test_texts_that_only_share_a_passage_make_no_rows(spark):
+    """Their word counts allow an alignment, so each cell has to align all its pairs."""
+    rng = random.Random(15)
+    shared = [f"w{rng.randrange(10 ** 6)}" for _ in range(78)]
+    rows = [(i, " ".join(shared + [f"c{i}x{k}" for k in range(22)]), "en", "s", 0) for i in range(120)]
+    rows.append((500, " ".join(shared + [f"c7x{k}" for k in range(20)]), "en", "s", 0))
+    got = [sorted((bytes(r.a), bytes(r.b))) for r in om.rest(*apart(spark, rows), 0.8).collect()]
+    node = {r.doc_id: bytes(r.node) for r in om.sketches(frame(spark, rows)).collect()}
+    assert got == [sorted((node[7], node[500]))]
+
+
+def test_links_of_a_group_stay_in_proportion(spark, monkeypatch):
+    """Near copies that are all in classes of their own: links, not all their pairs."""
+    rng = random.Random(16)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(150)]
+    rows = []
+    for i in range(200):
+        w = list(base)
+        w[rng.randrange(150)] = f"c{i}"
+        rows.append((i, " ".join(w), "en", "s", 0))
+    nodes, texts_of = apart(spark, rows)
+    for cell, size in ((1000, 8 << 20), (30, 8 << 20), (1000, 30 << 10)):
+        monkeypatch.setattr(om, "CELL", cell)
+        monkeypatch.setattr(om, "CELL_BYTES", size)
+        found = om.cut_lineage(om.rest(nodes, texts_of, 0.8))
+        assert 199 <= found.count() < (200 * 199 / 8 if cell == 1000 and size == 8 << 20 else 200 * om.SKETCHES)
+        assert om.components(found).agg(F.count("node"), F.countDistinct("root")).first()[:] == (199, 1)
+
+
+def test_distance_beyond_a_few_edits_is_exact():
+    rng = random.Random(17)
+    seen = set()
+    for _ in range(150):
+        a = [rng.randint(0, 50) for _ in range(rng.randint(0, 150))]
+        b = list(a)
+        for _ in range(rng.randint(0, 90)):
+            at = rng.randint(0, len(b))
+            b[at:at + rng.randint(0, 2)] = [rng.randint(0, 50)] * rng.randint(0, 2)
+        band = rng.randint(0, 80)
+        d = edit_distance(a, b)
+        assert om.banded_distance(a, b, band) == (d if d <= band else None)
+        seen.add((d > om.NARROW, d <= band))
+    assert len(seen) == 4
